@@ -74,7 +74,7 @@ def facet_lakes(df: DataFrame, names: Sequence[str] = NAMES, limit: int = 5) ->
         panels = hit.orderBy("rank", "lake_id").limit(limit)
         if not panels.isEmpty():
             return panels.withColumnRenamed("rank", "ord")
-    # a report's panel count, not a sample: the reference layout has room for ``limit`` lakes
+    # a report's panel count, not a sample: the layout has room for ``limit`` lakes
     first = ids.select("lake_id").distinct().orderBy("lake_id").limit(limit)
     return first.withColumn("ord", F.lit(None).cast("int"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limnia.functions.text import basename
@@ -19,25 +19,40 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None, recur
 
 
 # Leading bytes of HDF5-based and classic array files.
-_SIGNATURES = ("89484446", "434446")
+SIGNATURES = (b"\x89HDF", b"CDF")
+_HEAD = 8
 
 
-def has_array_signature(content: Column) -> Column:
-    head = F.hex(F.substring(content, 1, 4))
-    hit = F.startswith(head, F.lit(_SIGNATURES[0]))
-    for s in _SIGNATURES[1:]:
-        hit = hit | F.startswith(head, F.lit(s))
-    return F.coalesce(hit, F.lit(False))
+def _open_head(path: str) -> bytes:
+    """First bytes of a file, b"" when it cannot be read."""
+    from pyarrow import fs
 
+    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "://" not in path else path
+    system, inner = fs.FileSystem.from_uri(uri)  # an unknown scheme is an error, not "unreadable"
+    try:
+        with system.open_input_stream(inner) as f:
+            return f.read(_HEAD)
+    except OSError:
+        return b""
 
-def file_signatures(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``src, length, is_array_file`` by the first bytes of each file."""
-    r = spark.read.format("binaryFile")
-    if pattern:
-        r = r.option("pathGlobFilter", pattern)
-    return r.load(path).select(
-        basename("path").alias("src"), "length", has_array_signature(F.col("content")).alias("is_array_file")
-    )
+
+def _flag_signatures(batches):
+    for pdf in batches:
+        heads = pdf["path"].map(_open_head)
+        yield pdf.assign(is_array_file=heads.map(lambda h: h.startswith(SIGNATURES)))
+
+
+def file_signatures(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
+    """``src, length, is_array_file``; an unreadable file is no array file.
+
+    Spark lists the files and spreads the paths; a task then reads eight bytes of each. The
+    built-in binary scan would load whole files to look at their first bytes.
+    """
+    listing = list_files(spark, path, pattern, recursive)
+    tasks = spark.sparkContext.defaultParallelism
+    return listing.repartition(tasks, "path").mapInPandas(
+        _flag_signatures, "path string, src string, length bigint, is_array_file boolean"
+    ).drop("path")
 
 
 def readable_only(pixels: DataFrame, status: DataFrame, strict: bool = False) -> DataFrame:
