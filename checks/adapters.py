@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.session import use_utc
+from limnia.session import materialise, use_utc
 from limnia.sources.manifest import daily_name
 
 VALID_MIN, VALID_MAX = 0.0, 0.005
@@ -43,7 +43,8 @@ def grid(spark, sf_dir) -> DataFrame:
 
 
 def files(spark, sf_dir) -> DataFrame:
-    return pixels(spark, sf_dir).select("src").distinct()
+    """The file table; written out, as a stored one would be."""
+    return materialise(pixels(spark, sf_dir).select("src").distinct())
 
 
 def boxes(spark, sf_dir) -> DataFrame:

@@ -197,7 +197,7 @@ def sql(ctes: str, body: str) -> str:
 
 
 def _stats(v: str = "v") -> str:
-    return (f"round(avg({v}), 11) AS CI_mean, round(quantile_cont({v}, 0.9), 11) AS CI_p90, "
+    return (f"round(avg({v}), 9) AS CI_mean, round(quantile_cont({v}, 0.9), 9) AS CI_p90, "
             f"CAST(count({v}) AS BIGINT) AS n_valid")
 
 
@@ -288,8 +288,8 @@ _LAKE_PICK = f"""SELECT part, lake_name, country, lake_name IS NOT NULL AND
 _FIVE = "('Erie','Huron','Michigan','Ontario','Superior')"
 
 ORACLES: dict[str, str] = {
-    "zonal_daily": sql("ok boxes", f"""SELECT b.lake_id, {stamp('f.date')} AS date, 'daily' AS product, round(m, 11) AS CI_mean,
-        round(p, 11) AS CI_p90, coalesce(n, 0) AS n_valid, f.src, 'table' AS engine
+    "zonal_daily": sql("ok boxes", f"""SELECT b.lake_id, {stamp('f.date')} AS date, 'daily' AS product, round(m, 9) AS CI_mean,
+        round(p, 9) AS CI_p90, coalesce(n, 0) AS n_valid, f.src, 'table' AS engine
         FROM (SELECT DISTINCT src, date FROM pix) f CROSS JOIN boxes b LEFT JOIN
         (SELECT src, lake_id, avg(v) AS m, quantile_cont(v, 0.9) AS p, count(v) AS n FROM ok JOIN boxes
           ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy GROUP BY 1, 2) s ON s.src=f.src AND s.lake_id=b.lake_id"""),
@@ -356,9 +356,9 @@ ORACLES: dict[str, str] = {
         f"round(avg({v}) OVER (PARTITION BY lake_id ORDER BY date RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW), 8) AS {v}"
         for v in VARS) + " FROM climo"),
     "lake_pixels_mean": sql("inside pix parts", f"""SELECT i.lake_id, lake_name, {day("date_trunc('month', date)")} AS date,
-        round(avg(CASE WHEN x%2=0 THEN CAST(ci AS DOUBLE) END), 11) AS tmin, round(avg(CASE WHEN x%2<>0 THEN CAST(ci AS DOUBLE) END), 11) AS tmax
+        round(avg(CASE WHEN x%2=0 THEN CAST(ci AS DOUBLE) END), 9) AS tmin, round(avg(CASE WHEN x%2<>0 THEN CAST(ci AS DOUBLE) END), 9) AS tmax
         FROM pix JOIN inside i USING (y, x) JOIN parts p ON p.lake_id=i.lake_id GROUP BY 1, 2, 3"""),
-    "zonal_polygon": sql("inside ok parts", f"""SELECT f.src, p.lake_id, round(avg(v), 11) AS CI_mean, round(quantile_cont(v, 0.9), 11) AS CI_p90,
+    "zonal_polygon": sql("inside ok parts", f"""SELECT f.src, p.lake_id, round(avg(v), 9) AS CI_mean, round(quantile_cont(v, 0.9), 9) AS CI_p90,
         CAST(count(v) AS BIGINT) AS n_valid FROM (SELECT DISTINCT CAST(year(date) AS VARCHAR) AS src FROM pix) f CROSS JOIN parts p
         LEFT JOIN (SELECT i.lake_id, CAST(year(date) AS VARCHAR) AS src, v FROM ok JOIN inside i USING (y, x)) s
         ON s.src=f.src AND s.lake_id=p.lake_id GROUP BY 1, 2"""),

@@ -13,6 +13,7 @@ from limnia.functions import timelabel as tl
 from limnia.functions.cleaning import clean_index, near_zero_threshold
 from limnia.functions.text import basename, display_label, mentions_any
 from limnia.operators import merge, resample, schema, series, spatial, summary, zonal
+from limnia.session import materialise
 from limnia.plans import catalogue, climate, extraction, features, feeds, quality
 from limnia.sources import files as src_files
 from limnia.sources import manifest
@@ -55,7 +56,7 @@ def _daily(spark, sf_dir):
 @query
 def zonal_daily(spark, sf_dir):
     """Daily lake observations, lakes without a valid pixel included."""
-    return rounded(_daily(spark, sf_dir), 11, "CI_mean", "CI_p90")
+    return rounded(_daily(spark, sf_dir), 9, "CI_mean", "CI_p90")
 
 
 @query
@@ -64,7 +65,7 @@ def zonal_many_lakes(spark, sf_dir):
     px = extraction.clean_pixels(ad.pixels(spark, sf_dir), "CI_cyano", ad.VALID_MIN, ad.VALID_MAX)
     out = zonal.zonal_stats(px.withColumn("product", F.lit("all")), ad.many_boxes(spark, sf_dir),
                             "CI_cyano", ["product"])
-    return rounded(out, 11, "CI_mean", "CI_p90")
+    return rounded(out, 9, "CI_mean", "CI_p90")
 
 
 @query
@@ -73,7 +74,7 @@ def regional_daily(spark, sf_dir):
         ad.pixels(spark, sf_dir), ad.files(spark, sf_dir), "daily",
         valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX,
     )
-    return rounded(out, 11, "CI_mean", "CI_p90")
+    return rounded(out, 9, "CI_mean", "CI_p90")
 
 
 @query
@@ -81,9 +82,9 @@ def regional_monthly(spark, sf_dir):
     """The pixels of a month as one file: large groups, mid-month labels."""
     px = ad.pixels(spark, sf_dir).withColumn("src", manifest.monthly_name("date", F.lit("CONUS"), "S3B"))
     out = extraction.regional_series(
-        px, px.select("src").distinct(), "monthly", valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX
+        px, materialise(px.select("src").distinct()), "monthly", valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX, large=True
     )
-    return rounded(out, 11, "CI_mean", "CI_p90")
+    return rounded(out, 9, "CI_mean", "CI_p90")
 
 
 @query
@@ -263,6 +264,11 @@ def _quality(spark, sf_dir):
     )
 
 
+def _stored_quality(spark, sf_dir):
+    """The cleaned lake table as the chart and summary steps meet it: already written."""
+    return materialise(_quality(spark, sf_dir))
+
+
 @query
 def lake_quality(spark, sf_dir):
     out = rounded(rounded(_quality(spark, sf_dir), 11, "CI_mean", "CI_p90"), 6, "pct_valid_geom", "pct_valid_emp")
@@ -271,12 +277,12 @@ def lake_quality(spark, sf_dir):
 
 @query
 def lake_quality_summary(spark, sf_dir):
-    return rounded(summary.quality_summary(_quality(spark, sf_dir)), 6, "pct_valid_geom_med", "pct_valid_emp_med")
+    return rounded(summary.quality_summary(_stored_quality(spark, sf_dir)), 6, "pct_valid_geom_med", "pct_valid_emp_med")
 
 
 @query
 def lake_counts(spark, sf_dir):
-    return summary.lake_counts(_quality(spark, sf_dir))
+    return summary.lake_counts(_stored_quality(spark, sf_dir))
 
 
 @query
@@ -340,7 +346,7 @@ def lake_pixels_mean(spark, sf_dir):
     )
     out = climate.lake_climate(cube, ad.grid(spark, sf_dir), ad.polygons(spark, sf_dir), ("tmin", "tmax"))
     out = out.select("lake_id", "lake_name", F.to_date("date").alias("date"), "tmin", "tmax")
-    return rounded(out, 11, "tmin", "tmax")
+    return rounded(out, 9, "tmin", "tmax")
 
 
 @query
@@ -350,7 +356,7 @@ def zonal_polygon(spark, sf_dir):
     out = extraction.extract_lakes_by_polygon(
         px, ad.polygons(spark, sf_dir), ad.grid(spark, sf_dir), valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX
     )
-    return rounded(out, 11, "CI_mean", "CI_p90")
+    return rounded(out, 9, "CI_mean", "CI_p90")
 
 
 # --- features -----------------------------------------------------------------------
@@ -386,7 +392,7 @@ def features_monthly(spark, sf_dir):
 
 @query
 def valid_row_counts(spark, sf_dir):
-    return features.valid_counts(_quality(spark, sf_dir))
+    return features.valid_counts(_stored_quality(spark, sf_dir))
 
 
 # --- polygons -----------------------------------------------------------------------
@@ -463,7 +469,7 @@ def study_lakes(spark, sf_dir):
 @query
 def lake_labels(spark, sf_dir):
     """Id and first name per segment, as a chart label."""
-    q = _quality(spark, sf_dir)
+    q = _stored_quality(spark, sf_dir)
     names = merge.first_name_per_id(q, "lake_id", "lake_name", "date")
     return names.select("lake_id", display_label("lake_id", "lake_name").alias("label"))
 
@@ -544,7 +550,7 @@ def reader_status(spark, sf_dir):
     px = ad.pixels(spark, sf_dir)
     day = F.day(tl.name_dates("src", "daily")[0])
     engine = F.when(day % 5 == 0, F.lit(None).cast("string")).when(day % 2 == 0, "primary").otherwise("fallback")
-    status = ad.files(spark, sf_dir).withColumn("engine", engine)
+    status = materialise(ad.files(spark, sf_dir).withColumn("engine", engine))
     out = src_files.readable_only(px, status)
     return out.groupBy("engine", F.year("date").alias("year")).agg(F.count("*").alias("pixels"))
 
@@ -583,14 +589,14 @@ def chart_regional_monthly(spark, sf_dir):
 
 @query
 def chart_lake_daily(spark, sf_dir):
-    out = feeds.lake_daily_feed(_quality(spark, sf_dir))
+    out = feeds.lake_daily_feed(_stored_quality(spark, sf_dir))
     out = out.withColumns({c: F.col(c).cast("int") for c in out.columns if c.startswith("has_")})
     return rounded(rounded(out, 11, "CI_mean", "CI_mean_7", "CI_p90_7"), 5, "pct_valid_geom")
 
 
 @query
 def chart_lake_monthly(spark, sf_dir):
-    out = feeds.lake_monthly_feed(_quality(spark, sf_dir))
+    out = feeds.lake_monthly_feed(_stored_quality(spark, sf_dir))
     out = out.withColumns({c: F.col(c).cast("int") for c in out.columns if c.startswith("has_")})
     return rounded(out, 11, "CI_mean", "CI_p90")
 
@@ -598,7 +604,7 @@ def chart_lake_monthly(spark, sf_dir):
 @query
 def facet_shading(spark, sf_dir):
     """Panels in a listed order, picked by name regardless of case."""
-    out = feeds.facet_feed(_quality(spark, sf_dir), ("MACHINERY", "building", "Automobile"))
+    out = feeds.facet_feed(_stored_quality(spark, sf_dir), ("MACHINERY", "building", "Automobile"))
     return rounded(out, 11, "coverage_height", "CI_mean_7", "CI_p90_7")
 
 
@@ -616,7 +622,7 @@ def validity_matrix(spark, sf_dir):
 
 @query
 def validity_long(spark, sf_dir):
-    return summary.validity_long(_quality(spark, sf_dir)).select("label", "date", "qc_is_valid")
+    return summary.validity_long(_stored_quality(spark, sf_dir)).select("label", "date", "qc_is_valid")
 
 
 # --- schema plumbing ----------------------------------------------------------------

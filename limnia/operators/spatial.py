@@ -50,8 +50,9 @@ def edges_in_metres(edge_table: DataFrame) -> DataFrame:
     return to_metres(edge_table, [("x1", "y1"), ("x2", "y2")])
 
 
-def bounds(edge_table: DataFrame, key: str = "lake_id") -> DataFrame:
-    return edge_table.groupBy(key).agg(
+def bounds(edge_table: DataFrame, *keys: str) -> DataFrame:
+    """Bounding box per key; per lake unless keys are given."""
+    return edge_table.groupBy(*(keys or ("lake_id",))).agg(
         F.min(F.least("x1", "x2")).alias("minx"), F.min(F.least("y1", "y2")).alias("miny"),
         F.max(F.greatest("x1", "x2")).alias("maxx"), F.max(F.greatest("y1", "y2")).alias("maxy"),
     )
@@ -69,13 +70,13 @@ def points_inside(
     candidates: DataFrame, edge_table: DataFrame, point: Sequence[str], band: float,
     inset: float = 0.0, px: str = "px", py: str = "py", key: str = "lake_id",
 ) -> DataFrame:
-    """Of the (point, lake) candidates, those strictly inside the lake, boundary excluded.
+    """Of the (point, lake, part) candidates, the (point, lake) strictly inside, boundary excluded.
 
     ``inset`` keeps only points at least that far from every edge of the part they are in.
     ``band`` is the height of the bands joining points to edges; an edge is listed in every
     band it reaches, widened by the inset, so both the ray test and the distance test see
-    every edge that can change their answer. Per-point results are combined before the
-    shuffle.
+    every edge that can change their answer. Pairs that neither cross the ray nor block the
+    point are dropped inside the join; the rest is combined before the shuffle.
     """
     lo = F.least("y1", "y2") - F.lit(inset)
     hi = F.greatest("y1", "y2") + F.lit(inset)
@@ -83,16 +84,16 @@ def points_inside(
         key, "part", *_XY,
         F.explode(F.sequence(F.floor(lo / band).cast("bigint"), F.floor(hi / band).cast("bigint"))).alias("band"),
     )
-    pts = candidates.select(*point, key, px, py).withColumn("band", F.floor(F.col(py) / band).cast("bigint"))
+    pts = candidates.select(*point, key, "part", px, py).withColumn("band", F.floor(F.col(py) / band).cast("bigint"))
     args = [F.col(c) for c in (px, py, *_XY)]
-    aggs = [F.count_if(ray_hits(*args)).alias("hits"), F.bool_or(on_segment(*args)).alias("touch")]
+    blocked = on_segment(*args)
     if inset:
-        aggs.append(F.min(segment_distance_sq(*args)).alias("near"))
-    tested = pts.join(banded, [key, "band"]).groupBy(*point, key, "part").agg(*aggs)
-    ok = (F.col("hits") % 2 == 1) & ~F.col("touch")
-    if inset:
-        ok = ok & (F.sqrt("near") >= F.lit(inset))
-    return tested.where(ok).select(*point, key).distinct()
+        blocked = blocked | (F.sqrt(segment_distance_sq(*args)) < F.lit(inset))
+    pairs = pts.join(banded, [key, "part", "band"]).withColumns({"hit": ray_hits(*args), "blocked": blocked})
+    tested = pairs.where("hit OR blocked").groupBy(*point, key, "part").agg(
+        F.count_if("hit").alias("hits"), F.bool_or("blocked").alias("blocked")
+    )
+    return tested.where("hits % 2 = 1 AND NOT blocked").select(*point, key).distinct()
 
 
 def lake_pixels(
@@ -102,11 +103,11 @@ def lake_pixels(
     """Membership table ``lake_id, y, x``: grid pixels strictly inside each lake.
 
     ``grid`` is (y, x, lon, lat), one row per pixel of the product, independent of time. A
-    box join by grid cell comes first; the polygon test sees only pixels inside a lake's
+    box join by grid cell comes first; the polygon test sees only pixels inside a part's
     bounds. With ``inset_m`` the test runs in equal-area metres.
     """
     deg = edges(polygons)
-    near = pixels_in_boxes(grid, bounds(deg), cell)
+    near = pixels_in_boxes(grid, bounds(deg, "lake_id", "part"), cell)
     near = near.withColumns({"px": F.col("lon"), "py": F.col("lat")})
     if inset_m:
         # both tables in metres; straight degree edges become straight metre edges, as in
@@ -122,14 +123,17 @@ def interior_cells(
 ) -> DataFrame:
     """Centres of the lattice cells inside each lake's inset: ``lake_id, row, col``."""
     m = edges_in_metres(edges(polygons))
-    b = bounds(m)
+    b = bounds(m, "lake_id", "part")
 
     def numbers(lo, hi):
         return F.sequence(F.floor(F.col(lo) / cell_m).cast("bigint"), F.floor(F.col(hi) / cell_m).cast("bigint"))
 
-    rows = b.select("lake_id", "minx", "maxx", F.explode(numbers("miny", "maxy")).alias("row"))
-    rows = rows.repartition("lake_id", "row")  # a lake's lattice is spread before it grows
-    cells = rows.select("lake_id", "row", F.explode(numbers("minx", "maxx")).alias("col"))
+    rows = b.select("lake_id", "part", "minx", "maxx", F.explode(numbers("miny", "maxy")).alias("row"))
+    # spread the lattice rows before they grow; a fixed count, because adaptive execution would
+    # judge the still-small rows and merge them into one task
+    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "lake_id", "part", "row")
+    cells = rows.select("lake_id", "part", "row", F.explode(numbers("minx", "maxx")).alias("col"))
     cells = cells.withColumns({"px": (F.col("col") + 0.5) * cell_m, "py": (F.col("row") + 0.5) * cell_m})
     return points_inside(cells, m, ["row", "col"], band or max(cell_m, inset_m), inset_m)
 

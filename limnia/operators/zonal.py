@@ -54,15 +54,23 @@ def file_lake_rows(files: DataFrame, lakes: DataFrame) -> DataFrame:
     return f.join(l, "slot").drop("slot")
 
 
+def _index_stats(df: DataFrame, keys: list[str], value: str, large: bool | None) -> DataFrame:
+    return group_stats(
+        df, keys, [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value}, large
+    )
+
+
 def zonal_stats(
     pixels: DataFrame, boxes: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date"),
     files: DataFrame | None = None, keep_empty: bool = True, cell: float = CELL_DEG,
+    large: bool | None = None,
 ) -> DataFrame:
     """Mean, exact 90th percentile and valid count per (file, lake).
 
     With ``keep_empty`` every file lists every lake, those without a valid pixel as
     NULL, NULL, 0. The empty rows enter the same aggregation as the pixels, as rows without
-    a value, so they cost no join of their own.
+    a value, so they cost no join of their own. ``large`` is passed to
+    :func:`~limnia.operators.quantiles.group_stats`.
     """
     keys = [*file_cols, "lake_id"]
     hits = pixels_in_boxes(pixels, boxes, cell).select(*keys, value)
@@ -71,16 +79,14 @@ def zonal_stats(
             files = pixels.select(*file_cols).distinct()
         blank = file_lake_rows(files.select(*file_cols), boxes.select("lake_id"))
         hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
-    return group_stats(
-        hits, keys, [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value}
-    )
+    return _index_stats(hits, keys, value, large)
 
 
-def regional_stats(pixels: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date")) -> DataFrame:
+def regional_stats(
+    pixels: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date"), large: bool | None = None
+) -> DataFrame:
     """Mean, exact 90th percentile and valid count per file, over all its pixels."""
-    return group_stats(
-        pixels, list(file_cols), [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value}
-    )
+    return _index_stats(pixels, list(file_cols), value, large)
 
 
 def member_means(

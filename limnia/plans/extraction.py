@@ -11,6 +11,7 @@ from limnia.operators.schema import OBSERVATION_COLUMNS, check_raster, complete_
 from limnia.operators.spatial import lake_pixels
 from limnia.operators.quantiles import group_stats
 from limnia.operators.zonal import file_lake_rows, regional_stats, zonal_stats
+from limnia.session import materialise
 
 # The usable attributes of a file, for its time label and value bounds.
 _TIME_FIELDS = ("time0", "start", "end")
@@ -32,17 +33,19 @@ def label_files(files: DataFrame, product: str) -> DataFrame:
 
 def extract_lakes(
     pixels: DataFrame, boxes: DataFrame, files: DataFrame, product: str, value: str = "CI_cyano",
-    valid_min=None, valid_max=None, keep_empty: bool = True,
+    valid_min=None, valid_max=None, keep_empty: bool = True, large: bool | None = None,
 ) -> DataFrame:
     """One row per (file, lake box): ``lake_id, time, product, CI_mean, CI_p90, n_valid, src, engine``.
 
-    Time labels are attached to the per-file result, not to the pixels.
+    Time labels are attached to the per-file result, not to the pixels. The labelled files
+    are written out first: they are used twice, and as a lazy plan the optimiser would carry
+    the label's text parsing over to the pixel side of the join.
     """
-    clean = clean_pixels(pixels, value, valid_min, valid_max)
-    stats = zonal_stats(clean, boxes, value, ["src"], files.select("src"), keep_empty)
-    labels = label_files(files, product).select(
+    labels = materialise(label_files(files, product).select(
         "src", "time", F.col("engine") if "engine" in files.columns else F.lit("table").alias("engine")
-    )
+    ))
+    clean = clean_pixels(pixels, value, valid_min, valid_max)
+    stats = zonal_stats(clean, boxes, value, ["src"], labels.select("src"), keep_empty, large=large)
     return stats.join(labels, "src").select(
         "lake_id", "time", F.lit(product).alias("product"), "CI_mean", "CI_p90", "n_valid", "src", "engine"
     )
@@ -63,8 +66,11 @@ def extract_lakes_by_polygon(
     pixels: DataFrame, polygons: DataFrame, grid: DataFrame, value: str = "CI_cyano",
     valid_min=None, valid_max=None, inset_m: float = 0.0,
 ) -> DataFrame:
-    """Like the box extraction, with true lake shapes: membership is decided once per grid."""
-    members = lake_pixels(grid, polygons, inset_m)
+    """Like the box extraction, with true lake shapes.
+
+    Membership is decided once per grid and written out, so the pixel join knows its size.
+    """
+    members = materialise(lake_pixels(grid, polygons, inset_m))
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
     hits = clean.join(members, ["y", "x"]).select("src", "lake_id", value)
     blank = file_lake_rows(pixels.select("src").distinct(), polygons.select("lake_id").distinct())
@@ -75,12 +81,12 @@ def extract_lakes_by_polygon(
 
 def regional_series(
     pixels: DataFrame, files: DataFrame, product: str, value: str = "CI_cyano",
-    valid_min=None, valid_max=None,
+    valid_min=None, valid_max=None, large: bool | None = None,
 ) -> DataFrame:
     """One row per file over the whole region, with its time label."""
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
-    stats = regional_stats(clean, value, ["src"])
-    labels = label_files(files, product).select("src", "time")
+    labels = materialise(label_files(files, product).select("src", "time"))
+    stats = regional_stats(clean, value, ["src"], large)
     out = stats.join(labels, "src")
     if product == "monthly":
         return out.select("time", "CI_mean", "CI_p90", "n_valid")
