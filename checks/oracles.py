@@ -453,8 +453,12 @@ for _limit in (3, 1):
         f"SELECT lake_id, {day('date')} AS date, {_cols} FROM ({_interp('cal', _limit)})"
     )
 
-# monthly calendar: first day of each month with orders, clipped
-_MONTHS = f"""SELECT lake_id, CAST(date_trunc('month', date) AS DATE) AS mo, arg_min(m, date) AS m, arg_min(p, date) AS p FROM obs GROUP BY 1, 2"""
-ORACLES["chart_regional_monthly"] = sql("obs", f"""SELECT lake_id, {stamp('mo')} AS date, round({_clip('m', 'ml', 'mh')}, 11) AS CI_mean,
-    round({_clip('p', 'pl', 'ph')}, 11) AS CI_p90 FROM ({_MONTHS}) JOIN (SELECT lake_id, quantile_cont(m, 0.001) AS ml, quantile_cont(m, 0.999) AS mh,
-    quantile_cont(p, 0.001) AS pl, quantile_cont(p, 0.999) AS ph FROM ({_MONTHS}) GROUP BY 1) USING (lake_id)""")
+# monthly calendar: first day with orders of each month, empty months interpolated by one, clipped
+CTES["mon"] = """SELECT lake_id, CAST(date_trunc('month', date) AS DATE) AS date, arg_min(m, date) AS m, arg_min(p, date) AS p
+    FROM obs GROUP BY 1, 2"""
+CTES["mcal"] = CTES["cal"].replace("1 DAY", "1 MONTH").replace("t.p, t.n,", "t.p,").replace("thin", "mon")
+CTES["mfill"] = _interp("mcal", 1)
+NEEDS |= {"mon": ["obs"], "mcal": ["mon"], "mfill": ["mcal"]}
+ORACLES["chart_regional_monthly"] = sql("mfill", f"""SELECT lake_id, {stamp('date')} AS date, round({_clip('m', 'ml', 'mh')}, 11) AS CI_mean,
+    round({_clip('p', 'pl', 'ph')}, 11) AS CI_p90 FROM mfill JOIN (SELECT lake_id, quantile_cont(m, 0.001) AS ml, quantile_cont(m, 0.999) AS mh,
+    quantile_cont(p, 0.001) AS pl, quantile_cont(p, 0.999) AS ph FROM mfill GROUP BY 1) USING (lake_id)""")

@@ -9,7 +9,11 @@ from limnia.functions.text import basename
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
-    """``path, src, length``; contents are not read because the column is pruned."""
+    """``path, src, length``; contents are not read because the column is pruned.
+
+    Spark's scans skip files of length zero, so an empty file is not listed. Audits treat it
+    like an absent one either way.
+    """
     r = spark.read.format("binaryFile")
     if pattern:
         r = r.option("pathGlobFilter", pattern)
@@ -63,9 +67,9 @@ def readable_only(pixels: DataFrame, status: DataFrame, strict: bool = False) ->
     """
     from limnia.operators.schema import require
 
-    if strict:
-        status = require(status, F.col("engine").isNotNull(), "unreadable file")
-    return pixels.join(status.where("engine IS NOT NULL").select("src", "engine"), "src")
+    known = F.col("engine").isNotNull()
+    status = require(status, known, "unreadable file") if strict else status.where(known)
+    return pixels.join(status.select("src", "engine"), "src")
 
 
 def audit_files(expected: DataFrame, listing: DataFrame, remote: DataFrame | None = None) -> DataFrame:
