@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnia.functions.cleaning import finite
-from limnia.session import materialise
+from limnia.session import materialise, small_side
 
 # Groups up to this many rows are left to the built-in percentile (a few MB per buffer).
 SMALL_GROUP = 50_000
@@ -175,7 +175,7 @@ def _by_histogram(
         # an open cell always has a sum; naming it keeps both branches' histograms identical,
         # so that a lazy plan scans the input once for the two of them
         goals = goals.where((F.size("goals") > 0) & F.col("s").isNotNull())
-        goals = materialise(goals.select(*group, "cell", "lo", "hi", "goals"))
+        goals = small_side(goals.select(*group, "cell", "lo", "hi", "goals"))
         single = all(types.get(c) in ("float", "tinyint", "smallint") for c in cols)
         fine = _resolve_open(rows, goals, group, split=not single).select(
             *group, F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("double").alias("s"),
@@ -259,7 +259,7 @@ def group_stats(
     if large:
         return _by_histogram(df, keys, cols, *spec)
     # at most (all rows / SMALL_GROUP) keys are hot
-    hot = materialise(sizes.where(F.col("__n") > SMALL_GROUP).select(*keys)).alias("h")
+    hot = small_side(sizes.where(F.col("__n") > SMALL_GROUP).select(*keys)).alias("h")
     rows = df.alias("d")
     match = _equal(keys, "d", "h")
     small = _by_percentile(rows.join(hot, match, "left_anti"), keys, *spec)

@@ -158,6 +158,11 @@ def bind_axes(df: DataFrame, x_axis: DataFrame, y_axis: DataFrame) -> DataFrame:
     return df.join(x_axis, "x", "left").join(y_axis, "y", "left")
 
 
+def ordered(df: DataFrame, *keys: str) -> DataFrame:
+    """Sorted rows, missing keys last; ids sort as text."""
+    return df.orderBy(*[F.asc_nulls_last(k) for k in keys])
+
+
 def check_raster(df: DataFrame, value: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """The value and both coordinates must exist, and every pixel must have a position."""
     require_columns(df, [value, lon, lat])

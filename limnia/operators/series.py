@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from limnia.functions.flags import CLIP_HIGH, CLIP_LOW, clamp
 from limnia.functions.timelabel import period_start
 from limnia.operators.quantiles import attach, group_stats
+from limnia.session import materialise
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -125,7 +126,7 @@ def clip_quantiles(
     want = {}
     for c in cols:
         want[f"{c}_lo"], want[f"{c}_hi"] = (c, low), (c, high)
-    out = attach(df, group_stats(df, keys, cols, want), keys)
+    out = attach(df, materialise(group_stats(df, keys, cols, want)), keys)
     clipped = {c: clamp(F.col(c), F.col(f"{c}_lo"), F.col(f"{c}_hi")) for c in cols}
     return out.withColumns(clipped).drop(*want)
 

@@ -21,6 +21,7 @@ from limnia.functions.geometry import (
 )
 from limnia.functions.flags import PIX_RES_M, expected_pixels
 from limnia.operators.zonal import CELL_DEG, pixels_in_boxes
+from limnia.session import small_side
 
 _XY = ("x1", "y1", "x2", "y2")
 
@@ -84,6 +85,7 @@ def points_inside(
         key, "part", *_XY,
         F.explode(F.sequence(F.floor(lo / band).cast("bigint"), F.floor(hi / band).cast("bigint"))).alias("band"),
     )
+    banded = small_side(banded)
     pts = candidates.select(*point, key, "part", px, py).withColumn("band", F.floor(F.col(py) / band).cast("bigint"))
     args = [F.col(c) for c in (px, py, *_XY)]
     blocked = on_segment(*args)

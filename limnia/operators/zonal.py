@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from limnia.functions.geometry import in_box
 from limnia.operators.quantiles import group_stats
+from limnia.session import small_side
 
 # Lakes are looked up through whole-degree cells: on the globe a lake covers at most
 # 361 x 181 of them, whatever the data.
 CELL_DEG = 1.0
-_SLOTS = 32
+_SLOTS = 16
 
 
 def _cell_no(c, size: float):
@@ -32,10 +33,10 @@ def pixels_in_boxes(
     """Inner join of pixels to every lake box that holds them (boxes may overlap).
 
     The range join is an equi-join on the grid cell plus the exact box test, so it never
-    becomes a nested loop; a small lake table is broadcast by the planner, a large one is
-    shuffled, with adaptive skew splitting for crowded cells.
+    becomes a nested loop. The lake cells are broadcast when their counted size allows it;
+    beyond that both sides are shuffled, with adaptive skew splitting for crowded cells.
     """
-    cells = lake_cells(boxes, cell)
+    cells = small_side(lake_cells(boxes, cell))
     p = pixels.withColumns({"cx": _cell_no(lon, cell), "cy": _cell_no(lat, cell)})
     joined = p.join(cells, ["cx", "cy"])
     return joined.where(in_box(F.col(lon), F.col(lat), *map(F.col, ("minx", "miny", "maxx", "maxy")))).drop(
@@ -46,12 +47,18 @@ def pixels_in_boxes(
 def file_lake_rows(files: DataFrame, lakes: DataFrame) -> DataFrame:
     """One row per (file, lake): the row set of the result, which lists lakes without pixels too.
 
-    Files are copied to a fixed number of slots and lakes are spread over them, so this is
-    an equi-join whose output is exactly the required rows.
+    Files are spread over one axis of a square of slots and copied along the other, lakes
+    the other way round, so this is an equi-join in many even pieces whose output is exactly
+    the required rows.
     """
-    f = files.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(_SLOTS - 1))))
-    l = lakes.withColumn("slot", F.pmod(F.xxhash64(*lakes.columns), F.lit(_SLOTS)).cast("int"))
-    return f.join(l, "slot").drop("slot")
+    every = F.explode(F.sequence(F.lit(0), F.lit(_SLOTS - 1)))
+
+    def own(df):
+        return F.pmod(F.xxhash64(*df.columns), F.lit(_SLOTS)).cast("int")
+
+    f = files.withColumn("fs", own(files)).withColumn("ls", every)
+    l = lakes.withColumn("ls", own(lakes)).withColumn("fs", every)
+    return f.join(l, ["fs", "ls"]).drop("fs", "ls")
 
 
 def _index_stats(df: DataFrame, keys: list[str], value: str, large: bool | None) -> DataFrame:
@@ -97,7 +104,7 @@ def member_means(
 
     ``cube`` holds long pixel rows (y, x, var, value). All variables are averaged in one
     pass over the cube with one shuffle of partial sums; a step without any valid pixel
-    stays, as NULL. ``members`` is (lake, y, x); the planner broadcasts it if it is small.
+    stays, as NULL. ``members`` is (lake, y, x).
     """
     inside = cube.join(members, ["y", "x"])
     return inside.groupBy(*lake_cols, *keys).agg(*[

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnia.functions.cleaning import clean_index
+from limnia.functions.cleaning import clean_index, to_number
 from limnia.functions.timelabel import time_label
 from limnia.operators.schema import OBSERVATION_COLUMNS, check_raster, complete_columns, require
 from limnia.operators.spatial import lake_pixels
 from limnia.operators.quantiles import group_stats
 from limnia.operators.zonal import file_lake_rows, regional_stats, zonal_stats
-from limnia.session import materialise
+from limnia.session import materialise, small_side
 
-# The usable attributes of a file, for its time label and value bounds.
+# Usable columns of a file table: time0, start, end; or attrs, a map of raw attributes.
 _TIME_FIELDS = ("time0", "start", "end")
+# Raw attribute names, in order of preference.
+_ATTRIBUTES = {"start": ("time_coverage_start", "start_time"), "end": ("time_coverage_end", "end_time")}
+_BOUNDS = ("valid_min", "valid_max")
 
 
 def clean_pixels(pixels: DataFrame, value: str, valid_min=None, valid_max=None) -> DataFrame:
@@ -22,6 +25,24 @@ def clean_pixels(pixels: DataFrame, value: str, valid_min=None, valid_max=None)
     return check_raster(pixels, value).withColumn(value, clean_index(value, valid_min, valid_max))
 
 
+def file_attributes(files: DataFrame) -> DataFrame:
+    """Columns start, end, valid_min and valid_max from a file table's ``attrs`` map."""
+    if "attrs" not in files.columns:
+        return files
+
+    def attr(name):
+        return F.nullif(F.col("attrs")[name], F.lit(""))
+
+    new = {c: F.coalesce(*map(attr, names)) for c, names in _ATTRIBUTES.items()}
+    new.update({b: to_number(attr(b)) for b in _BOUNDS})
+    return files.withColumns({c: v for c, v in new.items() if c not in files.columns})
+
+
+def with_file_bounds(pixels: DataFrame, files: DataFrame) -> DataFrame:
+    """Pixels with the valid range their own file states."""
+    return pixels.join(small_side(files.select("src", *_BOUNDS)), "src", "left")
+
+
 def label_files(files: DataFrame, product: str) -> DataFrame:
     """Files with their ``time`` label; a file without any usable label fails the job."""
     have = {c: F.col(c) for c in _TIME_FIELDS if c in files.columns}
@@ -37,10 +58,15 @@ def extract_lakes(
 ) -> DataFrame:
     """One row per (file, lake box): ``lake_id, time, product, CI_mean, CI_p90, n_valid, src, engine``.
 
-    Time labels are attached to the per-file result, not to the pixels. The labelled files
-    are written out first: they are used twice, and as a lazy plan the optimiser would carry
-    the label's text parsing over to the pixel side of the join.
+    Valid bounds given here win over those the file table states. Time labels are attached
+    to the per-file result, not to the pixels. The labelled files are written out first: they
+    are used twice, and as a lazy plan the optimiser would carry the label's text parsing
+    over to the pixel side of the join.
     """
+    files = file_attributes(files)
+    if valid_min is None and valid_max is None and set(_BOUNDS) <= set(files.columns):
+        pixels = with_file_bounds(pixels, files)
+        valid_min, valid_max = F.col("valid_min"), F.col("valid_max")
     labels = materialise(label_files(files, product).select(
         "src", "time", F.col("engine") if "engine" in files.columns else F.lit("table").alias("engine")
     ))
@@ -68,9 +94,9 @@ def extract_lakes_by_polygon(
 ) -> DataFrame:
     """Like the box extraction, with true lake shapes.
 
-    Membership is decided once per grid and written out, so the pixel join knows its size.
+    Membership is decided once per grid; its counted size decides how pixels are joined to it.
     """
-    members = materialise(lake_pixels(grid, polygons, inset_m))
+    members = small_side(lake_pixels(grid, polygons, inset_m))
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
     hits = clean.join(members, ["y", "x"]).select("src", "lake_id", value)
     blank = file_lake_rows(pixels.select("src").distinct(), polygons.select("lake_id").distinct())
@@ -84,6 +110,10 @@ def regional_series(
     valid_min=None, valid_max=None, large: bool | None = None,
 ) -> DataFrame:
     """One row per file over the whole region, with its time label."""
+    files = file_attributes(files)
+    if valid_min is None and valid_max is None and set(_BOUNDS) <= set(files.columns):
+        pixels = with_file_bounds(pixels, files)
+        valid_min, valid_max = F.col("valid_min"), F.col("valid_max")
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
     labels = materialise(label_files(files, product).select("src", "time"))
     stats = regional_stats(clean, value, ["src"], large)

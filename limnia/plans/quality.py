@@ -12,6 +12,7 @@ from limnia.operators.schema import choose_count_column, drop_repeated_columns,
 from limnia.operators.series import (
     clip_calendar_series, fill_calendar, first_per_period, interpolate_short_gaps,
 )
+from limnia.session import materialise
 
 INDEX_COLUMNS = ("CI_mean", "CI_p90")
 COVERAGE_FLAGS = ("qc_low_cov_geom", "qc_low_cov_emp", "qc_tiny_abs_pix")
@@ -55,11 +56,11 @@ def lake_quality(
     """Coverage ratios, flags, per-lake clipping and one validity verdict per row.
 
     ``expected`` is ``lake_id, area_m2, expected_pixels_geom, lake_name``. Everything per
-    lake (best count and clip bounds) comes from one statistics pass and is joined back; the
-    rows themselves are never gathered by lake.
+    lake (best count and clip bounds) comes from one statistics pass, is written out, and is
+    joined back by its real size; the rows themselves are never gathered by lake.
     """
-    df = choose_count_column(finite_columns(obs))
-    df = ensure_date(drop_repeated_columns(df)).drop("time")
+    df = choose_count_column(finite_columns(drop_repeated_columns(obs)))
+    df = ensure_date(df).drop("time")
     if "product" not in df.columns:
         df = df.withColumn("product", F.lit("unknown"))
     df = attach(df, expected, ["lake_id"])
@@ -72,7 +73,7 @@ def lake_quality(
         "lake_id", *cols, F.when(F.col("n_valid") > 0, F.col("n_valid")).cast("double").alias("n_pos")
     )
     stats = group_stats(base, ["lake_id"], [*cols, "n_pos"], {**want, "empiric_n_valid_max": ("n_pos", 1.0)})
-    df = attach(df, stats, ["lake_id"])
+    df = attach(df, materialise(stats), ["lake_id"])
 
     df = df.withColumn("empiric_n_valid_max", F.col("empiric_n_valid_max").cast("bigint"))
     df = df.withColumns({

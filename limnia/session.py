@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -50,3 +51,20 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{root.rstrip('/')}/limnia/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# A broadcast side of this many narrow rows takes a few hundred MB per executor.
+BROADCAST_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Prepare the (expectedly) small side of a join with pixel-sized data.
+
+    The table is written out and counted; up to ``max_rows`` rows it is marked for
+    broadcast, so the large side is not shuffled. A bigger table, or one that could not be
+    written, is left to the planner, which shuffles both sides and splits skewed keys.
+    """
+    if not checkpoint_dir(df.sparkSession):
+        return df
+    stored = materialise(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
