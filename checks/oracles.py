@@ -295,6 +295,13 @@ ORACLES: dict[str, str] = {
           ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy GROUP BY 1, 2) s ON s.src=f.src AND s.lake_id=b.lake_id"""),
     "zonal_many_lakes": sql("ok ctr", f"""SELECT 'all' AS product, 'L-' || part AS lake_id, {_stats()} FROM ctr LEFT JOIN ok
         ON lon BETWEEN cx-r AND cx+r AND lat BETWEEN cy-r AND cy+r GROUP BY part"""),
+    "zonal_monthly": sql("pix boxes", f"""SELECT b.lake_id, strftime(CASE WHEN month(a)%3=0 THEN a + to_microseconds(CAST(date_diff('microsecond', a, z + INTERVAL 12 HOUR)//2 AS BIGINT))
+        ELSE a + to_microseconds(CAST(date_diff('microsecond', a, z)//2 AS BIGINT)) END, {STAMP}) AS time, 'monthly' AS product, CI_mean, CI_p90,
+        coalesce(n_valid, 0) AS n_valid, 'S3B_OLCI_EFRNT.' || strftime(a, '%Y%m%d') || '_' || strftime(z, '%Y%m%d') || '.L3m.MO.{TAIL}' AS src, 'table' AS engine FROM
+        (SELECT DISTINCT CAST(date_trunc('month', date) AS TIMESTAMP) AS a, CAST(last_day(date) AS TIMESTAMP) AS z FROM pix) f CROSS JOIN boxes b LEFT JOIN
+        (SELECT date_trunc('month', date) AS mo, lake_id, {_stats()} FROM (SELECT *, CASE WHEN ci >= CAST(0 AS FLOAT) AND
+          ci <= CASE WHEN month(date)%2=1 THEN CAST(0.004 AS FLOAT) ELSE CAST(0.005 AS FLOAT) END AND ci > CAST(5e-5 AS FLOAT) THEN CAST(ci AS DOUBLE) END AS v FROM pix)
+          JOIN boxes ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy GROUP BY 1, 2) s ON s.mo=f.a AND s.lake_id=b.lake_id"""),
     "regional_daily": sql("ok", f"""SELECT {stamp('date')} AS date, {_stats()}, src, 'table' AS engine FROM ok GROUP BY src, date"""),
     "regional_monthly": sql("ok", f"""SELECT strftime(a + to_microseconds(CAST(date_diff('microsecond', a, b)//2 AS BIGINT)), {STAMP}) AS time,
         CI_mean, CI_p90, n_valid FROM (SELECT CAST(date_trunc('month', date) AS TIMESTAMP) AS a, CAST(last_day(date) AS TIMESTAMP) AS b,

@@ -87,6 +87,22 @@ def regional_monthly(spark, sf_dir):
     return rounded(out, 9, "CI_mean", "CI_p90")
 
 
+@query
+def zonal_monthly(spark, sf_dir):
+    """Monthly lake observations: bounds and time span from each file's attributes, large groups."""
+    px = ad.pixels(spark, sf_dir).withColumn("src", manifest.monthly_name("date", F.lit("CONUS"), "S3B"))
+    month = F.substring("src", 20, 2).cast("int")
+    first = F.concat_ws("-", F.substring("src", 16, 4), F.substring("src", 20, 2), F.lit("01"))
+    dated = month % 3 == 0
+    files = materialise(px.select("src").distinct()).withColumn("attrs", F.create_map(
+        F.lit("valid_min"), F.lit("0"), F.lit("valid_max"), F.when(month % 2 == 1, "0.004").otherwise("0.005"),
+        F.lit("time_coverage_start"), F.lit(""), F.lit("start_time"), F.when(dated, first),
+        F.lit("time_coverage_end"), F.when(dated, F.concat(F.last_day(first).cast("string"), F.lit("T12:00:00Z"))),
+    ))
+    out = extraction.extract_lakes(px, ad.boxes(spark, sf_dir), files, "monthly", large=True)
+    return rounded(out, 9, "CI_mean", "CI_p90")
+
+
 @query
 def index_cleaning(spark, sf_dir):
     """How many readings survive each bound, per day."""

@@ -25,10 +25,15 @@ TEXT_FORMATS = (
 
 def parse_lenient(c: Column | str, formats=TEXT_FORMATS) -> Column:
     """Mixed-format text -> TIMESTAMP (UTC session); NULL where nothing fits."""
-    s = F.trim(as_col(c).cast("string"))
-    compact = s.rlike(r"^\d{5,}$")  # the ISO cast would read 20240105 as a year
-    iso = F.when(~compact, s.try_cast("timestamp"))
-    return F.coalesce(iso, *[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+
+    def parse(s):
+        compact = s.rlike(r"^\d{5,}$")  # the ISO cast would read 20240105 as a year
+        iso = F.when(~compact, s.try_cast("timestamp"))
+        return F.coalesce(iso, *[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+
+    # a one-element array binds the text to a name, so that the plan holds it once and not
+    # once per format
+    return F.transform(F.array(F.trim(as_col(c).cast("string"))), parse)[0]
 
 
 def to_utc_timestamp(df, name: str) -> Column:
@@ -58,8 +63,7 @@ def name_dates(src: Column | str, product: str) -> tuple[Column, Column]:
 
 def midpoint(a: Column, b: Column) -> Column:
     """Halfway between two timestamps, microseconds kept."""
-    lo, hi = F.unix_micros(a), F.unix_micros(b)
-    return F.timestamp_micros(lo + F.floor((hi - lo) / F.lit(2)).cast("bigint"))
+    return F.timestamp_micros(F.shiftright(F.unix_micros(a) + F.unix_micros(b), 1))
 
 
 def time_label(
@@ -80,8 +84,7 @@ def time_label(
         options.append(parse_lenient(time0))
     if start is not None and end is not None:
         a, b = parse_lenient(start), parse_lenient(end)
-        both = a.isNotNull() & b.isNotNull()
-        options.append(F.when(both, midpoint(a, b) if product == "monthly" else a))
+        options.append(midpoint(a, b) if product == "monthly" else F.when(b.isNotNull(), a))
     a, b = name_dates(src, product)
     options.append(midpoint(a, b) if product == "monthly" else a)
     return F.coalesce(*options)

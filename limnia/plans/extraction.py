@@ -38,11 +38,6 @@ def file_attributes(files: DataFrame) -> DataFrame:
     return files.withColumns({c: v for c, v in new.items() if c not in files.columns})
 
 
-def with_file_bounds(pixels: DataFrame, files: DataFrame) -> DataFrame:
-    """Pixels with the valid range their own file states."""
-    return pixels.join(small_side(files.select("src", *_BOUNDS)), "src", "left")
-
-
 def label_files(files: DataFrame, product: str) -> DataFrame:
     """Files with their ``time`` label; a file without any usable label fails the job."""
     have = {c: F.col(c) for c in _TIME_FIELDS if c in files.columns}
@@ -52,6 +47,23 @@ def label_files(files: DataFrame, product: str) -> DataFrame:
     return require(out, F.col("time").isNotNull(), "no date in attributes or file name")
 
 
+def _prepare(pixels, files, product, valid_min, valid_max):
+    """The stored file table (src, time, engine) and the bounds to clean pixels with.
+
+    Bounds given by the caller win; else those each file states are joined to its pixels.
+    The labelled files are written out because they are used several times and, as a lazy
+    plan, the optimiser would carry the label's text parsing over to the pixel side.
+    """
+    files = file_attributes(files)
+    engine = F.col("engine") if "engine" in files.columns else F.lit("table").alias("engine")
+    own = valid_min is None and valid_max is None and set(_BOUNDS) <= set(files.columns)
+    labels = materialise(label_files(files, product).select("src", "time", engine, *(_BOUNDS if own else ())))
+    if own:
+        pixels = pixels.join(small_side(labels.select("src", *_BOUNDS), stored=True), "src", "left")
+        valid_min, valid_max = F.col("valid_min"), F.col("valid_max")
+    return pixels, labels.drop(*_BOUNDS), valid_min, valid_max
+
+
 def extract_lakes(
     pixels: DataFrame, boxes: DataFrame, files: DataFrame, product: str, value: str = "CI_cyano",
     valid_min=None, valid_max=None, keep_empty: bool = True, large: bool | None = None,
@@ -59,17 +71,9 @@ def extract_lakes(
     """One row per (file, lake box): ``lake_id, time, product, CI_mean, CI_p90, n_valid, src, engine``.
 
     Valid bounds given here win over those the file table states. Time labels are attached
-    to the per-file result, not to the pixels. The labelled files are written out first: they
-    are used twice, and as a lazy plan the optimiser would carry the label's text parsing
-    over to the pixel side of the join.
+    to the per-file result, not to the pixels.
     """
-    files = file_attributes(files)
-    if valid_min is None and valid_max is None and set(_BOUNDS) <= set(files.columns):
-        pixels = with_file_bounds(pixels, files)
-        valid_min, valid_max = F.col("valid_min"), F.col("valid_max")
-    labels = materialise(label_files(files, product).select(
-        "src", "time", F.col("engine") if "engine" in files.columns else F.lit("table").alias("engine")
-    ))
+    pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
     clean = clean_pixels(pixels, value, valid_min, valid_max)
     stats = zonal_stats(clean, boxes, value, ["src"], labels.select("src"), keep_empty, large=large)
     return stats.join(labels, "src").select(
@@ -110,14 +114,10 @@ def regional_series(
     valid_min=None, valid_max=None, large: bool | None = None,
 ) -> DataFrame:
     """One row per file over the whole region, with its time label."""
-    files = file_attributes(files)
-    if valid_min is None and valid_max is None and set(_BOUNDS) <= set(files.columns):
-        pixels = with_file_bounds(pixels, files)
-        valid_min, valid_max = F.col("valid_min"), F.col("valid_max")
+    pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
-    labels = materialise(label_files(files, product).select("src", "time"))
     stats = regional_stats(clean, value, ["src"], large)
-    out = stats.join(labels, "src")
+    out = stats.join(labels.select("src", "time"), "src")
     if product == "monthly":
         return out.select("time", "CI_mean", "CI_p90", "n_valid")
     engine = F.lit("table").alias("engine")

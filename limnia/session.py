@@ -57,14 +57,15 @@ def materialise(df: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 2_000_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, stored: bool = False) -> DataFrame:
     """Prepare the (expectedly) small side of a join with pixel-sized data.
 
     The table is written out and counted; up to ``max_rows`` rows it is marked for
     broadcast, so the large side is not shuffled. A bigger table, or one that could not be
     written, is left to the planner, which shuffles both sides and splits skewed keys.
+    ``stored`` says that the table was written already.
     """
     if not checkpoint_dir(df.sparkSession):
         return df
-    stored = materialise(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    table = df if stored else materialise(df)
+    return F.broadcast(table) if table.count() <= max_rows else table
