@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
+_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -60,12 +60,12 @@ class Words(NamedTuple):
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.first))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of data[starts[i]:ends[i]]."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """Hashes of data[starts[i]:ends[i]]; ``second`` asks for another, independent hash."""
     n = len(data)
     sums = np.empty(n + 1, dtype=U)
     sums[0] = 0
-    np.cumsum(_VALUES[data] * _table("powers", _BASE, n + 1)[:n], out=sums[1:])
+    np.cumsum(_VALUES[int(second)][data] * _table("powers", _BASE, n + 1)[:n], out=sums[1:])
     h = (sums[ends] - sums[starts]) * _table("inverse", _INVERSE, n + 1)[starts]
     return mix(h + (ends - starts).astype(U))
 
