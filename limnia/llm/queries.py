@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, lines, packing
-from limnia.llm.common import table
+from limnia.llm import decontamination, language, lines, packing
+from limnia.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,6 +70,16 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
 """
 
 
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = language.train(docs.filter(~held_out))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score")
+    )
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
