@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, language, lines, packing
+from limnia.llm import decontamination, language, lines, packing, toxicity
 from limnia.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,16 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = toxicity.train(docs.filter(~held_out), labels.filter(~held_out).select("doc_id", "toxic"))
+    return toxicity.evidence(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("_score").alias("score"),
+        F.when(F.col("_score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
