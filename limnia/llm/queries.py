@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, language, lines, packing, toxicity
+from limnia.llm import decontamination, language, lines, order, packing, toxicity
 from limnia.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,13 @@ FROM m GROUP BY doc_id
 """
 
 
+@query
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = order.materialise(table(spark, sf_dir, "documents"))
+    at = (F.col("slot") % order.SHARD_SIZE * order.LENGTH * 2).alias("byte_offset")
+    return placed.select("slot", "shard", at, "number", "n_tokens", F.crc32("ids").alias("ids_crc32"), "ids")
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
