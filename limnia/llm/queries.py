@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, language, lines, order, packing, toxicity
+from limnia.llm import decontamination, language, lines, order, packing, topk, toxicity, url_rules
 from limnia.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,51 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_rules.judge(pages, url_rules.DECIDING + url_rules.BLOCKING)
+    return judged.select("page_id", *(F.col(f"_{c}").alias(c) for c in ("host", "path", "rule", "verdict")))
+
+
+_BLOCKED = " OR ".join(f"regexp_matches(whole, '{url_rules.to_regex(r.pattern)}', 's')" for r in url_rules.BLOCKING)
+ORACLES["op2_url_rules"] = f"""
+WITH p AS (
+    SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{url_rules.UPPER}', '{url_rules.LOWER}') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+           translate(coalesce(regexp_extract(url, '://(.*)', 1, 's'), ''), '{url_rules.UPPER}', '{url_rules.LOWER}') AS whole
+    FROM pages
+),
+r(h, start, rule, verdict) AS (VALUES
+    ('org', '/', 'org/', 'allow'), ('example.org', '/es/', 'example.org/es/', 'block'),
+    ('example.org', '/en/1', 'example.org/en/1', 'block'), ('com', '/fr/', 'com/fr/', 'allow'), ('com', '/de/', 'com/de/', 'block')
+),
+f AS (SELECT *, (SELECT max_by(r, length(r.rule)) FROM r WHERE (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.start)) AS x FROM p)
+SELECT page_id, host, path, x.rule AS rule,
+       CASE WHEN x IS NOT NULL THEN x.verdict WHEN {_BLOCKED} THEN 'block' ELSE 'allow' END AS verdict
+FROM f
+"""
+
+
+@query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+ORACLES["op3_topk"] = """
+WITH v AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
