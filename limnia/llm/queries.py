@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, language, lines, order, packing, topk, toxicity, url_rules
+from limnia.llm import decontamination, language, lines, lm, order, packing, topk, toxicity, url_rules
 from limnia.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,22 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = lm.train(docs.filter(~held_out))
+    return lm.score(docs, model, counts, keep=["doc_id"]).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("_n_tokens").alias("n_tokens"),
+        F.col("_n_known").alias("n_known"),
+        F.lit(model.n).cast("long").alias("train_tokens"),
+        F.col("_base").alias("base_score"),
+        F.col("_score").alias("score"),
+    )
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
