@@ -272,8 +272,15 @@ def free_mark(benchmark: DataFrame, mark: str = MARK) -> str:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, max_coverage: float = MAX_COVERAGE
+    docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, max_coverage: float = MAX_COVERAGE, keep_length: str | None = None
 ) -> DataFrame:
-    """``docs`` without hit spans; documents of which more than ``max_coverage`` is hit go."""
+    """``docs`` without hit spans; documents of which more than ``max_coverage`` is hit go.
+
+    ``keep_length``: a column, if there is one, that holds the text's length and follows it.
+    """
     scanned = scan(docs, benchmark, min_words).filter(F.col("_n_hit") <= F.col("_n_words") * max_coverage)
-    return remove_spans(scanned, free_mark(benchmark)).drop("_n_words", "_n_hit", "_items", "_spans")
+    cut = remove_spans(scanned, free_mark(benchmark))
+    if keep_length in docs.columns:
+        length = F.when(F.col("_n_hit") > 0, F.char_length("text")).otherwise(F.col(keep_length))
+        cut = cut.withColumn(keep_length, length.cast(docs.schema[keep_length].dataType))
+    return cut.select(*docs.columns)
