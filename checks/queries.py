@@ -82,7 +82,7 @@ def regional_monthly(spark, sf_dir):
     """The pixels of a month as one file: large groups, mid-month labels."""
     px = ad.pixels(spark, sf_dir).withColumn("src", manifest.monthly_name("date", F.lit("CONUS"), "S3B"))
     out = extraction.regional_series(
-        px, materialise(px.select("src").distinct()), "monthly", valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX, large=True
+        px, materialise(px.select("src").distinct()), "monthly", valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX
     )
     return rounded(out, 9, "CI_mean", "CI_p90")
 
@@ -99,7 +99,7 @@ def zonal_monthly(spark, sf_dir):
         F.lit("time_coverage_start"), F.lit(""), F.lit("start_time"), F.when(dated, first),
         F.lit("time_coverage_end"), F.when(dated, F.concat(F.last_day(first).cast("string"), F.lit("T12:00:00Z"))),
     ))
-    out = extraction.extract_lakes(px, ad.boxes(spark, sf_dir), files, "monthly", large=True)
+    out = extraction.extract_lakes(px, ad.boxes(spark, sf_dir), files, "monthly")
     return rounded(out, 9, "CI_mean", "CI_p90")
 
 
@@ -369,10 +369,11 @@ def lake_pixels_mean(spark, sf_dir):
 def zonal_polygon(spark, sf_dir):
     """Index statistics with true lake shapes, one file per year."""
     px = ad.pixels(spark, sf_dir).withColumn("src", F.year("date").cast("string"))
+    years = px.select("src").distinct().withColumn("time0", F.concat("src", F.lit("-07-01")))
     out = extraction.extract_lakes_by_polygon(
-        px, ad.polygons(spark, sf_dir), ad.grid(spark, sf_dir), valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX
+        px, ad.polygons(spark, sf_dir), ad.grid(spark, sf_dir), years, "daily", valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX
     )
-    return rounded(out, 9, "CI_mean", "CI_p90")
+    return rounded(out.select("src", "lake_id", "CI_mean", "CI_p90", "n_valid"), 9, "CI_mean", "CI_p90")
 
 
 # --- features -----------------------------------------------------------------------

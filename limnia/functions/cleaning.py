@@ -35,16 +35,21 @@ def to_number(c: Column | str) -> Column:
     return finite(as_col(c).try_cast("double"))
 
 
-def _bound(b) -> Column:
-    if b is None:
-        return F.lit(None).cast("float")
-    return finite(F.lit(b).cast("float") if not isinstance(b, Column) else b.cast("float"))
+def _bound(b, like: Column) -> Column:
+    """A bound in the precision of the values it is compared with, as DOUBLE; NULL if not finite."""
+    b = F.lit(None) if b is None else b if isinstance(b, Column) else F.lit(b)
+    wide = b.cast("double")
+    return finite(F.when(F.typeof(like) == "float", wide.cast("float").cast("double")).otherwise(wide))
 
 
-def near_zero_threshold(valid_min=None, near_zero: float = NEAR_ZERO) -> Column:
-    """The larger of the lower bound (when finite) and the background level, as FLOAT."""
-    z = F.lit(near_zero).cast("float")
-    return F.greatest(F.coalesce(_bound(valid_min), z), z)
+def near_zero_threshold(valid_min=None, near_zero: float = NEAR_ZERO, like: Column | None = None) -> Column:
+    """The larger of the lower bound (when finite) and the background level, as DOUBLE.
+
+    Both are rounded to the type of ``like``, the pixels they are meant for (default: FLOAT).
+    """
+    like = F.lit(0).cast("float") if like is None else like
+    z = _bound(near_zero, like)
+    return F.greatest(F.coalesce(_bound(valid_min, like), z), z)
 
 
 def clean_index(
@@ -53,14 +58,15 @@ def clean_index(
     """Blank out readings outside the valid range or at background level.
 
     Bounds are inclusive, may be numbers or columns, and are skipped when missing or not
-    finite; the background test is strict. Bounds are compared as FLOAT: the pixels are
-    single precision, and widening them would move readings that sit exactly on a bound.
+    finite; the background test is strict. Bounds are rounded to the pixels' own type: beside
+    single-precision pixels a wider bound would move readings that sit exactly on it, and a
+    narrower one beside double-precision pixels.
     """
     v = finite(c)
-    lo, hi = _bound(valid_min), _bound(valid_max)
+    lo, hi = _bound(valid_min, v), _bound(valid_max, v)
     ok = (
         F.coalesce(v >= lo, lo.isNull())
         & F.coalesce(v <= hi, hi.isNull())
-        & (v > near_zero_threshold(valid_min, near_zero))
+        & (v > near_zero_threshold(valid_min, near_zero, v))
     )
     return F.when(ok, v)

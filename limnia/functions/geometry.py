@@ -49,6 +49,36 @@ def albers(
     return rho * F.sin(theta), F.lit(rho0) - rho * F.cos(theta)
 
 
+def albers_inverse(
+    x: Column, y: Column, a: float = GRS80_A, f: float = GRS80_F, parallels=STD_PARALLELS, origin=ORIGIN
+) -> tuple[Column, Column]:
+    """Equal-area metres -> longitude/latitude in degrees (Snyder 1987, eq. 14-8 to 14-11 and 3-18)."""
+    e = math.sqrt(f * (2 - f))
+
+    def q(deg):
+        return _authalic(math.sin(math.radians(deg)), e, math.log)
+
+    def m(deg):
+        s = math.sin(math.radians(deg))
+        return math.cos(math.radians(deg)) / math.sqrt(1 - (e * s) ** 2)
+
+    p1, p2 = parallels
+    n = (m(p1) ** 2 - m(p2) ** 2) / (q(p2) - q(p1))
+    c = m(p1) ** 2 + n * q(p1)
+    rho0 = a * math.sqrt(c - n * q(origin[0])) / n
+
+    down = F.lit(rho0) - y
+    theta = F.atan2(x, down)
+    q_phi = (F.lit(c) - (x * x + down * down) * (n * n / (a * a))) / n
+    beta = F.asin(q_phi / q(90.0))
+    e2 = e * e
+    phi = (
+        beta + F.sin(beta * 2) * (e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040)
+        + F.sin(beta * 4) * (23 * e2**2 / 360 + 251 * e2**3 / 3780) + F.sin(beta * 6) * (761 * e2**3 / 45360)
+    )
+    return F.degrees(theta) / n + F.lit(origin[1]), F.degrees(phi)
+
+
 def in_box(lon: Column, lat: Column, minx, miny, maxx, maxy) -> Column:
     """Inclusive on all four sides."""
     return lon.between(minx, maxx) & lat.between(miny, maxy)

@@ -12,27 +12,48 @@ from limnia.functions.text import basename
 MONTHLY_NAME = r"\.(\d{8})_(\d{8})\.L3m\.MO\."
 DAILY_NAME = r"\.(\d{8})\.L3m\.DAY\."
 
-# Tried in this order after Spark's own ISO cast.
-TEXT_FORMATS = (
-    "MM/dd/yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "yyyy/MM/dd",
-    "yyyyMMdd",
-    "MMM d, yyyy",
-    "d MMM yyyy",
+# Date shapes beside ISO: what the text looks like, and the patterns it is read with. Month
+# first, as in US dates, and day first only where no such month exists.
+DATE_SHAPES = (
+    (r"\d{1,2}/\d{1,2}/\d{4}", ("M/d/yyyy", "d/M/yyyy")),
+    (r"\d{4}/\d{1,2}/\d{1,2}", ("yyyy/M/d",)),
+    (r"\d{4}[.]\d{1,2}[.]\d{1,2}", ("yyyy.M.d",)),
+    (r"\d{4}-\d{1,2}-\d{1,2}", ("yyyy-M-d",)),
+    (r"\d{8}", ("yyyyMMdd",)),
+    (r"[A-Za-z]{3} \d{1,2}, \d{4}", ("MMM d, yyyy",)),
+    (r"[A-Za-z]{4,9} \d{1,2}, \d{4}", ("MMMM d, yyyy",)),
+    (r"[A-Za-z]{3} \d{1,2} \d{4}", ("MMM d yyyy",)),
+    (r"[A-Za-z]{4,9} \d{1,2} \d{4}", ("MMMM d yyyy",)),
+    (r"\d{1,2} [A-Za-z]{3} \d{4}", ("d MMM yyyy",)),
+    (r"\d{1,2} [A-Za-z]{4,9} \d{4}", ("d MMMM yyyy",)),
+    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", ("d-MMM-yyyy",)),
 )
+# Clock times that may follow a date: shape and pattern.
+TIME_SHAPES = (
+    (r"( \d{1,2}:\d{2}(:\d{2}([.]\d{1,6})?)?)?", "[ H:mm[:ss[.SSSSSS]]]"),
+    (r" \d{1,2}:\d{2}(:\d{2})? [AaPp][Mm]", " h:mm[:ss] a"),
+)
+COMPACT_TIMES = ((r"\d{8}T\d{6}", "yyyyMMdd'T'HHmmss"), (r"\d{8}T\d{4}", "yyyyMMdd'T'HHmm"))
+
 
+def parse_lenient(c: Column | str) -> Column:
+    """Mixed-format text -> TIMESTAMP (UTC session); NULL where nothing fits.
 
-def parse_lenient(c: Column | str, formats=TEXT_FORMATS) -> Column:
-    """Mixed-format text -> TIMESTAMP (UTC session); NULL where nothing fits."""
+    A text's shape picks the patterns it is read with, so that a row costs one or two parses.
+    """
 
     def parse(s):
-        compact = s.rlike(r"^\d{5,}$")  # the ISO cast would read 20240105 as a year
-        iso = F.when(~compact, s.try_cast("timestamp"))
-        return F.coalesce(iso, *[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+        compact = s.rlike(r"^\d{5,}(T\d+)?$")  # the ISO cast would read 20240105 as a year
+        out = [F.when(~compact, s.try_cast("timestamp"))]
+        for date, patterns in DATE_SHAPES:
+            for time, clock in TIME_SHAPES:
+                read = F.coalesce(*[F.try_to_timestamp(s, F.lit(p + clock)) for p in patterns])
+                out.append(F.when(s.rlike(f"^{date}{time}$"), read))
+        out += [F.when(s.rlike(f"^{shape}$"), F.try_to_timestamp(s, F.lit(p))) for shape, p in COMPACT_TIMES]
+        return F.coalesce(*out)
 
     # a one-element array binds the text to a name, so that the plan holds it once and not
-    # once per format
+    # once per pattern
     return F.transform(F.array(F.trim(as_col(c).cast("string"))), parse)[0]
 
 

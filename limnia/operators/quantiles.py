@@ -1,21 +1,20 @@
 """Exact group statistics, whatever the size of a group.
 
 The built-in ``percentile`` keeps a map of every distinct value of a group in one
-aggregation buffer. That is the best plan for a lake's calendar series and hopeless for a
-group holding a third of a pixel table. ``group_stats`` therefore counts the groups first:
-those up to ``SMALL_GROUP`` rows use the built-in, larger ones are split off and solved by
-counting, which never gathers a group into one task:
+aggregation buffer, which is hopeless for a group holding a third of a pixel table. Groups
+of every size are solved by counting instead, which never gathers a group into one task:
 
 1. every value gets a coarse, order-preserving cell (128 per power of two); rows are
    counted per (group, cell) with map-side combine, so what is shuffled is a histogram;
 2. running counts over the histogram tell which cell holds each wanted rank. Cells with one
    or two values are solved on the spot (the answer is the cell's min or max);
 3. only rows falling in a still-open cell are read again and counted by distinct value;
-   double columns are first split 4096 ways by position inside the cell.
+   double columns are first split twice, 65,536 ways each, by position inside the cell.
 
-Both ways are exact. Histogram size is bounded by the number format, not by the data, a
-float32 cell holds at most 65,536 distinct values, and a value repeated a billion times is
-one row.
+That is two scans of the input and no look at the data while planning. Histogram size is
+bounded by the number format, not by the data: a float32 cell holds at most 65,536 distinct
+values, a twice split double cell at most some thousand, and a value repeated a billion times
+is one row.
 """
 
 from __future__ import annotations
@@ -27,13 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnia.functions.cleaning import finite
-from limnia.session import materialise, small_side
-
-# Groups up to this many rows are left to the built-in percentile (a few MB per buffer).
-SMALL_GROUP = 50_000
 
 _PER_OCTAVE = 128
-_SPLITS = 4096
+_SPLITS = 65_536
 
 
 def _cell(v: Column) -> Column:
@@ -76,20 +71,22 @@ def _resolve_open(rows: DataFrame, goals: DataFrame, group: list[str], split: bo
     near = _attach_goals(rows, goals.drop("goals"), at)
     ranks = goals.select(*at, "goals")
     if split:
-        share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-        near = near.withColumn("sub", F.floor(share * _SPLITS).cast("int"))
-        counts = near.groupBy(*at, "sub", "v").agg(F.count("*").alias("n"))
-        subs = counts.groupBy(*at, "sub").agg(F.sum("n").alias("n"))
-        subs = _attach_goals(_running(subs, at, "sub"), ranks, at)
-        rebased = F.transform(
-            F.filter("goals", lambda g: _inside(g["k"])),
-            lambda g: F.struct(
-                g["t"].alias("t"), g["weight"].alias("weight"),
-                (g["k"] - (F.col("upto") - F.col("n"))).alias("k"),
-            ),
-        )
-        at = [*at, "sub"]
-        ranks = subs.withColumn("goals", rebased).where(F.size("goals") > 0).select(*at, "goals")
+        share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _SPLITS
+        near = near.withColumn("sub", F.floor(share).cast("int"))
+        near = near.withColumn("sub2", F.floor((share - F.col("sub")) * _SPLITS).cast("int"))
+        counts = near.groupBy(*at, "sub", "sub2", "v").agg(F.count("*").alias("n"))
+        for level in ("sub", "sub2"):
+            subs = counts.groupBy(*at, level).agg(F.sum("n").alias("n"))
+            subs = _attach_goals(_running(subs, at, level), ranks, at)
+            rebased = F.transform(
+                F.filter("goals", lambda g: _inside(g["k"])),
+                lambda g: F.struct(
+                    g["t"].alias("t"), g["weight"].alias("weight"),
+                    (g["k"] - (F.col("upto") - F.col("n"))).alias("k"),
+                ),
+            )
+            at = [*at, level]
+            ranks = subs.withColumn("goals", rebased).where(F.size("goals") > 0).select(*at, "goals")
     else:
         counts = near.groupBy(*at, "v").agg(F.count("*").alias("n"))
     counts = _running(_attach_goals(counts, ranks, at), at, "v")
@@ -131,13 +128,21 @@ def _ranks_here(targets: list[tuple[int, float]], many_columns: bool) -> Column:
     return F.transform(F.filter(F.transform(wanted, rank), falls_here), solve)
 
 
-def _by_histogram(
+def group_stats(
     df: DataFrame,
     keys: Sequence[str],
     cols: Sequence[str],
-    quantiles: dict[str, tuple[str, float]], counts: dict[str, str], means: dict[str, str],
+    quantiles: dict[str, tuple[str, float]] | None = None,
+    counts: dict[str, str] | None = None,
+    means: dict[str, str] | None = None,
 ) -> DataFrame:
-    """:func:`group_stats` for groups of any size, by counting."""
+    """Per key: exact linear-interpolated quantiles, valid counts and means.
+
+    ``quantiles`` maps an output name to ``(column, probability)``; ``counts`` and ``means``
+    map an output name to a column. Missing values (NULL, NaN, infinite) are skipped, and a
+    group with none left still yields its row: NULL, NULL, 0. NULL keys form a group.
+    """
+    quantiles, counts, means = quantiles or {}, counts or {}, means or {}
     cols = list(cols)
     idx = {c: i for i, c in enumerate(cols)}
     targets = [(idx[c], float(p)) for c, p in quantiles.values()]
@@ -170,12 +175,12 @@ def _by_histogram(
         table = _running(table, group, "cell").withColumn(
             "total", F.sum("n").over(Window.partitionBy(*group))
         )
-        table = materialise(table.withColumn("here", _ranks_here(targets, len(cols) > 1)))
+        table = table.withColumn("here", _ranks_here(targets, len(cols) > 1))
         goals = table.withColumn("goals", F.filter("here", lambda x: x["val"].isNull()))
         # an open cell always has a sum; naming it keeps both branches' histograms identical,
         # so that a lazy plan scans the input once for the two of them
         goals = goals.where((F.size("goals") > 0) & F.col("s").isNotNull())
-        goals = small_side(goals.select(*group, "cell", "lo", "hi", "goals"))
+        goals = goals.select(*group, "cell", "lo", "hi", "goals")
         single = all(types.get(c) in ("float", "tinyint", "smallint") for c in cols)
         fine = _resolve_open(rows, goals, group, split=not single).select(
             *group, F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("double").alias("s"),
@@ -200,72 +205,6 @@ def _by_histogram(
     return table.groupBy(*keys).agg(*aggs).withColumnsRenamed(names)
 
 
-def _by_percentile(df, keys, quantiles, counts, means) -> DataFrame:
-    """:func:`group_stats` for groups that fit an aggregation buffer: one pass.
-
-    Rows are sent to their group as plain values. Combining first would ship the same values
-    inside per-task maps, which cost far more to build than they save.
-    """
-    used = dict.fromkeys([*(c for c, _ in quantiles.values()), *counts.values(), *means.values()])
-    cols = {c: f"__v{i}" for i, c in enumerate(used)}
-    df = df.select(*keys, *[finite(F.col(f"`{c}`").cast("double")).alias(n) for c, n in cols.items()])
-    if keys:
-        df = df.repartition(*keys)
-
-    def v(c):
-        return F.col(cols[c])
-
-    aggs = [F.avg(v(c)).alias(out) for out, c in means.items()]
-    aggs += [F.count(v(c)).alias(out) for out, c in counts.items()]
-    probs: dict[str, list[float]] = {}
-    for c, p in quantiles.values():
-        if p not in probs.setdefault(c, []):
-            probs[c].append(p)
-    lists = {c: f"__q{i}" for i, c in enumerate(probs)}
-    aggs += [F.percentile(v(c), F.array(*map(F.lit, probs[c]))).alias(name) for c, name in lists.items()]
-    picks = [F.col(lists[c])[probs[c].index(p)].alias(out) for out, (c, p) in quantiles.items()]
-    return df.groupBy(*keys).agg(*aggs).select(*keys, *means, *counts, *picks)
-
-
-def group_stats(
-    df: DataFrame,
-    keys: Sequence[str],
-    cols: Sequence[str],
-    quantiles: dict[str, tuple[str, float]] | None = None,
-    counts: dict[str, str] | None = None,
-    means: dict[str, str] | None = None,
-    large: bool | None = None,
-) -> DataFrame:
-    """Per key: exact linear-interpolated quantiles, valid counts and means.
-
-    ``quantiles`` maps an output name to ``(column, probability)``; ``counts`` and ``means``
-    map an output name to a column. Missing values (NULL, NaN, infinite) are skipped, and a
-    group with none left still yields its row: NULL, NULL, 0. NULL keys form a group.
-
-    ``large`` says what is known about group sizes: True goes straight to counting (two
-    scans), False vouches for small groups (one scan), None measures them with a row count
-    per key and treats each group by its size.
-    """
-    keys, spec = list(keys), (quantiles or {}, counts or {}, means or {})
-    if large is None:
-        sizes = materialise(df.groupBy(*keys).agg(F.count("*").alias("__n")))
-        biggest, smallest = sizes.agg(F.max("__n"), F.min("__n")).first()
-        if (biggest or 0) <= SMALL_GROUP:
-            large = False
-        elif smallest > SMALL_GROUP:
-            large = True
-    if large is False:
-        return _by_percentile(df, keys, *spec)
-    if large:
-        return _by_histogram(df, keys, cols, *spec)
-    # at most (all rows / SMALL_GROUP) keys are hot
-    hot = small_side(sizes.where(F.col("__n") > SMALL_GROUP).select(*keys)).alias("h")
-    rows = df.alias("d")
-    match = _equal(keys, "d", "h")
-    small = _by_percentile(rows.join(hot, match, "left_anti"), keys, *spec)
-    return small.unionByName(_by_histogram(rows.join(hot, match, "left_semi"), keys, cols, *spec))
-
-
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join per-key statistics back; with no keys the single row goes to every row.
 
@@ -274,9 +213,12 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     keys = list(keys)
     names = [c for c in stats.columns if c not in keys]
+    # a column both sides have keeps the rows' own value where there is one
+    both = [c for c in names if c in df.columns]
     l, r = df.alias("l"), stats.alias("r")
     if keys:
-        return l.join(r, _equal(keys, "l", "r"), "left").select("l.*", *[F.col(f"r.{c}") for c in names])
+        own = [F.coalesce(f"l.{c}", f"r.{c}").alias(c) if c in both else F.col(f"l.{c}") for c in df.columns]
+        return l.join(r, _equal(keys, "l", "r"), "left").select(*own, *[F.col(f"r.{c}") for c in names if c not in both])
     # one-row table: scalar subqueries, resolved once and folded in as literals
     one = stats.select(F.struct(*names).alias("st"))
     return df.withColumn("st", one.scalar()).select("*", *[F.col(f"st.{c}") for c in names]).drop("st")

@@ -63,7 +63,7 @@ def trailing_mean(
     at = F.unix_micros(F.col(time).cast("timestamp"))
     rows = df.select(key, time, *cols).withColumn("at", at)
     own = F.floor(F.col("at") / stretch)
-    copies = F.array_compact(F.array(own, F.when(F.col("at") % stretch >= stretch - span, own + 1)))
+    copies = F.array_compact(F.array(own, F.when(F.pmod("at", F.lit(stretch)) >= stretch - span, own + 1)))
     rows = rows.withColumn("own", own).withColumn("stretch", F.explode(copies))
     w = Window.partitionBy(key, "stretch").orderBy("at").rangeBetween(-(span - 1), 0)
     means = rows.withColumns({c: F.avg(c).over(w) for c in cols})

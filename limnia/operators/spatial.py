@@ -3,7 +3,8 @@
 A polygon table has one row per part: ``lake_id, lake_name, part, srid, rings``, where
 ``rings`` is ARRAY<ARRAY<STRUCT<x, y>>> with the outer ring first and holes after it. A lake
 of many parts is many rows, so no geometry is ever collected into one row, and dissolving is
-a relabelling. Parts of a lake must not overlap each other.
+a relabelling. Parts of a lake must not overlap each other; they may touch along edges, which
+are then no shore.
 
 Work happens on *edges*, one row per ring segment. Point tests join points to edges through
 horizontal bands: only the edges that can matter to a point meet it.
@@ -17,11 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limnia.functions.geometry import (
-    albers, edge_meets_box, on_segment, ray_hits, segment_distance_sq,
+    albers, albers_inverse, edge_meets_box, on_segment, ray_hits, segment_distance_sq,
 )
 from limnia.functions.flags import PIX_RES_M, expected_pixels
 from limnia.operators.zonal import CELL_DEG, pixels_in_boxes
-from limnia.session import small_side
 
 _XY = ("x1", "y1", "x2", "y2")
 
@@ -67,64 +67,105 @@ def area(edge_table: DataFrame, key: str = "lake_id") -> DataFrame:
     return rings.groupBy(key).agg(F.sum(signed).alias("area_m2"))
 
 
+def outline(edge_table: DataFrame, key: str = "lake_id") -> DataFrame:
+    """Edges with ``inner``: does the edge occur in another part of the same lake too?
+
+    Such an edge is no shore: it lies between two parts that touch. It gets one orientation
+    for both, so that a point on it falls into one of them. Two parts touch along whole edges.
+    """
+    first = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") <= F.col("y2")))
+    ends = {
+        "ax": F.when(first, F.col("x1")).otherwise(F.col("x2")), "ay": F.when(first, F.col("y1")).otherwise(F.col("y2")),
+        "bx": F.when(first, F.col("x2")).otherwise(F.col("x1")), "by": F.when(first, F.col("y2")).otherwise(F.col("y1")),
+    }
+    rest = [c for c in edge_table.columns if c not in (key, "ring")]
+    same = edge_table.withColumns(ends).groupBy(key, *ends).agg(F.collect_list(F.struct(*rest)).alias("own"))
+    inner = F.size(F.array_distinct(F.transform("own", lambda e: e["part"]))) > 1
+    each = same.select(key, *ends, inner.alias("inner"), F.explode("own").alias("e")).select(key, *ends, "inner", "e.*")
+    turned = {old: F.when(F.col("inner"), F.col(new)).otherwise(F.col(old)) for old, new in zip(_XY, ends)}
+    return each.withColumns(turned).drop(*ends)
+
+
 def points_inside(
     candidates: DataFrame, edge_table: DataFrame, point: Sequence[str], band: float,
     inset: float = 0.0, px: str = "px", py: str = "py", key: str = "lake_id",
 ) -> DataFrame:
-    """Of the (point, lake, part) candidates, the (point, lake) strictly inside, boundary excluded.
-
-    ``inset`` keeps only points at least that far from every edge of the part they are in.
-    ``band`` is the height of the bands joining points to edges; an edge is listed in every
-    band it reaches, widened by the inset, so both the ray test and the distance test see
-    every edge that can change their answer. Pairs that neither cross the ray nor block the
-    point are dropped inside the join; the rest is combined before the shuffle.
+    """Of the (point, lake) candidates, those strictly inside, boundary excluded.
+
+    ``inset`` keeps only points at least that far from every shore of the lake; an edge table
+    with a column ``inset_m`` states it lake by lake. Shores are the edges that no other part
+    of the lake shares. ``band`` is the height of the bands joining points to edges; an edge is
+    listed in every band it reaches, widened by the inset, so both the ray test and the distance
+    test see every edge that can change their answer. Pairs that neither cross the ray nor block
+    the point are dropped inside the join; the rest is combined before the shuffle.
     """
-    lo = F.least("y1", "y2") - F.lit(inset)
-    hi = F.greatest("y1", "y2") + F.lit(inset)
-    banded = edge_table.select(
-        key, "part", *_XY,
+    own = "inset_m" in edge_table.columns
+    far = F.coalesce("inset_m", F.lit(0.0)) if own else F.lit(float(inset))
+    shores = outline(edge_table, key).withColumn("far", far)
+    lo = F.least("y1", "y2") - F.col("far")
+    hi = F.greatest("y1", "y2") + F.col("far")
+    banded = shores.select(
+        key, "part", "inner", "far", *_XY,
         F.explode(F.sequence(F.floor(lo / band).cast("bigint"), F.floor(hi / band).cast("bigint"))).alias("band"),
     )
-    banded = small_side(banded)
-    pts = candidates.select(*point, key, "part", px, py).withColumn("band", F.floor(F.col(py) / band).cast("bigint"))
+    pts = candidates.select(*point, key, px, py)
+    pts = pts.distinct() if "part" in candidates.columns else pts
+    pts = pts.withColumn("band", F.floor(F.col(py) / band).cast("bigint"))
     args = [F.col(c) for c in (px, py, *_XY)]
     blocked = on_segment(*args)
-    if inset:
-        blocked = blocked | (F.sqrt(segment_distance_sq(*args)) < F.lit(inset))
-    pairs = pts.join(banded, [key, "part", "band"]).withColumns({"hit": ray_hits(*args), "blocked": blocked})
+    if inset or own:
+        blocked = blocked | (F.sqrt(segment_distance_sq(*args)) < F.col("far"))
+    pairs = pts.join(banded, [key, "band"]).withColumns({"hit": ray_hits(*args), "blocked": blocked & ~F.col("inner")})
     tested = pairs.where("hit OR blocked").groupBy(*point, key, "part").agg(
         F.count_if("hit").alias("hits"), F.bool_or("blocked").alias("blocked")
     )
-    return tested.where("hits % 2 = 1 AND NOT blocked").select(*point, key).distinct()
+    whole = tested.groupBy(*point, key).agg(
+        F.bool_or(F.col("hits") % 2 == 1).alias("inside"), F.bool_or("blocked").alias("blocked")
+    )
+    return whole.where("inside AND NOT blocked").select(*point, key)
+
+
+def _with_inset(polygons: DataFrame, inset_m: float | None) -> tuple[DataFrame, bool]:
+    """Polygons that state their inset, and whether any has one to be stated.
+
+    A given ``inset_m`` counts for every lake; without one the polygons' own column does.
+    """
+    if inset_m is not None:
+        return polygons.withColumn("inset_m", F.lit(abs(float(inset_m)))), bool(inset_m)
+    if "inset_m" in polygons.columns:
+        return polygons.withColumn("inset_m", F.abs(F.coalesce(F.col("inset_m").cast("double"), F.lit(0.0)))), True
+    return polygons.withColumn("inset_m", F.lit(0.0)), False
 
 
 def lake_pixels(
-    grid: DataFrame, polygons: DataFrame, inset_m: float = 0.0, cell: float = CELL_DEG,
+    grid: DataFrame, polygons: DataFrame, inset_m: float | None = None, cell: float = CELL_DEG,
     band: float | None = None,
 ) -> DataFrame:
     """Membership table ``lake_id, y, x``: grid pixels strictly inside each lake.
 
     ``grid`` is (y, x, lon, lat), one row per pixel of the product, independent of time. A
-    box join by grid cell comes first; the polygon test sees only pixels inside a part's
-    bounds. With ``inset_m`` the test runs in equal-area metres.
+    box join by grid cell comes first; the polygon test sees only pixels inside a lake's
+    bounds. With an inset (given, or a column of ``polygons``) the test runs in equal-area
+    metres.
     """
-    deg = edges(polygons)
-    near = pixels_in_boxes(grid, bounds(deg, "lake_id", "part"), cell)
+    polygons, any_inset = _with_inset(polygons, inset_m)
+    deg = edges(polygons, ["lake_id", "part", "inset_m"])
+    near = pixels_in_boxes(grid, bounds(deg), cell)
     near = near.withColumns({"px": F.col("lon"), "py": F.col("lat")})
-    if inset_m:
+    if any_inset:
         # both tables in metres; straight degree edges become straight metre edges, as in
         # a reprojected polygon table
-        return points_inside(
-            to_metres(near, [("px", "py")]), edges_in_metres(deg), ["y", "x"], band or 2000.0, inset_m
-        )
-    return points_inside(near, deg, ["y", "x"], band or 0.05)
+        return points_inside(to_metres(near, [("px", "py")]), edges_in_metres(deg), ["y", "x"], band or 2000.0)
+    return points_inside(near, deg.drop("inset_m"), ["y", "x"], band or 0.05)
 
 
 def interior_cells(
-    polygons: DataFrame, inset_m: float, cell_m: float = PIX_RES_M, band: float | None = None
+    polygons: DataFrame, inset_m: float | None = None, cell_m: float = PIX_RES_M, band: float | None = None
 ) -> DataFrame:
     """Centres of the lattice cells inside each lake's inset: ``lake_id, row, col``."""
-    m = edges_in_metres(edges(polygons))
+    polygons, _ = _with_inset(polygons, inset_m)
+    m = edges_in_metres(edges(polygons, ["lake_id", "part", "inset_m"]))
+    # boxes of parts may overlap: a cell of two of them is tested once
     b = bounds(m, "lake_id", "part")
 
     def numbers(lo, hi):
@@ -134,22 +175,47 @@ def interior_cells(
     # spread the lattice rows before they grow; a fixed count, because adaptive execution would
     # judge the still-small rows and merge them into one task
     tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(tasks, "lake_id", "part", "row")
+    rows = rows.repartition(tasks, "lake_id", "row")
     cells = rows.select("lake_id", "part", "row", F.explode(numbers("minx", "maxx")).alias("col"))
     cells = cells.withColumns({"px": (F.col("col") + 0.5) * cell_m, "py": (F.col("row") + 0.5) * cell_m})
-    return points_inside(cells, m, ["row", "col"], band or max(cell_m, inset_m), inset_m)
+    return points_inside(cells, m, ["row", "col"], band or max(cell_m, abs(inset_m or 0.0), 300.0))
 
 
-def lake_area(polygons: DataFrame, inset_m: float = 0.0, cell_m: float = PIX_RES_M) -> DataFrame:
+def lake_area(polygons: DataFrame, inset_m: float | None = None, cell_m: float = PIX_RES_M) -> DataFrame:
     """``lake_id, area_m2`` in equal-area metres: exact without inset, by lattice cells with one."""
-    if not inset_m:
-        return area(edges_in_metres(edges(polygons)))
-    n = interior_cells(polygons, abs(inset_m), cell_m).groupBy("lake_id").agg(F.count("*").alias("n"))
-    return n.select("lake_id", (F.col("n") * (cell_m * cell_m)).alias("area_m2"))
+    polygons, any_inset = _with_inset(polygons, inset_m)
+    exact = area(edges_in_metres(edges(polygons.where("inset_m = 0"))))
+    if not any_inset:
+        return exact
+    n = interior_cells(polygons.where("inset_m > 0"), None, cell_m).groupBy("lake_id").agg(F.count("*").alias("n"))
+    return exact.unionByName(n.select("lake_id", (F.col("n") * (cell_m * cell_m)).alias("area_m2")))
+
+
+def lake_boxes(polygons: DataFrame, inset_m: float | None = None, cell_m: float = 100.0) -> DataFrame:
+    """``lake_id, minx, miny, maxx, maxy`` in degrees of each lake, or of what its inset leaves.
+
+    With an inset, the box holds the lattice cells of ``cell_m`` whose centres lie inside it.
+    """
+    polygons = polygons.where("lake_id IS NOT NULL AND rings IS NOT NULL")
+    polygons, any_inset = _with_inset(polygons, inset_m)
+    whole = bounds(edges(polygons.where("inset_m = 0")))
+    if not any_inset:
+        return whole
+    cells = interior_cells(polygons.where("inset_m > 0"), None, cell_m)
+    half = cell_m / 2
+    corners = F.array(*[
+        F.struct(*(c.alias(n) for c, n in zip(albers_inverse(
+            (F.col("col") + 0.5) * cell_m + dx, (F.col("row") + 0.5) * cell_m + dy), ("lon", "lat"))))
+        for dx, dy in ((-half, 0.0), (half, 0.0), (0.0, -half), (0.0, half))
+    ])
+    at = cells.select("lake_id", F.explode(corners).alias("p")).groupBy("lake_id").agg(
+        F.min("p.lon").alias("minx"), F.min("p.lat").alias("miny"), F.max("p.lon").alias("maxx"), F.max("p.lat").alias("maxy")
+    )
+    return whole.unionByName(at)
 
 
 def expected_pixel_table(
-    polygons: DataFrame, inset_m: float = 0.0, pix_res_m: float = PIX_RES_M
+    polygons: DataFrame, inset_m: float | None = None, pix_res_m: float = PIX_RES_M
 ) -> DataFrame:
     """``lake_id, area_m2, expected_pixels_geom, lake_name`` for coverage ratios."""
     names = polygons.groupBy("lake_id").agg(F.min_by("lake_name", "part").alias("lake_name"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from limnia.functions.geometry import in_box
 from limnia.operators.quantiles import group_stats
-from limnia.session import small_side
 
 # Lakes are looked up through whole-degree cells: on the globe a lake covers at most
 # 361 x 181 of them, whatever the data.
@@ -33,10 +32,10 @@ def pixels_in_boxes(
     """Inner join of pixels to every lake box that holds them (boxes may overlap).
 
     The range join is an equi-join on the grid cell plus the exact box test, so it never
-    becomes a nested loop. The lake cells are broadcast when their counted size allows it;
+    becomes a nested loop. The planner broadcasts the lake cells if their size allows it;
     beyond that both sides are shuffled, with adaptive skew splitting for crowded cells.
     """
-    cells = small_side(lake_cells(boxes, cell))
+    cells = lake_cells(boxes, cell)
     p = pixels.withColumns({"cx": _cell_no(lon, cell), "cy": _cell_no(lat, cell)})
     joined = p.join(cells, ["cx", "cy"])
     return joined.where(in_box(F.col(lon), F.col(lat), *map(F.col, ("minx", "miny", "maxx", "maxy")))).drop(
@@ -61,23 +60,20 @@ def file_lake_rows(files: DataFrame, lakes: DataFrame) -> DataFrame:
     return f.join(l, ["fs", "ls"]).drop("fs", "ls")
 
 
-def _index_stats(df: DataFrame, keys: list[str], value: str, large: bool | None) -> DataFrame:
-    return group_stats(
-        df, keys, [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value}, large
-    )
+def _index_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return group_stats(df, keys, [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value})
 
 
 def zonal_stats(
     pixels: DataFrame, boxes: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date"),
     files: DataFrame | None = None, keep_empty: bool = True, cell: float = CELL_DEG,
-    large: bool | None = None,
 ) -> DataFrame:
     """Mean, exact 90th percentile and valid count per (file, lake).
 
     With ``keep_empty`` every file lists every lake, those without a valid pixel as
     NULL, NULL, 0. The empty rows enter the same aggregation as the pixels, as rows without
-    a value, so they cost no join of their own. ``large`` is passed to
-    :func:`~limnia.operators.quantiles.group_stats`.
+    a value, so they cost no join of their own. That is files x lakes rows: leave it out where
+    lakes are many.
     """
     keys = [*file_cols, "lake_id"]
     hits = pixels_in_boxes(pixels, boxes, cell).select(*keys, value)
@@ -86,14 +82,14 @@ def zonal_stats(
             files = pixels.select(*file_cols).distinct()
         blank = file_lake_rows(files.select(*file_cols), boxes.select("lake_id"))
         hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
-    return _index_stats(hits, keys, value, large)
+    return _index_stats(hits, keys, value)
 
 
 def regional_stats(
-    pixels: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date"), large: bool | None = None
+    pixels: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date")
 ) -> DataFrame:
     """Mean, exact 90th percentile and valid count per file, over all its pixels."""
-    return _index_stats(pixels, list(file_cols), value, large)
+    return _index_stats(pixels, list(file_cols), value)
 
 
 def member_means(

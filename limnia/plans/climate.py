@@ -12,7 +12,7 @@ from limnia.operators.resample import monthly, trailing_mean, weekly_from_first_
 from limnia.operators.schema import ensure_date, with_lake_name
 from limnia.operators.spatial import lake_pixels
 from limnia.operators.zonal import member_means
-from limnia.session import small_side
+from limnia.session import materialise
 
 # Climate variables, in column order.
 VARIABLES = ("tmin", "tmax", "prcp", "srad", "vp", "dayl")
@@ -20,17 +20,18 @@ VARIABLES = ("tmin", "tmax", "prcp", "srad", "vp", "dayl")
 
 def lake_climate(
     cube: DataFrame, grid: DataFrame, polygons: DataFrame, variables: Sequence[str] = VARIABLES,
-    inset_m: float = 0.0,
+    inset_m: float | None = None,
 ) -> DataFrame:
     """``lake_id, lake_name, date`` plus one spatial mean per variable.
 
     ``cube`` is long (time or date, y, x, var, value). Membership comes from the grid, once,
-    and is broadcast when its counted size allows it, so the cube is not shuffled. All variables share one scan and one aggregation, which yields the same rows as outer
-    merging one table per variable.
+    and is stored; the planner broadcasts it if its size allows it, so that the cube is not
+    shuffled. All variables share one scan and one aggregation, which yields the same rows as
+    outer merging one table per variable.
     """
     named = with_lake_name(polygons)
     names = named.groupBy("lake_id").agg(F.min_by("lake_name", "part").alias("lake_name"))
-    members = small_side(lake_pixels(grid, named, inset_m).join(names, "lake_id"))
+    members = materialise(lake_pixels(grid, named, inset_m).join(names, "lake_id"))
     days = ensure_date(finite_columns(cube))
     return member_means(days, members, ["date"], variables)
 

@@ -11,7 +11,7 @@ from limnia.operators.schema import OBSERVATION_COLUMNS, check_raster, complete_
 from limnia.operators.spatial import lake_pixels
 from limnia.operators.quantiles import group_stats
 from limnia.operators.zonal import file_lake_rows, regional_stats, zonal_stats
-from limnia.session import materialise, small_side
+from limnia.session import materialise
 
 # Usable columns of a file table: time0, start, end; or attrs, a map of raw attributes.
 _TIME_FIELDS = ("time0", "start", "end")
@@ -59,14 +59,14 @@ def _prepare(pixels, files, product, valid_min, valid_max):
     own = valid_min is None and valid_max is None and set(_BOUNDS) <= set(files.columns)
     labels = materialise(label_files(files, product).select("src", "time", engine, *(_BOUNDS if own else ())))
     if own:
-        pixels = pixels.join(small_side(labels.select("src", *_BOUNDS), stored=True), "src", "left")
+        pixels = pixels.join(labels.select("src", *_BOUNDS), "src", "left")
         valid_min, valid_max = F.col("valid_min"), F.col("valid_max")
     return pixels, labels.drop(*_BOUNDS), valid_min, valid_max
 
 
 def extract_lakes(
     pixels: DataFrame, boxes: DataFrame, files: DataFrame, product: str, value: str = "CI_cyano",
-    valid_min=None, valid_max=None, keep_empty: bool = True, large: bool | None = None,
+    valid_min=None, valid_max=None, keep_empty: bool = True,
 ) -> DataFrame:
     """One row per (file, lake box): ``lake_id, time, product, CI_mean, CI_p90, n_valid, src, engine``.
 
@@ -75,7 +75,7 @@ def extract_lakes(
     """
     pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
     clean = clean_pixels(pixels, value, valid_min, valid_max)
-    stats = zonal_stats(clean, boxes, value, ["src"], labels.select("src"), keep_empty, large=large)
+    stats = zonal_stats(clean, boxes, value, ["src"], labels.select("src"), keep_empty)
     return stats.join(labels, "src").select(
         "lake_id", "time", F.lit(product).alias("product"), "CI_mean", "CI_p90", "n_valid", "src", "engine"
     )
@@ -93,32 +93,41 @@ def monthly_observations(pixels, boxes, files, value="CI_cyano", valid_min=None,
 
 
 def extract_lakes_by_polygon(
-    pixels: DataFrame, polygons: DataFrame, grid: DataFrame, value: str = "CI_cyano",
-    valid_min=None, valid_max=None, inset_m: float = 0.0,
+    pixels: DataFrame, polygons: DataFrame, grid: DataFrame, files: DataFrame, product: str, value: str = "CI_cyano",
+    valid_min=None, valid_max=None, inset_m: float | None = None, keep_empty: bool = True,
 ) -> DataFrame:
-    """Like the box extraction, with true lake shapes.
+    """Like :func:`extract_lakes`, with true lake shapes (inside their inset, if they state one).
 
-    Membership is decided once per grid; its counted size decides how pixels are joined to it.
+    Membership is decided once for the grid; the stored table's real size decides how pixels
+    are joined to it.
     """
-    members = small_side(lake_pixels(grid, polygons, inset_m))
+    pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
+    members = materialise(lake_pixels(grid, polygons, inset_m))
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
     hits = clean.join(members, ["y", "x"]).select("src", "lake_id", value)
-    blank = file_lake_rows(pixels.select("src").distinct(), polygons.select("lake_id").distinct())
-    hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
-    return group_stats(hits, ["src", "lake_id"], [value], {"CI_p90": (value, 0.9)},
-                       {"n_valid": value}, {"CI_mean": value})
+    if keep_empty:
+        blank = file_lake_rows(labels.select("src"), polygons.select("lake_id").distinct())
+        hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
+    stats = group_stats(hits, ["src", "lake_id"], [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value})
+    return stats.join(labels, "src").select(
+        "lake_id", "time", F.lit(product).alias("product"), "CI_mean", "CI_p90", "n_valid", "src", "engine"
+    )
 
 
 def regional_series(
     pixels: DataFrame, files: DataFrame, product: str, value: str = "CI_cyano",
-    valid_min=None, valid_max=None, large: bool | None = None,
+    valid_min=None, valid_max=None,
 ) -> DataFrame:
-    """One row per file over the whole region, with its time label."""
+    """One row per readable file over the whole region, with its time label and, daily, its reader.
+
+    A NULL ``engine`` in the file table marks a file that no reader could open; it has no row.
+    """
+    if "engine" in files.columns:
+        files = files.where("engine IS NOT NULL")
     pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
-    stats = regional_stats(clean, value, ["src"], large)
-    out = stats.join(labels.select("src", "time"), "src")
+    stats = regional_stats(clean, value, ["src"])
+    out = stats.join(labels, "src")
     if product == "monthly":
         return out.select("time", "CI_mean", "CI_p90", "n_valid")
-    engine = F.lit("table").alias("engine")
-    return out.select(F.col("time").alias("date"), "CI_mean", "CI_p90", "n_valid", "src", engine)
+    return out.select(F.col("time").alias("date"), "CI_mean", "CI_p90", "n_valid", "src", "engine")

@@ -14,6 +14,7 @@ from limnia.operators.schema import ensure_date, resolve_column
 from limnia.operators.series import any_value_present, centred_mean
 from limnia.plans.catalogue import NAMES
 from limnia.plans.features import valid_rows
+from limnia.session import materialise
 
 _MEANS = {"CI_mean_7": "CI_mean", "CI_p90_7": "CI_p90"}
 
@@ -62,31 +63,34 @@ def lake_monthly_feed(df: DataFrame) -> DataFrame:
     ).orderBy("lake_id", "date")
 
 
-def facet_lakes(df: DataFrame, names: Sequence[str] = NAMES, limit: int = 5) -> DataFrame:
-    """``lake_id, ord`` of the panels: lakes by listed name, else the first ids in text order."""
+def facet_lakes(df: DataFrame, names: Sequence[str] = NAMES, limit: int | None = None) -> DataFrame:
+    """``lake_id, ord`` of the panels: every lake of a listed name, else all lakes in text order.
+
+    ``limit`` is for layouts with room for so many panels only.
+    """
     name = resolve_column(df)
-    ids = df.select("lake_id", *([name] if name else [])).distinct()
+    per_lake = df.groupBy("lake_id")
     if name:
-        lower = [n.lower() for n in names]
-        hit = ids.where(is_any(name, names)).groupBy("lake_id").agg(
-            F.min(list_rank(F.lower(F.col(name)), lower)).alias("rank")
-        )
-        panels = hit.orderBy("rank", "lake_id").limit(limit)
-        if not panels.isEmpty():
-            return panels.withColumnRenamed("rank", "ord")
-    # a report's panel count, not a sample: the layout has room for ``limit`` lakes
-    first = ids.select("lake_id").distinct().orderBy("lake_id").limit(limit)
-    return first.withColumn("ord", F.lit(None).cast("int"))
-
-
-def facet_feed(df: DataFrame, names: Sequence[str] = NAMES, tie: Sequence[str] = ("src",)) -> DataFrame:
+        rank = list_rank(F.lower(F.col(name)), [n.lower() for n in names])
+        ids = per_lake.agg(F.min(F.when(is_any(name, names), rank)).alias("ord"))
+        some = ids.agg(F.count("ord").alias("n")).select((F.col("n") > 0).alias("some"))
+        # one row: no list name at all means that every lake is shown
+        ids = ids.withColumn("some", some.scalar()).where("ord IS NOT NULL OR NOT some").drop("some")
+    else:
+        ids = per_lake.agg(F.lit(None).cast("int").alias("ord"))
+    return ids if limit is None else ids.orderBy("ord", "lake_id").limit(limit)
+
+
+def facet_feed(
+    df: DataFrame, names: Sequence[str] = NAMES, tie: Sequence[str] = ("src",), limit: int | None = None
+) -> DataFrame:
     """Small-multiple panels: smoothed index and coverage shading scaled to each lake's peak."""
     d = ensure_date(df)
-    panels = facet_lakes(d, names)
-    rows = d.join(panels, "lake_id")
-    peak = rows.groupBy("lake_id").agg(F.max("CI_mean").alias("peak"))
-    smooth = centred_mean(rows, ["lake_id"], _means(d), tie=[t for t in tie if t in d.columns])
-    out = attach(attach(smooth, peak, ["lake_id"]), _titles(rows), ["lake_id"])
+    peak = d.groupBy("lake_id").agg(F.max("CI_mean").alias("peak"))
+    # all that is known of a lake as a whole is one small table
+    panels = attach(attach(facet_lakes(d, names, limit), peak, ["lake_id"]), _titles(d), ["lake_id"])
+    smooth = centred_mean(d, ["lake_id"], _means(d), tie=[t for t in tie if t in d.columns])
+    out = smooth.join(materialise(panels), "lake_id")
     return out.select(
         "ord", "lake_id", "title", "date",
         shade_height(F.col("pct_valid_geom"), F.col("peak")).alias("coverage_height"), *_means(d),

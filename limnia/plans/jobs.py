@@ -21,11 +21,6 @@ from limnia.sources import files as src_files
 from limnia.sources import tables
 
 
-def lake_boxes(polygons: DataFrame) -> DataFrame:
-    """``lake_id, minx, miny, maxx, maxy`` of a polygon part table."""
-    return spatial.bounds(spatial.edges(polygons.where("lake_id IS NOT NULL AND rings IS NOT NULL")))
-
-
 def select_lakes(spark: SparkSession, raw_polygons: str, out_candidates: str, out_lakes: str, **options) -> None:
     """Global polygon table -> candidate lakes -> the numbered study lakes."""
     cand = catalogue.candidate_lakes(tables.read_polygons(spark, raw_polygons))
@@ -59,7 +54,7 @@ def extract_daily(
     if "engine" in listed.columns:
         px = src_files.readable_only(px, listed).drop("engine")
         listed = listed.where("engine IS NOT NULL")
-    boxes = lake_boxes(tables.read_polygons(spark, polygons))
+    boxes = materialise(spatial.lake_boxes(tables.read_polygons(spark, polygons)))
     obs = extraction.daily_observations(px, boxes, listed, value, **bounds)
     return tables.write_parquet(ordered(obs, "lake_id", "date"), out, skip_empty=True)
 
@@ -77,7 +72,7 @@ def extract_monthly(
     px, listed = found
     if "engine" in listed.columns:
         px = src_files.readable_only(px, listed, strict=True).drop("engine")
-    boxes = lake_boxes(tables.read_polygons(spark, polygons))
+    boxes = materialise(spatial.lake_boxes(tables.read_polygons(spark, polygons)))
     return tables.write_parquet(
         extraction.monthly_observations(px, boxes, listed, value, **bounds), out, skip_empty=True
     )
@@ -109,9 +104,12 @@ def check_region(spark: SparkSession, csv: str, freq: str, out_dir: str, prefix:
 
 def check_lakes(
     spark: SparkSession, observations: str, polygons: str, out_dir: str, prefix: str,
-    pix_res_m: float = 300.0, inset_m: float = 0.0, **limits,
+    pix_res_m: float = 300.0, inset_m: float | None = None, **limits,
 ) -> bool:
-    """``<prefix>_clean`` (parquet) and ``<prefix>_summary`` (CSV) of a lake table; False if there is none."""
+    """``<prefix>_clean`` (parquet), ``<prefix>_summary`` and ``<prefix>_counts`` (CSV); False without observations.
+
+    Expected pixels are those inside the lake table's own inset unless one is given.
+    """
     use_utc(spark)
     obs = tables.optional(tables.read_parquet, spark, observations)
     if obs is None:
@@ -119,15 +117,17 @@ def check_lakes(
     expected = materialise(spatial.expected_pixel_table(tables.read_polygons(spark, polygons), inset_m, pix_res_m))
     out = f"{out_dir}/{prefix}_clean"
     tables.write_parquet(quality.lake_quality(obs, expected, **limits), out)
-    tables.write_csv(summary.quality_summary(spark.read.parquet(out)), f"{out_dir}/{prefix}_summary")
+    clean = spark.read.parquet(out)
+    tables.write_csv(summary.quality_summary(clean), f"{out_dir}/{prefix}_summary")
+    tables.write_csv(summary.lake_counts(clean), f"{out_dir}/{prefix}_counts")
     return True
 
 
 def lake_climate(
     spark: SparkSession, cube: str, grid: str, polygons: str, out: str,
-    variables: Sequence[str] = climate.VARIABLES, inset_m: float = 0.0,
+    variables: Sequence[str] = climate.VARIABLES, inset_m: float | None = None,
 ) -> None:
-    """Wide lake climate table, sorted by lake and date."""
+    """Wide lake climate table, sorted by lake and date; pixels inside each lake's inset."""
     use_utc(spark)
     rows = climate.lake_climate(
         spark.read.parquet(cube), spark.read.parquet(grid), tables.read_polygons(spark, polygons), variables, inset_m

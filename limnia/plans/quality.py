@@ -69,13 +69,12 @@ def lake_quality(
     want = {}
     for c in cols:
         want[f"{c}_lo"], want[f"{c}_hi"] = (c, fl.CLIP_LOW), (c, fl.CLIP_HIGH)
-    base = df.select(
-        "lake_id", *cols, F.when(F.col("n_valid") > 0, F.col("n_valid")).cast("double").alias("n_pos")
+    best = df.groupBy("lake_id").agg(
+        F.max(F.when(F.col("n_valid") > 0, F.col("n_valid"))).cast("bigint").alias("empiric_n_valid_max")
     )
-    stats = group_stats(base, ["lake_id"], [*cols, "n_pos"], {**want, "empiric_n_valid_max": ("n_pos", 1.0)})
+    stats = attach(best, group_stats(df.select("lake_id", *cols), ["lake_id"], cols, want), ["lake_id"])
     df = attach(df, materialise(stats), ["lake_id"])
 
-    df = df.withColumn("empiric_n_valid_max", F.col("empiric_n_valid_max").cast("bigint"))
     df = df.withColumns({
         "pct_valid_geom": fl.coverage_ratio("n_valid", "expected_pixels_geom"),
         "pct_valid_emp": fl.coverage_ratio("n_valid", "empiric_n_valid_max"),

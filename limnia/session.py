@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -37,35 +37,31 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write an intermediate table to the shared checkpoint folder and read it back.
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, deleted when the session's JVM ends.
 
-    Later steps then neither recompute it nor guess its size: the planner broadcasts the
-    written table only if its real size is below ``spark.sql.autoBroadcastJoinThreshold``.
-    Without ``spark.checkpoint.dir`` the table stays lazy; results are the same.
+    A cluster must name a folder there that all its machines share. Only a local master may go
+    without; it then gets a temporary folder, so that plans are the same everywhere.
     """
-    spark = df.sparkSession
     root = checkpoint_dir(spark)
     if not root:
-        return df
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="limnia-")
+        spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/limnia/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
-# A broadcast side of this many narrow rows takes a few hundred MB per executor.
-BROADCAST_ROWS = 2_000_000
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, stored: bool = False) -> DataFrame:
-    """Prepare the (expectedly) small side of a join with pixel-sized data.
-
-    The table is written out and counted; up to ``max_rows`` rows it is marked for
-    broadcast, so the large side is not shuffled. A bigger table, or one that could not be
-    written, is left to the planner, which shuffles both sides and splits skewed keys.
-    ``stored`` says that the table was written already.
+    Later steps then neither recompute it nor guess its size: the planner broadcasts the
+    written table only if its real size is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    if not checkpoint_dir(df.sparkSession):
-        return df
-    table = df if stored else materialise(df)
-    return F.broadcast(table) if table.count() <= max_rows else table
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

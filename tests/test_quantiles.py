@@ -41,42 +41,52 @@ def check(got, want):
         assert got[c].tolist() == want[c].astype(int).tolist()
 
 
-@pytest.mark.parametrize("large", [True, False, None])
-def test_groups_match_pandas(spark, large):
-    pdf = frame(1, 6000)
-    got = group_stats(spark.createDataFrame(pdf), ["k"], ["v", "w"], SPEC, {"nv": "v", "nw": "w"}, {"mv": "v"}, large)
+@pytest.mark.parametrize("seed,splits", [(1, 65536), (2, 16)])
+def test_groups_match_pandas(spark, monkeypatch, seed, splits):
+    monkeypatch.setattr(q, "_SPLITS", splits)
+    pdf = frame(seed, 6000)
+    got = group_stats(spark.createDataFrame(pdf), ["k"], ["v", "w"], SPEC, {"nv": "v", "nw": "w"}, {"mv": "v"})
     check(got.toPandas(), expected(pdf, "k"))
 
 
-def test_hot_group_is_split_off(spark, monkeypatch):
-    monkeypatch.setattr(q, "SMALL_GROUP", 1000)  # "a" is hot, the others are not
-    pdf = frame(2, 6000)
-    df = spark.createDataFrame(pdf)
-    got = group_stats(df, ["k"], ["v", "w"], SPEC, {"nv": "v", "nw": "w"}, {"mv": "v"})
-    check(got.toPandas(), expected(pdf, "k"))
+def test_tight_range_with_one_outlier(spark):
+    """Nearly all values in one cell and close together, the cell's other end far off."""
+    rng = np.random.default_rng(4)
+    v = np.append(1.0 + rng.permutation(20000) * 1e-12, 1.004)
+    df = spark.createDataFrame(pd.DataFrame({"v": v}))
+    row = group_stats(df, [], ["v"], {"a": ("v", 0.25), "b": ("v", 0.9), "c": ("v", 0.99999)}).first()
+    for name, p in (("a", 0.25), ("b", 0.9), ("c", 0.99999)):
+        assert row[name] == pytest.approx(np.quantile(v, p), rel=1e-15)
+
+
+def test_planning_looks_at_no_data(spark):
+    spark.sparkContext.setJobGroup("plan", "plan")
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id / 7 AS v")
+    group_stats(df, ["k"], ["v"], {"p": ("v", 0.9)}, {"n": "v"}, {"m": "v"})
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_single_precision_and_no_keys(spark):
     rng = np.random.default_rng(3)
     v = rng.lognormal(-7, 1, 20000).astype("float32")
     df = spark.createDataFrame(pd.DataFrame({"v": v})).withColumn("v", F.col("v").cast("float"))
-    row = group_stats(df, [], ["v"], {"p": ("v", 0.9)}, {"n": "v"}, {"m": "v"}, large=True).first()
+    row = group_stats(df, [], ["v"], {"p": ("v", 0.9)}, {"n": "v"}, {"m": "v"}).first()
     assert row["n"] == 20000
     assert row["p"] == pytest.approx(np.quantile(v.astype(float), 0.9), rel=1e-12)
     assert row["m"] == pytest.approx(v.astype(float).mean(), rel=1e-9)
 
 
-@pytest.mark.parametrize("large", [True, False])
-def test_group_without_values_keeps_its_row(spark, large):
+def test_group_without_values_keeps_its_row(spark):
     df = spark.createDataFrame([("a", None), ("a", float("nan")), ("b", 2.0)], "k string, v double")
-    rows = {r["k"]: r for r in group_stats(df, ["k"], ["v"], {"p": ("v", 0.9)}, {"n": "v"}, {"m": "v"}, large).collect()}
+    rows = {r["k"]: r for r in group_stats(df, ["k"], ["v"], {"p": ("v", 0.9)}, {"n": "v"}, {"m": "v"}).collect()}
     assert (rows["a"]["p"], rows["a"]["n"], rows["a"]["m"]) == (None, 0, None)
     assert (rows["b"]["p"], rows["b"]["n"], rows["b"]["m"]) == (2.0, 1, 2.0)
 
 
 def test_column_names_cannot_clash(spark):
     df = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, 5.0)], "n long, v double").selectExpr("n AS cell", "v")
-    rows = group_stats(df, ["cell"], ["v"], {"k": ("v", 0.5)}, large=True).collect()
+    rows = group_stats(df, ["cell"], ["v"], {"k": ("v", 0.5)}).collect()
     assert {r["cell"]: r["k"] for r in rows} == {1: 3.0, 2: 5.0}
 
 
