@@ -13,7 +13,7 @@ from limnia.session import materialise, use_utc
 from limnia.sources.manifest import daily_name
 
 VALID_MIN, VALID_MAX = 0.0, 0.005
-CLIMATE = ("tmin", "tmax", "prcp", "srad", "vp")
+CLIMATE = ("tmin", "tmax", "prcp", "srad", "vp", "dayl")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +114,23 @@ def polygons(spark, sf_dir) -> DataFrame:
     )
 
 
+def halves(spark, sf_dir) -> DataFrame:
+    """supplier -> a square lake in two parts that share an edge."""
+    c = _centres(spark, sf_dir)
+
+    def ring(x0, x1):
+        return F.array(*[
+            F.struct((F.col("cx") + F.col("r") * dx).alias("x"), (F.col("cy") + F.col("r") * dy).alias("y"))
+            for dx, dy in ((x1, 1.0), (x0, 1.0), (x0, -1.0), (x1, -1.0))
+        ])
+
+    one = c.select("*", F.posexplode(F.array(F.array(ring(-1.0, 0.0)), F.array(ring(0.0, 1.0)))).alias("half", "rings"))
+    return one.select(
+        F.concat(F.lit("L-"), F.col("part")).alias("lake_id"), F.lit("Half").alias("lake_name"),
+        (F.col("part") * 2 + F.col("half")).alias("part"), F.lit(4326).alias("srid"), "rings",
+    )
+
+
 def index_value():
     """Order totals scaled to the size of index readings, by an odd factor so that no mean
     lands on a rounding tie."""
@@ -150,10 +167,10 @@ def expected(spark, sf_dir) -> DataFrame:
 
 
 def climate_long(spark, sf_dir) -> DataFrame:
-    """events -> (lake, day, variable, value), a fifth of the cells dropped."""
+    """events -> (lake, day, variable, value), a fifth of the values missing."""
     e = table(spark, sf_dir, "events")
     kinds = {"click": "tmin", "view": "tmax", "purchase": "prcp", "signup": "srad"}
-    var = F.lit("vp")
+    var = F.when(F.col("event_id") % 2 == 0, "dayl").otherwise("vp")
     for kind, v in kinds.items():
         var = F.when(F.col("event_type") == kind, v).otherwise(var)
     lake = F.pmod("user_id", F.lit(5))
@@ -161,8 +178,9 @@ def climate_long(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("GL-"), (lake + 1).cast("string")).alias("lake_id"),
         F.concat(F.lit("Lake "), (lake + 1).cast("string")).alias("lake_name"),
         F.to_date("ts").alias("date"), var.alias("var"), "value",
-    ).where((F.day("date") + lake_no() * 3 + F.length("var")) % 5 != 0)
-    return rows.groupBy("lake_id", "lake_name", "date", "var").agg(F.avg("value").alias("value"))
+    )
+    known = F.when((F.day("date") + lake_no() * 3 + F.length("var")) % 5 != 0, F.col("value"))
+    return rows.groupBy("lake_id", "lake_name", "date", "var").agg(F.avg(known).alias("value"))
 
 
 def lake_no():
@@ -176,24 +194,24 @@ def climate_wide(spark, sf_dir) -> DataFrame:
 
 
 def climate_orders(spark, sf_dir) -> DataFrame:
-    """orders x customer -> daily climate over seven years, one variable per order priority."""
+    """orders x customer -> daily climate over seven years, one variable per order priority, the last in two."""
     o = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
-    kinds = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    kind = F.substring("o_orderpriority", 1, 1).cast("int")
+    kind = F.when((kind == 5) & (F.col("o_orderkey") % 2 == 0), 6).otherwise(kind)
     return o.groupBy(F.col("c_mktsegment").alias("lake_id"), F.to_date("o_orderdate").alias("date")).agg(*[
-        F.avg(F.when(F.col("o_orderpriority") == k, F.col("o_totalprice") / 3.7234567e4)).alias(v)
-        for k, v in zip(kinds, CLIMATE)
+        F.avg(F.when(kind == i + 1, F.col("o_totalprice") / 3.7234567e4)).alias(v) for i, v in enumerate(CLIMATE)
     ])
 
 
 def obs_events(spark, sf_dir) -> DataFrame:
-    """events of type purchase -> valid/invalid observations stamped within the day."""
-    e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    """events -> valid/invalid observations, stamped within the day or, every third day, at midnight."""
+    e = table(spark, sf_dir, "events")
     lake = F.concat(F.lit("GL-"), (F.pmod("user_id", F.lit(5)) + 1).cast("string"))
     return e.groupBy(lake.alias("lake_id"), F.to_date("ts").alias("day")).agg(
         F.min("ts").alias("date"), F.avg("value").alias("CI_mean"), F.count("*").alias("n_valid")
-    ).withColumn("qc_is_valid", (F.day("day") % 4 != 0).cast("int")).drop("day")
+    ).withColumn("date", F.when(F.day("day") % 3 == 0, F.col("day").cast("timestamp_ntz")).otherwise(F.col("date").cast("timestamp_ntz"))).withColumn("qc_is_valid", (F.day("day") % 4 != 0).cast("int")).drop("day")
 
 
 def file_records(spark, sf_dir) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 TAIL = "ILW_CONUS.V5.all.CONUS.300m.nc"
-VARS = ("tmin", "tmax", "prcp", "srad", "vp")
+VARS = ("tmin", "tmax", "prcp", "srad", "vp", "dayl")
 DAY = "'%Y-%m-%d'"
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -82,6 +82,8 @@ _CI_OK = (
 )
 _NAME = "(['Superior','Michigan','Huron','Erie','Ontario'])[1 + s_nationkey % 5]"
 
+_KIND = "(CASE WHEN o_orderpriority LIKE '5-%' AND o_orderkey%2=0 THEN 6 ELSE CAST(substr(o_orderpriority,1,1) AS INTEGER) END)"
+
 CTES = {
     "pix": f"""SELECT {daily_name('l_shipdate')} AS src, CAST(l_shipdate AS DATE) AS date,
         CAST((l_orderkey*7919)%2100 AS INTEGER) AS x, CAST((l_partkey*31)%90 AS INTEGER) AS y,
@@ -114,19 +116,20 @@ CTES = {
         max(o_totalprice/3.7234567e8) AS p, count(*) AS n FROM orders JOIN customer ON o_custkey=c_custkey GROUP BY 1, 2""",
     "climl": """SELECT 'GL-' || (user_id%5+1) AS lake_id, 'Lake ' || (user_id%5+1) AS lake_name, CAST(ts AS DATE) AS date,
         CASE event_type WHEN 'click' THEN 'tmin' WHEN 'view' THEN 'tmax' WHEN 'purchase' THEN 'prcp' WHEN 'signup' THEN 'srad'
-        ELSE 'vp' END AS var, value FROM events""",
-    "clim": """SELECT lake_id, lake_name, date, var, avg(value) AS value FROM climl
-        WHERE (day(date) + CAST(substr(lake_id,4) AS INTEGER)*3 + length(var)) % 5 <> 0 GROUP BY ALL""",
+        ELSE CASE WHEN event_id%2=0 THEN 'dayl' ELSE 'vp' END END AS var, value FROM events""",
+    "clim": """SELECT lake_id, lake_name, date, var, avg(CASE WHEN (day(date) + CAST(substr(lake_id,4) AS INTEGER)*3 + length(var)) % 5 <> 0
+        THEN value END) AS value FROM climl GROUP BY ALL""",
     "climw": "SELECT lake_id, lake_name, date, "
              + ", ".join(f"max(CASE WHEN var='{v}' THEN value END) AS {v}" for v in VARS)
              + " FROM clim GROUP BY lake_id, lake_name, date",
     "climo": "SELECT c_mktsegment AS lake_id, CAST(o_orderdate AS DATE) AS date, "
-             + ", ".join(f"avg(CASE WHEN o_orderpriority LIKE '{i + 1}-%' THEN o_totalprice/3.7234567e4 END) AS {v}" for i, v in enumerate(VARS))
+             + ", ".join(f"avg(CASE WHEN {_KIND} = {i + 1} THEN o_totalprice/3.7234567e4 END) AS {v}" for i, v in enumerate(VARS))
              + " FROM orders JOIN customer ON o_custkey=c_custkey GROUP BY 1, 2",
-    "ev": """SELECT 'GL-' || (user_id%5+1) AS lake_id, CAST(ts AS DATE) AS d, min(ts) AS ts, avg(value) AS m, count(*) AS n,
-        CASE WHEN day(CAST(ts AS DATE))%4 <> 0 THEN 1 ELSE 0 END AS ok FROM events WHERE event_type='purchase' GROUP BY 1, 2, 6""",
-    # regular calendar of the thinned observations, interpolated and clipped
-    "thin": "SELECT * FROM obs WHERE (dayofyear(date)*7)%11 < 8",
+    "ev": """SELECT 'GL-' || (user_id%5+1) AS lake_id, CAST(ts AS DATE) AS d,
+        CASE WHEN day(CAST(ts AS DATE))%3=0 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE min(ts) END AS ts, avg(value) AS m, count(*) AS n,
+        CASE WHEN day(CAST(ts AS DATE))%4 <> 0 THEN 1 ELSE 0 END AS ok FROM events GROUP BY 1, CAST(ts AS DATE)""",
+    # regular calendar of the partly blanked observations, interpolated and clipped
+    "thin": "SELECT lake_id, date, " + ", ".join(f"CASE WHEN (dayofyear(date)*7)%11 < 8 THEN {c} END AS {c}" for c in "mpn") + " FROM obs",
     "cal": """SELECT s.lake_id, s.date, t.m, t.p, t.n, row_number() OVER (PARTITION BY s.lake_id ORDER BY s.date) AS pos
         FROM (SELECT lake_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM thin GROUP BY lake_id) s
         LEFT JOIN thin t ON t.lake_id=s.lake_id AND t.date=s.date""",
@@ -196,6 +199,32 @@ def sql(ctes: str, body: str) -> str:
     return f"WITH {head} {body}" if head else body
 
 
+def _halves() -> str:
+    """The outline of a square lake made of two halves: their common edge is none of it."""
+    pts = [(0, 1), (-1, 1), (-1, -1), (0, -1), (1, -1), (1, 1)]
+    rows = [f"({a:e},{b:e},{pts[(i + 1) % 6][0]:e},{pts[(i + 1) % 6][1]:e})" for i, (a, b) in enumerate(pts)]
+    return "(VALUES " + ",".join(rows) + ") v(ox, oy, qx, qy)"
+
+
+CTES["hedge"] = f"SELECT 'L-' || part AS lake_id, cx+r*ox AS x1, cy+r*oy AS y1, cx+r*qx AS x2, cy+r*qy AS y2 FROM ctr CROSS JOIN {_halves()}"
+CTES["hmedge"] = f"""SELECT lake_id, {mx('x1', 'y1')} AS x1, {my('x1', 'y1')} AS y1, {mx('x2', 'y2')} AS x2, {my('x2', 'y2')} AS y2 FROM hedge"""
+CTES["hpts"] = f"""SELECT 'L-' || part AS lake_id, y, x, lon, lat, {mx('lon', 'lat')} AS px, {my('lon', 'lat')} AS py FROM grid JOIN ctr
+    ON lon BETWEEN cx-r AND cx+r AND lat BETWEEN cy-r AND cy+r"""
+NEEDS |= {"hedge": ["ctr"], "hmedge": ["hedge"], "hpts": ["grid", "ctr"]}
+
+
+def _inside_outline(points: str, edge: str, px: str, py: str, part: str = "", inset: float = 0.0) -> str:
+    """(lake_id, y, x) of points in a part by ray parity, off every edge of the lake and ``inset`` away from it."""
+    t = (f"greatest(0e0, least(1e0, coalesce((({px}-x1)*(x2-x1)+({py}-y1)*(y2-y1))/nullif((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1),0), 0e0)))")
+    d2 = f"({px}-(x1+{t}*(x2-x1)))*({px}-(x1+{t}*(x2-x1))) + ({py}-(y1+{t}*(y2-y1)))*({py}-(y1+{t}*(y2-y1)))"
+    return f"""SELECT lake_id, y, x FROM (SELECT p.lake_id, p.y, p.x {part and ', e.' + part}, sum(CASE WHEN (y1 > {py}) <> (y2 > {py}) AND
+        (CASE WHEN y2 > y1 THEN ({px}-x1)*(y2-y1) < (x2-x1)*({py}-y1) ELSE ({px}-x1)*(y2-y1) > (x2-x1)*({py}-y1) END) THEN 1 ELSE 0 END) AS hits,
+        min({d2}) AS d2, bool_or(({px}-x1)*(y2-y1) = (x2-x1)*({py}-y1) AND {px} BETWEEN least(x1,x2) AND greatest(x1,x2)
+          AND {py} BETWEEN least(y1,y2) AND greatest(y1,y2)) AS touch
+        FROM {points} p JOIN {edge} e ON e.lake_id=p.lake_id GROUP BY ALL)
+        GROUP BY lake_id, y, x HAVING bool_or(hits%2=1) AND NOT bool_or(touch) AND sqrt(min(d2)) >= {inset:e}"""
+
+
 def _stats(v: str = "v") -> str:
     return (f"round(avg({v}), 9) AS CI_mean, round(quantile_cont({v}, 0.9), 9) AS CI_p90, "
             f"CAST(count({v}) AS BIGINT) AS n_valid")
@@ -253,8 +282,12 @@ def _box_hits(source: str, key: str, minx, miny, maxx, maxy) -> str:
         {corner(minx, miny)} AS cov FROM {source} GROUP BY {key}, part) WHERE meets OR cov"""
 
 
-_TEXT_TIME = """CASE event_id%7 WHEN 0 THEN date_trunc('second', ts) + INTERVAL 500 MILLISECOND WHEN 1 THEN date_trunc('day', ts)
-    WHEN 2 THEN date_trunc('day', ts) WHEN 3 THEN date_trunc('second', ts) WHEN 4 THEN date_trunc('day', ts) END"""
+# what each way of writing an event time keeps of it
+_KEPT = ("half", "day", "day", "second", "day", "day", "day", "minute", "day", "day", "second", "minute", "minute", "day", "minute", "minute")
+_TEXT_TIME = "CASE event_id%18 " + " ".join(
+    f"WHEN {i} THEN " + ("date_trunc('second', ts) + INTERVAL 500 MILLISECOND" if k == "half" else f"date_trunc('{k}', ts)")
+    for i, k in enumerate(_KEPT)
+) + " END"
 
 _SPANS = """SELECT CASE WHEN o_orderkey%2=0 THEN 'CONUS' ELSE 'ALASKA' END AS region, CAST(min(o_orderdate) AS DATE) AS a,
     CAST(max(o_orderdate) AS DATE) AS b FROM orders GROUP BY 1"""
@@ -272,8 +305,6 @@ _FILE_NAME = (
 )
 _HALF = "{0} + to_microseconds(CAST((epoch_us({1}) - epoch_us({0})) // 2 AS BIGINT))"
 
-_DATES = [f"2024-01-{d:02d}" for d in range(1, 31)]
-
 _PROFILE_NUM = """SELECT '{c}' AS "column", count({v}) AS "count", CAST(NULL AS DOUBLE) AS "unique", CAST(NULL AS VARCHAR) AS top,
     CAST(NULL AS DOUBLE) AS freq, round(avg({v}),5) AS mean, round(stddev_samp({v}),5) AS std, round(min({v}),5) AS "min",
     round(quantile_cont({v},0.25),5) AS p25, round(quantile_cont({v},0.5),5) AS p50, round(quantile_cont({v},0.75),5) AS p75,
@@ -303,31 +334,36 @@ ORACLES: dict[str, str] = {
           ci <= CASE WHEN month(date)%2=1 THEN CAST(0.004 AS FLOAT) ELSE CAST(0.005 AS FLOAT) END AND ci > CAST(5e-5 AS FLOAT) THEN CAST(ci AS DOUBLE) END AS v FROM pix)
           JOIN boxes ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy GROUP BY 1, 2) s ON s.mo=f.a AND s.lake_id=b.lake_id"""),
     "regional_daily": sql("ok", f"""SELECT {stamp('date')} AS date, {_stats()}, src, 'table' AS engine FROM ok GROUP BY src, date"""),
+    "regional_readers": sql("ok", f"""SELECT {stamp('date')} AS date, {_stats()}, src, CASE WHEN day(date)%2=0 THEN 'primary' ELSE 'fallback' END AS engine
+        FROM ok WHERE day(date)%5<>0 GROUP BY src, date"""),
     "regional_monthly": sql("ok", f"""SELECT strftime(a + to_microseconds(CAST(date_diff('microsecond', a, b)//2 AS BIGINT)), {STAMP}) AS time,
         CI_mean, CI_p90, n_valid FROM (SELECT CAST(date_trunc('month', date) AS TIMESTAMP) AS a, CAST(last_day(date) AS TIMESTAMP) AS b,
         {_stats()} FROM ok GROUP BY 1, 2)"""),
     "index_cleaning": sql("pix", f"""SELECT {day('date')} AS date, count(*) AS n_all, count(CASE WHEN ci > CAST(5e-5 AS FLOAT) THEN 1 END) AS n_floor,
         count({_CI_OK}) AS n_kept, count(CASE WHEN ci > CAST(2e-3 AS FLOAT) THEN 1 END) AS n_high,
-        round(CAST(CAST(1e-3 AS FLOAT) AS DOUBLE), 9) AS threshold FROM pix GROUP BY date"""),
+        round(CAST(CAST(1e-3 AS FLOAT) AS DOUBLE), 9) AS threshold, any_value(n_wide_floor) AS n_wide_floor, any_value(n_wide_kept) AS n_wide_kept
+        FROM pix JOIN (SELECT CAST(l_shipdate AS DATE) AS date, count(CASE WHEN w > 5e-5 THEN 1 END) AS n_wide_floor,
+          count(CASE WHEN w > 1e-3 AND w <= 2e-3 THEN 1 END) AS n_wide_kept FROM (SELECT l_shipdate, CAST(l_quantity AS DOUBLE)*5e-5 AS w FROM lineitem) GROUP BY 1) USING (date) GROUP BY date"""),
     "time_labels": f"""WITH f AS ({_FILE}) SELECT o_orderkey, {_FILE_NAME} AS file, strftime(CASE
         WHEN p='1' THEN CAST(d AS TIMESTAMP) + INTERVAL 23400250 MILLISECOND
         WHEN p='2' AND mo THEN {_HALF.format("(CAST(d AS TIMESTAMP) + INTERVAL 1 SECOND)", "(CAST(d AS TIMESTAMP) + INTERVAL 9 DAY + INTERVAL 86398 SECOND)")}
         WHEN p='2' THEN CAST(d AS TIMESTAMP) + INTERVAL 1 SECOND
         WHEN mo THEN {_HALF.format("m0", "m1")} ELSE CAST(d AS TIMESTAMP) END, {STAMP}) AS label FROM f""",
-    "filename_dates": f"""WITH f AS ({_FILE}) SELECT {stamp('m0')} AS first, {stamp('m1')} AS last,
-        strftime({_HALF.format("m0", "m1")}, {STAMP}) AS middle, count(*) AS n_files FROM f WHERE mo GROUP BY m0, m1""",
+    "filename_dates": f"""WITH f AS (SELECT CASE WHEN mo THEN CAST(m0 AS TIMESTAMP) ELSE CAST(d AS TIMESTAMP) END AS a,
+        CASE WHEN mo THEN m1 ELSE CAST(d AS TIMESTAMP) END AS z FROM ({_FILE})) SELECT {stamp('a')} AS first, {stamp('z')} AS last,
+        strftime({_HALF.format("a", "z")}, {STAMP}) AS middle, count(*) AS n_files FROM f GROUP BY a, z""",
     "period_snap": f"""SELECT {day("ts")} AS day, {day("date_trunc('week', ts)")} AS week, {day("date_trunc('month', ts)")} AS month,
         {day("date_trunc('quarter', ts)")} AS quarter, count(*) AS n FROM events GROUP BY 1, 2, 3, 4""",
-    "lenient_datetime": f"SELECT event_id, strftime({_TEXT_TIME}, {STAMP}) AS date FROM events WHERE event_id%7 < 5",
-    "dropped_datetime": "SELECT count(*) AS rows, count(CASE WHEN event_id%7 >= 5 THEN 1 END) AS rows_dropped FROM events",
+    "lenient_datetime": f"SELECT event_id, strftime({_TEXT_TIME}, {STAMP}) AS date FROM events WHERE event_id%18 < 16",
+    "dropped_datetime": "SELECT count(*) AS rows, count(CASE WHEN event_id%18 >= 16 THEN 1 END) AS rows_dropped FROM events",
     "dedupe_first": f"""SELECT c_mktsegment AS series, {day("date_trunc('month', o_orderdate)")} AS date, o_orderkey AS src, o_totalprice AS value
         FROM orders JOIN customer ON o_custkey=c_custkey QUALIFY row_number() OVER (PARTITION BY c_mktsegment,
         date_trunc('month', o_orderdate) ORDER BY o_orderdate, o_orderkey)=1""",
     "reindex_daily": sql("obs", f"""SELECT s.lake_id, {day('s.date')} AS date, round(m, 11) AS CI_mean, CAST(n AS DOUBLE) AS n_valid FROM
         (SELECT lake_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM obs GROUP BY 1) s
         LEFT JOIN obs o ON o.lake_id=s.lake_id AND o.date=s.date"""),
-    "reindex_monthly": f"""WITH m AS (SELECT o_orderpriority AS series, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
-        round(max(o_totalprice), 2) AS top FROM orders WHERE month(o_orderdate)%3<>0 GROUP BY 1, 2)
+    "reindex_monthly": f"""WITH m AS (SELECT o_custkey AS series, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+        round(max(o_totalprice), 2) AS top FROM orders GROUP BY 1, 2)
         SELECT s.series, {day('s.date')} AS date, top FROM (SELECT series, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 MONTH)) AS DATE)
         AS date FROM m GROUP BY 1) s LEFT JOIN m ON m.series=s.series AND m.date=s.date""",
     "calendar_days": sql("obs", f"""SELECT lake_id, {day('d')} AS date FROM (SELECT lake_id, unnest(generate_series(min(date), max(date),
@@ -362,6 +398,9 @@ ORACLES: dict[str, str] = {
     "rolling_28d": sql("climo", f"SELECT lake_id, {day('date')} AS date, " + ", ".join(
         f"round(avg({v}) OVER (PARTITION BY lake_id ORDER BY date RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW), 8) AS {v}"
         for v in VARS) + " FROM climo"),
+    "rolling_1970": sql("climo", f"SELECT lake_id, {day('date - 9500')} AS date, " + ", ".join(
+        f"round(avg({v}) OVER (PARTITION BY lake_id ORDER BY date RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW), 8) AS {v}"
+        for v in VARS) + " FROM climo"),
     "lake_pixels_mean": sql("inside pix parts", f"""SELECT i.lake_id, lake_name, {day("date_trunc('month', date)")} AS date,
         round(avg(CASE WHEN x%2=0 THEN CAST(ci AS DOUBLE) END), 9) AS tmin, round(avg(CASE WHEN x%2<>0 THEN CAST(ci AS DOUBLE) END), 9) AS tmax
         FROM pix JOIN inside i USING (y, x) JOIN parts p ON p.lake_id=i.lake_id GROUP BY 1, 2, 3"""),
@@ -393,6 +432,20 @@ ORACLES: dict[str, str] = {
          (SELECT lake_id, y, x, {mx('lon', 'lat')} AS px, {my('lon', 'lat')} AS py FROM grid JOIN bnd
            ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy) g JOIN medge e ON e.lake_id=g.lake_id) g GROUP BY 1, 2, 3)
         WHERE hits%2=1 AND sqrt(d2) >= 5000e0"""),
+    "touching_parts": sql("hpts hedge hmedge", f"""SELECT *, 0e0 AS inset_km FROM ({_inside_outline('hpts', 'hedge', 'lon', 'lat')})
+        UNION ALL SELECT *, 5e0 FROM ({_inside_outline('hpts', 'hmedge', 'px', 'py', inset=5000)})"""),
+    "inset_chain": sql("medge grid bnd", f"""WITH pick AS (SELECT part, lake_name AS lake_id FROM ({_LAKE_PICK}) WHERE pick AND lake_name IN {_FIVE}),
+        e AS (SELECT p.lake_id, m.part, x1, y1, x2, y2 FROM medge m JOIN pick p USING (part)),
+        b AS (SELECT p.lake_id, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM bnd JOIN pick p ON bnd.lake_id='L-' || part GROUP BY 1),
+        g AS (SELECT lake_id, y, x, {mx('lon', 'lat')} AS px, {my('lon', 'lat')} AS py FROM grid JOIN b ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy),
+        cell AS (SELECT lake_id, r AS y, c AS x, (c+0.5e0)*5e3 AS px, (r+0.5e0)*5e3 AS py FROM (SELECT lake_id, c0, c1, unnest(generate_series(r0, r1)) AS r FROM
+          (SELECT lake_id, CAST(floor(min(least(y1,y2))/5e3) AS BIGINT) AS r0, CAST(floor(max(greatest(y1,y2))/5e3) AS BIGINT) AS r1,
+            CAST(floor(min(least(x1,x2))/5e3) AS BIGINT) AS c0, CAST(floor(max(greatest(x1,x2))/5e3) AS BIGINT) AS c1 FROM e GROUP BY 1)),
+          unnest(generate_series(c0, c1)) u(c)),
+        a AS (SELECT lake_id, count(*) AS expected_pixels_geom FROM ({_inside_outline('cell', 'e', 'px', 'py', 'part', 3000)}) GROUP BY 1),
+        n AS (SELECT lake_id, count(*) AS members FROM ({_inside_outline('g', 'e', 'px', 'py', 'part', 3000)}) GROUP BY 1)
+        SELECT 'GL-' || row_number() OVER (ORDER BY a.lake_id) AS lake_id, a.lake_id AS lake_name, expected_pixels_geom, members
+        FROM a LEFT JOIN n USING (lake_id)""").replace(") WITH pick AS", "), pick AS", 1),
     "inset_area": sql("medge", f"SELECT lake_id, count(*)*4e6/1e6 AS area_km2 FROM ({_lattice('medge', 'lake_id', 2000, 2000)}) GROUP BY lake_id"),
     "box_intersects": sql("edge", _box_hits("edge", "lake_id", -92, 41, -84, 46)),
     "lake_candidates": sql("edge", f"SELECT part AS \"Hylak_id\", lake_name AS \"Lake_name\", country AS \"Country\" FROM ({_LAKE_PICK}) WHERE pick"),
@@ -409,14 +462,14 @@ ORACLES: dict[str, str] = {
         || '.L3m.MO.' || {_TAIL} AS src FROM (SELECT region, CAST(unnest(generate_series(make_date(year(a),1,1), make_date(year(b),12,1), INTERVAL 1 MONTH))
         AS DATE) AS m FROM ({_SPANS})) WHERE month(m) BETWEEN 3 AND 10""",
     "manifest_audit": sql("pix", f"""SELECT e.src, {day('date')} AS date, CASE WHEN length > 0 THEN 'skip' WHEN day(date)%2=1 THEN 'get' ELSE 'miss' END AS action
-        FROM ({_EXPECTED}) e LEFT JOIN ({_LISTING}) l ON l.src=e.src WHERE region='CONUS'"""),
+        FROM ({_EXPECTED}) e LEFT JOIN ({_LISTING}) l ON l.src=e.src"""),
     "manifest_missing": sql("pix", f"""SELECT e.src, {day('date')} AS date FROM ({_EXPECTED}) e LEFT JOIN ({_LISTING}) l ON l.src=e.src
-        WHERE region='CONUS' AND coalesce(length, 0) = 0"""),
-    "url_names": """SELECT page_id, CASE page_id%4 WHEN 0 THEN '' WHEN 1 THEN 'daymet_v4_' || v || '_monavg_hi_2023.tif'
+        WHERE coalesce(length, 0) = 0"""),
+    "url_names": """SELECT page_id, CASE k WHEN 0 THEN 'daymet_v4_daily_na_' || v || '_2024.nc' WHEN 1 THEN 'daymet_v4_' || v || '_monavg_hi_2023.tif'
         ELSE split_part(regexp_extract(url, '[^/]*$'), '?', 1) END AS file,
-        CASE WHEN page_id%4=1 THEN v END AS variable, CASE WHEN page_id%4=1 THEN 'hi' END AS region,
-        CASE WHEN page_id%4=1 THEN 'monavg' END AS summary, CASE WHEN page_id%4=1 THEN 2023e0 END AS year,
-        CASE WHEN page_id%4=1 THEN 'tif' END AS format FROM (SELECT *, (['tmin','vp','prcp'])[1+page_id%3] AS v FROM pages)""",
+        CASE WHEN k < 2 THEN v END AS variable, CASE k WHEN 0 THEN 'na' WHEN 1 THEN 'hi' END AS region,
+        CASE WHEN k=1 THEN 'monavg' END AS summary, CASE k WHEN 0 THEN 2024e0 WHEN 1 THEN 2023e0 END AS year,
+        CASE k WHEN 0 THEN 'nc' WHEN 1 THEN 'tif' END AS format FROM (SELECT *, page_id%4 AS k, (['tmin','vp','prcp'])[1+page_id%3] AS v FROM pages)""",
     "reader_status": sql("pix", """SELECT CASE WHEN day(date)%2=0 THEN 'primary' ELSE 'fallback' END AS engine, CAST(year(date) AS INTEGER) AS year,
         count(*) AS pixels FROM pix WHERE day(date)%5<>0 GROUP BY 1, 2"""),
     "file_audit": sql("obs", f"""SELECT src, engine, k AS n_dates, {day('a')} AS first, {day('b')} AS last, rows, n_lakes,
@@ -441,8 +494,8 @@ ORACLES: dict[str, str] = {
         {stamp('date')} AS date, round(coalesce(greatest(0e0, least(1e0, pg))*max(m) OVER (PARTITION BY lake_id)*0.2e0, 0e0), 11) AS coverage_height,
         round({_centre('m', 'lake_id')}, 11) AS CI_mean_7, round({_centre('p', 'lake_id')}, 11) AS CI_p90_7
         FROM qcv WHERE lake_id IN ('MACHINERY','BUILDING','AUTOMOBILE')"""),
-    "validity_matrix": sql("ev", "SELECT lake_id, " + ", ".join(
-        f"CAST(max(CASE WHEN d=DATE '{d}' THEN ok END) AS DOUBLE) AS d{d.replace('-', '')}" for d in _DATES) + " FROM ev GROUP BY lake_id"),
+    "validity_matrix": sql("ev", """, t AS (SELECT lake_id || ' - Lake ' || substr(lake_id,4) AS label, strftime(d, 'd%Y%m%d') AS k, CAST(ok AS DOUBLE) AS v FROM ev)
+        PIVOT t ON k USING max(v) GROUP BY label""").replace(") , t AS", "), t AS", 1),
     "validity_long": sql("qcv", f"SELECT lake_id || ' - ' || lake_name AS label, {day('date')} AS date, valid AS qc_is_valid FROM qcv"),
     "schema_complete": sql("obs", f"""SELECT lake_id, {stamp('date')} AS date, CAST(NULL AS VARCHAR) AS product, round(m, 11) AS CI_mean,
         CAST(NULL AS DOUBLE) AS CI_p90, n AS n_valid, CAST(NULL AS VARCHAR) AS src, CAST(NULL AS VARCHAR) AS engine FROM obs"""),
@@ -450,13 +503,25 @@ ORACLES: dict[str, str] = {
         {stamp('max(date)')} AS last, CAST(sum(n) AS BIGINT) AS pixels FROM obs GROUP BY lake_id"""),
     "coordinate_names": sql("pix", """SELECT y, count(*) AS n, round(min(lon), 6) AS west, round(max(lon), 6) AS east, round(max(lat), 6) AS lat
         FROM pix GROUP BY y"""),
+    "csv_round_trip": sql("obs", f"""SELECT lake_id || '/' || {day('date')} AS time, {_r(('m', 'p'), 11).replace('AS m', 'AS CI_mean').replace('AS p', 'AS CI_p90')},
+        CASE WHEN day(date)%6<>0 THEN CAST(n AS DOUBLE) END AS n_valid FROM obs"""),
+    "parquet_glob": sql("obs", """SELECT lake_id, count(*) AS rows, count(CASE WHEN day(date)%9<>0 THEN 1 END) AS n_mean, count(*) AS n_src FROM obs GROUP BY 1"""),
+    "pixel_scan": sql("pix", """SELECT src, count(*) AS n, count(ci) AS n_value, round(sum(lon), 6) AS lon, round(sum(lat), 6) AS lat FROM pix GROUP BY 1"""),
+    "polygon_round_trip": sql("bnd parts", f"""SELECT lake_id, CAST(4326 AS INTEGER) AS srid, CAST(CASE WHEN part%2=0 THEN 12 ELSE 4 END AS INTEGER) AS points,
+        {_r(('minx', 'miny', 'maxx', 'maxy'), 9)} FROM bnd JOIN parts USING (lake_id)"""),
+    "optional_input": """SELECT 'orders' AS name, CAST(count(*) AS DOUBLE) AS rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+        UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'no_such_table', NULL""",
+    "sorted_rows": sql("obs", f"SELECT lake_id, {day('date')} AS date, n AS n_valid, row_number() OVER (ORDER BY lake_id, date) - 1 AS place FROM obs"),
+    "column_difference": sql("obs", """SELECT lake_id, 2*count(*) AS rows, count(*) AS n_counts, count(*) AS n_means, 'engine,product,src' AS lacking
+        FROM obs GROUP BY 1"""),
+    "facet_all": sql("qcv", "SELECT lake_id, CAST(NULL AS DOUBLE) AS ord, count(*) AS rows FROM qcv GROUP BY 1"),
 }
 
 for _limit in (3, 1):
     _cal = CTES["cal"].replace("FROM thin", "FROM thin2").replace("JOIN thin t", "JOIN thin2 t")
     _cols = "round(m, 11) AS CI_mean, round(p, 11) AS CI_p90"
     ORACLES[f"interp_limit{_limit}"] = sql("obs", "").rstrip() + (
-        f", thin2 AS (SELECT * FROM obs WHERE (dayofyear(date)*7)%11 < 5), cal AS ({_cal}) "
+        f", thin2 AS (SELECT lake_id, date, CASE WHEN (dayofyear(date)*7)%11 < 5 THEN m END AS m, CASE WHEN (dayofyear(date)*7)%11 < 5 THEN p END AS p, n FROM obs), cal AS ({_cal}) "
         f"SELECT lake_id, {day('date')} AS date, {_cols} FROM ({_interp('cal', _limit)})"
     )
 

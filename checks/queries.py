@@ -13,10 +13,10 @@ from limnia.functions import timelabel as tl
 from limnia.functions.cleaning import clean_index, near_zero_threshold
 from limnia.functions.text import basename, display_label, mentions_any
 from limnia.operators import merge, resample, schema, series, spatial, summary, zonal
-from limnia.session import materialise
+from limnia.session import materialise, scratch_path
 from limnia.plans import catalogue, climate, extraction, features, feeds, quality
 from limnia.sources import files as src_files
-from limnia.sources import manifest
+from limnia.sources import manifest, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -77,6 +77,18 @@ def regional_daily(spark, sf_dir):
     return rounded(out, 9, "CI_mean", "CI_p90")
 
 
+@query
+def regional_readers(spark, sf_dir):
+    """Regional days of files served by two readers; every fifth day no reader could open its file."""
+    files = ad.files(spark, sf_dir)
+    day = F.day(tl.name_dates("src", "daily")[0])
+    engine = F.when(day % 5 == 0, F.lit(None).cast("string")).when(day % 2 == 0, "primary").otherwise("fallback")
+    out = extraction.regional_series(
+        ad.pixels(spark, sf_dir), files.withColumn("engine", engine), "daily", valid_min=ad.VALID_MIN, valid_max=ad.VALID_MAX
+    )
+    return rounded(out, 9, "CI_mean", "CI_p90")
+
+
 @query
 def regional_monthly(spark, sf_dir):
     """The pixels of a month as one file: large groups, mid-month labels."""
@@ -105,7 +117,7 @@ def zonal_monthly(spark, sf_dir):
 
 @query
 def index_cleaning(spark, sf_dir):
-    """How many readings survive each bound, per day."""
+    """How many readings survive each bound, per day; single precision and, on the bounds, double."""
     px = ad.pixels(spark, sf_dir)
     v = clean_index("CI_cyano", ad.VALID_MIN, ad.VALID_MAX)
     floor_only = clean_index("CI_cyano")
@@ -115,7 +127,13 @@ def index_cleaning(spark, sf_dir):
         F.count(high_floor).alias("n_high"),
         F.round(F.max(near_zero_threshold(1e-3).cast("double")), 9).alias("threshold"),
     )
-    return out
+    li = ad.table(spark, sf_dir, "lineitem").select(
+        F.to_date("l_shipdate").alias("date"), (F.col("l_quantity").cast("double") * 5e-5).alias("wide")
+    )
+    wide = li.groupBy("date").agg(
+        F.count(clean_index("wide")).alias("n_wide_floor"), F.count(clean_index("wide", 1e-3, 2e-3)).alias("n_wide_kept")
+    )
+    return out.join(wide, "date")
 
 
 # --- time ---------------------------------------------------------------------------
@@ -135,9 +153,10 @@ def time_labels(spark, sf_dir):
 @query
 def filename_dates(spark, sf_dir):
     """Files per month found by name dates alone, with the midpoint of the name's span."""
-    f = ad.file_records(spark, sf_dir).where("product = 'monthly'")
-    a, b = tl.name_dates("src", "monthly")
-    return f.select(a.alias("first"), b.alias("last"), tl.midpoint(a, b).alias("middle")).groupBy(
+    f = ad.file_records(spark, sf_dir)
+    (a, b), (day, _) = tl.name_dates("src", "monthly"), tl.name_dates("src", "daily")
+    first, last = F.coalesce(a, day), F.coalesce(b, day)
+    return f.select(first.alias("first"), last.alias("last"), tl.midpoint(first, last).alias("middle")).groupBy(
         "first", "last", "middle"
     ).agg(F.count("*").alias("n_files"))
 
@@ -152,17 +171,20 @@ def period_snap(spark, sf_dir):
     ).agg(F.count("*").alias("n"))
 
 
+# How event times are written as text, in turns; the last two can't be read.
+TEXT_TIMES = (
+    "yyyy-MM-dd HH:mm:ss'.5+00:00'", "yyyy-MM-dd", "MM/dd/yyyy", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyyMMdd",
+    "M/d/yyyy", "MMMM d, yyyy", "yyyy-MM-dd h:mm a", "dd-MMM-yyyy", "MMM d yyyy", "yyyyMMdd'T'HHmmss", "yyyyMMdd HH:mm",
+    "yyyy/MM/dd HH:mm", "yyyy.MM.dd", "M/d/yyyy H:mm", "MMM d, yyyy HH:mm", "'junk'", None,
+)
+
+
 def _texts(spark, sf_dir):
-    kind = F.pmod("event_id", F.lit(7))
-    d = F.to_date("ts")
-    text = (
-        F.when(kind == 0, F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(".5+00:00")))
-        .when(kind == 1, d.cast("string"))
-        .when(kind == 2, F.date_format(d, "MM/dd/yyyy"))
-        .when(kind == 3, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(kind == 4, F.date_format(d, "yyyyMMdd"))
-        .when(kind == 5, "junk")
-    )
+    kind = F.pmod("event_id", F.lit(len(TEXT_TIMES)))
+    text = F.lit(None).cast("string")
+    for i, form in enumerate(TEXT_TIMES):
+        if form:
+            text = F.when(kind == i, F.date_format("ts", form)).otherwise(text)
     return ad.table(spark, sf_dir, "events").select("event_id", text.alias("obs_time"))
 
 
@@ -204,9 +226,9 @@ def reindex_daily(spark, sf_dir):
 
 @query
 def reindex_monthly(spark, sf_dir):
-    """Months of each priority's orders in one segment, empty ones included."""
-    o = ad.table(spark, sf_dir, "orders").where(F.pmod(F.month("o_orderdate"), F.lit(3)) != 0)
-    m = o.groupBy(F.col("o_orderpriority").alias("series"), F.trunc("o_orderdate", "MM").alias("date")).agg(
+    """Months of each customer's orders, empty ones included."""
+    o = ad.table(spark, sf_dir, "orders")
+    m = o.groupBy(F.col("o_custkey").alias("series"), F.trunc("o_orderdate", "MM").alias("date")).agg(
         F.round(F.max("o_totalprice"), 2).alias("top")
     )
     return series.fill_calendar(m, ["series"], "MS")
@@ -219,8 +241,9 @@ def calendar_days(spark, sf_dir):
 
 
 def _interp(spark, sf_dir, limit):
-    # thinned by date so that gaps of many lengths occur
-    s = ad.obs(spark, sf_dir).where(F.pmod(F.dayofyear("date") * 7, F.lit(11)) < 5)
+    # values blanked by date so that gaps of many lengths occur
+    known = F.pmod(F.dayofyear("date") * 7, F.lit(11)) < 5
+    s = ad.obs(spark, sf_dir).withColumns({c: F.when(known, F.col(c)) for c in ("CI_mean", "CI_p90")})
     full = series.fill_calendar(s, ["lake_id"], "D")
     out = series.interpolate_short_gaps(full, ["lake_id"], ["CI_mean", "CI_p90"], limit)
     return rounded(out.select("lake_id", "date", "CI_mean", "CI_p90"), 11, "CI_mean", "CI_p90")
@@ -250,7 +273,8 @@ def clip_per_lake(spark, sf_dir):
 
 
 def _regional(spark, sf_dir):
-    s = ad.obs(spark, sf_dir).where(F.pmod(F.dayofyear("date") * 7, F.lit(11)) < 8)
+    known = F.pmod(F.dayofyear("date") * 7, F.lit(11)) < 8
+    s = ad.obs(spark, sf_dir).withColumns({c: F.when(known, F.col(c)) for c in ("CI_mean", "CI_p90", "n_valid")})
     return quality.regional_quality(s, "D", series="lake_id")
 
 
@@ -327,7 +351,7 @@ _KEYS = ["lake_id", "lake_name", "date"]
 
 @query
 def climate_outer(spark, sf_dir):
-    """Five variable tables, fully outer merged one after the other."""
+    """Six variable tables, fully outer merged one after the other."""
     long = ad.climate_long(spark, sf_dir)
     tables = [long.where(F.col("var") == v).select(*_KEYS, F.col("value").alias(v)) for v in ad.CLIMATE]
     return rounded(merge.outer_merge(tables, _KEYS), 9, *ad.CLIMATE)
@@ -353,6 +377,13 @@ for _name, _table in (("resample_7d", "weekly_7D"), ("resample_wmon", "weekly_W-
     query(_fn)
 
 
+@query
+def rolling_1970(spark, sf_dir):
+    """The 28-day means of the same series moved back over 1970."""
+    moved = ad.climate_orders(spark, sf_dir).withColumn("date", F.date_sub("date", 9500))
+    return rounded(climate.resampled_climate(moved, ad.CLIMATE)["roll28"], 8, *ad.CLIMATE)
+
+
 @query
 def lake_pixels_mean(spark, sf_dir):
     """Climate-style means over the pixels inside each polygon, all variables in one pass."""
@@ -391,7 +422,7 @@ def features_daily(spark, sf_dir):
 
 @query
 def features_exact(spark, sf_dir):
-    """Equal time stamps only: nothing matches, climate stays empty."""
+    """Equal time stamps only: observations stamped at midnight match, others stay without climate."""
     return _features(spark, sf_dir, "exact")
 
 
@@ -427,6 +458,24 @@ def inset_membership(spark, sf_dir):
     return spatial.lake_pixels(ad.grid(spark, sf_dir), ad.polygons(spark, sf_dir), inset_m=5000.0)
 
 
+@query
+def touching_parts(spark, sf_dir):
+    """Grid pixels inside lakes of two touching parts, without and with an inset of 5 km."""
+    grid, lakes = ad.grid(spark, sf_dir), ad.halves(spark, sf_dir)
+    both = [spatial.lake_pixels(grid, lakes, d).withColumn("inset_km", F.lit(d / 1000)) for d in (0.0, 5000.0)]
+    return both[0].unionByName(both[1])
+
+
+@query
+def inset_chain(spark, sf_dir):
+    """Study lakes, then expected pixels and member pixels inside the inset that their table states."""
+    cand = catalogue.candidate_lakes(ad.parts(spark, sf_dir))
+    lakes = materialise(catalogue.study_lakes(cand, strict=False, cell_m=5000.0, inset_m=3000.0))
+    expected = spatial.expected_pixel_table(lakes, pix_res_m=5000.0)
+    members = spatial.lake_pixels(ad.grid(spark, sf_dir), lakes).groupBy("lake_id").agg(F.count("*").alias("members"))
+    return expected.join(members, "lake_id", "left").select("lake_id", "lake_name", "expected_pixels_geom", "members")
+
+
 @query
 def polygon_bounds(spark, sf_dir):
     return rounded(spatial.bounds(spatial.edges(ad.polygons(spark, sf_dir))), 9, "minx", "miny", "maxx", "maxy")
@@ -533,34 +582,33 @@ def _listing(spark, sf_dir):
 @query
 def manifest_audit(spark, sf_dir):
     """skip / get / miss for every expected day; odd days can be fetched."""
-    expected = manifest.expected_daily(_spans(spark, sf_dir)).where("region = 'CONUS'")
+    expected = manifest.expected_daily(_spans(spark, sf_dir))
     remote = expected.where(F.day("date") % 2 == 1).select("src")
     return src_files.audit_files(expected, _listing(spark, sf_dir), remote).select("src", "date", "action")
 
 
 @query
 def manifest_missing(spark, sf_dir):
-    expected = manifest.expected_daily(_spans(spark, sf_dir)).where("region = 'CONUS'")
+    expected = manifest.expected_daily(_spans(spark, sf_dir))
     return src_files.missing_files(expected, _listing(spark, sf_dir)).select("src", "date")
 
 
 @query
 def url_names(spark, sf_dir):
-    """File name of every page URL, split where it has the climate product's shape."""
+    """File name of every page URL, split where it has the climate product's shape.
+
+    Half of the pages have a climate file below them, daily or monthly.
+    """
     u = ad.table(spark, sf_dir, "pages").select("page_id", "url")
     var = F.element_at(F.array(*map(F.lit, ("tmin", "vp", "prcp"))), F.pmod("page_id", F.lit(3)).cast("int") + 1)
-    url = F.when(F.pmod("page_id", F.lit(4)) == 0, F.concat(F.lit("https://x.org/d/daymet_v4_daily_na_"), var, F.lit("_2024.nc?a=b/")))
-    url = F.when(F.pmod("page_id", F.lit(4)) == 1, F.concat(F.lit("https://x.org/m/daymet_v4_"), var, F.lit("_monavg_hi_2023.tif"))).otherwise(url)
-    out = manifest.url_manifest(u.withColumn("url", F.coalesce(url, "url")))
+    kind = F.pmod("page_id", F.lit(4))
+    below = F.when(kind == 0, F.concat(F.lit("/daymet_v4_daily_na_"), var, F.lit("_2024.nc?a=b"))).when(
+        kind == 1, F.concat(F.lit("/daymet_v4_"), var, F.lit("_monavg_hi_2023.tif"))
+    )
+    out = manifest.url_manifest(u.withColumn("url", F.concat("url", F.coalesce(below, F.lit("")))))
     return out.drop("url").withColumn("year", F.col("year").cast("double"))
 
 
-@query
-def file_signature(spark, sf_dir):
-    """Which of the folder's files start like an array file (none: they are parquet)."""
-    return src_files.file_signatures(spark, sf_dir, "*.parquet")
-
-
 @query
 def reader_status(spark, sf_dir):
     """Pixels of readable files only, with the reader that served them."""
@@ -625,16 +673,13 @@ def facet_shading(spark, sf_dir):
     return rounded(out, 11, "coverage_height", "CI_mean_7", "CI_p90_7")
 
 
-def _events_valid(spark, sf_dir):
-    return ad.obs_events(spark, sf_dir).withColumn("lake_name", F.concat(F.lit("Lake "), F.substring("lake_id", 4, 9)))
-
-
 @query
 def validity_matrix(spark, sf_dir):
-    """Lake x day matrix of the validity verdict."""
-    dates = [f"2024-01-{d:02d}" for d in range(1, 31)]
-    out = summary.pivot_dates(_events_valid(spark, sf_dir), dates)
-    return out.select("lake_id", *[F.col(f"`{d}`").cast("double").alias("d" + d.replace("-", "")) for d in dates])
+    """Labelled lakes x every day of the data: the validity verdict."""
+    named = ad.obs_events(spark, sf_dir).withColumn("lake_name", F.concat(F.lit("Lake "), F.substring("lake_id", 4, 9)))
+    out = feeds.validity_matrix_feed(named)
+    days = [c for c in out.columns if c != "label"]
+    return out.select("label", *[F.col(f"`{d}`").cast("double").alias("d" + d.replace("-", "")) for d in days])
 
 
 @query
@@ -677,3 +722,93 @@ def coordinate_names(spark, sf_dir):
         F.count("*").alias("n"), F.round(F.min("lon"), 6).alias("west"), F.round(F.max("lon"), 6).alias("east"),
         F.round(F.max("lat"), 6).alias("lat"),
     )
+
+
+# --- readers, writers, order --------------------------------------------------------
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """A regional series written as CSV and read back with its schema; missing counts stay missing."""
+    path = scratch_path(spark)
+    known = F.when(F.day("date") % 6 != 0, F.col("n_valid"))
+    rows = ad.obs(spark, sf_dir).select(F.concat_ws("/", "lake_id", "date").alias("time"), "CI_mean", "CI_p90", known.alias("n_valid"))
+    tables.write_csv(rows, path)
+    out = rounded(tables.read_csv(spark, path, tables.REGIONAL_SERIES), 11, "CI_mean", "CI_p90")
+    return out.withColumn("n_valid", F.col("n_valid").cast("double"))
+
+
+@query
+def parquet_glob(spark, sf_dir):
+    """Observations written by lake, then the files of all folders read by pattern, with NaN made missing."""
+    path = scratch_path(spark)
+    rows = ad.obs(spark, sf_dir).withColumn("CI_mean", F.when(F.day("date") % 9 == 0, F.lit(float("nan"))).otherwise(F.col("CI_mean")))
+    tables.write_parquet(rows.withColumn("lake", F.col("lake_id")), path, ["lake"])
+    out = tables.read_parquet(spark, path, "part-*.parquet", recursive=True, source_column="src")
+    return out.groupBy("lake_id").agg(
+        F.count("*").alias("rows"), F.count("CI_mean").alias("n_mean"), F.count_if(F.col("src").startswith("part-")).alias("n_src")
+    )
+
+
+@query
+def pixel_scan(spark, sf_dir):
+    """Pixels without positions read from their own table; the grid's positions are attached."""
+    path = scratch_path(spark)
+    tables.write_parquet(ad.pixels(spark, sf_dir).drop("lon", "lat"), path)
+    px = tables.read_pixels(spark, path, "CI_cyano", ad.grid(spark, sf_dir))
+    return px.groupBy("src").agg(
+        F.count("*").alias("n"), F.count("CI_cyano").alias("n_value"), F.round(F.sum("lon"), 6).alias("lon"), F.round(F.sum("lat"), 6).alias("lat")
+    )
+
+
+@query
+def polygon_round_trip(spark, sf_dir):
+    """Polygon parts written, read back and measured: points of all rings and the box of each lake."""
+    path = scratch_path(spark)
+    tables.write_polygons(ad.polygons(spark, sf_dir), path)
+    parts = tables.read_polygons(spark, path)
+    points = F.aggregate("rings", F.lit(0), lambda n, ring: n + F.size(ring))
+    box = spatial.bounds(spatial.edges(parts))
+    out = parts.select("lake_id", "srid", points.alias("points")).join(box, "lake_id")
+    return rounded(out, 9, "minx", "miny", "maxx", "maxy")
+
+
+@query
+def optional_input(spark, sf_dir):
+    """Tables of the folder that are there, by name; one is not."""
+    names = ("orders", "lineitem", "supplier", "no_such_table")
+    found = [(n, tables.optional(tables.read_parquet, spark, f"{sf_dir}/{n}.parquet")) for n in names]
+    one = [
+        (df.agg(F.count("*").alias("rows")) if df is not None else spark.range(1).select(F.lit(None).cast("long").alias("rows")))
+        .select(F.lit(n).alias("name"), F.col("rows").cast("double").alias("rows"))
+        for n, df in found
+    ]
+    return series.union_all(one)
+
+
+@query
+def sorted_rows(spark, sf_dir):
+    """Observations in lake and date order, as written and read back: each row with its place in the table."""
+    path = scratch_path(spark)
+    rows = schema.ordered(ad.obs(spark, sf_dir), "lake_id", "date").coalesce(1)
+    tables.write_parquet(rows.select("lake_id", "date", "n_valid"), path)
+    # one file, so that the row number within it is the place in the written order
+    return spark.read.parquet(path).select("lake_id", "date", "n_valid", F.col("_metadata.row_index").alias("place"))
+
+
+@query
+def column_difference(spark, sf_dir):
+    """Columns of the stored form that observations lack, and tables with different columns put together."""
+    s = ad.obs(spark, sf_dir)
+    lacking = ",".join(schema.missing_columns(s, schema.OBSERVATION_COLUMNS))
+    both = series.union_all([s.select("lake_id", "n_valid"), s.select("lake_id", "CI_mean")])
+    return both.groupBy("lake_id").agg(
+        F.count("*").alias("rows"), F.count("n_valid").alias("n_counts"), F.count("CI_mean").alias("n_means"), F.lit(lacking).alias("lacking")
+    )
+
+
+@query
+def facet_all(spark, sf_dir):
+    """Without a listed name every lake has its panel."""
+    out = feeds.facet_feed(_stored_quality(spark, sf_dir), ("nowhere",))
+    return out.groupBy("lake_id", F.col("ord").cast("double").alias("ord")).agg(F.count("*").alias("rows"))

@@ -106,13 +106,20 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
-def pivot_dates(df: DataFrame, dates: Sequence[str], key: str = "lake_id", time: str = "date",
+def pivot_dates(df: DataFrame, dates: Sequence[str] | None = None, key: str = "lake_id", time: str = "date",
                 value: str = "qc_is_valid") -> DataFrame:
-    """Key x date matrix of the largest value, one column per listed day, rows sorted."""
+    """Key x date matrix of the largest value, rows sorted; one column per listed day, or per day of the data.
+
+    Days become columns, so the second form first asks which days there are: a calendar's worth.
+    """
     day = F.to_date(time)
-    return df.groupBy(key).agg(*[
+    if dates is None:
+        found = df.select(day.alias("day")).where("day IS NOT NULL").distinct().orderBy("day").collect()
+        dates = [str(r["day"]) for r in found]
+    rows = df.groupBy(key).agg(*[
         F.max(F.when(day == F.lit(d).cast("date"), F.col(value))).alias(str(d)) for d in dates
-    ]).orderBy(F.asc_nulls_last(key))
+    ]) if dates else df.select(key).distinct()
+    return rows.orderBy(F.asc_nulls_last(key))
 
 
 def validity_long(df: DataFrame, name: str | None = "lake_name") -> DataFrame:

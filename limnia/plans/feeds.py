@@ -12,6 +12,7 @@ from limnia.functions.text import is_any, list_rank
 from limnia.operators.quantiles import attach
 from limnia.operators.schema import ensure_date, resolve_column
 from limnia.operators.series import any_value_present, centred_mean
+from limnia.operators.summary import pivot_dates, validity_long
 from limnia.plans.catalogue import NAMES
 from limnia.plans.features import valid_rows
 from limnia.session import materialise
@@ -95,3 +96,8 @@ def facet_feed(
         "ord", "lake_id", "title", "date",
         shade_height(F.col("pct_valid_geom"), F.col("peak")).alias("coverage_height"), *_means(d),
     ).orderBy("ord", "lake_id", "date")
+
+
+def validity_matrix_feed(df: DataFrame, name: str | None = "lake_name") -> DataFrame:
+    """One row per lake, labelled ``id - name``, and one column per day of the data: the validity verdict."""
+    return pivot_dates(materialise(validity_long(ensure_date(df), name)), key="label")

@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from limnia.functions.cleaning import to_number
 from limnia.operators import spatial, summary
 from limnia.operators.schema import ensure_date, ordered
-from limnia.plans import catalogue, climate, extraction, features, quality
+from limnia.plans import catalogue, climate, extraction, features, feeds, quality
 from limnia.session import materialise, use_utc
 from limnia.sources import files as src_files
 from limnia.sources import tables
@@ -38,10 +39,12 @@ def _inputs(spark, pixels, files, value, pattern):
 
 def extract_daily(
     spark: SparkSession, pixels: str, polygons: str, out: str, files: str | None = None,
-    value: str = "CI_cyano", pattern: str | None = None, **bounds,
+    value: str = "CI_cyano", pattern: str | None = None, audit: str | None = None, **bounds,
 ) -> bool:
     """Daily lake observations, sorted by lake and date. Files no reader could open are skipped.
 
+    ``audit`` is where to put a CSV of dates, rows and lakes for each file and reader.
+
     ``files`` is an optional table ``src`` with any of ``time0, start, end, attrs,
     valid_min, valid_max, engine``; a NULL engine marks an unreadable file.
     """
@@ -56,7 +59,11 @@ def extract_daily(
         listed = listed.where("engine IS NOT NULL")
     boxes = materialise(spatial.lake_boxes(tables.read_polygons(spark, polygons)))
     obs = extraction.daily_observations(px, boxes, listed, value, **bounds)
-    return tables.write_parquet(ordered(obs, "lake_id", "date"), out, skip_empty=True)
+    if not tables.write_parquet(ordered(obs, "lake_id", "date"), out, unless_empty=listed):
+        return False
+    if audit:
+        tables.write_csv(summary.file_audit(spark.read.parquet(out)), audit)
+    return True
 
 
 def extract_monthly(
@@ -74,7 +81,7 @@ def extract_monthly(
         px = src_files.readable_only(px, listed, strict=True).drop("engine")
     boxes = materialise(spatial.lake_boxes(tables.read_polygons(spark, polygons)))
     return tables.write_parquet(
-        extraction.monthly_observations(px, boxes, listed, value, **bounds), out, skip_empty=True
+        extraction.monthly_observations(px, boxes, listed, value, **bounds), out, unless_empty=listed
     )
 
 
@@ -82,9 +89,11 @@ def extract_region(
     spark: SparkSession, pixels: str, out_csv: str, product: str, files: str | None = None,
     value: str = "CI_cyano", pattern: str | None = None, **bounds,
 ) -> bool:
-    """Whole-region series as CSV, sorted by time."""
+    """Whole-region series as CSV, sorted by time. Files no reader could open are skipped."""
     use_utc(spark)
     px, listed = _inputs(spark, pixels, files, value, pattern)
+    if "engine" in listed.columns:
+        px = src_files.readable_only(px, listed).drop("engine")
     rows = extraction.regional_series(px, listed, product, value, **bounds)
     return tables.write_csv(ordered(rows, "time" if product == "monthly" else "date"), out_csv)
 
@@ -125,14 +134,19 @@ def check_lakes(
 
 def lake_climate(
     spark: SparkSession, cube: str, grid: str, polygons: str, out: str,
-    variables: Sequence[str] = climate.VARIABLES, inset_m: float | None = None,
+    variables: Sequence[str] = climate.VARIABLES, inset_m: float | None = None, profile: str | None = None,
 ) -> None:
-    """Wide lake climate table, sorted by lake and date; pixels inside each lake's inset."""
+    """Wide lake climate table, sorted by lake and date; pixels inside each lake's inset.
+
+    ``profile`` is where to put a CSV with a line for each column.
+    """
     use_utc(spark)
     rows = climate.lake_climate(
         spark.read.parquet(cube), spark.read.parquet(grid), tables.read_polygons(spark, polygons), variables, inset_m
     )
     tables.write_parquet(ordered(rows, "lake_id", "date"), out)
+    if profile:
+        tables.write_csv(summary.profile(spark.read.parquet(out)), profile)
 
 
 def resample_climate(
@@ -158,3 +172,26 @@ def merge_features(
     merge = features.monthly_features if monthly else features.daily_features
     rows = merge(obs, clim, variables, align or ("month" if monthly else "day"))
     tables.write_parquet(rows, out)
+
+
+def chart_feeds(spark: SparkSession, checked: str, out_dir: str, monthly: bool = False, names: Sequence[str] = catalogue.NAMES) -> list[str]:
+    """The tables behind the charts of a checked lake table, one folder each; returns their paths."""
+    use_utc(spark)
+    rows = spark.read.parquet(checked)
+    made = {"lake_monthly": feeds.lake_monthly_feed(rows)} if monthly else {
+        "lake_daily": feeds.lake_daily_feed(rows), "facets": feeds.facet_feed(rows, names),
+        "validity": feeds.validity_matrix_feed(rows),
+    }
+    for name, table in made.items():
+        tables.write_parquet(table, f"{out_dir}/{name}")
+    return [f"{out_dir}/{name}" for name in made]
+
+
+def regional_feeds(spark: SparkSession, checked: str, out: str, monthly: bool = False, series: str = "series") -> None:
+    """The table behind the chart of one checked regional series (CSV, as ``check_region`` writes it)."""
+    use_utc(spark)
+    text = spark.read.option("header", True).csv(checked)
+    rows = text.withColumns({c: to_number(c) for c in ("CI_mean", "CI_p90", "n_valid") if c in text.columns})
+    rows = rows.withColumn(series, F.lit("region"))
+    feed = feeds.regional_monthly_feed if monthly else feeds.regional_daily_feed
+    tables.write_parquet(feed(rows, series), out)

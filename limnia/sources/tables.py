@@ -90,18 +90,21 @@ def optional(read, *args, **kwargs) -> DataFrame | None:
         raise
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), skip_empty: bool = False) -> bool:
-    """Overwrite a parquet table; with ``skip_empty`` an empty result writes nothing."""
-    if skip_empty and df.isEmpty():
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), unless_empty: DataFrame | None = None) -> bool:
+    """Overwrite a parquet table. If ``unless_empty``, the table it is made from, has no row, write nothing.
+
+    The input is asked and not the result, which would be computed twice.
+    """
+    if unless_empty is not None and unless_empty.isEmpty():
         return False
     w = df.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return True
 
 
-def write_csv(df: DataFrame, path: str, skip_empty: bool = False) -> bool:
+def write_csv(df: DataFrame, path: str, unless_empty: DataFrame | None = None) -> bool:
     """Overwrite a CSV folder with headers. Meant for series and summaries."""
-    if skip_empty and df.isEmpty():
+    if unless_empty is not None and unless_empty.isEmpty():
         return False
     df.write.mode("overwrite").option("header", True).csv(path)
     return True

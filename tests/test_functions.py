@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,24 @@ def test_albers_textbook_point(spark):
     row = spark.range(1).select(x.alias("x"), y.alias("y")).first()
     assert row["x"] == pytest.approx(1885472.7, abs=0.1)
     assert row["y"] == pytest.approx(1535925.0, abs=0.1)
+
+
+MIXED = [
+    "1/5/2024", "January 5, 2024", "2024-01-05 6:30 PM", "05-Jan-2024", "Jan 5 2024", "20240105T063000", "20240105 06:30",
+    "2024/01/05 06:30", "2024.01.05", "1/5/2024 6:30", "Jan 5, 2024 06:30", "13/1/2024", "5 January 2024 1:02:03 am", "junk", None,
+]
+
+
+def test_mixed_dates_match_pandas(spark):
+    got = column(spark, "s string", MIXED, timelabel.parse_lenient("s").cast("timestamp_ntz"))
+    want = pd.to_datetime(pd.Series(MIXED), format="mixed", errors="coerce")
+    assert [None if x is None else pd.Timestamp(x) for x in got] == [None if pd.isna(x) else x for x in want]
+
+
+def test_bounds_in_the_pixels_own_precision(spark):
+    values = [5e-5, 5.0000001e-5, 0.1, 0.2, 0.20000000001]
+    assert column(spark, "s double", values, cleaning.clean_index("s")) == [None, *values[1:]]
+    # the background test is strict and its threshold is the larger of the two lower limits
+    assert column(spark, "s double", values, cleaning.clean_index("s", 0.1, 0.2)) == [None, None, None, 0.2, None]
+    kept = column(spark, "s float", [5e-5, 0.1, 0.2, 0.3], cleaning.clean_index("s", 0.1, 0.2))
+    assert [x is not None for x in kept] == [False, False, True, False]

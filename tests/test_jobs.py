@@ -57,17 +57,31 @@ def test_pipeline(spark, stored):
     # the file's own upper bound removes the brightest columns late in January
     assert obs["GL-1", dt.date(2024, 1, 31)]["n_valid"] < 64
 
+    # a path-to-path report of the files, and the unreadable one left out of the region too
+    assert jobs.extract_daily(spark, f"{d}/pixels", f"{d}/lakes", f"{d}/daily2", files=f"{d}/files", audit=f"{d}/audit")
+    assert spark.read.option("header", True).csv(f"{d}/audit").count() == 39
+    assert jobs.extract_region(spark, f"{d}/pixels", f"{d}/region_readers", "daily", files=f"{d}/files", valid_max=0.005)
+    region = spark.read.option("header", True).csv(f"{d}/region_readers")
+    assert region.count() == 39 and {r["engine"] for r in region.select("engine").distinct().collect()} == {"primary"}
+
     assert jobs.extract_region(spark, f"{d}/pixels", f"{d}/region", "daily", valid_max=0.005)
     assert jobs.check_region(spark, f"{d}/region", "D", f"{d}/qc", "region_daily")
     assert not jobs.check_region(spark, f"{d}/nothing", "D", f"{d}/qc", "x")
     clean = spark.read.option("header", True).csv(f"{d}/qc/region_daily_clean")
     assert clean.count() == 40 and "qc_low_coverage" in clean.columns
+    jobs.regional_feeds(spark, f"{d}/qc/region_daily_clean", f"{d}/feeds/region")
+    assert spark.read.parquet(f"{d}/feeds/region").where("CI_mean_7 IS NOT NULL").count() == 40
 
     assert jobs.check_lakes(spark, f"{d}/daily", f"{d}/lakes", f"{d}/qc", "lakes_daily", pix_res_m=10000.0, min_abs_pix=10)
     assert not jobs.check_lakes(spark, f"{d}/none", f"{d}/lakes", f"{d}/qc", "x")
     qc = spark.read.parquet(f"{d}/qc/lakes_daily_clean")
     assert qc.count() == 78 and {r["lake_name"] for r in qc.collect()} == {"Erie", "Huron"}
     assert qc.where("qc_is_valid = 0").count() >= 1
+    assert spark.read.option("header", True).csv(f"{d}/qc/lakes_daily_counts").count() == 2
+    paths = jobs.chart_feeds(spark, f"{d}/qc/lakes_daily_clean", f"{d}/feeds", names=("Erie",))
+    matrix = spark.read.parquet(paths[2])
+    assert matrix.count() == 2 and len(matrix.columns) == 40 and {r["label"] for r in matrix.collect()} == {"GL-1 - Erie", "GL-2 - Huron"}
+    assert spark.read.parquet(paths[1]).select("lake_id").distinct().count() == 1
 
     jobs.lake_climate(spark, f"{d}/cube", f"{d}/grid", f"{d}/lakes", f"{d}/climate", variables=("tmin", "tmax"))
     clim = spark.read.parquet(f"{d}/climate")
@@ -84,3 +98,30 @@ def test_pipeline(spark, stored):
 def test_missing_pixels_warn(spark, stored):
     with pytest.warns(UserWarning, match="no daily pixels"):
         assert not jobs.extract_daily(spark, f"{stored}/nowhere", f"{stored}/raw", f"{stored}/x")
+
+
+def test_inset_reaches_every_job(spark, tmp_path):
+    """The study lakes' inset shrinks boxes, expected pixels and climate masks."""
+    d = str(tmp_path)
+    spark.createDataFrame([(1, "Erie", "United States", 1, 4326, ring(-81.0, 42.0, 0.4))], RAW).write.parquet(f"{d}/raw")
+    grid = spark.range(100 * 100).select((F.col("id") / 100).cast("int").alias("y"), (F.col("id") % 100).cast("int").alias("x"))
+    grid = grid.withColumns({"lon": -81.495 + F.col("x") / 100.0, "lat": 41.505 + F.col("y") / 100.0})
+    grid.write.parquet(f"{d}/grid")
+    src = F.lit("S3M_OLCI_EFRNT.20240101.L3m.DAY.ILW_CONUS.V5.all.CONUS.300m.nc").alias("src")
+    grid.select(src, "y", "x", "lon", "lat", F.lit(1e-3).cast("float").alias("CI_cyano")).write.parquet(f"{d}/pixels")
+    edge = F.least(0.4 - F.abs(F.col("lon") + 81.0), 0.4 - F.abs(F.col("lat") - 42.0))  # degrees to the shore
+    grid.select("y", "x", F.lit("2024-01-01").alias("time"), F.lit("tmin").alias("var"), (edge < 0.05).cast("double").alias("value")
+                ).write.parquet(f"{d}/cube")
+    seen = {}
+    for inset in (0.0, 8000.0):
+        jobs.select_lakes(spark, f"{d}/raw", f"{d}/cand", f"{d}/lakes", order=("Erie",), inset_m=inset, cell_m=2000.0)
+        jobs.extract_daily(spark, f"{d}/pixels", f"{d}/lakes", f"{d}/daily")
+        jobs.check_lakes(spark, f"{d}/daily", f"{d}/lakes", f"{d}/qc", "e", pix_res_m=500.0)
+        jobs.lake_climate(spark, f"{d}/cube", f"{d}/grid", f"{d}/lakes", f"{d}/clim", variables=("tmin",))
+        row = spark.read.parquet(f"{d}/qc/e_clean").first()
+        seen[inset] = row["n_valid"], row["expected_pixels_geom"], spark.read.parquet(f"{d}/clim").first()["tmin"]
+    assert seen[0.0][0] == 80 * 80
+    # 8 km are 0.072 degrees of latitude and 0.097 of longitude there
+    assert seen[8000.0][0] == pytest.approx((80 - 19.4) * (80 - 14.4), rel=0.04)
+    assert seen[8000.0][1] / seen[0.0][1] == pytest.approx(0.62, abs=0.03)
+    assert seen[0.0][2] > 0.1 and seen[8000.0][2] == 0.0

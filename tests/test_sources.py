@@ -24,10 +24,10 @@ def test_parquet_pattern_and_source_name(spark, tmp_path):
 
 def test_empty_results_are_not_written(spark, tmp_path):
     empty = spark.createDataFrame([], "v double")
-    assert not tables.write_parquet(empty, str(tmp_path / "deep" / "er"), skip_empty=True)
+    assert not tables.write_parquet(empty, str(tmp_path / "deep" / "er"), unless_empty=empty)
     assert not (tmp_path / "deep").exists()
     assert tables.write_parquet(empty.unionAll(spark.createDataFrame([(1.0,)], "v double")), str(tmp_path / "deep" / "er"))
-    assert not tables.write_csv(empty, str(tmp_path / "c"), skip_empty=True)
+    assert not tables.write_csv(empty, str(tmp_path / "c"), unless_empty=empty)
 
 
 def test_geojson_polygons_and_reference_system(spark, tmp_path):
@@ -180,3 +180,6 @@ def test_stream_processes_each_file_once(spark, tmp_path):
     assert [(r["date"].day, r["lake_id"], r["n_valid"]) for r in rows] == [
         (1, "a", 1), (1, "b", 0), (2, "a", 1), (2, "b", 0), (3, "a", 1), (3, "b", 0)]
     assert rows[4]["CI_mean"] == pytest.approx(0.003)
+    arrive(2)  # more pixels of a source file whose statistics are out already
+    with pytest.raises(Exception, match="earlier batch"):
+        run()

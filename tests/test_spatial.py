@@ -67,6 +67,41 @@ def test_parts_count_once_and_bands_do_not_matter(spark):
         assert inside(spark, polys, pts, band=band) == want
 
 
+def test_touching_parts_have_no_shore_between_them(spark):
+    left, right = [(0.0, 0.0), (2.0, 0.0), (2.0, 4.0), (0.0, 4.0)], [(2.0, 4.0), (2.0, 0.0), (4.0, 0.0), (4.0, 4.0)]
+    slanted = [(0.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(4.0, 4.0), (0.0, 0.0), (4.0, 0.0)]
+    rng = np.random.default_rng(2)
+    pts = [(2.0, 1.0), (2.0, 0.1), (2.0, 4.0), (1.95, 2.0), (3.0, 3.0), (0.3, 0.3)] + [tuple(map(float, p)) for p in rng.uniform(-1, 5, (200, 2))]
+    one = polygons(spark, ("a", 0, [SQUARE]))
+    for inset in (0.0, 0.5):
+        want = inside(spark, one, pts, inset)
+        for parts in ((left, right), slanted):
+            two = polygons(spark, *[("a", i, [r]) for i, r in enumerate(parts)])
+            assert inside(spark, two, pts, inset) == want
+
+
+def test_box_of_the_inset(spark):
+    ring = [(-90.0, 45.0), (-89.0, 45.0), (-89.0, 46.0), (-90.0, 46.0)]
+    polys = polygons(spark, ("a", 0, [ring]))
+    whole = spatial.lake_boxes(polys).first()
+    assert tuple(whole)[1:] == (-90.0, 45.0, -89.0, 46.0)
+    # stated lake by lake in the table
+    inner = spatial.lake_boxes(polys.withColumn("inset_m", F.lit(5000.0)), cell_m=250.0).first()
+    lat, lon = 5000 / 111200, 5000 / (111300 * math.cos(math.radians(45.0)))
+    assert inner["miny"] == pytest.approx(45 + lat, abs=0.006) and inner["maxy"] == pytest.approx(46 - lat, abs=0.006)
+    assert inner["minx"] == pytest.approx(-90 + lon, abs=0.006) and inner["maxx"] == pytest.approx(-89 - lon, abs=0.006)
+
+
+def test_projection_inverse(spark):
+    from limnia.functions.geometry import albers, albers_inverse
+
+    df = spark.createDataFrame([(-120.0, 25.0), (-96.0, 37.0), (-70.0, 49.0)], "lon double, lat double")
+    back = albers_inverse(*albers(F.col("lon"), F.col("lat")))
+    for r in df.select("lon", "lat", back[0].alias("x"), back[1].alias("y")).collect():
+        # a centimetre: the series for the latitude ends there
+        assert r["x"] == pytest.approx(r["lon"], abs=1e-7) and r["y"] == pytest.approx(r["lat"], abs=1e-7)
+
+
 def test_bounds_area_and_box(spark):
     polys = polygons(spark, ("a", 0, [SQUARE, HOLE]), ("a", 1, [[(10.0, 0.0), (12.0, 0.0), (12.0, 1.0)]]))
     e = spatial.edges(polys)
