@@ -17,12 +17,12 @@ def _mark(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")))
     others = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
     return others.unionAll(least.select("u", F.col("m").alias("v")))
 
@@ -30,7 +30,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root: every node of the edges (u, v) with the smallest node it is connected to.
 
-    Each round is written to the shared folder. Nodes without an edge to another don't appear.
+    Each round is written to the shared folder, and so is what a round joins its edges with:
+    the join then shuffles both sides for itself, and a node with very many edges can be split.
+    Nodes without an edge to another don't appear.
     """
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
     held = stored(down)
