@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
-import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import limnia
+from limnia.session import scratch_path
+
 # Rows of whole texts that one Arrow batch may carry, and bytes worked on at a time.
 BATCH_ROWS = 500
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches of whole texts small, so that a run of very long texts fits a worker."""
+def ready(spark: SparkSession) -> SparkSession:
+    """Send this package to the workers, and keep Arrow batches of whole texts small.
+
+    A worker need not have the package installed, and a run of very long texts fits into it.
+    """
+    sc = spark.sparkContext
+    if not getattr(sc, "_limnia_sent", False):
+        home = Path(limnia.__file__).parent
+        sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='limnia-')}/limnia", "zip", home.parent, home.name))
+        sc._limnia_sent = True
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -28,21 +40,8 @@ def small_batches(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, deleted when the session's JVM ends.
-
-    Only a local master may go without that setting; it then gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="limnia-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/limnia-llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
+    """A new folder under ``spark.checkpoint.dir``, deleted when the session's JVM ends."""
+    return scratch_path(spark)
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import ALNUM, raw, split
-from limnia.llm.common import broadcast, slices, small_batches, text_bytes
+from limnia.llm.common import broadcast, slices, ready, text_bytes
 
 MIN_WORDS = 10
 MAX_COVERAGE = 0.8
@@ -198,7 +198,7 @@ def _shards(benchmark: DataFrame, min_words: int):
 
 def scan(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``_n_words``, ``_n_hit``, ``_items`` (ids as text) and ``_spans`` (ranges of hit words)."""
-    spark = small_batches(docs.sparkSession)
+    spark = ready(docs.sparkSession)
     columns = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("_n_words", T.LongType()), T.StructField("_n_hit", T.LongType())])
     schema = schema.add("_items", T.ArrayType(T.StringType())).add("_spans", T.DataType.fromDDL(SPANS))

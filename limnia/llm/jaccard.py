@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnia.llm.bytewords import NOT_SPACE, mix, split
-from limnia.llm.common import slices, small_batches, stored
+from limnia.llm.common import slices, ready, stored
 from limnia.llm.graph import components
 
 SHINGLE = 4
@@ -171,7 +171,7 @@ def linked_blocks(sets: list[np.ndarray], split_at: int, threshold: int) -> np.n
 
 def _rows(docs: DataFrame) -> DataFrame:
     """doc_id, text and the row's number; documents must be read from a table, whose rows keep their places."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
 
 

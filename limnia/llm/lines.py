@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limnia.llm.bytewords import LOWER, NOT_SPACE, raw, span_hashes
-from limnia.llm.common import shared_folder, slices, small_batches, text_bytes
+from limnia.llm.common import shared_folder, slices, ready, text_bytes
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -147,7 +147,7 @@ def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
                 names=["doc_id", "row", "pos", "k1", "k2"],
             )
 
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", F.xxhash64("text").alias("row")).mapInArrow(
         find, f"doc_id {kind}, row long, pos int, k1 long, k2 long"

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from limnia.llm.bytewords import mix
-from limnia.llm.common import slices, small_batches, stored
+from limnia.llm.common import slices, ready, stored
 from limnia.llm.tokens import DEFAULT, Encoder
 
 LENGTH = 2048
@@ -92,7 +92,7 @@ def sequences(docs: DataFrame, tokenizer: str = DEFAULT, length: int = LENGTH) -
         if len(rest):
             yield rows(np.pad(rest, (0, length - len(rest)), constant_values=PAD), [len(rest)])
 
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     return docs.select("text").mapInArrow(cut, "part long, place long, n_tokens int, ids binary")
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnia.llm.common import slices, small_batches, text_bytes
+from limnia.llm.common import slices, ready, text_bytes
 from limnia.llm.tokens import DEFAULT, Encoder
 
 LENGTH = 2048
@@ -111,7 +111,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int) -> DataFrame:
                 names=["_row", "doc_id", "start", "length", "doc_tokens", "ids"],
             )
 
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row")).mapInArrow(
         cut, f"_row long, doc_id {kind}, start long, length long, doc_tokens long, ids binary"

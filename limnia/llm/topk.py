@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from limnia.llm.common import ready
+
 QUERY_BLOCK = 2_048
 CANDIDATE_BLOCK = 16_384
 DIMENSIONS = 16  # at a time
@@ -86,6 +88,7 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows for each row with ``is_query``."""
+    ready(vectors.sparkSession)
     rows = vectors.select(
         F.col(id_column).cast("long").alias("vec_id"), whole(F.col(column), scale).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")
     ).filter("vec_id IS NOT NULL AND v IS NOT NULL")
