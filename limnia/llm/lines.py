@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from limnia.llm.common import shared_folder, slices, ready, text_bytes
 MIN_CHARS = 40
 MIN_DOCS = 5
 BLOCK_BYTES = 8 << 20
-SHARD_KEYS = 200_000
+SHARD_REFERENCES = 200_000
 SLOTS = 4
 
 
@@ -179,7 +180,7 @@ class LineIndex:
         self, spark: SparkSession, path: str | None = None, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, shards: int | None = None
     ) -> None:
         self.spark, self.path = spark, path or shared_folder(spark)
-        self.min_docs, self.min_chars, self.shards = min_docs, min_chars, shards
+        self.min_docs, self.min_chars, self.shards, self.given = min_docs, min_chars, shards, shards is not None
         self.version = 0
 
     def insert(self, docs: DataFrame) -> None:
@@ -194,17 +195,22 @@ class LineIndex:
         refs.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/refs/batch={self.version}")
         old = self.filters() if self.version else None
         self.version += 1
-        keys = self._count()
-        if self.shards is None:
-            self.shards = 1 + keys.count() // SHARD_KEYS
-        self._refresh(keys.withColumn("shard", self._shard()), old)
+        if not self.given:
+            # a shard is asked for all its keys, repeated or not: their number follows the references
+            shards = 1 + self._references().count() // SHARD_REFERENCES
+            old = old if shards == self.shards else None
+            self.shards = shards
+        self._refresh(self._count().withColumn("shard", self._shard()), old)
+
+    def _references(self) -> DataFrame:
+        return self.spark.read.schema("k1 long, k2 long, doc_id long, n int").parquet(f"{self.path}/refs/batch=*")
 
     def _shard(self) -> Column:
         return F.pmod(F.xxhash64("k1", "k2"), F.lit(self.shards))
 
     def _count(self) -> DataFrame:
         """k1, k2, n_docs, keep: keys in ``min_docs`` documents or more and the largest of these."""
-        live = self.spark.read.schema("k1 long, k2 long, doc_id long, n int").parquet(f"{self.path}/refs/batch=*")
+        live = self._references()
         if self.version > 1:
             live = live.groupBy("k1", "k2", "doc_id").agg(F.sum("n").alias("n")).filter("n > 0")
             counted = live.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep"))
@@ -228,24 +234,26 @@ class LineIndex:
     def _refresh(self, keys: DataFrame, old: DataFrame | None) -> None:
         """Bring the filters to the present set of keys: delete what left, insert what came."""
 
-        def update(new, held):
+        def update(t):
+            is_filter = pc.is_valid(t.column("filter"))
+            held, new = t.filter(is_filter), t.filter(pc.invert(is_filter))
             now = np.unique(new.column("k1").to_numpy())
-            shard = (new if new.num_rows else held).column("shard")[0].as_py()
+            made = None
             if held.num_rows:
                 before = np.frombuffer(held.column("keys")[0].as_py(), "<i8")
                 made = CuckooFilter.from_bytes(held.column("filter")[0].as_py())
                 made.delete(np.setdiff1d(before, now))
                 if not made.insert(np.setdiff1d(now, before)):
-                    made = CuckooFilter.build(now)
-            else:
-                made = CuckooFilter.build(now)
-            row = {"shard": [shard], "keys": [now.astype("<i8").tobytes()], "filter": [made.to_bytes()]}
+                    made = None
+            made = made or CuckooFilter.build(now)
+            row = {"shard": [t.column("shard")[0].as_py()], "keys": [now.astype("<i8").tobytes()], "filter": [made.to_bytes()]}
             return pa.table(row, schema=pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("filter", pa.binary())]))
 
-        keys = keys.select("shard", "k1")
-        if old is None:
-            old = self.spark.createDataFrame([], "shard long, keys binary, filter binary")
-        fresh = keys.groupBy("shard").cogroup(old.groupBy("shard")).applyInArrow(update, "shard long, keys binary, filter binary")
+        none = F.lit(None).cast("binary")
+        rows = keys.select("shard", "k1", none.alias("keys"), none.alias("filter"))
+        if old is not None:
+            rows = rows.unionByName(old, allowMissingColumns=True)
+        fresh = rows.groupBy("shard").applyInArrow(update, "shard long, keys binary, filter binary")
         fresh.write.option("compression", "zstd").parquet(f"{self.path}/filters/version={self.version}")
 
     def look_up(self, asked: DataFrame) -> DataFrame:
@@ -253,16 +261,19 @@ class LineIndex:
 
         Each shard's filter screens what is asked of the shard; what passes joins the exact table.
         """
+        names = [*asked.columns, "shard"]
 
-        def screen(wanted, held):
-            if not held.num_rows or not wanted.num_rows:
+        def screen(t):
+            is_filter = pc.is_valid(t.column("filter"))
+            wanted, blobs = t.filter(pc.invert(is_filter)).select(names), t.column("filter").filter(is_filter)
+            if not len(blobs) or not wanted.num_rows:
                 return wanted.slice(0, 0)
-            made = CuckooFilter.from_bytes(held.column("filter")[0].as_py())
+            made = CuckooFilter.from_bytes(blobs[0].as_py())
             return wanted.filter(pa.array(made.contains(wanted.column("k1").to_numpy())))
 
         asked = asked.withColumn("shard", self._shard())
-        filters = self.filters().select("shard", "filter")
-        passed = asked.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(screen, asked.schema)
+        both = asked.unionByName(self.filters().select("shard", "filter"), allowMissingColumns=True)
+        passed = both.groupBy("shard").applyInArrow(screen, asked.schema)
         return passed.drop("shard").join(self.repeated().drop("n_docs"), ["k1", "k2"])
 
     def clean(self, docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from limnia.llm import lines
 from limnia.llm.lines import CuckooFilter, LineIndex
 
 
@@ -80,3 +81,14 @@ def test_empty_table(spark):
     index = LineIndex(spark)
     index.insert(frame(spark, []))
     assert got(index, spark, []) == []
+
+
+def test_shards_follow_the_references(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_REFERENCES", 20)
+    first, more = sample(5, 25), sample(6, 25, shift=1000)
+    index = LineIndex(spark)
+    index.insert(frame(spark, first))
+    few = index.shards
+    index.insert(frame(spark, more))
+    assert 1 < few < index.shards and index.filters().count() > 1
+    assert got(index, spark, first + more) == plain(first + more)
