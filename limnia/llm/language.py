@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import LOWER, raw
-from limnia.llm.common import broadcast, slices, small_batches
+from limnia.llm.common import broadcast, slices, ready
 
 ORDERS = (3,)
 BUCKETS = 1 << 16
@@ -93,7 +93,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 names=["lang", "bucket", "n"],
             )
 
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
     return rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
@@ -150,16 +150,18 @@ class Model:
 
 
 def train(docs: DataFrame) -> Model:
-    rows = count_grams(docs).collect()  # languages x BUCKETS numbers at most
-    counts: dict[str, np.ndarray] = {}
-    for r in rows:
-        counts.setdefault(r["lang"], np.zeros(BUCKETS))[r["bucket"]] = r["n"]
+    rows = count_grams(docs).toArrow()  # languages x BUCKETS numbers at most
+    names, which = np.unique(np.array(rows.column("lang").to_pylist(), dtype=str), return_inverse=True)
+    counts = {}
+    for k, name in enumerate(names.tolist()):
+        counts[name] = np.zeros(BUCKETS)
+        counts[name][rows.column("bucket").to_numpy()[which == k]] = rows.column("n").to_numpy()[which == k]
     return Model(counts)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``_lang`` and ``_score`` (the proportion of that language)."""
-    spark, columns = small_batches(docs.sparkSession), docs.columns
+    spark, columns = ready(docs.sparkSession), docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())])
     held = broadcast(spark, model)
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import NOT_SPACE, mix, split
-from limnia.llm.common import broadcast, slices, small_batches, stored
+from limnia.llm.common import broadcast, slices, ready, stored
 
 COMMON = 2.0**-21
 VOCABULARY = 2.0**-17
@@ -90,7 +90,7 @@ def tallied(docs: DataFrame, keys_of) -> DataFrame:
                 yield from tally.take()
         yield from tally.take()
 
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     return docs.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
 
 
@@ -187,10 +187,10 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     counts = stored(tallied(docs, lambda texts: token_hashes(texts)[0]))
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = total["n"] or 0, total["v"]
-    common = counts.filter((F.col("n") >= COMMON * n) | (F.col("k") == int(END))).toPandas()  # 1/COMMON rows at most
-    keys = common["k"].to_numpy(np.int64).view(np.uint64)
+    common = counts.filter((F.col("n") >= COMMON * n) | (F.col("k") == int(END))).toArrow()  # 1/COMMON rows at most
+    keys = common["k"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    keys, seen = keys[order], common["n"].to_numpy(np.int64)[order]
+    keys, seen = keys[order], common["n"].to_numpy().astype(np.int64)[order]
     empty = Model(keys, seen, n, v, np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros((0, BLOCK_BITS // 8), np.uint8), 1.0)
     if not n:
         return empty._replace(keys=np.array([END]), counts=np.zeros(1, np.int64), in_pairs=np.zeros(1, bool), weight=np.zeros(1)), counts
@@ -274,7 +274,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str] | No
 
     The last two are log10 probabilities of the text, by token shares alone and by the model.
     """
-    spark, columns = small_batches(docs.sparkSession), docs.columns if keep is None else keep
+    spark, columns = ready(docs.sparkSession), docs.columns if keep is None else keep
     held = broadcast(spark, tuple(model))
     schema = T.StructType([*(docs.schema[c] for c in columns), T.StructField("_n_tokens", T.LongType()), T.StructField("_n_common", T.LongType())])
     schema = schema.add("_base", T.DoubleType()).add("_score", T.DoubleType())

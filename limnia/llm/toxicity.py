@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import ALNUM, split
-from limnia.llm.common import broadcast, remainder, slices, small_batches
+from limnia.llm.common import broadcast, remainder, slices, ready
 
 BUCKETS = 1 << 18
 MAX_LABELLED = 50_000
@@ -148,7 +148,7 @@ def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> D
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = labelled(docs, labels, limit)
 
     def count(batches):
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
         )
 
     counted = rows.filter("fold <> 0").select("text", "toxic").mapInArrow(count, "bucket int, toxic long, other long, usual long")
-    table = counted.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("toxic", "other", "usual"))).toPandas()  # BUCKETS rows at most
+    table = counted.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("toxic", "other", "usual"))).toArrow()  # BUCKETS rows at most
     toxic, other, usual = (np.zeros(BUCKETS) for _ in range(3))
     for name, into in (("toxic", toxic), ("other", other), ("usual", usual)):
         into[table["bucket"].to_numpy()] = table[name].to_numpy()
@@ -178,14 +178,14 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
     weights = (log_odds(toxic, other, usual) - DRIFT).astype(np.float32)
     lam, log_k = tail(weights, usual)
     model = Model(weights, lam, log_k, np.zeros(0), np.zeros(0))
-    seen = evidence(rows.filter("fold = 0").select("text", "toxic"), model).select("_evidence", "toxic").toPandas()  # of ``limit`` rows
-    steps, chances = monotone(seen["_evidence"].to_numpy(float), seen["toxic"].to_numpy(float))
+    seen = evidence(rows.filter("fold = 0").select("text", "toxic"), model).select("_evidence", "toxic").toArrow()  # of ``limit`` rows
+    steps, chances = monotone(seen["_evidence"].to_numpy(), seen["toxic"].to_numpy().astype(float))
     return model._replace(steps=steps, chances=chances)
 
 
 def evidence(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``_evidence``, ``_score`` and ``_passages`` (ranges of words, significant ones only)."""
-    spark, columns = small_batches(docs.sparkSession), docs.columns
+    spark, columns = ready(docs.sparkSession), docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("_evidence", T.DoubleType()), T.StructField("_score", T.DoubleType())])
     schema = schema.add("_passages", T.DataType.fromDDL(PASSAGES))
     held = broadcast(spark, tuple(model))
