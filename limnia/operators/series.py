@@ -140,22 +140,22 @@ def centred_mean(
     """Centred moving mean over rows; needs ``max(1, window // 2)`` known values.
 
     ``cols`` maps output to input column. A series of any length is numbered first (a count
-    per month gives each month's starting row number) and then cut into blocks of rows that
+    per day gives each day's starting row number) and then cut into blocks of rows that
     carry a few neighbours on both sides, so no task ever holds a whole series.
     """
     half = window // 2
     series = list(series)
     order = [time, *tie]
-    month = [*series, "blk_month"]
-    rows = df.withColumn("blk_month", F.trunc(F.col(time), "MM"))
-    per_month = rows.groupBy(*month).agg(F.count("*").alias("blk_n"))
-    w = Window.partitionBy(*series).orderBy("blk_month")
-    start = per_month.withColumn(
+    day = [*series, "blk_day"]
+    rows = df.withColumn("blk_day", F.to_date(F.col(time)))
+    per_day = rows.groupBy(*day).agg(F.count("*").alias("blk_n"))
+    w = Window.partitionBy(*series).orderBy("blk_day")
+    start = per_day.withColumn(
         "blk_start", F.sum("blk_n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("blk_n")
     ).drop("blk_n")
-    rows = attach(rows, start, month).withColumn(
+    rows = attach(rows, start, day).withColumn(
         "blk_pos",
-        F.col("blk_start") + F.row_number().over(Window.partitionBy(*month).orderBy(*order)) - 1,
+        F.col("blk_start") + F.row_number().over(Window.partitionBy(*day).orderBy(*order)) - 1,
     )
     own = F.floor(F.col("blk_pos") / _BLOCK)
     inside = F.col("blk_pos") % _BLOCK
@@ -168,7 +168,7 @@ def centred_mean(
         out: F.when(F.count(c).over(around) >= max(1, half), F.avg(c).over(around))
         for out, c in cols.items()
     }
-    helpers = ["blk_month", "blk_start", "blk_pos", "blk_own", "blk"]
+    helpers = ["blk_day", "blk_start", "blk_pos", "blk_own", "blk"]
     return rows.withColumns(means).where("blk = blk_own").drop(*helpers)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,6 @@ from limnia.operators.quantiles import group_stats
 # Lakes are looked up through whole-degree cells: on the globe a lake covers at most
 # 361 x 181 of them, whatever the data.
 CELL_DEG = 1.0
-_SLOTS = 16
 
 
 def _cell_no(c, size: float):
@@ -50,10 +50,12 @@ def file_lake_rows(files: DataFrame, lakes: DataFrame) -> DataFrame:
     the other way round, so this is an equi-join in many even pieces whose output is exactly
     the required rows.
     """
-    every = F.explode(F.sequence(F.lit(0), F.lit(_SLOTS - 1)))
+    # some pieces for each task of a shuffle
+    slots = max(4, math.isqrt(4 * int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    every = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
 
     def own(df):
-        return F.pmod(F.xxhash64(*df.columns), F.lit(_SLOTS)).cast("int")
+        return F.pmod(F.xxhash64(*df.columns), F.lit(slots)).cast("int")
 
     f = files.withColumn("fs", own(files)).withColumn("ls", every)
     l = lakes.withColumn("ls", own(lakes)).withColumn("fs", every)

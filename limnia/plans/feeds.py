@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limnia.functions.flags import shade_height
 from limnia.functions.text import is_any, list_rank
 from limnia.operators.quantiles import attach
 from limnia.operators.schema import ensure_date, resolve_column
-from limnia.operators.series import any_value_present, centred_mean
+from limnia.operators.series import centred_mean
 from limnia.operators.summary import pivot_dates, validity_long
 from limnia.plans.catalogue import NAMES
 from limnia.plans.features import valid_rows
@@ -35,18 +35,21 @@ def regional_monthly_feed(df: DataFrame, series: str) -> DataFrame:
     return d.select(series, "date", *[c for c in ("CI_mean", "CI_p90") if c in d.columns]).orderBy(series, "date")
 
 
-def _titles(df: DataFrame) -> DataFrame:
-    """Per lake, the name on its earliest row (the id where there is no name column)."""
+def _per_lake(df: DataFrame, *aggs: Column) -> DataFrame:
+    """One row per lake: ``title``, the name on its earliest row (the id where there is no name column), and ``aggs``."""
     name = resolve_column(df)
-    if name is None:
-        return df.select("lake_id").distinct().withColumn("title", F.col("lake_id").cast("string"))
-    return df.groupBy("lake_id").agg(F.min_by(name, F.struct("date", name)).alias("title"))
+    title = F.min_by(name, F.struct("date", name)) if name else F.first(F.col("lake_id").cast("string"))
+    return df.groupBy("lake_id").agg(title.alias("title"), *aggs)
+
+
+def _has(*cols: str) -> list[Column]:
+    return [F.bool_or(F.col(c).isNotNull()).alias(f"has_{c}") for c in cols]
 
 
 def lake_daily_feed(df: DataFrame, tie: Sequence[str] = ("src",)) -> DataFrame:
     """Per lake and day: raw and smoothed index, coverage, and whether there is any value."""
     d = ensure_date(df)
-    per_lake = attach(_titles(d), any_value_present(d, ["lake_id"], ["CI_mean", "CI_p90", "pct_valid_geom"]), ["lake_id"])
+    per_lake = _per_lake(d, *_has("CI_mean", "CI_p90", "pct_valid_geom"))
     smooth = centred_mean(d, ["lake_id"], _means(d), tie=[t for t in tie if t in d.columns])
     return attach(smooth, per_lake, ["lake_id"]).select(
         "lake_id", "title", "date", "CI_mean", *_means(d), "pct_valid_geom",
@@ -57,29 +60,33 @@ def lake_daily_feed(df: DataFrame, tie: Sequence[str] = ("src",)) -> DataFrame:
 def lake_monthly_feed(df: DataFrame) -> DataFrame:
     """Valid monthly rows per lake with what there is to draw."""
     d = valid_rows(ensure_date(df)).where("lake_id IS NOT NULL")
-    per_lake = attach(_titles(d), any_value_present(d, ["lake_id"], ["CI_mean", "CI_p90"]), ["lake_id"])
-    return attach(d, per_lake, ["lake_id"]).select(
+    return attach(d, _per_lake(d, *_has("CI_mean", "CI_p90")), ["lake_id"]).select(
         "lake_id", F.coalesce("title", "lake_id").alias("title"), "date", "CI_mean", "CI_p90",
         "has_CI_mean", "has_CI_p90",
     ).orderBy("lake_id", "date")
 
 
+def _panel_rank(df: DataFrame, names: Sequence[str]) -> Column:
+    """Place of a row's lake name in the list; NULL where it is not listed."""
+    name = resolve_column(df)
+    if name is None:
+        return F.lit(None).cast("int")
+    return F.when(is_any(name, names), list_rank(F.lower(F.col(name)), [n.lower() for n in names]))
+
+
+def _panels(per_lake: DataFrame, limit: int | None) -> DataFrame:
+    """Of the lakes with their ``ord``: the listed ones, or all if none is listed."""
+    some = per_lake.agg((F.count("ord") > 0).alias("some"))
+    kept = per_lake.withColumn("some", some.scalar()).where("ord IS NOT NULL OR NOT some").drop("some")
+    return kept if limit is None else kept.orderBy("ord", "lake_id").limit(limit)
+
+
 def facet_lakes(df: DataFrame, names: Sequence[str] = NAMES, limit: int | None = None) -> DataFrame:
     """``lake_id, ord`` of the panels: every lake of a listed name, else all lakes in text order.
 
     ``limit`` is for layouts with room for so many panels only.
     """
-    name = resolve_column(df)
-    per_lake = df.groupBy("lake_id")
-    if name:
-        rank = list_rank(F.lower(F.col(name)), [n.lower() for n in names])
-        ids = per_lake.agg(F.min(F.when(is_any(name, names), rank)).alias("ord"))
-        some = ids.agg(F.count("ord").alias("n")).select((F.col("n") > 0).alias("some"))
-        # one row: no list name at all means that every lake is shown
-        ids = ids.withColumn("some", some.scalar()).where("ord IS NOT NULL OR NOT some").drop("some")
-    else:
-        ids = per_lake.agg(F.lit(None).cast("int").alias("ord"))
-    return ids if limit is None else ids.orderBy("ord", "lake_id").limit(limit)
+    return _panels(df.groupBy("lake_id").agg(F.min(_panel_rank(df, names)).alias("ord")), limit)
 
 
 def facet_feed(
@@ -87,12 +94,10 @@ def facet_feed(
 ) -> DataFrame:
     """Small-multiple panels: smoothed index and coverage shading scaled to each lake's peak."""
     d = ensure_date(df)
-    peak = d.groupBy("lake_id").agg(F.max("CI_mean").alias("peak"))
-    # all that is known of a lake as a whole is one small table
-    panels = attach(attach(facet_lakes(d, names, limit), peak, ["lake_id"]), _titles(d), ["lake_id"])
+    # all that is known of a lake as a whole is one small table, made in one pass
+    lakes = materialise(_per_lake(d, F.min(_panel_rank(d, names)).alias("ord"), F.max("CI_mean").alias("peak")))
     smooth = centred_mean(d, ["lake_id"], _means(d), tie=[t for t in tie if t in d.columns])
-    out = smooth.join(materialise(panels), "lake_id")
-    return out.select(
+    return smooth.join(_panels(lakes, limit), "lake_id").select(
         "ord", "lake_id", "title", "date",
         shade_height(F.col("pct_valid_geom"), F.col("peak")).alias("coverage_height"), *_means(d),
     ).orderBy("ord", "lake_id", "date")
