@@ -23,6 +23,8 @@ by ``groups`` and come through unchanged in ``keep_one``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -103,6 +105,9 @@ class Schemes:
         x = self.low[band + 1] - 1
         d = (100 - self.t) * (x + 100 * x // self.t) // (100 + self.t)
         spare = 1 + d // 16
+        # room for one and a half times the segments that the band's smallest sets can be expected to leave empty
+        while 1 + 1.5 * (d + 1 + spare) * math.exp(-self.low[band] / (d + 1 + spare)) > spare and spare <= d:
+            spare += 1
         return d, spare, d + 1 + spare
 
 

@@ -8,13 +8,13 @@ import pytest
 from limnia.llm import graph, jaccard
 
 
-def shingles(text):
+def shingles(text, size=4):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
 
 
-def plain(rows):
-    sets = [shingles(t) for _, t in rows]
+def plain(rows, size=4, threshold=85):
+    sets = [shingles(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):
@@ -25,7 +25,7 @@ def plain(rows):
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+            if sets[i] and sets[j] and 100 * common >= threshold * (len(sets[i]) + len(sets[j]) - common):
                 root[find(i)] = find(j)
     label = {}
     for i, (d, _) in enumerate(rows):
@@ -57,19 +57,19 @@ def copies(seed, n):
     return rows + [(1, None), (2, ""), (3, " \t\n"), (None, texts[0]), (None, "alone and without an id"), (rows[0][0], rows[0][1]), (4, "A b C d"), (5, "a B c D")]
 
 
-@pytest.mark.parametrize("seed,large,block", [(1, 64, 1024), (2, 3, 16), (3, 1, 5)])
-def test_groups_equal_brute_force(spark, monkeypatch, seed, large, block):
+@pytest.mark.parametrize("seed,large,block,size,threshold", [(1, 64, 1024, 4, 85), (2, 3, 16, 5, 80), (3, 1, 5, 4, 85)])
+def test_groups_equal_brute_force(spark, monkeypatch, seed, large, block, size, threshold):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "COLUMNS", 37)
     rows = copies(seed, 260)
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, id int, n int")
-    got = sorted((tuple(r) for r in jaccard.groups(docs, large=large).collect()), key=key)
-    assert got == sorted(plain(rows), key=key)
+    got = sorted((tuple(r) for r in jaccard.groups(docs, size, threshold, large).collect()), key=key)
+    assert got == sorted(plain(rows, size, threshold), key=key)
 
 
 def test_every_linked_pair_shares_a_signature():
     rng = np.random.default_rng(5)
-    for t in (85, 70):
+    for t in (85, 80, 70):
         schemes = jaccard.Schemes(t)
         for _ in range(3000):
             n = int(rng.integers(1, 120))
