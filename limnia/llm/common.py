@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -56,17 +58,25 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def n_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Total UTF-8 bytes of a text column, to size groups by."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each piece holds about ``limit`` bytes of ``column``, and one row at least."""
+    """Cut batches so that each piece holds about ``limit`` bytes of ``column``, and one row at least.
+
+    A worker outlives its task: what the task has freed goes back to the machine at the end.
+    """
+    try:
+        yield from _slices(batches, column, limit)
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # not on every system
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, size = 0, 0
         offsets = _offsets(batch.column(column))

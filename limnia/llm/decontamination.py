@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import ALNUM, raw, split
-from limnia.llm.common import broadcast, slices, ready, text_bytes
+from limnia.llm.common import broadcast, ready, slices, text_bytes
 
 MIN_WORDS = 10
 MAX_COVERAGE = 0.8

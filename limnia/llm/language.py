@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import LOWER, raw
-from limnia.llm.common import broadcast, slices, ready
+from limnia.llm.common import broadcast, ready, slices
 
 ORDERS = (3,)
 BUCKETS = 1 << 16

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limnia.llm.bytewords import LOWER, NOT_SPACE, raw, span_hashes
-from limnia.llm.common import shared_folder, slices, ready, text_bytes
+from limnia.llm.common import ready, shared_folder, slices, text_bytes
 
 MIN_CHARS = 40
 MIN_DOCS = 5

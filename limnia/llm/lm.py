@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import NOT_SPACE, mix, split
-from limnia.llm.common import broadcast, slices, ready, stored
+from limnia.llm.common import broadcast, ready, slices, stored
 
 COMMON = 2.0**-21
 VOCABULARY = 2.0**-17

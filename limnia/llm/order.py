@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from limnia.llm.bytewords import mix
-from limnia.llm.common import slices, ready, stored
+from limnia.llm.common import ready, slices, stored
 from limnia.llm.tokens import DEFAULT, Encoder
 
 LENGTH = 2048

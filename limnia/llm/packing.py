@@ -14,12 +14,11 @@ Cases: null text is packed like an empty one (its end id alone); rows with equal
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnia.llm.common import slices, ready, text_bytes
+from limnia.llm.common import ready, slices, text_bytes
 from limnia.llm.tokens import DEFAULT, Encoder
 
 LENGTH = 2048
@@ -173,5 +172,5 @@ def padding_share(packed: DataFrame, length: int = LENGTH) -> float:
     n = F.sum("length")
     fill = packed.groupBy("sequence_id").agg(n.alias("n"))
     short = F.when(F.col("n").bitwiseAND(F.col("n") - 1) == 0, 0).otherwise(F.lit(length) - F.col("n"))
-    row: pd.Series = fill.agg(F.sum(short).alias("pad"), F.sum("n").alias("ids")).first()
+    row = fill.agg(F.sum(short).alias("pad"), F.sum("n").alias("ids")).first()
     return (row["pad"] or 0) / max(1, (row["pad"] or 0) + (row["ids"] or 0))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import ALNUM, split
-from limnia.llm.common import broadcast, remainder, slices, ready
+from limnia.llm.common import broadcast, ready, slices
 
 BUCKETS = 1 << 18
 MAX_LABELLED = 50_000
