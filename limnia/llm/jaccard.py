@@ -11,8 +11,8 @@ long as a set has no more than ``spare`` of them: one agreeing segment is left.
 empty segments adds one-deletion neighbourhoods of all its segments, budget 2, or, when even
 that leaves a gap, keeps its empty segments. So no link is lost.
 
-Sets that share a signature form candidate clusters. Each is verified exactly, large ones in
-pairs of blocks of bounded size, and the links' connected components are the groups. Equal sets
+Sets that share a signature form candidate clusters. Each is verified exactly, band by band and
+large ones in pairs of blocks of bounded size; the links' connected components are the groups. Equal sets
 are one node all along; hashes of words, shingles and sets have 64 bits.
 
 Cases: a text with fewer words than a shingle is one shingle; a text without words has an empty
@@ -27,16 +27,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnia.llm.bytewords import NOT_SPACE, mix, split
-from limnia.llm.common import slices, ready, stored
+from limnia.llm.common import ready, slices, stored
 from limnia.llm.graph import components
 
 SHINGLE = 4
 THRESHOLD = 85  # per cent
-LARGE = 64
+LARGE = 2
 BLOCK = 1024
 COLUMNS = 4096
 BLOCK_SHINGLES = 1 << 20
@@ -99,14 +99,22 @@ class Schemes:
         below = b > 0 and 100 * (self.low[b] - 1) >= self.t * n
         return [b - 1, b] if below else [b]
 
+    def columns(self, n: Column, largest: int) -> Column:
+        """``of`` as a column expression, for sizes up to ``largest``."""
+        self.band(max(largest, self.low[0]))
+        low = F.array(*(F.lit(x).cast("long") for x in self.low))
+        band = F.size(F.filter(low, lambda x: x <= n)) - 1
+        below = (band > 0) & ((F.element_at(low, F.greatest(band, F.lit(0)) + 1) - 1) * 100 >= n * self.t)
+        return F.when(below, F.array(band - 1, band)).when(band >= 0, F.array(band)).otherwise(F.array().cast("array<int>"))
+
     def shape(self, band: int) -> tuple[int, int, int]:
         """Largest difference, spare segments, segments."""
         self._reach(band)
         x = self.low[band + 1] - 1
         d = (100 - self.t) * (x + 100 * x // self.t) // (100 + self.t)
         spare = 1 + d // 16
-        # room for one and a half times the segments that the band's smallest sets can be expected to leave empty
-        while 1 + 1.5 * (d + 1 + spare) * math.exp(-self.low[band] / (d + 1 + spare)) > spare and spare <= d:
+        # room for twice the segments that the band's smallest sets can be expected to leave empty
+        while 1 + 2 * (d + 1 + spare) * math.exp(-self.low[band] / (d + 1 + spare)) > spare and spare <= d:
             spare += 1
         return d, spare, d + 1 + spare
 
@@ -238,8 +246,12 @@ def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, siz
     ``classes``: id, rep (a row that has the set), n. ``clusters``: node, root.
     """
     members = stored(clusters.join(classes, clusters["node"] == classes["id"]).select("id", "rep", "n", "root"))
+    largest = members.agg(F.max("n")).first()[0] or 0
+    # sets of a cluster meet within a size band and its neighbour only
+    banded = members.withColumn("band", F.explode(Schemes(threshold).columns(F.col("n"), largest)))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    sizes = stored(members.groupBy("root").agg(blocks.alias("blocks"), F.sum("n").alias("shingles")))
+    sizes = banded.groupBy("root", "band").agg(blocks.alias("blocks"), F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("sets"))
+    sizes = stored(sizes.filter("sets > 1"))
     work = sizes.agg(F.sum(F.col("shingles") * F.col("blocks"))).first()[0] or 0
     n_bins = 1 + work // (2 * BLOCK_SHINGLES)
 
@@ -247,20 +259,20 @@ def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, siz
         for batch in slices(batches):
             data = [x.tobytes() for x in shingle_sets(batch.column("text"), size)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("id", "root", "blocks")), pa.array(data, pa.binary())], names=["id", "root", "blocks", "data"]
+                [batch.column("id"), batch.column("root"), batch.column("at"), pa.array(data, pa.binary())], names=["id", "root", "at", "data"]
             )
 
     def verify(key, t):
         ids = t.column("id").to_numpy()
-        parts = np.stack([t.column(c).to_numpy() for c in ("root", "i", "j", "b")])
-        order = np.lexsort((ids, parts[3], parts[2], parts[1], parts[0]))
+        parts = np.stack([t.column(c).to_numpy() for c in ("root", "band", "i", "j", "b")])
+        order = np.lexsort((ids, *parts[::-1]))
         ids, parts = ids[order], parts[:, order]
-        cuts = np.flatnonzero((np.diff(parts[:3], axis=1) != 0).any(axis=0)) + 1
+        cuts = np.flatnonzero((np.diff(parts[:4], axis=1) != 0).any(axis=0)) + 1
         data = t.column("data").combine_chunks()
         u, v = [], []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
             sets = [np.frombuffer(data[int(r)].as_buffer(), np.uint64) for r in order[a:b]]
-            split_at = int((parts[3, a:b] == parts[1, a]).sum()) if parts[1, a] != parts[2, a] else 0
+            split_at = int((parts[4, a:b] == parts[2, a]).sum()) if parts[2, a] != parts[3, a] else 0
             if len(sets) > 1 and split_at < len(sets):
                 labels = linked_blocks(sets, split_at, threshold)
                 other = np.flatnonzero(labels != np.arange(b - a))
@@ -269,13 +281,14 @@ def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, siz
         none = [np.zeros(0, np.int64)]
         return pa.table({"u": pa.array(np.concatenate(u or none)), "v": pa.array(np.concatenate(v or none))})
 
-    held = members.join(sizes, "root").select("rep", "id", "root", "blocks")
-    texts = _rows(docs).join(held, F.col("rid") == F.col("rep")).select("text", "id", "root", "blocks")
-    sets = texts.mapInArrow(run, "id long, root long, blocks int, data binary")
+    held = banded.join(sizes, ["root", "band"]).groupBy("rep", "id", "root").agg(F.collect_list(F.struct("band", "blocks")).alias("at"))
+    texts = _rows(docs).join(held, F.col("rid") == F.col("rep")).select("text", "id", "root", "at")
+    sets = texts.mapInArrow(run, "id long, root long, at array<struct<band:int,blocks:int>>, data binary")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("b")
-    each = sets.select("*", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    pairs = each.select("id", "root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "data")
-    binned = pairs.withColumn("bin", F.pmod(F.xxhash64("root", "i", "j"), F.lit(n_bins)))
+    each = sets.select("id", "root", "data", F.explode("at").alias("at")).select("id", "root", "data", "at.band", "at.blocks")
+    each = each.select("*", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    pairs = each.select("id", "root", "band", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "data")
+    binned = pairs.withColumn("bin", F.pmod(F.xxhash64("root", "band", "i", "j"), F.lit(n_bins)))
     return binned.groupBy("bin").applyInArrow(verify, "u long, v long")
 
 

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from limnia.llm import graph, jaccard
 
@@ -144,3 +145,11 @@ def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.groups(none).collect() == [] and jaccard.keep_one(none).collect() == []
     assert [len(s) for s in jaccard.shingle_sets(pa.array([None, "a", "a b c d e"]), 4)] == [0, 1, 2]
+
+
+def test_bands_as_columns(spark):
+    for t in (85, 80):
+        sizes = spark.range(1, 400).selectExpr("id AS n")
+        got = {r["n"]: r["b"] for r in sizes.select("n", jaccard.Schemes(t).columns(F.col("n"), 399).alias("b")).collect()}
+        schemes = jaccard.Schemes(t)
+        assert got == {n: schemes.of(n) for n in range(1, 400)}
