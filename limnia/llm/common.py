@@ -17,8 +17,8 @@ import limnia
 from limnia.session import scratch_path
 
 # Rows of whole texts that one Arrow batch may carry, and bytes worked on at a time.
-BATCH_ROWS = 500
-CHUNK_BYTES = 1 << 20
+BATCH_ROWS = 200
+CHUNK_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
