@@ -7,9 +7,10 @@ segments: two linked sets then agree on ``spare`` + 1 segments at least.
 
 What a segment may cost is decided by what it costs. A segment's subset is its signature; budget
 1. Empty segments, and signatures that prove to lie in more than LARGE sets, get budget 0 as
-long as a set has no more than ``spare`` of them: one agreeing segment is left. A set with more
-empty segments adds one-deletion neighbourhoods of all its segments, budget 2, or, when even
-that leaves a gap, keeps its empty segments. So no link is lost.
+long as a set has no more than ``spare`` of them: one agreeing segment is left. With LARGE at 1
+that means that a set must share more signatures than it can spare to be a candidate at all. A
+set with more empty segments adds one-deletion neighbourhoods of all its segments, budget 2, or,
+when even that leaves a gap, keeps its empty segments. So no link is lost.
 
 Sets that share a signature form candidate clusters. Each is verified exactly, band by band and
 large ones in pairs of blocks of bounded size; the links' connected components are the groups. Equal sets
@@ -36,7 +37,7 @@ from limnia.llm.graph import components
 
 SHINGLE = 4
 THRESHOLD = 85  # per cent
-LARGE = 2
+LARGE = 1
 BLOCK = 1024
 COLUMNS = 4096
 BLOCK_SHINGLES = 1 << 20
