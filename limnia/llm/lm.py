@@ -1,15 +1,19 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of all training tokens are gathered exactly. Tokens of relative frequency COMMON or
-more, and word pairs of PAIR_COMMON or more between tokens of VOCABULARY or more, form the
-broadcast part: no more than 1/COMMON tokens and 1/PAIR_COMMON pairs can be that frequent, so
-its size has a bound at any size of corpus. Pair counts are quantised to powers of STEP and
-kept in a Bloom filter as one entry for each level up to the count's; a probe asks level after
-level until one is missing. The probability of a token mixes the pair's share of its context
-(from the probes) with the smoothed token share; the weight of the former is chosen for each
-class of contexts by the training pairs' likelihood when an occurrence doesn't count itself.
-
-Rarer tokens are looked up by a join: each text's rare tokens meet the exact counts.
+Counts of all training tokens, and of all pairs of a token and the one before it, are gathered
+exactly. A pair has evidence from FLOOR occurrences on, at any size of corpus; its count is
+quantised to FLOOR times a power of STEP. The probability of a token mixes the pair's share of
+its context with the smoothed token share; the weight of the former is chosen for each class of
+contexts (by powers of two of their counts) by the training pairs' likelihood when an occurrence
+doesn't count itself.
+
+How often something occurs only decides where it is kept. Tokens of relative frequency COMMON or
+more, and pairs of PAIR_COMMON or more between tokens of VOCABULARY or more, are broadcast: no
+more than 1/COMMON tokens and 1/PAIR_COMMON pairs can be that frequent, so a broadcast has a
+bound at any size of corpus. These pairs are in a Bloom filter as one entry for each level from
+the filter's lowest up to the count's; a probe asks level after level until one is missing.
+All other tokens and pairs are looked up by a join: those of each text meet the table of counts
+and of what each pair adds to a text's score.
 
 Cases: null text is empty and has the end token alone; without training documents N and V are
 0 and every probability is 1; rows with equal or null doc_id are scored one by one; an empty
@@ -32,10 +36,12 @@ from limnia.llm.common import broadcast, ready, slices, stored
 COMMON = 2.0**-21
 VOCABULARY = 2.0**-17
 PAIR_COMMON = 2.0**-24
+FLOOR = 2.0
 STEP = 1.5
 PROBES = 8
 BLOCK_BITS = 1 << 19
 END = np.uint64(0x656E64)  # stands for the end token's hash
+RARE = np.uint64(1 << 63)  # set in the numbers of rare tokens and of their pairs
 HOLD_ENTRIES = 1_000_000
 GRID = np.arange(0.0, 0.96, 0.05)
 
@@ -47,24 +53,40 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words.hashes(), words.first[1:], END), words.first + np.arange(n + 1)
 
 
+def pair_keys(before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """A key of 64 bits for each pair of token numbers; those of common tokens sort by the first token."""
+    mixed = mix(mix(before) * np.uint64(0x9E3779B97F4A7C15) + own) | RARE
+    return np.where((before | own) & RARE > 0, mixed, before << np.uint64(32) | own)
+
+
+def contexts(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The hash before each token, the end token's before a text."""
+    before = np.empty_like(hashes)
+    before[1:] = hashes[:-1]
+    before[first[:-1]] = END
+    return before
+
+
 class Tally:
-    """Sums of counts by key, handed out when there are many."""
+    """Sums of counts by key, handed out with the key's columns when there are many."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+    def __init__(self, names: tuple[str, ...]) -> None:
+        self.names = [*names, "n"]
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray) -> None:
-        self.parts.append(np.unique(keys, return_counts=True))
-        self.size += len(self.parts[-1][0])
+    def add(self, keys: np.ndarray, *columns: np.ndarray) -> None:
+        uniq, at, n = np.unique(keys, return_index=True, return_counts=True)
+        self.parts.append((uniq, n, *(c[at] for c in columns)))
+        self.size += len(uniq)
         if self.size > 2 * HOLD_ENTRIES:
             self.merge()
 
     def merge(self) -> None:
-        keys = np.concatenate([k for k, _ in self.parts])
-        uniq, inverse = np.unique(keys, return_inverse=True)
-        n = np.bincount(inverse, weights=np.concatenate([c for _, c in self.parts]), minlength=len(uniq)).astype(np.int64)
-        self.parts, self.size = [(uniq, n)], len(uniq)
+        keys, counts, *columns = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        uniq, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        n = np.bincount(inverse, weights=counts, minlength=len(uniq)).astype(np.int64)
+        self.parts, self.size = [(uniq, n, *(c[at] for c in columns))], len(uniq)
 
     def full(self) -> bool:
         return self.size > HOLD_ENTRIES
@@ -72,26 +94,30 @@ class Tally:
     def take(self):
         if self.parts:
             self.merge()
-            keys, n = self.parts[0]
+            _, n, *columns = self.parts[0]
             self.parts, self.size = [], 0
-            for a in range(0, len(keys), 100_000):
+            for a in range(0, len(n), 100_000):
                 b = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[b].view(np.int64)), pa.array(n[b])], names=["k", "n"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[b].view(np.int64)) for c in columns), pa.array(n[b])], names=self.names)
+
 
+def tallied(docs: DataFrame, keys_of, names: tuple[str, ...]) -> DataFrame:
+    """``names`` and n: how often each key of the texts occurs.
 
-def tallied(docs: DataFrame, keys_of) -> DataFrame:
-    """k, n: how often each 64-bit key of the texts occurs."""
+    ``keys_of``: a 64-bit key for each occurrence, and the columns of hashes it stands for.
+    """
 
     def count(batches):
-        tally = Tally()
+        tally = Tally(names)
         for batch in slices(batches):
-            tally.add(keys_of(batch.column("text")))
+            tally.add(*keys_of(batch.column("text")))
             if tally.full():
                 yield from tally.take()
         yield from tally.take()
 
     ready(docs.sparkSession)
-    return docs.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    schema = ", ".join(f"{c} long" for c in (*names, "n"))
+    return docs.select("text").mapInArrow(count, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 class LogFrequencyFilter:
@@ -151,15 +177,24 @@ class LogFrequencyFilter:
         return self.value(level, self.unit)
 
 
+def classes_of(counts: np.ndarray) -> np.ndarray:
+    """The class of contexts that occur so often."""
+    return np.log2(np.maximum(1, counts)).astype(np.int64)
+
+
+def quantised(counts: np.ndarray) -> np.ndarray:
+    return LogFrequencyFilter.value(LogFrequencyFilter.level(counts, FLOOR), FLOOR)
+
+
 class Model(NamedTuple):
     keys: np.ndarray  # sorted hashes of the common tokens
     counts: np.ndarray
     n: int  # training tokens
     v: int  # distinct ones
-    in_pairs: np.ndarray  # whether a common token takes part in pairs
+    in_pairs: np.ndarray  # whether a common token's pairs can be in the filter
     weight: np.ndarray  # of the pair's share, for each common token as context
     blocks: np.ndarray
-    unit: float
+    unit: float  # the filter's lowest count
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.1) / (self.n + 0.1 * (self.v + 1))
@@ -169,44 +204,110 @@ class Model(NamedTuple):
         at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
         return np.where(self.keys[at] == hashes, at, -1)
 
-    def pairs(self, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each token's context (the end token before a text), -1 without one; and whether the pair is looked up."""
-        context = np.empty(len(at), np.int64)
-        context[1:] = at[:-1]
-        context[first[:-1]] = int(np.searchsorted(self.keys, END))
-        context = np.where((context >= 0) & self.in_pairs[context], context, -1)
-        return context, (context >= 0) & (at >= 0) & self.in_pairs[at]
+    def numbers(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The places of common tokens, and 63 bits of the others' hashes."""
+        return np.where(at >= 0, at.astype(np.uint64), hashes | RARE)
+
+    def in_filter(self, context: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Whether pairs of these places are in the filter if they are frequent."""
+        return (context >= 0) & (at >= 0) & self.in_pairs[context] & self.in_pairs[at]
 
     def code(self, context: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return (context * len(self.keys) + at).astype(np.int64)
+        return pair_keys(context.astype(np.uint64), at.astype(np.uint64))
 
 
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The broadcast model, and the exact counts k, n of all training tokens."""
+    """The broadcast model, and the table k, n, gain of all that is looked up.
+
+    For a token: its exact count, and what it adds to the log10 score as context. For a pair
+    that is not in the filter: n is 0, and gain what it adds to the score of its second token.
+    """
     spark = docs.sparkSession
-    counts = stored(tallied(docs, lambda texts: token_hashes(texts)[0]))
+    counts = stored(tallied(docs, lambda texts: (token_hashes(texts)[0],) * 2, ("k",)))
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = total["n"] or 0, total["v"]
     common = counts.filter((F.col("n") >= COMMON * n) | (F.col("k") == int(END))).toArrow()  # 1/COMMON rows at most
     keys = common["k"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, seen = keys[order], common["n"].to_numpy().astype(np.int64)[order]
-    empty = Model(keys, seen, n, v, np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros((0, BLOCK_BITS // 8), np.uint8), 1.0)
+    empty = Model(keys, seen, n, v, np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros((0, BLOCK_BITS // 8), np.uint8), FLOOR)
     if not n:
-        return empty._replace(keys=np.array([END]), counts=np.zeros(1, np.int64), in_pairs=np.zeros(1, bool), weight=np.zeros(1)), counts
-    model = empty._replace(in_pairs=(seen >= VOCABULARY * n) | (keys == END), unit=max(2.0, PAIR_COMMON * n))
-    held = broadcast(spark, tuple(model))
+        none = empty._replace(keys=np.array([END]), counts=np.zeros(1, np.int64), in_pairs=np.zeros(1, bool), weight=np.zeros(1))
+        return none, counts.withColumn("gain", F.lit(0.0))
+    # the lowest level of the one grid of counts that bounds the number of pairs
+    unit = FLOOR * STEP ** max(0, int(np.ceil(np.log(PAIR_COMMON * n / FLOOR) / np.log(STEP) - 1e-9)))
+    model = empty._replace(in_pairs=(seen >= VOCABULARY * n) | (keys == END), unit=unit)
+    frequent, pairs = counted_pairs(docs, counts, model)
+    weights = context_weights(pairs, counts, model)
+    model = model._replace(blocks=fill_blocks(frequent, unit), weight=weights[classes_of(seen)])
+    table = looked_up(pairs, counts, model, weights)
+    # all tables are stored: Spark's cleaner drops the shuffles behind them once the driver has collected its garbage
+    spark.sparkContext._jvm.System.gc()
+    return model, table
+
+
+def counted_pairs(docs: DataFrame, counts: DataFrame, model: Model) -> tuple[DataFrame, DataFrame]:
+    """The pairs of the filter, and all pairs of FLOOR occurrences or more: k, n, before, own, filtered.
+
+    ``before`` and ``own`` are the counts of the pair's two tokens.
+    """
+    held = broadcast(docs.sparkSession, tuple(model))
 
-    def pair_codes(texts: pa.Array) -> np.ndarray:
+    def occurring(texts: pa.Array) -> tuple[np.ndarray, ...]:
         m = Model(*held())
         hashes, first = token_hashes(texts)
-        at = m.find(hashes)
-        context, both = m.pairs(at, first)
-        return m.code(context[both], at[both])
+        own = m.numbers(hashes, m.find(hashes))
+        before = np.insert(own[:-1], 0, 0)
+        before[first[:-1]] = np.searchsorted(m.keys, END)
+        return pair_keys(before, own), before, own
 
-    pairs = stored(tallied(docs, pair_codes).filter(F.col("n") >= model.unit))
-    blocks = fill_blocks(pairs, model.unit)
-    return model._replace(blocks=blocks, weight=context_weights(pairs, model)), counts
+    def add_common(batches):
+        m = Model(*held())
+        for b in batches:
+            u, w, n = (b.column(c).to_numpy() for c in ("u", "w", "n"))
+            added = [np.where(x >= 0, m.counts[np.maximum(x, 0)], 0) for x in (u, w)]
+            filtered = m.in_filter(np.maximum(u, -1), np.maximum(w, -1)) & (n >= m.unit)
+            columns = [pair_keys(u.view(np.uint64), w.view(np.uint64)).view(np.int64), u, w, n, *added, filtered]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "u", "w", "n", "before", "own", "filtered"])
+
+    schema = "k long, u long, w long, n long, before long, own long, filtered boolean"
+    pairs = tallied(docs, occurring, ("u", "w")).filter(F.col("n") >= FLOOR)
+    pairs = stored(pairs.mapInArrow(add_common, schema))
+    whole = (F.col("before") > 0) & (F.col("own") > 0)
+    rest = pairs.filter(~whole)
+    for token, column in (("u", "before"), ("w", "own")):
+        # only rare tokens are looked up, which no more than COMMON of all pairs have; other rows go by their own key
+        rare = F.col("k").bitwiseOR(F.lit(-(1 << 63)))
+        one = counts.filter(F.col("n") < COMMON * model.n).select(rare.alias("_k"), F.col("n").alias("_n"))
+        rest = rest.join(one, F.when(F.col(column) == 0, F.col(token)).otherwise(F.col("k")) == F.col("_k"), "left")
+        rest = rest.withColumn(column, F.when(F.col(column) == 0, F.col("_n")).otherwise(F.col(column))).drop("_k", "_n")
+    columns = ["k", "n", "before", "own", "filtered"]
+    return pairs.filter("filtered"), pairs.filter(whole).select(*columns).union(stored(rest.select(*columns)))
+
+
+def looked_up(pairs: DataFrame, counts: DataFrame, model: Model, weights: np.ndarray) -> DataFrame:
+    held = broadcast(pairs.sparkSession, (model.n, model.v, weights))
+
+    def emit(k: pa.Array, n: pa.Array, gain: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([k, n, pa.array(gain)], names=["k", "n", "gain"])
+
+    def of_tokens(batches):
+        _, _, weight = held()
+        for b in batches:
+            yield emit(b.column("k"), b.column("n"), np.log10(1 - weight[classes_of(b.column("n").to_numpy())]))
+
+    def of_pairs(batches):
+        n, v, weight = held()
+        for b in batches:
+            before = b.column("before").to_numpy()
+            w = weight[classes_of(before)]
+            share = np.minimum(1.0, quantised(b.column("n").to_numpy()) / before)
+            base = (b.column("own").to_numpy() + 0.1) / (n + 0.1 * (v + 1))
+            yield emit(b.column("k"), pa.array(np.zeros(b.num_rows, np.int64)), np.log10(1 + w * share / ((1 - w) * base)))
+
+    schema = "k long, n long, gain double"
+    rare = pairs.filter("NOT filtered").mapInArrow(of_pairs, schema).filter("gain > 0")
+    return stored(counts.mapInArrow(of_tokens, schema).union(rare))
 
 
 def fill_blocks(pairs: DataFrame, unit: float) -> np.ndarray:
@@ -234,39 +335,39 @@ def fill_blocks(pairs: DataFrame, unit: float) -> np.ndarray:
     return out
 
 
-def context_weights(pairs: DataFrame, model: Model) -> np.ndarray:
-    """For each common token as context, the weight of the pair's share that suits its class of counts best.
+def context_weights(pairs: DataFrame, counts: DataFrame, model: Model) -> np.ndarray:
+    """For each class of contexts, the weight of the pair's share that suits it best.
 
-    Pairs below the unit and rare followers count as not found.
+    Pairs below FLOOR count as not found.
     """
-    held = broadcast(pairs.sparkSession, tuple(model))
-    classes = np.log2(np.maximum(1, model.counts)).astype(np.int64)
-    n_classes = int(classes.max(initial=0)) + 1
+    of_class = counts.groupBy((F.length(F.bin("n")) - 1).alias("c")).agg(F.sum("n").alias("n")).collect()  # 64 rows at most
+    n_classes = 1 + max(r["c"] for r in of_class)
+    held = broadcast(pairs.sparkSession, (model.n, model.v))
 
     def gains(batches):
-        m = Model(*held())
-        cls = np.log2(np.maximum(1, m.counts)).astype(np.int64)
+        n, v = held()
         gain, known = np.zeros((n_classes, len(GRID))), np.zeros(n_classes)
         for b in batches:
-            code, n = b.column("k").to_numpy(), b.column("n").to_numpy()
-            u, w = code // len(m.keys), code % len(m.keys)
-            value = LogFrequencyFilter.value(LogFrequencyFilter.level(n - 1.0, m.unit), m.unit)
-            ratio = value / np.maximum(1, m.counts[u] - 1) / m.base(m.counts[w])
-            known += np.bincount(cls[u], weights=n, minlength=n_classes)
+            times, before, own = (b.column(c).to_numpy() for c in ("n", "before", "own"))
+            cls = classes_of(before)
+            ratio = quantised(times - 1.0) / np.maximum(1, before - 1) / ((own + 0.1) / (n + 0.1 * (v + 1)))
+            known += np.bincount(cls, weights=times, minlength=n_classes)
             for j, g in enumerate(GRID):
-                gain[:, j] += np.bincount(cls[u], weights=n * np.log(g * ratio + 1 - g), minlength=n_classes)
+                gain[:, j] += np.bincount(cls, weights=times * np.log(g * ratio + 1 - g), minlength=n_classes)
         rows = [(i, j, gain[i, j], known[i]) for i in range(n_classes) for j in range(len(GRID))]
         cols = list(zip(*rows, strict=True))
         types = (pa.int32(), pa.int32(), pa.float64(), pa.float64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["c", "j", "gain", "known"])
 
-    rows = pairs.mapInArrow(gains, "c int, j int, gain double, known double").groupBy("c", "j").agg(F.sum("gain"), F.sum("known")).collect()
+    rows = pairs.select("n", "before", "own").mapInArrow(gains, "c int, j int, gain double, known double")
     gain, known = np.zeros((n_classes, len(GRID))), np.zeros(n_classes)
-    for c, j, g, k in rows:
+    for c, j, g, k in rows.groupBy("c", "j").agg(F.sum("gain"), F.sum("known")).collect():
         gain[c, j], known[c] = g, k
-    followers = np.bincount(classes[model.in_pairs], weights=model.counts[model.in_pairs], minlength=n_classes)
+    followers = np.zeros(n_classes)
+    for r in of_class:
+        followers[r["c"]] = r["n"]
     gain += np.maximum(0, followers - known)[:, None] * np.log(1 - GRID)[None, :]
-    return GRID[gain.argmax(axis=1)][classes] * model.in_pairs
+    return GRID[gain.argmax(axis=1)]
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -278,7 +379,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str] | No
     held = broadcast(spark, tuple(model))
     schema = T.StructType([*(docs.schema[c] for c in columns), T.StructField("_n_tokens", T.LongType()), T.StructField("_n_common", T.LongType())])
     schema = schema.add("_base", T.DoubleType()).add("_score", T.DoubleType())
-    schema = schema.add("_rare", T.ArrayType(T.LongType())).add("_times", T.ArrayType(T.IntegerType()))
+    schema = schema.add("_rare", T.ArrayType(T.LongType()))
+    schema = schema.add("_times", T.ArrayType(T.IntegerType())).add("_gains", T.ArrayType(T.IntegerType()))
 
     def run(batches):
         m = Model(*held())
@@ -289,21 +391,34 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str] | No
             at = m.find(hashes)
             common = at >= 0
             base = np.where(common, base_log[at], 0.0)
-            context, both = m.pairs(at, first)
+            before = contexts(hashes, first)
+            context = np.insert(at[:-1], 0, -1)
+            context[first[:-1]] = np.searchsorted(m.keys, END)
             weight = np.where(context >= 0, m.weight[context], 0.0)
             score = base + np.log10(1 - weight)
+            both = np.flatnonzero(m.in_filter(context, at))
             code, back = np.unique(m.code(context[both], at[both]), return_inverse=True)
-            share = np.minimum(1.0, found.count(code) / np.maximum(1, m.counts[code // len(m.keys)]))[back]
+            value = found.count(code)[back]
+            both, value = both[value > 0], value[value > 0]
+            share = np.minimum(1.0, value / np.maximum(1, m.counts[context[both]]))
             w = weight[both]
             score[both] = np.log10(w * share + (1 - w) * m.base(m.counts[at[both]]))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(first))
-            rare = np.flatnonzero(~common)
-            order = np.lexsort((hashes[rare], owner[rare]))
-            ro, rh = owner[rare][order], hashes[rare][order]
-            new = np.ones(len(rare), bool)
+            # to look up: rare tokens, rare contexts and pairs that the filter doesn't have
+            missed = (context < 0) | (weight > 0)
+            missed[both] = False
+            places = [np.flatnonzero(~common), np.flatnonzero(context < 0), np.flatnonzero(missed)]
+            pairs = pair_keys(m.numbers(before, context)[places[2]], m.numbers(hashes, at)[places[2]])
+            sought = np.concatenate([hashes[places[0]], before[places[1]], pairs])
+            as_token = np.repeat([1, 0, 0], [len(p) for p in places]).astype(np.int32)
+            rare_owner = owner[np.concatenate(places)]
+            order = np.lexsort((sought, rare_owner))
+            ro, rh, as_token = rare_owner[order], sought[order], as_token[order]
+            new = np.ones(len(ro), bool)
             new[1:] = (ro[1:] != ro[:-1]) | (rh[1:] != rh[:-1])
             starts = np.flatnonzero(new)
-            times = np.diff(np.append(starts, len(rare))).astype(np.int32)
+            times = (np.add.reduceat(as_token, starts) if len(starts) else as_token).astype(np.int32)
+            gains = (np.diff(np.append(starts, len(ro))) - times).astype(np.int32)
             at_row = pa.array(np.searchsorted(ro[starts], np.arange(batch.num_rows + 1)).astype(np.int32))
             sums = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  each text has a token at least
             yield pa.RecordBatch.from_arrays(
@@ -315,22 +430,26 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str] | No
                     pa.array(sums(score)),
                     pa.ListArray.from_arrays(at_row, pa.array(rh[starts].view(np.int64))),
                     pa.ListArray.from_arrays(at_row, pa.array(times)),
+                    pa.ListArray.from_arrays(at_row, pa.array(gains)),
                 ],
                 names=schema.names,
             )
 
     part = stored(docs.select("*").mapInArrow(run, schema).withColumn("_id", F.monotonically_increasing_id()))
-    rare = part.select("_id", F.explode(F.arrays_zip("_rare", "_times")).alias("x")).select("_id", F.col("x._rare").alias("k"), F.col("x._times").alias("t"))
+    rare = part.select("_id", F.explode(F.arrays_zip("_rare", "_times", "_gains")).alias("x"))
+    rare = rare.select("_id", F.col("x._rare").alias("k"), F.col("x._times").alias("t"), F.col("x._gains").alias("g"))
     c = F.coalesce("n", F.lit(0))
     log = F.log10((c + 0.1) / F.lit(float(model.n + 0.1 * (model.v + 1))))
-    sums = rare.join(counts, "k", "left").groupBy("_id").agg(
-        F.sum(F.col("t") * log).alias("_more"), F.sum(F.when(c > 0, F.col("t")).otherwise(0)).alias("_known")
+    sums = rare.join(counts, "k", "left").filter("t > 0 OR gain IS NOT NULL").groupBy("_id").agg(
+        F.sum(F.col("t") * log).alias("_more"),
+        F.sum(F.col("g") * F.coalesce("gain", F.lit(0.0))).alias("_gain"),
+        F.sum(F.when(c > 0, F.col("t")).otherwise(0)).alias("_known"),
     )
     more = F.coalesce("_more", F.lit(0.0))
-    return part.drop("_rare", "_times").join(sums, "_id", "left").select(
+    return part.drop("_rare", "_times", "_gains").join(sums, "_id", "left").select(
         *columns,
         "_n_tokens",
         (F.col("_n_common") + F.coalesce("_known", F.lit(0))).alias("_n_known"),
         (F.col("_base") + more).alias("_base"),
-        (F.col("_score") + more).alias("_score"),
+        (F.col("_score") + more + F.coalesce("_gain", F.lit(0.0))).alias("_score"),
     )

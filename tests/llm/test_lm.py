@@ -87,3 +87,18 @@ def test_no_training(spark, rows):
     assert [(r["_base"], r["_score"], r["_n_known"]) for r in lm.score(docs, model, counts).collect()] == [(0.0, 0.0, 0)] * 5
     model, counts = lm.train(docs)
     assert lm.score(docs.limit(0), model, counts).collect() == []
+
+
+def test_rare_pairs_and_tokens_count_the_same_by_every_way(spark, rows, monkeypatch):
+    """Where a pair or token is kept doesn't change a text's score: all broadcast, some, or none but the join."""
+    docs = spark.createDataFrame(rows[:350], "doc_id long, text string, n int")
+    scores = []
+    for common, vocabulary, pair_common in ((2.0**-21, 2.0**-17, 2.0**-24), (2.0**-21, 0.02, 2.0**-24), (2.0**-21, 2.0**-17, 2.0**-9), (0.03, 0.03, 0.5)):
+        monkeypatch.setattr(lm, "COMMON", common)
+        monkeypatch.setattr(lm, "VOCABULARY", vocabulary)
+        monkeypatch.setattr(lm, "PAIR_COMMON", pair_common)
+        monkeypatch.setattr(lm, "PROBES", 24)  # no false hits
+        model, counts = lm.train(docs)
+        scores.append({r["doc_id"]: r["_score"] for r in lm.score(docs, model, counts).collect()})
+    for other in scores[1:]:
+        assert all(math.isclose(x, other[i], rel_tol=1e-9) for i, x in scores[0].items())
