@@ -29,6 +29,12 @@ PAD = 0
 SHARD_SIZE = 16_384  # sequences; 64 MB at two bytes an id
 ROUNDS = 6
 PARTS_AT_ONCE = 1000
+RECORDS_AT_ONCE = 512
+
+
+def stride(length: int) -> int:
+    """Bytes from one record of a shard to the next: two an id, and a line feed."""
+    return 2 * length + 1
 
 
 class Permutation:
@@ -109,15 +115,7 @@ def numbered(parts: DataFrame) -> tuple[DataFrame, int]:
     return stored(table), counts.agg(F.sum("count")).first()[0] or 0
 
 
-def materialise(
-    docs: DataFrame, key: int = 20240229, tokenizer: str = DEFAULT, length: int = LENGTH, shard_size: int = SHARD_SIZE
-) -> DataFrame:
-    """shard, slot, number, n_tokens, ids, a shard in one partition and in order of slots.
-
-    ``ids`` has ``length`` ids of two bytes each, little end first.
-    """
-    parts = stored(sequences(docs, tokenizer, length))
-    first, n = numbered(parts)
+def _place(parts: DataFrame, first: DataFrame, n: int, key: int, shard_size: int) -> DataFrame:
     held = Permutation(n, key)
 
     def place(batches):
@@ -132,7 +130,43 @@ def materialise(
     # the table of splits is stored: the planner knows its size and broadcasts it or not
     rows = parts.join(first, "part").select((F.col("first") + F.col("place")).alias("number"), "n_tokens", "ids")
     placed = rows.mapInArrow(place, "shard long, slot long, number long, n_tokens int, ids binary")
-    return placed.repartitionById(max(1, -(-n // shard_size)), F.col("shard").cast("int")).sortWithinPartitions("slot")
+    # by shard first, as the writer of shards asks for and would else sort anew
+    return placed.repartitionById(max(1, -(-n // shard_size)), F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
+
+
+def materialise(
+    docs: DataFrame, key: int = 20240229, tokenizer: str = DEFAULT, length: int = LENGTH, shard_size: int = SHARD_SIZE
+) -> DataFrame:
+    """shard, slot, number, n_tokens, ids, a shard in one partition and in order of slots.
+
+    ``ids`` has ``length`` ids of two bytes each, little end first.
+    """
+    parts = stored(sequences(docs, tokenizer, length))
+    return _place(parts, *numbered(parts), key, shard_size)
+
+
+def written(
+    docs: DataFrame, path: str, key: int = 20240229, tokenizer: str = DEFAULT, length: int = LENGTH, shard_size: int = SHARD_SIZE
+) -> DataFrame:
+    """Write all shards under ``path``; shard, slot, byte_offset, number, n_tokens, ids as read back from them."""
+    spark = docs.sparkSession
+    parts = stored(sequences(docs, tokenizer, length))
+    first, n = numbered(parts)
+    if not n:
+        return spark.createDataFrame([], "shard long, slot long, byte_offset long, number long, n_tokens int, ids binary")
+    write_shards(_place(parts, first, n, key, shard_size), path)
+    # files have no sizes: the sequences that were filled up, one of a split at most
+    short = parts.filter(F.col("n_tokens") < length).join(first, "part")
+    short = stored(short.select((F.col("first") + F.col("place")).alias("number"), "n_tokens"))
+    back = records(spark, path, 0, n, length, shard_size, Permutation(n, key))
+    return back.join(short, "number", "left").select(
+        F.floor(F.col("slot") / shard_size).alias("shard"),
+        "slot",
+        (F.col("slot") % shard_size * stride(length)).alias("byte_offset"),
+        "number",
+        F.coalesce("n_tokens", F.lit(length)).alias("n_tokens"),
+        "ids",
+    )
 
 
 def write_shards(placed: DataFrame, path: str) -> None:
@@ -144,19 +178,36 @@ def write_shards(placed: DataFrame, path: str) -> None:
     placed.select("shard", F.col("ids").cast("string").alias("value")).write.partitionBy("shard").text(path)
 
 
-def read_slots(spark: SparkSession, path: str, first: int, end: int, length: int = LENGTH, shard_size: int = SHARD_SIZE) -> DataFrame:
-    """slot, ids of the slots from ``first`` up to ``end``, read from the shards that hold them."""
-    stride = 2 * length + 1
+def records(
+    spark: SparkSession, path: str, first: int, end: int, length: int, shard_size: int, permutation: Permutation | None = None
+) -> DataFrame:
+    """slot, ids of the slots from ``first`` up to ``end``, read from the shards that hold them; each file's in order.
+
+    With the permutation, also the sequences' numbers: slot, number, ids.
+    """
+    names = ["slot", "ids"] if permutation is None else ["slot", "number", "ids"]
+    step = stride(length)
 
-    def records(batches):
-        for batch in batches:
+    def cut(batches):
+        for batch in slices(batches, "content"):
             for name, blob in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 start = int(name.rsplit("/shard=", 1)[1].split("/")[0]) * shard_size
-                data = blob.as_buffer()
-                slots = [s for s in range(max(first, start), min(end, start + data.size // stride))]
-                ids = [data[(s - start) * stride : (s - start) * stride + 2 * length].to_pybytes() for s in slots]
-                yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(ids, pa.binary())], names=["slot", "ids"])
+                data = np.frombuffer(blob.as_buffer(), np.uint8)
+                data = data[: len(data) // step * step].reshape(-1, step)
+                low, high = max(first - start, 0), min(end - start, len(data))
+                for a in range(low, high, RECORDS_AT_ONCE):
+                    b = min(high, a + RECORDS_AT_ONCE)
+                    at = pa.py_buffer(np.arange(b - a + 1, dtype=np.int32) * np.int32(2 * length))
+                    ids = pa.Array.from_buffers(pa.binary(), b - a, [None, at, pa.py_buffer(data[a:b, :-1].tobytes())])
+                    slots = np.arange(start + a, start + b)
+                    numbers = [] if permutation is None else [pa.array(permutation.number(slots))]
+                    yield pa.RecordBatch.from_arrays([pa.array(slots), *numbers, ids], names=names)
 
     files = spark.read.format("binaryFile").load(path)
     shard = F.col("shard").between(first // shard_size, (end - 1) // shard_size)
-    return files.filter(shard).select("path", "content").mapInArrow(records, "slot long, ids binary").orderBy("slot")
+    return files.filter(shard).select("path", "content").mapInArrow(cut, ", ".join(f"{c} {'binary' if c == 'ids' else 'long'}" for c in names))
+
+
+def read_slots(spark: SparkSession, path: str, first: int, end: int, length: int = LENGTH, shard_size: int = SHARD_SIZE) -> DataFrame:
+    """slot, ids of the slots from ``first`` up to ``end``, in order."""
+    return records(spark, path, first, end, length, shard_size).orderBy("slot")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limnia.llm import decontamination, jaccard, language, lines, lm, order, packing, topk, toxicity, url_rules
-from limnia.llm.common import remainder, table
+from limnia.llm.common import remainder, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,9 +197,8 @@ FROM m GROUP BY doc_id
 
 @query
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = order.materialise(table(spark, sf_dir, "documents"))
-    at = (F.col("slot") % order.SHARD_SIZE * order.LENGTH * 2).alias("byte_offset")
-    return placed.select("slot", "shard", at, "number", "n_tokens", F.crc32("ids").alias("ids_crc32"), "ids")
+    shards = order.written(table(spark, sf_dir, "documents"), shared_folder(spark))
+    return shards.select("slot", "shard", "byte_offset", "number", "n_tokens", F.crc32("ids").alias("ids_crc32"), "ids")
 
 
 @query

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from limnia.llm import order
+from limnia.llm import order, queries
 from limnia.llm.tokens import Encoder
 
 
@@ -47,3 +47,24 @@ def test_same_split_same_slots(spark):
 
 def test_empty(spark):
     assert order.materialise(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_query_writes_shards_that_a_reader_can_seek_in(spark, tmp_path, monkeypatch):
+    rows = [(i, f"Stone and river {i} " * (i % 40)) for i in range(300)]
+    folder = tmp_path / "shards"
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "shared_folder", lambda _: str(folder), raising=False)
+    monkeypatch.setattr(order.written, "__defaults__", (*order.written.__defaults__[:2], 64, 100))
+    got = sorted(queries.op9_training_order(spark, str(tmp_path)).collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in got] == list(range(len(got))) and len(got) > 200
+    assert sorted(r["number"] for r in got) == list(range(len(got)))
+    for r in got:
+        (file,) = (folder / f"shard={r['shard']}").glob("part-*")
+        with open(file, "rb") as f:
+            f.seek(r["byte_offset"])
+            assert f.read(128) == bytes(r["ids"])
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    columns = ["shard", "slot", "number", "n_tokens", "ids"]
+    want = order.materialise(docs, length=64, shard_size=100).select(columns).collect()
+    assert sorted(want, key=lambda r: r["slot"]) == [type(r)(**{c: r[c] for c in columns}) for r in got]
+    assert order.written(docs.limit(0), str(tmp_path / "none")).collect() == []
