@@ -18,6 +18,7 @@ from limnia.llm.bytewords import raw, span_hashes
 DEFAULT = "word_bpe_49k.json"
 END_ID = 1
 CACHE_WORDS = 1_000_000
+ASK_WORDS = 20_000
 
 # Byte classes: 0 white space, 1 letter, 2 digit, 3 other sign, 4 not for the quick way.
 _CLASS = np.full(256, 4, np.uint8)
@@ -36,7 +37,10 @@ def tokenizer_path(name: str = DEFAULT) -> str:
 
 
 class Encoder:
-    """Ids of texts; keeps what it has learnt about up to CACHE_WORDS words."""
+    """Ids of texts; keeps what it has learnt about up to CACHE_WORDS words.
+
+    Texts with more distinct words than that are encoded all the same, from a pool of their own.
+    """
 
     _made: dict[str, Encoder] = {}
 
@@ -61,22 +65,40 @@ class Encoder:
         self.size = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint16)
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        if len(self.keys) + len(keys) > CACHE_WORDS:
-            raise MemoryError
+    def _ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids, one after another, and how many each has."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int32, len(ids))
+        return np.fromiter((x for i in ids for x in i), np.uint16, int(size.sum())), size
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        ids, size = self._ask(words)
         at = len(self.pool) + np.concatenate([[0], np.cumsum(size[:-1], dtype=np.int64)])
-        self.pool = np.concatenate([self.pool, np.fromiter((x for i in ids for x in i), np.uint16, int(size.sum()))])
+        self.pool = np.concatenate([self.pool, ids])
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.at = np.insert(self.at, where, at)
         self.size = np.insert(self.size, where, size)
 
-    def _look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each word, its place and size in the pool."""
+    def _look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each word, its place and size in the pool, and the pool."""
         uniq, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
 
+        def parts_of(which: np.ndarray):
+            for part in np.array_split(which, max(1, len(which) // ASK_WORDS)):
+                if len(part):
+                    blob = data.tobytes() if len(part) > 1000 else None
+                    yield part, [
+                        (blob[starts[i] : ends[i]] if blob else data[starts[i] : ends[i]].tobytes()).decode()
+                        for i in first[part]
+                    ]
+
+        if len(uniq) > CACHE_WORDS:  # more than can be kept
+            ids, sizes = zip(*(self._ask(words) for _, words in parts_of(np.arange(len(uniq)))), strict=True)
+            size = np.concatenate(sizes)
+            at = np.concatenate([[0], np.cumsum(size[:-1], dtype=np.int64)])
+            return at[inverse], size[inverse], np.concatenate(ids)
+
         def missing() -> np.ndarray:
             if not len(self.keys):
                 return np.ones(len(uniq), bool)
@@ -86,16 +108,10 @@ class Encoder:
         if len(self.keys) + int(new.sum()) > CACHE_WORDS:
             self.clear()
             new = missing()
-        for part in np.array_split(np.flatnonzero(new), max(1, int(new.sum()) // 20_000)):
-            if len(part):
-                blob = data.tobytes() if len(part) > 1000 else None
-                words = [
-                    (blob[starts[i] : ends[i]] if blob else data[starts[i] : ends[i]].tobytes()).decode()
-                    for i in first[part]
-                ]
-                self._learn(uniq[part], words)
+        for part, words in parts_of(np.flatnonzero(new)):
+            self._learn(uniq[part], words)
         where = np.searchsorted(self.keys, uniq)
-        return self.at[where][inverse], self.size[where][inverse]
+        return self.at[where][inverse], self.size[where][inverse], self.pool
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, END_ID after each; text i has ids[offsets[i]:offsets[i + 1]].
@@ -119,7 +135,9 @@ class Encoder:
         else:
             quick_offsets = offsets
         starts, ends = self._pre_tokens(low, kind, quick_offsets)
-        at, size = self._look_up(low, starts, ends) if len(starts) else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+        at, size, pool = np.zeros(0, np.int64), np.zeros(0, np.int32), self.pool
+        if len(starts):
+            at, size, pool = self._look_up(low, starts, ends)
 
         # one END_ID after each text: a pseudo word at the end of its words
         first = np.searchsorted(starts, quick_offsets)
@@ -127,7 +145,7 @@ class Encoder:
         size = np.insert(size, first[1:], 1)
         total = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         spots = np.repeat(at - total[:-1], size) + np.arange(total[-1])
-        ids = np.where(np.repeat(at, size) < 0, END_ID, self.pool[spots] if len(self.pool) else END_ID).astype(np.uint16)
+        ids = np.where(np.repeat(at, size) < 0, END_ID, pool[spots] if len(pool) else END_ID).astype(np.uint16)
         bounds = total[first + np.arange(n + 1)]
         if odd.any():
             parts, sizes = [], []

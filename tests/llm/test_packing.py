@@ -78,3 +78,17 @@ def test_pack_round_trip(spark):
 
 def test_pack_empty(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_text_with_more_words_than_the_cache(monkeypatch):
+    from limnia.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    e = Encoder(tokens.DEFAULT)
+    rnd = random.Random(9)
+    texts = ["stone and river", " ".join("".join(rnd.choice("abcde") for _ in range(6)) for _ in range(400)), None, "it's stone 42"]
+    for _ in range(2):
+        ids, at = e.encode(pa.array(texts, pa.string()))
+        assert [ids[at[i] : at[i + 1]].tolist() for i in range(4)] == [reference_ids(e, t) for t in texts]
+        ids, at = e.encode(pa.array(texts[3:], pa.string()))
+        assert ids.tolist() == reference_ids(e, texts[3]) and len(e.keys) <= 50
