@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import ALNUM, raw, split
-from limnia.llm.common import broadcast, ready, slices, text_bytes
+from limnia.llm.common import broadcast, ready, slices, stored, text_bytes
 
 MIN_WORDS = 10
 MAX_COVERAGE = 0.8
@@ -185,8 +185,9 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _shards(benchmark: DataFrame, min_words: int):
     """A broadcast matcher for each shard of the items."""
-    n = 1 + text_bytes(benchmark) // SHARD_BYTES
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    items = stored(items.distinct())  # repeated rows count once and would all fall into one shard
+    n = 1 + text_bytes(items) // SHARD_BYTES
     for k in range(n):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
         rows = part.collect()  # a shard: about SHARD_BYTES of text

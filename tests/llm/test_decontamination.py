@@ -72,3 +72,12 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     assert dec.scan(no_docs, no_items).collect() == []
     assert dec.scan(one, no_items).first()["_n_hit"] == 0
+
+
+def test_repeated_items_are_gathered_once(spark, monkeypatch):
+    monkeypatch.setattr(dec, "Matcher", lambda pairs, n: [item for item, _ in pairs])
+    monkeypatch.setattr(dec, "SHARD_BYTES", 200)
+    rows = [(1, "which river runs through the old town")] * 300 + [(i, f"grey mill number {i}") for i in range(2, 20)] + [(None, None)] * 50
+    gathered = list(dec._shards(spark.createDataFrame(rows, "item_id long, text string"), 5))
+    assert sorted(x for part in gathered for x in part) == sorted(["", *map(str, range(1, 20))])
+    assert len(gathered) <= 5
