@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, jaccard, language, lines, lm, order, packing, topk, toxicity, url_rules
+from limnia.llm import decontamination, fim, jaccard, language, lines, lm, order, packing, topk, toxicity, url_rules
 from limnia.llm.common import remainder, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,47 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_score").alias("score"),
         F.when(F.col("_score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
+    restored = fim.restore(F.col("_output"), F.col("_form"))
+    return made.select(
+        "doc_id",
+        F.col("_n").alias("n"),
+        F.col("_form").alias("form"),
+        F.col("_prefix_chars").alias("prefix_chars"),
+        F.col("_middle_chars").alias("middle_chars"),
+        F.sha2(F.col("_output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_fim"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+    FROM documents
+),
+h AS (
+    SELECT *, ('0x' || x[1:8])::BIGINT % (len(u) + 1) AS c1, ('0x' || x[9:16])::BIGINT % (len(u) + 1) AS c2,
+           ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4
+    FROM d
+),
+f AS (
+    SELECT doc_id, t, len(u) AS n,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(u[1:least(c1, c2)], '') AS p,
+           array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+           array_to_string(u[greatest(c1, c2) + 1:], '') AS s
+    FROM h
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
