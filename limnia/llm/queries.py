@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, fim, jaccard, language, lines, lm, order, packing, topk, toxicity, url_rules
+from limnia.llm import decontamination, fim, jaccard, language, lines, lm, merkle, order, packing, topk, toxicity, url_rules
 from limnia.llm.common import remainder, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,6 +214,79 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MANIFEST = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = {c: F.col(c) for c in MANIFEST}
+    changed = merkle.leaf(list({**values, "n_chars": F.col("n_chars") + 1}.values()))
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0  # not for a null id
+    docs = table(spark, sf_dir, "documents").select(*MANIFEST, F.when(chosen, changed).alias("_changed"))
+    made = merkle.manifest(docs, MANIFEST, group="lang", key="doc_id", keep=["doc_id", "_changed"])
+    folded = made.withColumn("folded_root", merkle.fold(F.coalesce("_changed", "_leaf"), F.col("_proof")))
+    return folded.select(
+        "doc_id",
+        F.col("_leaf").alias("leaf"),
+        F.col("_subroot").alias("subroot"),
+        F.col("_root").alias("root"),
+        merkle.digest(merkle.siblings(F.col("_proof"))).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("_root")).alias("verified"),
+    )
+
+
+# crc32 by its table of 256 remainders; then levels upwards, and each leaf's fold upwards.
+_FIELDS = "||".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in MANIFEST)
+ORACLES["op11_merkle"] = f"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) AS r(i)
+),
+d AS (
+    SELECT row_number() OVER () AS r, coalesce('=' || lang, '') AS lk, doc_id, sha256({_FIELDS}) AS leaf,
+           sha256({_FIELDS.replace("n_chars::", "(n_chars + 1)::")}) AS changed,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')]),
+                           lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 7 = 0 AS chosen
+    FROM documents, crc
+),
+n AS (
+    SELECT *, row_number() OVER (PARTITION BY lk ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lk) AS n FROM d
+),
+low AS (
+    SELECT lk, 0 AS l, i, n, leaf AS h FROM n
+    UNION ALL
+    SELECT lk, l + 1, i >> 1, (n + 1) >> 1, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY lk, l, i >> 1, n
+),
+g AS (SELECT lk, h AS subroot, row_number() OVER (ORDER BY lk) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+    SELECT 0 AS l, i, n, subroot AS h FROM g
+    UNION ALL
+    SELECT l + 1, i >> 1, (n + 1) >> 1, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY l, i >> 1, n
+),
+s AS (
+    SELECT n.r, s.l, (n.i >> s.l) & 1 AS own, s.h FROM n JOIN low s ON s.lk = n.lk AND s.i = xor(n.i >> s.l, 1) AND s.n > 1
+    UNION ALL
+    SELECT n.r, 100 + s.l, (g.i >> s.l) & 1, s.h FROM n JOIN g USING (lk) JOIN high s ON s.i = xor(g.i >> s.l, 1) AND s.n > 1
+),
+lv AS (
+    SELECT n.r, x.l, s.own, coalesce(s.h, '') AS h, row_number() OVER (PARTITION BY n.r ORDER BY x.l) AS k
+    FROM n JOIN (SELECT DISTINCT lk, l FROM low WHERE n > 1 UNION ALL SELECT DISTINCT g.lk, 100 + l FROM g, high WHERE high.n > 1) x USING (lk)
+    LEFT JOIN s ON s.r = n.r AND s.l = x.l
+),
+fold AS (
+    SELECT r, 0 AS k, CASE WHEN chosen THEN changed ELSE leaf END AS h FROM n
+    UNION ALL
+    SELECT fold.r, lv.k, sha256(CASE WHEN lv.own = 1 THEN lv.h || fold.h ELSE fold.h || lv.h END)
+    FROM fold JOIN lv ON lv.r = fold.r AND lv.k = fold.k + 1
+),
+folded AS (SELECT r, max_by(h, k) AS folded_root FROM fold GROUP BY r),
+proof AS (SELECT r, string_agg(h, '' ORDER BY k) AS p FROM lv GROUP BY r)
+SELECT doc_id, leaf, subroot, top.h AS root, sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = top.h AS verified
+FROM n JOIN g USING (lk) JOIN folded USING (r) LEFT JOIN proof USING (r), (SELECT h FROM high WHERE n = 1) top
+"""
+
+
 @query
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.transform(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
