@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnia.llm import decontamination, fim, jaccard, language, lines, lm, merkle, order, packing, topk, toxicity, url_rules
+from limnia.llm import decontamination, fim, jaccard, language, lines, lm, merkle, order, packing, quality, topk, toxicity, url_rules
 from limnia.llm.common import remainder, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -287,6 +287,19 @@ FROM n JOIN g USING (lk) JOIN folded USING (r) LEFT JOIN proof USING (r), (SELEC
 """
 
 
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    weights = quality.train(docs.filter(~held_out), labels.filter(~held_out).select("doc_id", "quality"))
+    return quality.score(docs, weights).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("_score").alias("score"),
+        F.when(F.col("_score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.transform(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
