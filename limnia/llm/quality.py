@@ -13,7 +13,7 @@ rows; a text beyond WINDOW bytes is counted window by window, cut at white space
 
 Cases: null and empty texts have the constant only; a document with several labels counts as good
 if one of them says so; rows with null id or label don't train; of rows with equal id one trains,
-that of the smallest feature hash; without a label every score is 0.5; rows are scored one by one,
+that of the smallest text hash; without a label every score is 0.5; rows are scored one by one,
 equal texts equally; an empty table gives no rows; other columns come through unchanged but for
 ``_score``, which is replaced.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from limnia.llm.bytewords import SPACE, mix, raw, runs, span_hashes
 from limnia.llm.common import broadcast, ready, slices, stored
 
-BITS = 20
+BITS = 18
 BUCKETS = 1 << BITS  # the constant's place is the one after the last
 ORDERS = 2
 WINDOW = 1 << 20
@@ -144,29 +144,13 @@ def logistic(x):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
-    """shard, place in its order, label and features of about ``limit`` labelled documents, one row each."""
+    """shard, place in its order, label and text of about ``limit`` labelled documents, one row each."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("label"))
     share = limit / max(limit, known.count())
     some = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # the chosen ids are about ``limit`` rows of two numbers
-    texts = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
-
-    def run(batches):
-        for batch in slices(batches):
-            f = features(batch.column("text"))
-            first = pa.array(f.first.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("label"),
-                    pa.ListArray.from_arrays(first, pa.array(f.buckets.astype(np.int32))),
-                    pa.ListArray.from_arrays(first, pa.array(f.values.astype(np.float32))),
-                ],
-                names=["doc_id", "label", "at", "x"],
-            )
-
-    schema = T.StructType([texts.schema["doc_id"], texts.schema["label"]]).add("at", T.ArrayType(T.IntegerType())).add("x", T.ArrayType(T.FloatType()))
-    made = texts.select("doc_id", "label", "text").mapInArrow(run, schema)
-    one = made.groupBy("doc_id").agg(F.min_by(F.struct("label", "at", "x"), F.xxhash64("at", "x")).alias("row"))
+    # the chosen ids are about ``limit`` rows of two numbers; many rows of one id are combined before the shuffle
+    texts = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id")
+    one = texts.agg(F.min_by(F.struct("label", "text"), F.xxhash64("text")).alias("row"))
     return one.select(
         F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(SHARDS)).alias("shard"), F.xxhash64("doc_id", F.lit(3)).alias("place"), "row.*"
     )
@@ -191,24 +175,25 @@ def one_round(spark, rows: DataFrame, common: Leader) -> DataFrame:
 
     def run(batches):
         shard, leader = None, None
-        for batch in batches:
-            at, x = batch.column("at"), batch.column("x")
+        for batch in slices(batches):
+            f = features(batch.column("text"))
             for i, (s, label) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("label").to_pylist(), strict=True)):
                 if s != shard:
                     yield from moves(leader)
                     shard, leader = s, Leader(*(v.copy() for v in held()))
-                leader.learn(at[i].values.to_numpy(), x[i].values.to_numpy().astype(float), label)
+                leader.learn(*f.of(i), label)
         yield from moves(leader)
 
     def moves(leader):
         if leader:
             z, n = held()
             at = np.flatnonzero(leader.n > n)
-            arrays = [pa.array(at.astype(np.int32)), pa.array(leader.z[at] - z[at]), pa.array(leader.n[at] - n[at])]
+            shifts = ((a[at] - b[at]).astype(np.float32) for a, b in ((leader.z, z), (leader.n, n)))
+            arrays = [pa.array(at.astype(np.int32)), *map(pa.array, shifts)]
             yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "z", "n"])
 
     dealt = rows.repartition(SHARDS, "shard").sortWithinPartitions("shard", "place")
-    moved = dealt.mapInArrow(run, "bucket int, z double, n double")
+    moved = dealt.mapInArrow(run, "bucket int, z float, n float")
     return moved.groupBy("bucket").agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
 
 

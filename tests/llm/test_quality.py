@@ -124,7 +124,7 @@ def test_train_equals_plain_rounds(data):
             own = q.Leader(z.copy(), n.copy())
             for r in rows:
                 if r["shard"] == s:
-                    own.learn(np.array(r["at"]), np.array(r["x"], np.float32).astype(float), r["label"])
+                    own.learn(*q.features(pa.array([r["text"]])).of(0), r["label"])
             dz, dn, met = dz + own.z - z, dn + own.n - n, met + (own.n > n)
         z, n = z + dz / np.maximum(met, 1), n + dn / np.maximum(met, 1)
     assert np.allclose(q.train(docs, labels), q.Leader(z, n).weights(), rtol=1e-3, atol=1e-5)
