@@ -131,6 +131,33 @@ def halves(spark, sf_dir) -> DataFrame:
     )
 
 
+# A lake's parts as corners (x0, y0, x1, y1) of rectangles: edges that touch in part, parts that
+# overlap, parts that cross.
+PATCHES = (
+    ((-1.0, -1.0, 0.0, 1.0), (0.0, -1.0, 1.0, 0.25), (0.0, 0.25, 1.0, 1.0)),
+    ((-1.0, -1.0, 0.3, 1.0), (-0.2, -1.0, 1.0, 1.0), (-0.5, -0.5, 0.5, 0.5)),
+    ((-1.0, -0.5, 1.0, 0.5), (-0.5, -1.0, 0.5, 1.0), (0.5, 0.5, 1.0, 1.0)),
+)
+
+
+def patches(spark, sf_dir) -> DataFrame:
+    """supplier -> a lake of three rectangles that touch, overlap or cross, by supplier number."""
+    c = _centres(spark, sf_dir)
+
+    def ring(x0, y0, x1, y1):
+        return F.array(*[
+            F.struct((F.col("cx") + F.col("r") * dx).alias("x"), (F.col("cy") + F.col("r") * dy).alias("y"))
+            for dx, dy in ((x1, y1), (x0, y1), (x0, y0), (x1, y0))
+        ])
+
+    kinds = [F.array(*[F.array(ring(*p)) for p in kind]) for kind in PATCHES]
+    own = F.when(F.col("part") % 3 == 0, kinds[0]).when(F.col("part") % 3 == 1, kinds[1]).otherwise(kinds[2])
+    return c.select("part", F.posexplode(own).alias("no", "rings")).select(
+        F.concat(F.lit("L-"), F.col("part")).alias("lake_id"), F.lit("Patches").alias("lake_name"),
+        (F.col("part") * 3 + F.col("no")).alias("part"), F.lit(4326).alias("srid"), "rings",
+    )
+
+
 def index_value():
     """Order totals scaled to the size of index readings, by an odd factor so that no mean
     lands on a rounding tie."""

@@ -213,6 +213,26 @@ CTES["hpts"] = f"""SELECT 'L-' || part AS lake_id, y, x, lon, lat, {mx('lon', 'l
 NEEDS |= {"hedge": ["ctr"], "hmedge": ["hedge"], "hpts": ["grid", "ctr"]}
 
 
+# what the rectangles of adapters.PATCHES leave as outline, corner by corner, with the points where they meet
+_OUTLINES = (
+    [(-1, -1), (0, -1), (1, -1), (1, 0.25), (1, 1), (0, 1), (-1, 1)],
+    [(-1, -1), (-0.2, -1), (0.3, -1), (1, -1), (1, 1), (0.3, 1), (-0.2, 1), (-1, 1)],
+    [(-0.5, -1), (0.5, -1), (0.5, -0.5), (1, -0.5), (1, 0.5), (1, 1), (0.5, 1), (-0.5, 1), (-0.5, 0.5), (-1, 0.5), (-1, -0.5), (-0.5, -0.5)],
+)
+
+
+def _patches() -> str:
+    rows = []
+    for kind, pts in enumerate(_OUTLINES):
+        rows += [f"({kind},{a:e},{b:e},{pts[(i + 1) % len(pts)][0]:e},{pts[(i + 1) % len(pts)][1]:e})" for i, (a, b) in enumerate(pts)]
+    return "(VALUES " + ",".join(rows) + ") v(kind, ox, oy, qx, qy)"
+
+
+CTES["uedge"] = f"SELECT 'L-' || part AS lake_id, cx+r*ox AS x1, cy+r*oy AS y1, cx+r*qx AS x2, cy+r*qy AS y2 FROM ctr JOIN {_patches()} ON kind = part%3"
+CTES["umedge"] = CTES["hmedge"].replace("hedge", "uedge")
+NEEDS |= {"uedge": ["ctr"], "umedge": ["uedge"]}
+
+
 def _inside_outline(points: str, edge: str, px: str, py: str, part: str = "", inset: float = 0.0) -> str:
     """(lake_id, y, x) of points in a part by ray parity, off every edge of the lake and ``inset`` away from it."""
     t = (f"greatest(0e0, least(1e0, coalesce((({px}-x1)*(x2-x1)+({py}-y1)*(y2-y1))/nullif((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1),0), 0e0)))")
@@ -225,6 +245,46 @@ def _inside_outline(points: str, edge: str, px: str, py: str, part: str = "", in
         GROUP BY lake_id, y, x HAVING bool_or(hits%2=1) AND NOT bool_or(touch) AND sqrt(min(d2)) >= {inset:e}"""
 
 
+def _union(edge: str, key: str) -> str:
+    """Edges (key, x1, y1, x2, y2) around the union of a key's parts: all pairs are cut, all pieces probed on both sides.
+
+    ``edge`` has key, part and the edge's ends. A piece stays if some part is on one hand and none on the other.
+    """
+    d = "1e-7"
+    return f"""SELECT {key}, min(x1) AS x1, min(y1) AS y1, min(x2) AS x2, min(y2) AS y2 FROM (
+      SELECT {key}, no, t0, any_value(x1) AS x1, any_value(y1) AS y1, any_value(x2) AS x2, any_value(y2) AS y2, any_value(mx) AS mx,
+          any_value(my) AS my, bool_or(hits%2=1 AND side=1) AS l, bool_or(hits%2=1 AND side=-1) AS r FROM (
+        SELECT s.{key}, s.no, s.t0, s.x1, s.y1, s.x2, s.y2, s.mx, s.my, s.side, w.part,
+            sum(CASE WHEN (w.y1 > s.py) <> (w.y2 > s.py) AND s.px < (w.x2-w.x1)*(s.py-w.y1)/(w.y2-w.y1)+w.x1 THEN 1 ELSE 0 END) AS hits
+        FROM (SELECT *, mx - side*{d}*(y2-y1)/len AS px, my + side*{d}*(x2-x1)/len AS py FROM
+          (SELECT {key}, no, t0, least(p1, p2)[1] AS x1, least(p1, p2)[2] AS y1, greatest(p1, p2)[1] AS x2, greatest(p1, p2)[2] AS y2,
+             (p1[1]+p2[1])/2 AS mx, (p1[2]+p2[2])/2 AS my, sqrt((p2[1]-p1[1])*(p2[1]-p1[1])+(p2[2]-p1[2])*(p2[2]-p1[2])) AS len FROM
+            (SELECT {key}, no, t AS t0, [x1+t*(x2-x1), y1+t*(y2-y1)] AS p1, lead([x1+t*(x2-x1), y1+t*(y2-y1)]) OVER (PARTITION BY no ORDER BY t) AS p2
+             FROM (SELECT DISTINCT n.{key}, n.no, n.x1, n.y1, n.x2, n.y2, round(t, 9) AS t FROM {edge}_no n JOIN {edge}_cut c USING (no)))
+           WHERE p2 IS NOT NULL), (VALUES (1), (-1)) v(side)) s
+        JOIN {edge}_no w ON w.{key}=s.{key} GROUP BY ALL)
+      GROUP BY {key}, no, t0)
+    WHERE l <> r GROUP BY {key}, round(mx, 6), round(my, 6)"""
+
+
+def _union_ctes(edge: str, key: str) -> str:
+    """Numbered edges, and where each is met (as a share of its length); to stand before :func:`_union`."""
+    cross = "((a.x2-a.x1)*(b.y2-b.y1)-(a.y2-a.y1)*(b.x2-b.x1))"
+    off = "abs((a.x2-a.x1)*({y}-a.y1)-(a.y2-a.y1)*({x}-a.x1))/a.len"
+    at = "(({x}-a.x1)*(a.x2-a.x1)+({y}-a.y1)*(a.y2-a.y1))/(a.len*a.len)"
+    ends = " UNION ALL ".join(
+        f"SELECT no, {at.format(x=x, y=y)} AS t FROM p WHERE {off.format(x=x, y=y)} < 1e-9".replace("a.", "a_").replace("b.", "b_")
+        for x, y in (("b.x1", "b.y1"), ("b.x2", "b.y2")))
+    cols = ", ".join(f"{s}.{c} AS {s}_{c}" for s in "ab" for c in ("x1", "y1", "x2", "y2", "len"))
+    t = f"((b.x1-a.x1)*(b.y2-b.y1)-(b.y1-a.y1)*(b.x2-b.x1))/{cross}".replace("a.", "a_").replace("b.", "b_")
+    u = f"((b.x1-a.x1)*(a.y2-a.y1)-(b.y1-a.y1)*(a.x2-a.x1))/{cross}".replace("a.", "a_").replace("b.", "b_")
+    c = cross.replace("a.", "a_").replace("b.", "b_")
+    return f"""{edge}_no AS (SELECT *, row_number() OVER () AS no, sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)) AS len FROM {edge}),
+    {edge}_cut AS (WITH p AS (SELECT a.no, {cols} FROM {edge}_no a JOIN {edge}_no b ON a.{key}=b.{key} AND a.part<>b.part)
+      SELECT no, t FROM (SELECT no, 0e0 AS t FROM {edge}_no UNION ALL SELECT no, 1e0 FROM {edge}_no UNION ALL {ends}
+      UNION ALL SELECT no, {t} FROM p WHERE abs({c}) > 1e-12 * a_len * b_len AND {u} BETWEEN -1e-9 AND 1 + 1e-9) WHERE t BETWEEN 0 AND 1)"""
+
+
 def _stats(v: str = "v") -> str:
     return (f"round(avg({v}), 9) AS CI_mean, round(quantile_cont({v}, 0.9), 9) AS CI_p90, "
             f"CAST(count({v}) AS BIGINT) AS n_valid")
@@ -434,16 +494,21 @@ ORACLES: dict[str, str] = {
         WHERE hits%2=1 AND sqrt(d2) >= 5000e0"""),
     "touching_parts": sql("hpts hedge hmedge", f"""SELECT *, 0e0 AS inset_km FROM ({_inside_outline('hpts', 'hedge', 'lon', 'lat')})
         UNION ALL SELECT *, 5e0 FROM ({_inside_outline('hpts', 'hmedge', 'px', 'py', inset=5000)})"""),
-    "inset_chain": sql("medge grid bnd", f"""WITH pick AS (SELECT part, lake_name AS lake_id FROM ({_LAKE_PICK}) WHERE pick AND lake_name IN {_FIVE}),
-        e AS (SELECT p.lake_id, m.part, x1, y1, x2, y2 FROM medge m JOIN pick p USING (part)),
+    "overlapping_parts": sql("hpts uedge umedge", f"""SELECT *, 0e0 AS inset_km FROM ({_inside_outline('hpts', 'uedge', 'lon', 'lat')})
+        UNION ALL SELECT *, 5e0 FROM ({_inside_outline('hpts', 'umedge', 'px', 'py', inset=5000)})"""),
+    "united_area": sql("umedge", """SELECT lake_id, CAST(round_even(a/9e4, 0) AS BIGINT) AS expected_pixels_geom, round(a/1e6, 3) AS area_km2
+        FROM (SELECT lake_id, sum(x1*y2-x2*y1)/2 AS a FROM umedge GROUP BY 1)"""),
+    "inset_chain": sql("edge grid bnd", f"""WITH pick AS (SELECT part, lake_name AS lake_id FROM ({_LAKE_PICK}) WHERE pick AND lake_name IN {_FIVE}),
+        pe AS (SELECT p.lake_id, m.part, x1, y1, x2, y2 FROM edge m JOIN pick p USING (part)), {_union_ctes('pe', 'lake_id')},
+        e AS (SELECT lake_id, {mx('x1', 'y1')} AS x1, {my('x1', 'y1')} AS y1, {mx('x2', 'y2')} AS x2, {my('x2', 'y2')} AS y2 FROM ({_union('pe', 'lake_id')})),
         b AS (SELECT p.lake_id, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM bnd JOIN pick p ON bnd.lake_id='L-' || part GROUP BY 1),
         g AS (SELECT lake_id, y, x, {mx('lon', 'lat')} AS px, {my('lon', 'lat')} AS py FROM grid JOIN b ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy),
         cell AS (SELECT lake_id, r AS y, c AS x, (c+0.5e0)*5e3 AS px, (r+0.5e0)*5e3 AS py FROM (SELECT lake_id, c0, c1, unnest(generate_series(r0, r1)) AS r FROM
           (SELECT lake_id, CAST(floor(min(least(y1,y2))/5e3) AS BIGINT) AS r0, CAST(floor(max(greatest(y1,y2))/5e3) AS BIGINT) AS r1,
             CAST(floor(min(least(x1,x2))/5e3) AS BIGINT) AS c0, CAST(floor(max(greatest(x1,x2))/5e3) AS BIGINT) AS c1 FROM e GROUP BY 1)),
           unnest(generate_series(c0, c1)) u(c)),
-        a AS (SELECT lake_id, count(*) AS expected_pixels_geom FROM ({_inside_outline('cell', 'e', 'px', 'py', 'part', 3000)}) GROUP BY 1),
-        n AS (SELECT lake_id, count(*) AS members FROM ({_inside_outline('g', 'e', 'px', 'py', 'part', 3000)}) GROUP BY 1)
+        a AS (SELECT lake_id, count(*) AS expected_pixels_geom FROM ({_inside_outline('cell', 'e', 'px', 'py', inset=3000)}) GROUP BY 1),
+        n AS (SELECT lake_id, count(*) AS members FROM ({_inside_outline('g', 'e', 'px', 'py', inset=3000)}) GROUP BY 1)
         SELECT 'GL-' || row_number() OVER (ORDER BY a.lake_id) AS lake_id, a.lake_id AS lake_name, expected_pixels_geom, members
         FROM a LEFT JOIN n USING (lake_id)""").replace(") WITH pick AS", "), pick AS", 1),
     "inset_area": sql("medge", f"SELECT lake_id, count(*)*4e6/1e6 AS area_km2 FROM ({_lattice('medge', 'lake_id', 2000, 2000)}) GROUP BY lake_id"),
@@ -494,8 +559,8 @@ ORACLES: dict[str, str] = {
         {stamp('date')} AS date, round(coalesce(greatest(0e0, least(1e0, pg))*max(m) OVER (PARTITION BY lake_id)*0.2e0, 0e0), 11) AS coverage_height,
         round({_centre('m', 'lake_id')}, 11) AS CI_mean_7, round({_centre('p', 'lake_id')}, 11) AS CI_p90_7
         FROM qcv WHERE lake_id IN ('MACHINERY','BUILDING','AUTOMOBILE')"""),
-    "validity_matrix": sql("ev", """, t AS (SELECT lake_id || ' - Lake ' || substr(lake_id,4) AS label, strftime(d, 'd%Y%m%d') AS k, CAST(ok AS DOUBLE) AS v FROM ev)
-        PIVOT t ON k USING max(v) GROUP BY label""").replace(") , t AS", "), t AS", 1),
+    "validity_matrix": sql("ev", "SELECT lake_id || ' - Lake ' || substr(lake_id,4) AS label, " + ", ".join(
+        f"max(CASE WHEN strftime(d, '%Y%m%d') = '202401{k:02}' THEN CAST(ok AS DOUBLE) END) AS d202401{k:02}" for k in range(1, 31)) + " FROM ev GROUP BY 1"),
     "validity_long": sql("qcv", f"SELECT lake_id || ' - ' || lake_name AS label, {day('date')} AS date, valid AS qc_is_valid FROM qcv"),
     "schema_complete": sql("obs", f"""SELECT lake_id, {stamp('date')} AS date, CAST(NULL AS VARCHAR) AS product, round(m, 11) AS CI_mean,
         CAST(NULL AS DOUBLE) AS CI_p90, n AS n_valid, CAST(NULL AS VARCHAR) AS src, CAST(NULL AS VARCHAR) AS engine FROM obs"""),

@@ -466,6 +466,21 @@ def touching_parts(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+@query
+def overlapping_parts(spark, sf_dir):
+    """Grid pixels inside lakes of parts that touch in part of an edge, overlap or cross, without and with an inset of 5 km."""
+    grid, lakes = ad.grid(spark, sf_dir), ad.patches(spark, sf_dir)
+    both = [spatial.lake_pixels(grid, lakes, d).withColumn("inset_km", F.lit(d / 1000)) for d in (0.0, 5000.0)]
+    return both[0].unionByName(both[1])
+
+
+@query
+def united_area(spark, sf_dir):
+    """Area and expected pixels of lakes whose parts touch, overlap or cross."""
+    out = spatial.expected_pixel_table(ad.patches(spark, sf_dir))
+    return out.select("lake_id", "expected_pixels_geom", F.round(F.col("area_m2") / 1e6, 3).alias("area_km2"))
+
+
 @query
 def inset_chain(spark, sf_dir):
     """Study lakes, then expected pixels and member pixels inside the inset that their table states."""

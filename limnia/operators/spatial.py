@@ -3,8 +3,8 @@
 A polygon table has one row per part: ``lake_id, lake_name, part, srid, rings``, where
 ``rings`` is ARRAY<ARRAY<STRUCT<x, y>>> with the outer ring first and holes after it. A lake
 of many parts is many rows, so no geometry is ever collected into one row, and dissolving is
-a relabelling. Parts of a lake must not overlap each other; they may touch along edges, which
-are then no shore.
+a relabelling. Parts of a lake may touch or overlap: its shore, area and inset are those of
+their union (``operators.overlay``).
 
 Work happens on *edges*, one row per ring segment. Point tests join points to edges through
 horizontal bands: only the edges that can matter to a point meet it.
@@ -21,6 +21,7 @@ from limnia.functions.geometry import (
     albers, albers_inverse, edge_meets_box, on_segment, ray_hits, segment_distance_sq,
 )
 from limnia.functions.flags import PIX_RES_M, expected_pixels
+from limnia.operators.overlay import outlines, several_parts, union_outline
 from limnia.operators.zonal import CELL_DEG, pixels_in_boxes
 
 _XY = ("x1", "y1", "x2", "y2")
@@ -67,23 +68,10 @@ def area(edge_table: DataFrame, key: str = "lake_id") -> DataFrame:
     return rings.groupBy(key).agg(F.sum(signed).alias("area_m2"))
 
 
-def outline(edge_table: DataFrame, key: str = "lake_id") -> DataFrame:
-    """Edges with ``inner``: does the edge occur in another part of the same lake too?
-
-    Such an edge is no shore: it lies between two parts that touch. It gets one orientation
-    for both, so that a point on it falls into one of them. Two parts touch along whole edges.
-    """
-    first = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") <= F.col("y2")))
-    ends = {
-        "ax": F.when(first, F.col("x1")).otherwise(F.col("x2")), "ay": F.when(first, F.col("y1")).otherwise(F.col("y2")),
-        "bx": F.when(first, F.col("x2")).otherwise(F.col("x1")), "by": F.when(first, F.col("y2")).otherwise(F.col("y1")),
-    }
-    rest = [c for c in edge_table.columns if c not in (key, "ring")]
-    same = edge_table.withColumns(ends).groupBy(key, *ends).agg(F.collect_list(F.struct(*rest)).alias("own"))
-    inner = F.size(F.array_distinct(F.transform("own", lambda e: e["part"]))) > 1
-    each = same.select(key, *ends, inner.alias("inner"), F.explode("own").alias("e")).select(key, *ends, "inner", "e.*")
-    turned = {old: F.when(F.col("inner"), F.col(new)).otherwise(F.col(old)) for old, new in zip(_XY, ends)}
-    return each.withColumns(turned).drop(*ends)
+def outline_area(outline: DataFrame, key: str = "lake_id") -> DataFrame:
+    """Area per lake of a union outline, whose edges have the lake on their left."""
+    cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
+    return outline.groupBy(key).agg((F.sum(cross) / 2).alias("area_m2"))
 
 
 def points_inside(
@@ -93,19 +81,20 @@ def points_inside(
     """Of the (point, lake) candidates, those strictly inside, boundary excluded.
 
     ``inset`` keeps only points at least that far from every shore of the lake; an edge table
-    with a column ``inset_m`` states it lake by lake. Shores are the edges that no other part
-    of the lake shares. ``band`` is the height of the bands joining points to edges; an edge is
+    with a column ``inset_m`` states it lake by lake. An edge table with a column ``part`` is
+    united first; one without is taken as the lakes' outlines. ``band`` is the height of the bands joining points to edges; an edge is
     listed in every band it reaches, widened by the inset, so both the ray test and the distance
     test see every edge that can change their answer. Pairs that neither cross the ray nor block
     the point are dropped inside the join; the rest is combined before the shuffle.
     """
     own = "inset_m" in edge_table.columns
     far = F.coalesce("inset_m", F.lit(0.0)) if own else F.lit(float(inset))
-    shores = outline(edge_table, key).withColumn("far", far)
+    shores = outlines(edge_table, several_parts(edge_table, key), key) if "part" in edge_table.columns else edge_table
+    shores = shores.withColumn("far", far)
     lo = F.least("y1", "y2") - F.col("far")
     hi = F.greatest("y1", "y2") + F.col("far")
     banded = shores.select(
-        key, "part", "inner", "far", *_XY,
+        key, "far", *_XY,
         F.explode(F.sequence(F.floor(lo / band).cast("bigint"), F.floor(hi / band).cast("bigint"))).alias("band"),
     )
     pts = candidates.select(*point, key, px, py)
@@ -115,14 +104,11 @@ def points_inside(
     blocked = on_segment(*args)
     if inset or own:
         blocked = blocked | (F.sqrt(segment_distance_sq(*args)) < F.col("far"))
-    pairs = pts.join(banded, [key, "band"]).withColumns({"hit": ray_hits(*args), "blocked": blocked & ~F.col("inner")})
-    tested = pairs.where("hit OR blocked").groupBy(*point, key, "part").agg(
+    pairs = pts.join(banded, [key, "band"]).withColumns({"hit": ray_hits(*args), "blocked": blocked})
+    tested = pairs.where("hit OR blocked").groupBy(*point, key).agg(
         F.count_if("hit").alias("hits"), F.bool_or("blocked").alias("blocked")
     )
-    whole = tested.groupBy(*point, key).agg(
-        F.bool_or(F.col("hits") % 2 == 1).alias("inside"), F.bool_or("blocked").alias("blocked")
-    )
-    return whole.where("inside AND NOT blocked").select(*point, key)
+    return tested.where("hits % 2 = 1 AND NOT blocked").select(*point, key)
 
 
 def _with_inset(polygons: DataFrame, inset_m: float | None) -> tuple[DataFrame, bool]:
@@ -151,12 +137,13 @@ def lake_pixels(
     polygons, any_inset = _with_inset(polygons, inset_m)
     deg = edges(polygons, ["lake_id", "part", "inset_m"])
     near = pixels_in_boxes(grid, bounds(deg), cell)
+    shores = outlines(deg, several_parts(polygons))
     near = near.withColumns({"px": F.col("lon"), "py": F.col("lat")})
     if any_inset:
         # both tables in metres; straight degree edges become straight metre edges, as in
         # a reprojected polygon table
-        return points_inside(to_metres(near, [("px", "py")]), edges_in_metres(deg), ["y", "x"], band or 2000.0)
-    return points_inside(near, deg.drop("inset_m"), ["y", "x"], band or 0.05)
+        return points_inside(to_metres(near, [("px", "py")]), edges_in_metres(shores), ["y", "x"], band or 2000.0)
+    return points_inside(near, shores.drop("inset_m"), ["y", "x"], band or 0.05)
 
 
 def interior_cells(
@@ -164,9 +151,10 @@ def interior_cells(
 ) -> DataFrame:
     """Centres of the lattice cells inside each lake's inset: ``lake_id, row, col``."""
     polygons, _ = _with_inset(polygons, inset_m)
-    m = edges_in_metres(edges(polygons, ["lake_id", "part", "inset_m"]))
+    deg = edges(polygons, ["lake_id", "part", "inset_m"])
+    shores = edges_in_metres(outlines(deg, several_parts(polygons)))
     # boxes of parts may overlap: a cell of two of them is tested once
-    b = bounds(m, "lake_id", "part")
+    b = bounds(edges_in_metres(deg), "lake_id", "part")
 
     def numbers(lo, hi):
         return F.sequence(F.floor(F.col(lo) / cell_m).cast("bigint"), F.floor(F.col(hi) / cell_m).cast("bigint"))
@@ -178,13 +166,20 @@ def interior_cells(
     rows = rows.repartition(tasks, "lake_id", "row")
     cells = rows.select("lake_id", "part", "row", F.explode(numbers("minx", "maxx")).alias("col"))
     cells = cells.withColumns({"px": (F.col("col") + 0.5) * cell_m, "py": (F.col("row") + 0.5) * cell_m})
-    return points_inside(cells, m, ["row", "col"], band or max(cell_m, abs(inset_m or 0.0), 300.0))
+    return points_inside(cells, shores, ["row", "col"], band or max(cell_m, abs(inset_m or 0.0), 300.0))
 
 
 def lake_area(polygons: DataFrame, inset_m: float | None = None, cell_m: float = PIX_RES_M) -> DataFrame:
     """``lake_id, area_m2`` in equal-area metres: exact without inset, by lattice cells with one."""
     polygons, any_inset = _with_inset(polygons, inset_m)
-    exact = area(edges_in_metres(edges(polygons.where("inset_m = 0"))))
+    whole = polygons.where("inset_m = 0")
+    many = several_parts(whole)
+    deg = edges(whole)
+    if many is None:
+        exact = area(edges_in_metres(deg))
+    else:  # united in degrees, as the parts are given
+        united = union_outline(deg.join(many, "lake_id", "left_semi"))
+        exact = area(edges_in_metres(deg.join(many, "lake_id", "left_anti"))).unionByName(outline_area(edges_in_metres(united)))
     if not any_inset:
         return exact
     n = interior_cells(polygons.where("inset_m > 0"), None, cell_m).groupBy("lake_id").agg(F.count("*").alias("n"))

@@ -111,14 +111,15 @@ def pivot_dates(df: DataFrame, dates: Sequence[str] | None = None, key: str = "l
     """Key x date matrix of the largest value, rows sorted; one column per listed day, or per day of the data.
 
     Days become columns, so the second form first asks which days there are: a calendar's worth.
+    Cells are combined first, one row per key and day, and then placed by their day's number, so
+    a row costs the same whatever the number of days.
     """
-    day = F.to_date(time)
+    cells = df.select(key, F.to_date(time).cast("string").alias("day"), F.col(value))
     if dates is None:
-        found = df.select(day.alias("day")).where("day IS NOT NULL").distinct().orderBy("day").collect()
-        dates = [str(r["day"]) for r in found]
-    rows = df.groupBy(key).agg(*[
-        F.max(F.when(day == F.lit(d).cast("date"), F.col(value))).alias(str(d)) for d in dates
-    ]) if dates else df.select(key).distinct()
+        found = cells.select("day").where("day IS NOT NULL").distinct().orderBy("day").collect()
+        dates = [r["day"] for r in found]
+    days = [str(d) for d in dates]
+    rows = cells.groupBy(key).pivot("day", days).agg(F.max(value)) if days else cells.select(key).distinct()
     return rows.orderBy(F.asc_nulls_last(key))
 
 
