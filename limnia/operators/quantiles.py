@@ -4,16 +4,17 @@ The built-in ``percentile`` keeps a map of every distinct value of a group in on
 aggregation buffer, which is hopeless for a group holding a third of a pixel table. Groups
 of every size are solved by counting instead, which never gathers a group into one task:
 
-1. every value gets a coarse, order-preserving cell (128 per power of two); rows are
-   counted per (group, cell) with map-side combine, so what is shuffled is a histogram;
-2. running counts over the histogram tell which cell holds each wanted rank. Cells with one
-   or two values are solved on the spot (the answer is the cell's min or max);
-3. only rows falling in a still-open cell are read again and counted by distinct value;
-   double columns are first split twice, 65,536 ways each, by position inside the cell.
-
-That is two scans of the input and no look at the data while planning. Histogram size is
-bounded by the number format, not by the data: a float32 cell holds at most 65,536 distinct
-values, a twice split double cell at most some thousand, and a value repeated a billion times
+1. every value gets an order-preserving cell (65,536 per power of two); rows are counted per
+   (group, cell) with map-side combine, so what is shuffled is a histogram;
+2. running counts over the histogram tell which cell holds each wanted rank. Only these cells
+   go on, a few for each group; they are written. Cells with one or two values are solved on the
+   spot (the answer is the cell's min or max), and in most tables these are all;
+3. where a rank's cell holds more values, the rows of such cells are read again and counted by
+   distinct value; double columns are first split twice, 65,536 ways each, by position inside
+   the cell. Without such a cell there is no second look at the input.
+
+Histogram size is bounded by the number format, not by the data: a float32 cell holds at most
+128 distinct values, a twice split double cell a handful, and a value repeated a billion times
 is one row.
 """
 
@@ -26,14 +27,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnia.functions.cleaning import finite
+from limnia.session import materialise
 
-_PER_OCTAVE = 128
+_PER_OCTAVE = 65_536
 _SPLITS = 65_536
 
 
 def _cell(v: Column) -> Column:
     """Order-preserving integer cell of a finite double."""
-    mag = (F.floor(F.log2(F.abs(v)) * _PER_OCTAVE) + F.lit(200_000)).cast("int")
+    mag = (F.floor(F.log2(F.abs(v)) * _PER_OCTAVE) + F.lit(1100 * _PER_OCTAVE)).cast("int")
     return F.when(v > 0, mag).when(v < 0, -mag).when(v == 0, F.lit(0))
 
 
@@ -94,38 +96,17 @@ def _resolve_open(rows: DataFrame, goals: DataFrame, group: list[str], split: bo
     return hit.select(*group, "g.t", (F.col("v") * F.col("g.weight")).alias("part"))
 
 
-def _ranks_here(targets: list[tuple[int, float]], many_columns: bool) -> Column:
-    """The wanted ranks that fall in this histogram cell, solved where the cell allows it.
+def _wanted(p: float) -> list[tuple[Column, Column]]:
+    """The ranks below and above a quantile's position among ``total`` values, with their weights."""
+    pos = F.lit(p) * (F.col("total") - 1)
+    frac = pos - F.floor(pos)
+    return [(F.floor(pos), 1 - frac), (F.ceil(pos), frac)]
 
-    Each quantile needs the ranks below and above its position, weighted by distance.
-    """
-    wanted = F.array(*[
-        F.struct(F.lit(t).alias("t"), F.lit(ci).alias("ci"), F.lit(p).alias("p"), F.lit(up).alias("up"))
-        for t, (ci, p) in enumerate(targets) for up in (False, True)
-    ])
-
-    def rank(x):
-        pos = x["p"] * (F.col("total") - 1)
-        frac = pos - F.floor(pos)
-        return F.struct(
-            x["t"].alias("t"), x["ci"].alias("ci"),
-            F.when(x["up"], F.ceil(pos)).otherwise(F.floor(pos)).alias("k"),
-            F.when(x["up"], frac).otherwise(1 - frac).alias("weight"),
-        )
 
-    def falls_here(x):
-        ok = (x["weight"] > 0) & _inside(x["k"])
-        return ok & (x["ci"] == F.col("ci")) if many_columns else ok
-
-    def solve(x):
-        k = x["k"] - (F.col("upto") - F.col("n"))
-        # a rank at either end of its cell, or in a one-value cell, is known
-        val = F.when((k == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).when(
-            k == F.col("n") - 1, F.col("hi")
-        )
-        return F.struct(x["t"].alias("t"), x["weight"].alias("weight"), k.alias("k"), val.alias("val"))
-
-    return F.transform(F.filter(F.transform(wanted, rank), falls_here), solve)
+def _at_rank(k: Column) -> Column:
+    """The value of rank ``k`` in its cell, if it is at either end of the cell or the cell has one value."""
+    own = k - (F.col("upto") - F.col("n"))
+    return F.when((own == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).when(own == F.col("n") - 1, F.col("hi"))
 
 
 def group_stats(
@@ -171,38 +152,42 @@ def group_stats(
         F.count("v").alias("n"), F.sum("v").alias("s"),
         F.min("v").alias("lo"), F.max("v").alias("hi"),
     )
-    if targets:
-        table = _running(table, group, "cell").withColumn(
-            "total", F.sum("n").over(Window.partitionBy(*group))
-        )
-        table = table.withColumn("here", _ranks_here(targets, len(cols) > 1))
-        goals = table.withColumn("goals", F.filter("here", lambda x: x["val"].isNull()))
-        # an open cell always has a sum; naming it keeps both branches' histograms identical,
-        # so that a lazy plan scans the input once for the two of them
-        goals = goals.where((F.size("goals") > 0) & F.col("s").isNotNull())
-        goals = goals.select(*group, "cell", "lo", "hi", "goals")
+    whole = Window.partitionBy(*group)
+    table = _running(table, group, "cell").withColumns({"total": F.sum("n").over(whole), "sum": F.sum("s").over(whole)})
+    # per quantile two ranks; one cell of a group stays in any case, for its total and sum
+    ranks = [
+        (t, k, w, of(ci) & _inside(k) & (w > 0)) for t, (ci, p) in enumerate(targets) for k, w in _wanted(p)
+    ]
+    here = reduce(lambda x, y: x | y, [r[3] for r in ranks], F.col("upto") == F.col("n"))
+    table = materialise(table.where(here).select(*group, "cell", "n", "upto", "total", "sum", "lo", "hi"))
+
+    goals = F.array(*[
+        F.when(inside & _at_rank(k).isNull(), F.struct(
+            F.lit(t).alias("t"), w.alias("weight"), (k - (F.col("upto") - F.col("n"))).alias("k")))
+        for t, k, w, inside in ranks
+    ]) if ranks else F.array()
+    goals = table.withColumn("goals", F.filter(goals, lambda g: g.isNotNull())).where(F.size("goals") > 0)
+    parts = table.select(*group, "total", "sum", *[
+        F.when(inside, _at_rank(k) * w).alias(f"p{i}") for i, (_, k, w, inside) in enumerate(ranks)
+    ])
+    if ranks and not goals.isEmpty():
         single = all(types.get(c) in ("float", "tinyint", "smallint") for c in cols)
-        fine = _resolve_open(rows, goals, group, split=not single).select(
-            *group, F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("double").alias("s"),
-            "t", "part",
-        )
-        known = F.filter("here", lambda x: x["val"].isNotNull())
-        table = table.select(*group, "n", "s", F.posexplode_outer(known).alias("i", "x"))
-        first = F.coalesce(F.col("i"), F.lit(0)) == 0  # count a cell once, not once per rank
-        table = table.select(
-            *group, F.when(first, F.col("n")).alias("n"), F.when(first, F.col("s")).alias("s"),
-            "x.t", (F.col("x.val") * F.col("x.weight")).alias("part"),
-        ).unionByName(fine)
+        fine = _resolve_open(rows, goals.select(*group, "cell", "lo", "hi", "goals"), group, split=not single)
+        parts = parts.unionByName(fine.select(*group, *[
+            F.when(F.col("t") == t, F.col("part")).alias(f"p{i}") for i, (t, *_) in enumerate(ranks) if i % 2 == 0
+        ]), allowMissingColumns=True)
 
     aggs = []
     for out, c in means.items():
-        s, n = (F.sum(F.when(of(idx[c]), F.col(x))) for x in ("s", "n"))
+        s, n = (F.max(F.when(of(idx[c]), F.col(x))) for x in ("sum", "total"))
         aggs.append(F.try_divide(s, n).alias(out))
     for out, c in counts.items():
-        n = F.sum(F.when(of(idx[c]), F.col("n")))
+        n = F.max(F.when(of(idx[c]), F.col("total")))
         aggs.append(F.coalesce(n, F.lit(0)).cast("bigint").alias(out))
-    aggs += [F.sum(F.when(F.col("t") == t, F.col("part"))).alias(out) for t, out in enumerate(quantiles)]
-    return table.groupBy(*keys).agg(*aggs).withColumnsRenamed(names)
+    for t, (out, (ci, _)) in enumerate(zip(quantiles, targets, strict=True)):
+        low, high = (F.coalesce(F.sum(f"p{2 * t + i}"), F.lit(0.0)) for i in (0, 1))
+        aggs.append(F.when(F.max(F.when(of(ci), F.col("total"))) > 0, low + high).alias(out))
+    return parts.groupBy(*keys).agg(*aggs).withColumnsRenamed(names)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -59,12 +59,32 @@ def test_tight_range_with_one_outlier(spark):
         assert row[name] == pytest.approx(np.quantile(v, p), rel=1e-15)
 
 
-def test_planning_looks_at_no_data(spark):
-    spark.sparkContext.setJobGroup("plan", "plan")
-    df = spark.range(1000).selectExpr("id % 3 AS k", "id / 7 AS v")
-    group_stats(df, ["k"], ["v"], {"p": ("v", 0.9)}, {"n": "v"}, {"m": "v"})
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
-    spark.sparkContext.setJobGroup("", "")
+def counting(spark, df):
+    """The same rows, and how often a row was read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(run, df.schema), read
+
+
+def test_input_is_read_once_unless_a_cell_is_crowded(spark):
+    df, read = counting(spark, spark.range(3000).selectExpr("id % 3 AS k", "id / 7 AS v"))
+    rows = {r["k"]: r["p"] for r in group_stats(df, ["k"], ["v"], {"p": ("v", 0.9)}, {"n": "v"}, {"m": "v"}).collect()}
+    for k in range(3):
+        assert rows[k] == pytest.approx(np.quantile(np.arange(k, 3000, 3) / 7, 0.9), rel=1e-12)
+    assert read.value == 3000
+    # all values in one cell: the rows are read again to tell them apart
+    df, read = counting(spark, spark.range(20_000).selectExpr("id % 2 AS k", "1 + id * 1e-13 AS v"))
+    probs = {"a": ("v", 0.1), "b": ("v", 0.5), "c": ("v", 0.999)}
+    rows = {r["k"]: r for r in group_stats(df, ["k"], ["v"], probs).collect()}
+    for k in range(2):
+        want = np.quantile(1 + np.arange(k, 20_000, 2) * 1e-13, [0.1, 0.5, 0.999])
+        assert [rows[k][c] for c in "abc"] == pytest.approx(list(want), abs=1e-15)
+    assert read.value <= 3 * 20_000
 
 
 def test_single_precision_and_no_keys(spark):
