@@ -22,7 +22,7 @@ from limnia.functions.geometry import (
 )
 from limnia.functions.flags import PIX_RES_M, expected_pixels
 from limnia.operators.overlay import outlines, several_parts, union_outline
-from limnia.operators.zonal import CELL_DEG, pixels_in_boxes
+from limnia.operators.zonal import pixels_in_boxes
 
 _XY = ("x1", "y1", "x2", "y2")
 
@@ -124,7 +124,7 @@ def _with_inset(polygons: DataFrame, inset_m: float | None) -> tuple[DataFrame,
 
 
 def lake_pixels(
-    grid: DataFrame, polygons: DataFrame, inset_m: float | None = None, cell: float = CELL_DEG,
+    grid: DataFrame, polygons: DataFrame, inset_m: float | None = None, cell: float | None = None,
     band: float | None = None,
 ) -> DataFrame:
     """Membership table ``lake_id, y, x``: grid pixels strictly inside each lake.

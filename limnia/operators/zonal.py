@@ -11,35 +11,63 @@ from pyspark.sql import functions as F
 from limnia.functions.geometry import in_box
 from limnia.operators.quantiles import group_stats
 
-# Lakes are looked up through whole-degree cells: on the globe a lake covers at most
-# 361 x 181 of them, whatever the data.
-CELL_DEG = 1.0
+# Lakes are looked up through grid cells of their own size: the side of a lake's cells is the
+# largest power of two, in degrees, that half its box's longer side holds. These are the powers used.
+LEVELS = (-10, 9)
 
 
-def _cell_no(c, size: float):
-    return F.floor(F.col(c) / F.lit(size)).cast("int")
+def _cell_no(c, size):
+    return F.floor(F.col(c) / size).cast("bigint")
 
 
-def lake_cells(boxes: DataFrame, cell: float = CELL_DEG) -> DataFrame:
-    """One row per (lake, grid cell its box touches)."""
-    wide = boxes.withColumn("cx", F.explode(F.sequence(_cell_no("minx", cell), _cell_no("maxx", cell))))
-    return wide.withColumn("cy", F.explode(F.sequence(_cell_no("miny", cell), _cell_no("maxy", cell))))
+def _cell_key(level, cx, cy):
+    """Level and cell in one number, so that the join hashes a single key; far cells may share one, which the exact test sorts out."""
+    wrapped = [F.pmod(c, F.lit(1 << 28)) for c in (cx, cy)]
+    return F.shiftleft(level.cast("bigint"), 56) + F.shiftleft(wrapped[0], 28) + wrapped[1]
+
+
+def lake_cells(boxes: DataFrame, cell: float | None = None) -> DataFrame:
+    """One row per (lake, grid cell its box touches): ``level``, ``side`` and ``cell``, at most 25 of a lake.
+
+    Boxes beyond the largest level (the globe has none) have more. A given ``cell`` is the
+    side of the cells of all lakes.
+    """
+    if cell is None:
+        longer = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+        # a point has no logarithm and gets the smallest cells
+        level = F.coalesce(F.floor(F.log2(F.when(longer > 0, longer / 2))).cast("int"), F.lit(LEVELS[0]))
+        boxes = boxes.withColumn("level", F.greatest(F.lit(LEVELS[0]), F.least(F.lit(LEVELS[1]), level)))
+        boxes = boxes.withColumn("side", F.pow(F.lit(2.0), F.col("level")))
+    else:
+        boxes = boxes.withColumns({"level": F.lit(0), "side": F.lit(float(cell))})
+    side = F.col("side")
+    wide = boxes.withColumn("cx", F.explode(F.sequence(_cell_no("minx", side), _cell_no("maxx", side))))
+    wide = wide.withColumn("cy", F.explode(F.sequence(_cell_no("miny", side), _cell_no("maxy", side))))
+    return wide.withColumn("cell", _cell_key(F.col("level"), F.col("cx"), F.col("cy"))).drop("cx", "cy")
 
 
 def pixels_in_boxes(
-    pixels: DataFrame, boxes: DataFrame, cell: float = CELL_DEG, lon: str = "lon", lat: str = "lat"
+    pixels: DataFrame, boxes: DataFrame, cell: float | None = None, lon: str = "lon", lat: str = "lat"
 ) -> DataFrame:
     """Inner join of pixels to every lake box that holds them (boxes may overlap).
 
-    The range join is an equi-join on the grid cell plus the exact box test, so it never
-    becomes a nested loop. The planner broadcasts the lake cells if their size allows it;
-    beyond that both sides are shuffled, with adaptive skew splitting for crowded cells.
+    The range join is an equi-join on level and grid cell plus the exact box test, so it never
+    becomes a nested loop. A pixel is looked up once for each level that some lake has (twenty at
+    most) and there meets only lakes about as large as the cell, so a thousand ponds in one
+    degree don't meet all its pixels. The planner broadcasts the lake cells if their size allows
+    it; beyond that both sides are shuffled, with adaptive skew splitting for crowded cells.
     """
-    cells = lake_cells(boxes, cell)
-    p = pixels.withColumns({"cx": _cell_no(lon, cell), "cy": _cell_no(lat, cell)})
-    joined = p.join(cells, ["cx", "cy"])
+    cells = lake_cells(boxes, cell).drop("level", "side")
+    if cell is None:
+        levels = lake_cells(boxes).agg(F.collect_set(F.struct("level", "side")).alias("levels")).scalar()
+        p = pixels.select("*", F.inline(levels).alias("level", "side"))
+    else:
+        p = pixels.withColumns({"level": F.lit(0), "side": F.lit(float(cell))})
+    side = F.col("side")
+    p = p.withColumn("cell", _cell_key(F.col("level"), _cell_no(lon, side), _cell_no(lat, side))).drop("level", "side")
+    joined = p.join(cells, "cell")
     return joined.where(in_box(F.col(lon), F.col(lat), *map(F.col, ("minx", "miny", "maxx", "maxy")))).drop(
-        "cx", "cy", "minx", "miny", "maxx", "maxy"
+        "cell", "minx", "miny", "maxx", "maxy"
     )
 
 
@@ -68,7 +96,7 @@ def _index_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def zonal_stats(
     pixels: DataFrame, boxes: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date"),
-    files: DataFrame | None = None, keep_empty: bool = True, cell: float = CELL_DEG,
+    files: DataFrame | None = None, keep_empty: bool = True, cell: float | None = None,
 ) -> DataFrame:
     """Mean, exact 90th percentile and valid count per (file, lake).
 

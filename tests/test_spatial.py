@@ -135,11 +135,34 @@ def test_box_join_counts_overlaps_once_per_lake(spark):
     px = spark.createDataFrame([(0, 1.5, 1.5), (1, 3.0, 2.0), (2, 9.0, 9.0), (3, -0.5, 0.5)], "y int, lon double, lat double")
     boxes = spark.createDataFrame([("a", -1.0, 0.0, 3.0, 2.0), ("b", 1.0, 1.0, 4.0, 4.0)],
                                   "lake_id string, minx double, miny double, maxx double, maxy double")
-    for cell in (0.4, 1.0, 100.0):
+    for cell in (0.4, 1.0, 100.0, None):
         got = {(r["y"], r["lake_id"]) for r in pixels_in_boxes(px, boxes, cell).collect()}
         assert got == {(0, "a"), (0, "b"), (1, "a"), (1, "b"), (3, "a")}
 
 
+def test_many_small_lakes_in_one_degree_meet_few_pixels_each(spark):
+    from limnia.operators.zonal import _cell_key, lake_cells
+
+    # 10,000 ponds of 0.008 degrees, one lake of two degrees around them, one of a single point
+    boxes = spark.range(10_000).selectExpr(
+        "concat('p', id) AS lake_id", "(id % 100) / 100.0 + 0.001 AS minx", "(id div 100) / 100.0 + 0.001 AS miny",
+        "(id % 100) / 100.0 + 0.009 AS maxx", "(id div 100) / 100.0 + 0.009 AS maxy",
+    ).selectExpr("lake_id", *(f"cast({c} AS double) AS {c}" for c in ("minx", "miny", "maxx", "maxy")))
+    boxes = boxes.union(spark.sql("SELECT 'big', -0.5D, -0.5D, 1.5D, 1.5D UNION ALL SELECT 'point', 0.505D, 0.505D, 0.505D, 0.505D"))
+    cells = lake_cells(boxes)
+    assert cells.groupBy("lake_id").count().agg(F.max("count")).first()[0] <= 25
+    px = spark.range(200 * 200).selectExpr("id", "(id % 200) / 200.0D AS lon", "(id div 200) / 200.0D AS lat").union(
+        spark.sql("SELECT -1L, 0.505D, 0.505D"))
+    # what an equi-join on level and cell lets through, before the exact test
+    looked_up = px.crossJoin(cells.select("level", "side").distinct()).select(
+        "id", _cell_key(F.col("level"), *(F.floor(F.col(c) / F.col("side")).cast("bigint") for c in ("lon", "lat"))).alias("cell"))
+    met = looked_up.join(cells, "cell").groupBy("id").count().agg(F.max("count")).first()[0]
+    assert met <= 12
+    got = pixels_in_boxes(px, boxes)
+    want = px.join(boxes, (px.lon >= boxes.minx) & (px.lon <= boxes.maxx) & (px.lat >= boxes.miny) & (px.lat <= boxes.maxy)).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
 def test_every_file_lists_every_lake(spark):
     px = spark.createDataFrame([("f1", 1.5, 1.5, 0.002), ("f1", 1.6, 1.5, 0.004), ("f2", 50.0, 50.0, 0.1)],
                                "src string, lon double, lat double, v double")
