@@ -343,9 +343,11 @@ def _box_hits(source: str, key: str, minx, miny, maxx, maxy) -> str:
 
 
 # what each way of writing an event time keeps of it
-_KEPT = ("half", "day", "day", "second", "day", "day", "day", "minute", "day", "day", "second", "minute", "minute", "day", "minute", "minute")
-_TEXT_TIME = "CASE event_id%18 " + " ".join(
-    f"WHEN {i} THEN " + ("date_trunc('second', ts) + INTERVAL 500 MILLISECOND" if k == "half" else f"date_trunc('{k}', ts)")
+_KEPT = ("half", "day", "day", "second", "day", "day", "day", "minute", "day", "day", "second", "minute", "minute", "day", "minute", "minute",
+         "day", "month", "second", "day", "day", "day", "minute", "second", "zone")
+_SPECIAL = {"half": "date_trunc('second', ts) + INTERVAL 500 MILLISECOND", "zone": "date_trunc('second', ts) - INTERVAL 2 HOUR"}
+_TEXT_TIME = "CASE event_id%27 " + " ".join(
+    f"WHEN {i} THEN " + _SPECIAL.get(k, f"date_trunc('{k}', ts)")
     for i, k in enumerate(_KEPT)
 ) + " END"
 
@@ -414,8 +416,8 @@ ORACLES: dict[str, str] = {
         strftime({_HALF.format("a", "z")}, {STAMP}) AS middle, count(*) AS n_files FROM f GROUP BY a, z""",
     "period_snap": f"""SELECT {day("ts")} AS day, {day("date_trunc('week', ts)")} AS week, {day("date_trunc('month', ts)")} AS month,
         {day("date_trunc('quarter', ts)")} AS quarter, count(*) AS n FROM events GROUP BY 1, 2, 3, 4""",
-    "lenient_datetime": f"SELECT event_id, strftime({_TEXT_TIME}, {STAMP}) AS date FROM events WHERE event_id%18 < 16",
-    "dropped_datetime": "SELECT count(*) AS rows, count(CASE WHEN event_id%18 >= 16 THEN 1 END) AS rows_dropped FROM events",
+    "lenient_datetime": f"SELECT event_id, strftime({_TEXT_TIME}, {STAMP}) AS date FROM events WHERE event_id%27 < 25",
+    "dropped_datetime": "SELECT count(*) AS rows, count(CASE WHEN event_id%27 >= 25 THEN 1 END) AS rows_dropped FROM events",
     "dedupe_first": f"""SELECT c_mktsegment AS series, {day("date_trunc('month', o_orderdate)")} AS date, o_orderkey AS src, o_totalprice AS value
         FROM orders JOIN customer ON o_custkey=c_custkey QUALIFY row_number() OVER (PARTITION BY c_mktsegment,
         date_trunc('month', o_orderdate) ORDER BY o_orderdate, o_orderkey)=1""",

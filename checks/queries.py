@@ -175,7 +175,9 @@ def period_snap(spark, sf_dir):
 TEXT_TIMES = (
     "yyyy-MM-dd HH:mm:ss'.5+00:00'", "yyyy-MM-dd", "MM/dd/yyyy", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyyMMdd",
     "M/d/yyyy", "MMMM d, yyyy", "yyyy-MM-dd h:mm a", "dd-MMM-yyyy", "MMM d yyyy", "yyyyMMdd'T'HHmmss", "yyyyMMdd HH:mm",
-    "yyyy/MM/dd HH:mm", "yyyy.MM.dd", "M/d/yyyy H:mm", "MMM d, yyyy HH:mm", "'junk'", None,
+    "yyyy/MM/dd HH:mm", "yyyy.MM.dd", "M/d/yyyy H:mm", "MMM d, yyyy HH:mm", "EEE MMM d yyyy", "MMM yyyy", "yyyyMMddHHmmss",
+    "M/d/yy", "EEEE, MMMM d, yyyy", "MM-dd-yyyy", "h:mm a d MMM yyyy", "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+    "yyyy-MM-dd HH:mm:ss'+02:00'", "'junk'", None,
 )
 
 

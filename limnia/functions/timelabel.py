@@ -12,49 +12,127 @@ from limnia.functions.text import basename
 MONTHLY_NAME = r"\.(\d{8})_(\d{8})\.L3m\.MO\."
 DAILY_NAME = r"\.(\d{8})\.L3m\.DAY\."
 
-# Date shapes beside ISO: what the text looks like, and the patterns it is read with. Month
-# first, as in US dates, and day first only where no such month exists.
-DATE_SHAPES = (
-    (r"\d{1,2}/\d{1,2}/\d{4}", ("M/d/yyyy", "d/M/yyyy")),
-    (r"\d{4}/\d{1,2}/\d{1,2}", ("yyyy/M/d",)),
-    (r"\d{4}[.]\d{1,2}[.]\d{1,2}", ("yyyy.M.d",)),
-    (r"\d{4}-\d{1,2}-\d{1,2}", ("yyyy-M-d",)),
-    (r"\d{8}", ("yyyyMMdd",)),
-    (r"[A-Za-z]{3} \d{1,2}, \d{4}", ("MMM d, yyyy",)),
-    (r"[A-Za-z]{4,9} \d{1,2}, \d{4}", ("MMMM d, yyyy",)),
-    (r"[A-Za-z]{3} \d{1,2} \d{4}", ("MMM d yyyy",)),
-    (r"[A-Za-z]{4,9} \d{1,2} \d{4}", ("MMMM d yyyy",)),
-    (r"\d{1,2} [A-Za-z]{3} \d{4}", ("d MMM yyyy",)),
-    (r"\d{1,2} [A-Za-z]{4,9} \d{4}", ("d MMMM yyyy",)),
-    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", ("d-MMM-yyyy",)),
+# Month names by number, and words that carry no date.
+MONTHS = ("jan|january", "feb|february", "mar|march", "apr|april", "may", "jun|june", "jul|july", "aug|august",
+          "sep|sept|september", "oct|october", "nov|november", "dec|december")
+FILLERS = "mon(day)?|tue(sday)?|wed(nesday)?|thu(rsday)?|fri(day)?|sat(urday)?|sun(day)?|at|on|and|of|ad|st|nd|rd|th|t|m"
+# A clock time with its am/pm and zone (numbers of a zone only; its name says UTC or nothing).
+CLOCK = (r"(?<![\d:.])(\d{1,2})(?::(\d{1,2})(?::(\d{1,2})(?:[.,](\d{1,6})\d*)?)?\s*([ap]m\b)?|\s*([ap]m\b))"
+         r"\s*(?:([+-])(\d{2}):?(\d{2})?(?!\d)|(?!jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|mon|tue|wed|thu|fri|sat|sun)[a-z]{3,5}\b|z\b)?")
+# Digits without separators: what they look like, and the same with separators.
+COMPACT = (
+    (r"^(\d{4})(\d{2})(\d{2})[t ]?(\d{2})(\d{2})(\d{2})(z|[+-]\d{2}:?\d{2})?$", "$1-$2-$3 $4:$5:$6 $7"),
+    (r"^(\d{4})(\d{2})(\d{2})[t ]?(\d{2})(\d{2})(z|[+-]\d{2}:?\d{2})?$", "$1-$2-$3 $4:$5 $6"),
+    (r"^(\d{2})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4}-\d{1,2}-\d{1,2})[t ](\d{2})$", "$1 $2:00"),
+    (r"^(\d{4})q([1-4])$", "$1 q$2"),
 )
-# Clock times that may follow a date: shape and pattern.
-TIME_SHAPES = (
-    (r"( \d{1,2}:\d{2}(:\d{2}([.]\d{1,6})?)?)?", "[ H:mm[:ss[.SSSSSS]]]"),
-    (r" \d{1,2}:\d{2}(:\d{2})? [AaPp][Mm]", " h:mm[:ss] a"),
-)
-COMPACT_TIMES = ((r"\d{8}T\d{6}", "yyyyMMdd'T'HHmmss"), (r"\d{8}T\d{4}", "yyyyMMdd'T'HHmm"))
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)``, with the plan holding the value once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _month_number(word: Column) -> Column:
+    names = [(F.lit(n), F.lit(i + 1)) for i, group in enumerate(MONTHS) for n in group.split("|")]
+    quarters = [(F.lit(f"q{i}"), F.lit(3 * i - 2)) for i in range(1, 5)]
+    return F.try_element_at(F.create_map(*[x for pair in names + quarters for x in pair]), word)
+
+
+def _clock(low: Column) -> Column:
+    """Hour, minute, second, microseconds and zone offset in minutes; hour is null without a clock time, -1 if it has no such hour."""
+    part = [F.regexp_extract(low, CLOCK, i) for i in range(10)]
+    number = lambda i: F.coalesce(part[i].try_cast("int"), F.lit(0))
+    half = F.concat(part[5], part[6])
+    hour = number(1)
+    hour = F.when(half == "", hour).when(~hour.between(1, 12), F.lit(-1)).when(half == "pm", hour % 12 + 12).otherwise(hour % 12)
+    offset = (number(8) * 60 + number(9)) * F.when(part[7] == "-", -1).otherwise(1)
+    return F.struct(
+        F.when(part[0] != "", hour).alias("h"), number(2).alias("m"), number(3).alias("s"),
+        F.rpad(part[4], 6, "0").try_cast("int").alias("us"), offset.alias("zone"),
+    )
+
+
+def _full_year(word: Column) -> Column:
+    """The year of a word; two digits mean the century that brings it within fifty years of this one."""
+    n, now = word["n"], F.year(F.current_date())
+    near = n + F.floor(now / 100) * 100
+    near = near - F.when(near >= now + 50, 100).otherwise(0) + F.when(near < now - 50, 100).otherwise(0)
+    return F.when(word["len"] > 2, n).otherwise(near)
+
+
+def _day(words: Column) -> Column:
+    """Year, month and day from up to three words: month first among numbers, unless only another order can be."""
+    def named(w, other):  # a month's name, and the number that is neither year nor month
+        return F.struct(_full_year(other).cast("int").alias("y"), F.coalesce(w["m"], w["n"]).alias("m"), F.lit(1).alias("d"))
+
+    def three(y, m, d):
+        return F.struct(_full_year(y).cast("int").alias("y"), F.coalesce(m["m"], m["n"]).alias("m"), d["n"].alias("d"))
+
+    a, b, c = (F.get(words, F.lit(i)) for i in range(3))
+    year = lambda w: (w["len"] > 2) | (w["n"] > 31)
+    is_name = lambda w: w["m"].isNotNull()
+    one = F.when((a["len"] == 4) & ~is_name(a), F.struct(a["n"].alias("y"), F.lit(1).alias("m"), F.lit(1).alias("d")))
+    two = (
+        F.when(year(a) & ~is_name(a) & (is_name(b) | ~year(b)), named(b, a))
+        .when(year(b) & ~is_name(b), named(a, b))
+    )
+    by_name = (
+        F.when(is_name(a), F.when(year(b), three(b, a, c)).otherwise(three(c, a, b)))
+        .when(is_name(b), F.when(year(a), three(a, b, c)).otherwise(three(c, b, a)))
+        .when(is_name(c), F.when(year(b), three(b, c, a)).otherwise(three(a, c, b)))
+    )
+    numbers = F.when(year(a), three(a, b, c)).when(a["n"] > 12, three(c, b, a)).otherwise(three(c, a, b))
+    names = F.size(F.filter(words, is_name))
+    return F.when(names > 1, None).when(F.size(words) == 1, one).when(F.size(words) == 2, two).when(
+        F.size(words) == 3, F.when(names == 1, by_name).otherwise(numbers)
+    )
+
+
+def _tokens(rest: Column) -> Column:
+    """The words of a text without its clock time that count for the date; null if one means nothing."""
+    words = F.filter(F.regexp_extract_all(rest, F.lit(r"q[1-4]|[a-z]+|\d+"), 0), lambda w: ~w.rlike(f"^({FILLERS})$"))
+    known = F.transform(words, lambda w: F.struct(
+        _month_number(w).alias("m"), F.when(F.length(w) <= 4, w.try_cast("int")).alias("n"), F.length(w).alias("len")))
+    strange = F.exists(known, lambda w: w["m"].isNull() & w["n"].isNull()) | rest.rlike(r"[^a-z0-9 ,./'\t-]")
+    return F.when(~strange, known)
 
 
 def parse_lenient(c: Column | str) -> Column:
-    """Mixed-format text -> TIMESTAMP (UTC session); NULL where nothing fits.
+    """Mixed-format text -> TIMESTAMP (UTC session); NULL where no date can be read.
 
-    A text's shape picks the patterns it is read with, so that a row costs one or two parses.
+    Plain ISO text is cast. Any other text is taken apart: a clock time with am/pm and zone,
+    wherever it stands; weekdays and small words, which say nothing; and what is left, one to
+    three numbers or a month's name, which are put in order as US dates are: month first, a year
+    where only a year can be, two-digit years in the nearest century.
     """
 
+    def assemble(clock, day):
+        hour = F.coalesce(clock["h"], F.lit(0))
+        at = F.try_make_timestamp(day["y"], day["m"], day["d"], hour, clock["m"], clock["s"].cast("decimal(16,6)"))
+        shift = F.coalesce(clock["us"], F.lit(0)).cast("bigint") - clock["zone"].cast("bigint") * 60_000_000
+        fits = hour.between(0, 23) & clock["m"].between(0, 59) & clock["s"].between(0, 59)
+        return F.when(fits, F.timestamp_micros(F.unix_micros(at) + shift))
+
+    def read(low):
+        rest = F.regexp_replace(F.regexp_replace(low, CLOCK, " "), r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
+        return _let(_clock(low), lambda clock: _let(_day_of(rest), lambda day: assemble(clock, day)))
+
+    def _day_of(rest):
+        return _let(_tokens(rest), _day)
+
+    def spread(low):
+        for shape, to in COMPACT:
+            low = F.regexp_replace(low, shape, to)
+        return low
+
     def parse(s):
-        compact = s.rlike(r"^\d{5,}(T\d+)?$")  # the ISO cast would read 20240105 as a year
-        out = [F.when(~compact, s.try_cast("timestamp"))]
-        for date, patterns in DATE_SHAPES:
-            for time, clock in TIME_SHAPES:
-                read = F.coalesce(*[F.try_to_timestamp(s, F.lit(p + clock)) for p in patterns])
-                out.append(F.when(s.rlike(f"^{date}{time}$"), read))
-        out += [F.when(s.rlike(f"^{shape}$"), F.try_to_timestamp(s, F.lit(p))) for shape, p in COMPACT_TIMES]
-        return F.coalesce(*out)
-
-    # a one-element array binds the text to a name, so that the plan holds it once and not
-    # once per pattern
-    return F.transform(F.array(F.trim(as_col(c).cast("string"))), parse)[0]
+        iso = s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}($|[T ]\d{1,2}:\d)")
+        plain = F.when(iso & ~s.rlike("[a-zA-SU-Y]"), s.try_cast("timestamp"))
+        return F.coalesce(plain, _let(spread(F.lower(s)), read))
+
+    return _let(F.trim(as_col(c).cast("string")), parse)
 
 
 def to_utc_timestamp(df, name: str) -> Column:

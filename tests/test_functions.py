@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pandas as pd
 import pytest
@@ -111,6 +112,53 @@ def test_mixed_dates_match_pandas(spark):
     assert [None if x is None else pd.Timestamp(x) for x in got] == [None if pd.isna(x) else x for x in want]
 
 
+def pandas_reads(text):
+    """As ``format="mixed"`` reads one text, in UTC."""
+    got = pd.to_datetime(pd.Series([text]), format="mixed", errors="coerce", utc=True)[0]
+    return None if pd.isna(got) else got.tz_localize(None).to_pydatetime()
+
+
+SHAPES = [
+    "Fri Jan 5 2024", "Jan 2024", "20240105063000", "1/5/24", "Friday, January 5, 2024", "01-05-2024", "2024", "202401", "240105",
+    "202401050630", "Jan 5", "2024 Jan 5", "2024-Jan-05", "5-Jan-24", "Jan-05-24", "05Jan2024", "5th Jan 2024",
+    "January 5th, 2024 at 6:30 pm", "6:30 PM Jan 5 2024", "Jan 5 2024 6pm", "31/12/99", "1.5.2024", "2024/1", "1/2024",
+    "01/05/2024 06:30+02:00", "2024-01-05 06:30:00 EST", "20240105T0630Z", "Sept 5 2024", "2024Q1", "2024-W05", "24-01-13", "99/1/5",
+    "2024-13-01", "2024.01.05 06.30", "12:30 AM 1/5/2024", "1/5/2024 24:00", "Thu, 05 Jan 2024 06:30:00 -0500", "Fri Jan  5 06:30:00 2024",
+    "5 2024 Jan", "Jan 2024 5", "hello 2024", "5 of January 2024", "2024-01-05 06", "2024-1-5 6:3", "2024 1 5", "30/2/2024", "",
+]
+
+
+def test_date_shapes_match_pandas(spark):
+    got = column(spark, "s string", SHAPES, timelabel.parse_lenient("s").cast("timestamp_ntz"))
+    assert dict(zip(SHAPES, got, strict=True)) == {s: pandas_reads(s) for s in SHAPES}
+
+
+def test_generated_dates_match_pandas(spark):
+    rnd = random.Random(1)
+    months = "Jan January feb MARCH Apr May Jun June Jul July Aug Sep Sept September Oct November Dec December".split()
+    days = "Mon Monday Tue Wednesday Thu Fri Friday Sat Sunday".split()
+    texts = []
+    for _ in range(600):
+        y, m, d, name = rnd.randrange(1980, 2030), rnd.randrange(1, 13), rnd.randrange(1, 29), rnd.choice(months)
+        z = lambda v: rnd.choice([str(v), f"{v:02d}"])
+        short = rnd.choice([str(y), f"{y % 100:02d}"])
+        date = rnd.choice([
+            f"{z(m)}/{z(d)}/{short}", f"{z(d)}/{z(m)}/{short}", f"{name} {z(d)}, {short}", f"{z(d)} {name} {short}", f"{z(d)}-{name}-{short}",
+            f"{rnd.choice(days)}, {name} {z(d)}, {short}", f"{z(m)}-{z(d)}-{short}", f"{z(d)}.{z(m)}.{short}", f"{y}-{z(m)}-{z(d)}",
+            f"{y}/{z(m)}/{z(d)}", f"{y}{m:02d}{d:02d}", f"{y}-{name}-{z(d)}", f"{d}th of {name} {y}",
+        ])
+        h, mi, s = rnd.randrange(24), rnd.randrange(60), rnd.randrange(60)
+        time = rnd.choice([
+            "", "", f" {h:02d}:{mi:02d}", f" {h}:{mi:02d}:{s:02d}", f" {h:02d}:{mi:02d}:{s:02d}.{rnd.randrange(10**6):06d}",
+            f" {h % 12 + 1}:{mi:02d} {rnd.choice(['AM', 'pm'])}", f" {h % 12 + 1}{rnd.choice([' am', 'PM'])}", f"T{h:02d}:{mi:02d}:{s:02d}Z",
+            f" {h:02d}:{mi:02d}+0{rnd.randrange(9)}:30", f" {h:02d}:{mi:02d}:{s:02d} UTC", f" {h:02d}:{mi:02d} -0{rnd.randrange(1, 9)}00",
+        ])
+        texts.append(time.strip() + " " + date if time.startswith(" ") and rnd.random() < 0.2 else date + time)
+    got = column(spark, "s string", texts, timelabel.parse_lenient("s").cast("timestamp_ntz"))
+    wrong = [(t, g, w) for t, g, w in zip(texts, got, map(pandas_reads, texts), strict=True) if g != w]
+    assert wrong == []
+
+
 def test_bounds_in_the_pixels_own_precision(spark):
     values = [5e-5, 5.0000001e-5, 0.1, 0.2, 0.20000000001]
     assert column(spark, "s double", values, cleaning.clean_index("s")) == [None, *values[1:]]
