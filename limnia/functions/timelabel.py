@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,74 +31,69 @@ COMPACT = (
 )
 
 
-def _let(value: Column, then) -> Column:
-    """``then(value)``, with the plan holding the value once."""
-    return F.transform(F.array(value), then)[0]
-
-
-def _month_number(word: Column) -> Column:
-    names = [(F.lit(n), F.lit(i + 1)) for i, group in enumerate(MONTHS) for n in group.split("|")]
-    quarters = [(F.lit(f"q{i}"), F.lit(3 * i - 2)) for i in range(1, 5)]
-    return F.try_element_at(F.create_map(*[x for pair in names + quarters for x in pair]), word)
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _clock(low: Column) -> Column:
-    """Hour, minute, second, microseconds and zone offset in minutes; hour is null without a clock time, -1 if it has no such hour."""
-    part = [F.regexp_extract(low, CLOCK, i) for i in range(10)]
-    number = lambda i: F.coalesce(part[i].try_cast("int"), F.lit(0))
-    half = F.concat(part[5], part[6])
-    hour = number(1)
-    hour = F.when(half == "", hour).when(~hour.between(1, 12), F.lit(-1)).when(half == "pm", hour % 12 + 12).otherwise(hour % 12)
-    offset = (number(8) * 60 + number(9)) * F.when(part[7] == "-", -1).otherwise(1)
-    return F.struct(
-        F.when(part[0] != "", hour).alias("h"), number(2).alias("m"), number(3).alias("s"),
-        F.rpad(part[4], 6, "0").try_cast("int").alias("us"), offset.alias("zone"),
-    )
+def _month_numbers() -> str:
+    pairs = [(n, i + 1) for i, group in enumerate(MONTHS) for n in group.split("|")] + [(f"q{i}", 3 * i - 2) for i in range(1, 5)]
+    return "map(" + ", ".join(f"'{n}', {i}" for n, i in pairs) + ")"
 
 
-def _full_year(word: Column) -> Column:
+def _year(w: str) -> str:
     """The year of a word; two digits mean the century that brings it within fifty years of this one."""
-    n, now = word["n"], F.year(F.current_date())
-    near = n + F.floor(now / 100) * 100
-    near = near - F.when(near >= now + 50, 100).otherwise(0) + F.when(near < now - 50, 100).otherwise(0)
-    return F.when(word["len"] > 2, n).otherwise(near)
+    now = "year(current_date())"
+    near = f"({w}.n + {now} DIV 100 * 100)"
+    return f"CAST(CASE WHEN {w}.len > 2 THEN {w}.n WHEN {near} >= {now} + 50 THEN {near} - 100 WHEN {near} < {now} - 50 THEN {near} + 100 ELSE {near} END AS int)"
 
 
-def _day(words: Column) -> Column:
+def _day(words: str) -> str:
     """Year, month and day from up to three words: month first among numbers, unless only another order can be."""
-    def named(w, other):  # a month's name, and the number that is neither year nor month
-        return F.struct(_full_year(other).cast("int").alias("y"), F.coalesce(w["m"], w["n"]).alias("m"), F.lit(1).alias("d"))
-
-    def three(y, m, d):
-        return F.struct(_full_year(y).cast("int").alias("y"), F.coalesce(m["m"], m["n"]).alias("m"), d["n"].alias("d"))
-
-    a, b, c = (F.get(words, F.lit(i)) for i in range(3))
-    year = lambda w: (w["len"] > 2) | (w["n"] > 31)
-    is_name = lambda w: w["m"].isNotNull()
-    one = F.when((a["len"] == 4) & ~is_name(a), F.struct(a["n"].alias("y"), F.lit(1).alias("m"), F.lit(1).alias("d")))
-    two = (
-        F.when(year(a) & ~is_name(a) & (is_name(b) | ~year(b)), named(b, a))
-        .when(year(b) & ~is_name(b), named(a, b))
-    )
-    by_name = (
-        F.when(is_name(a), F.when(year(b), three(b, a, c)).otherwise(three(c, a, b)))
-        .when(is_name(b), F.when(year(a), three(a, b, c)).otherwise(three(c, b, a)))
-        .when(is_name(c), F.when(year(b), three(b, c, a)).otherwise(three(a, c, b)))
-    )
-    numbers = F.when(year(a), three(a, b, c)).when(a["n"] > 12, three(c, b, a)).otherwise(three(c, a, b))
-    names = F.size(F.filter(words, is_name))
-    return F.when(names > 1, None).when(F.size(words) == 1, one).when(F.size(words) == 2, two).when(
-        F.size(words) == 3, F.when(names == 1, by_name).otherwise(numbers)
-    )
-
-
-def _tokens(rest: Column) -> Column:
-    """The words of a text without its clock time that count for the date; null if one means nothing."""
-    words = F.filter(F.regexp_extract_all(rest, F.lit(r"q[1-4]|[a-z]+|\d+"), 0), lambda w: ~w.rlike(f"^({FILLERS})$"))
-    known = F.transform(words, lambda w: F.struct(
-        _month_number(w).alias("m"), F.when(F.length(w) <= 4, w.try_cast("int")).alias("n"), F.length(w).alias("len")))
-    strange = F.exists(known, lambda w: w["m"].isNull() & w["n"].isNull()) | rest.rlike(r"[^a-z0-9 ,./'\t-]")
-    return F.when(~strange, known)
+    a, b, c = (f"get({words}, {i})" for i in range(3))
+
+    def ymd(y, m, d="1"):
+        return f"named_struct('y', {_year(y)}, 'm', coalesce({m}.m, {m}.n), 'd', {d if d == '1' else d + '.n'})"
+
+    year = lambda w: f"({w}.len > 2 OR {w}.n > 31)"
+    named = lambda w: f"{w}.m IS NOT NULL"
+    names = f"size(filter({words}, w -> w.m IS NOT NULL))"
+    return f"""CASE WHEN {names} > 1 THEN NULL
+        WHEN size({words}) = 1 AND {a}.len = 4 AND {a}.m IS NULL THEN {ymd(a, 'named_struct("m", 1, "n", 1)')}
+        WHEN size({words}) = 2 AND {year(a)} AND {a}.m IS NULL AND ({named(b)} OR NOT {year(b)}) THEN {ymd(a, b)}
+        WHEN size({words}) = 2 AND {year(b)} AND {b}.m IS NULL THEN {ymd(b, a)}
+        WHEN size({words}) <> 3 THEN NULL
+        WHEN {named(a)} AND {year(b)} THEN {ymd(b, a, c)} WHEN {named(a)} THEN {ymd(c, a, b)}
+        WHEN {named(b)} AND {year(a)} THEN {ymd(a, b, c)} WHEN {named(b)} THEN {ymd(c, b, a)}
+        WHEN {named(c)} AND {year(b)} THEN {ymd(b, c, a)} WHEN {named(c)} THEN {ymd(a, c, b)}
+        WHEN {year(a)} THEN {ymd(a, b, c)} WHEN {a}.n > 12 THEN {ymd(c, b, a)} ELSE {ymd(c, a, b)} END"""
+
+
+@cache
+def _lenient() -> str:
+    """SQL lambda: text -> timestamp."""
+    # the text before and after its clock time, and the clock's parts between them
+    clock = f"split(regexp_replace(low, r'{CLOCK}', '~$1~$2~$3~$4~$5$6~$7~$8~$9~'), '~')"
+    part = lambda i: f"coalesce(try_cast(get(p, {i}) AS int), 0)"
+    hour = f"""CASE WHEN size(p) = 1 THEN 0 WHEN get(p, 5) = '' THEN {part(1)} WHEN {part(1)} NOT BETWEEN 1 AND 12 THEN -1
+        ELSE {part(1)} % 12 + if(get(p, 5) = 'pm', 12, 0) END"""
+    micros = "coalesce(try_cast(rpad(get(p, 4), 6, '0') AS bigint), 0L)"
+    zone = f"({part(7)} * 60 + {part(8)}) * if(get(p, 6) = '-', -1, 1)"
+    rest = "regexp_replace(concat(p[0], ' ', if(size(p) > 1, p[9], '')), r'(?<!\\d)(\\d{4})(\\d{2})(\\d{2})(?!\\d)', '$1-$2-$3')"
+    words = f"filter(regexp_extract_all(rest, r'q[1-4]|[a-z]+|\\d+', 0), w -> NOT w RLIKE r'^({FILLERS})$')"
+    known = f"transform({words}, w -> named_struct('m', try_element_at({_month_numbers()}, w), 'n', if(length(w) <= 4, try_cast(w AS int), NULL), 'len', length(w)))"
+    fits = f"h BETWEEN 0 AND 23 AND {part(2)} < 60 AND {part(3)} < 60"
+    at = f"try_make_timestamp(d.y, d.m, d.d, h, {part(2)}, CAST({part(3)} AS decimal(16, 6)))"
+    made = f"CASE WHEN {fits} THEN timestamp_micros(unix_micros({at}) + {micros} - {zone} * 60000000L) END"
+    day = _let("d", _let("t", known, f"CASE WHEN NOT exists(t, w -> w.m IS NULL AND w.n IS NULL) THEN {_day('t')} END"), _let("h", hour, made))
+    read = _let("rest", rest, f"CASE WHEN NOT rest RLIKE r'[^a-z0-9 ,./\\x27\\t-]' THEN {day} END")
+    spaced = "lower(s)"
+    for shape, to in COMPACT:
+        spaced = f"regexp_replace({spaced}, r'{shape}', '{to}')"
+    low = f"if(s RLIKE r'^[0-9]{{4}}[-0-9TtZzqQ:+ ]*[0-9Zz]$|^[0-9]{{6}}$', {spaced}, lower(s))"
+    general = _let("low", low, _let("p", clock, f"CASE WHEN size(p) IN (1, 10) THEN {read} END"))
+    iso = r"s RLIKE r'^\d{4}-\d{1,2}-\d{1,2}($|[T ]\d{1,2}:\d)' AND NOT s RLIKE '[a-zA-SU-Y]'"
+    return f"s -> coalesce(CASE WHEN {iso} THEN try_cast(s AS timestamp) END, CASE WHEN s RLIKE '[0-9]' THEN {general} END)"
 
 
 def parse_lenient(c: Column | str) -> Column:
@@ -105,34 +102,11 @@ def parse_lenient(c: Column | str) -> Column:
     Plain ISO text is cast. Any other text is taken apart: a clock time with am/pm and zone,
     wherever it stands; weekdays and small words, which say nothing; and what is left, one to
     three numbers or a month's name, which are put in order as US dates are: month first, a year
-    where only a year can be, two-digit years in the nearest century.
+    where only a year can be, two-digit years in the nearest century. A month alone is its first
+    day. A time without a date is no date.
     """
-
-    def assemble(clock, day):
-        hour = F.coalesce(clock["h"], F.lit(0))
-        at = F.try_make_timestamp(day["y"], day["m"], day["d"], hour, clock["m"], clock["s"].cast("decimal(16,6)"))
-        shift = F.coalesce(clock["us"], F.lit(0)).cast("bigint") - clock["zone"].cast("bigint") * 60_000_000
-        fits = hour.between(0, 23) & clock["m"].between(0, 59) & clock["s"].between(0, 59)
-        return F.when(fits, F.timestamp_micros(F.unix_micros(at) + shift))
-
-    def read(low):
-        rest = F.regexp_replace(F.regexp_replace(low, CLOCK, " "), r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
-        return _let(_clock(low), lambda clock: _let(_day_of(rest), lambda day: assemble(clock, day)))
-
-    def _day_of(rest):
-        return _let(_tokens(rest), _day)
-
-    def spread(low):
-        for shape, to in COMPACT:
-            low = F.regexp_replace(low, shape, to)
-        return low
-
-    def parse(s):
-        iso = s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}($|[T ]\d{1,2}:\d)")
-        plain = F.when(iso & ~s.rlike("[a-zA-SU-Y]"), s.try_cast("timestamp"))
-        return F.coalesce(plain, _let(spread(F.lower(s)), read))
-
-    return _let(F.trim(as_col(c).cast("string")), parse)
+    # as text, because a tree of columns of this size takes the driver most of a second to build
+    return F.call_function("transform", F.array(F.trim(as_col(c).cast("string"))), F.expr(_lenient()))[0]
 
 
 def to_utc_timestamp(df, name: str) -> Column:
