@@ -579,6 +579,15 @@ ORACLES: dict[str, str] = {
     "optional_input": """SELECT 'orders' AS name, CAST(count(*) AS DOUBLE) AS rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
         UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'no_such_table', NULL""",
     "sorted_rows": sql("obs", f"SELECT lake_id, {day('date')} AS date, n AS n_valid, row_number() OVER (ORDER BY lake_id, date) - 1 AS place FROM obs"),
+    "numbered_rows": sql("pix", f"""SELECT {day('date')} AS date, count(*) AS rows, count(*) AS last, count(*) AS numbers, round(min(CAST(ci AS DOUBLE)), 9) AS lowest,
+        CASE WHEN count(ci) < count(*) THEN count(ci) END AS first_missing FROM pix GROUP BY pix.date"""),
+    "facet_first": sql("qcv", f"""SELECT lake_id, count(*) AS rows, {stamp('min(date)')} AS first, {stamp('max(date)')} AS last FROM qcv
+        WHERE lake_id IN (SELECT DISTINCT lake_id FROM qcv ORDER BY 1 LIMIT 2) GROUP BY 1"""),
+    "quality_defaults": sql("qc", """SELECT lake_id, count(*) AS rows, CAST(sum(g) AS BIGINT) AS qc_low_cov_geom, CAST(sum(e) AS BIGINT) AS qc_low_cov_emp,
+        CAST(sum(t) AS BIGINT) AS qc_tiny_abs_pix, CAST(sum(CASE WHEN g + e + t > 0 THEN 0 ELSE 1 END) AS BIGINT) AS qc_is_valid FROM
+        (SELECT lake_id, CAST(n*25e0/(exp_pix*100e0) < 0.1e0 AS INTEGER) AS g, CAST(n/CAST(nmax AS DOUBLE) < 0.1e0 AS INTEGER) AS e,
+           CAST(n*25 < 50 AS INTEGER) AS t FROM qc) GROUP BY 1"""),
+    "guarded_write": sql("obs", """SELECT 'all' AS name, 1::INTEGER AS written, count(*) AS rows FROM obs UNION ALL SELECT 'none', 0, 0"""),
     "column_difference": sql("obs", """SELECT lake_id, 2*count(*) AS rows, count(*) AS n_counts, count(*) AS n_means, 'engine,product,src' AS lacking
         FROM obs GROUP BY 1"""),
     "facet_all": sql("qcv", "SELECT lake_id, CAST(NULL AS DOUBLE) AS ord, count(*) AS rows FROM qcv GROUP BY 1"),

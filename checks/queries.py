@@ -12,7 +12,7 @@ from limnia.functions import flags as fl
 from limnia.functions import timelabel as tl
 from limnia.functions.cleaning import clean_index, near_zero_threshold
 from limnia.functions.text import basename, display_label, mentions_any
-from limnia.operators import merge, resample, schema, series, spatial, summary, zonal
+from limnia.operators import merge, numbering, resample, schema, series, spatial, summary, zonal
 from limnia.session import materialise, scratch_path
 from limnia.plans import catalogue, climate, extraction, features, feeds, quality
 from limnia.sources import files as src_files
@@ -805,12 +805,54 @@ def optional_input(spark, sf_dir):
 
 @query
 def sorted_rows(spark, sf_dir):
-    """Observations in lake and date order, as written and read back: each row with its place in the table."""
+    """Observations in lake and date order, each row with its place in the table, as written and read back."""
     path = scratch_path(spark)
-    rows = schema.ordered(ad.obs(spark, sf_dir), "lake_id", "date").coalesce(1)
-    tables.write_parquet(rows.select("lake_id", "date", "n_valid"), path)
-    # one file, so that the row number within it is the place in the written order
-    return spark.read.parquet(path).select("lake_id", "date", "n_valid", F.col("_metadata.row_index").alias("place"))
+    rows = numbering.row_numbers(ad.obs(spark, sf_dir), ["lake_id", "date"])
+    tables.write_parquet(schema.ordered(rows, "place").select("lake_id", "date", "n_valid", "place"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def numbered_rows(spark, sf_dir):
+    """Pixels of each day numbered by value, missing ones last; the extremes of every day by their numbers."""
+    px = ad.pixels(spark, sf_dir).select("date", "CI_cyano", "x", "y")
+    px = px.withColumn("CI_cyano", F.when(~F.isnan("CI_cyano"), F.col("CI_cyano")))
+    rows = numbering.row_numbers(px, ["CI_cyano"], by=["date"])
+    return rows.groupBy("date").agg(
+        F.count("*").alias("rows"), (F.max("place") + 1).alias("last"), F.count_distinct("place").alias("numbers"),
+        F.round(F.max(F.when(F.col("place") == 0, F.col("CI_cyano").cast("double"))), 9).alias("lowest"),
+        F.min(F.when(F.col("CI_cyano").isNull(), F.col("place"))).alias("first_missing"),
+    )
+
+
+@query
+def facet_first(spark, sf_dir):
+    """The first two panels of all lakes in text order: rows, span and peak of each."""
+    out = feeds.facet_feed(_stored_quality(spark, sf_dir), ("none of these",), limit=2)
+    return out.groupBy("lake_id").agg(F.count("*").alias("rows"), F.min("date").alias("first"), F.max("date").alias("last"))
+
+
+@query
+def quality_defaults(spark, sf_dir):
+    """Lake quality with the coverage limits as they come: flags and verdicts counted."""
+    obs = ad.obs_full(spark, sf_dir).withColumn("n_valid", F.col("n_valid") * 25)
+    expected = ad.expected(spark, sf_dir).withColumn("expected_pixels_geom", F.col("expected_pixels_geom") * 100)
+    q = quality.lake_quality(obs, expected)
+    flags = [c for c in q.columns if c.startswith("qc_")]
+    return q.groupBy("lake_id").agg(F.count("*").alias("rows"), *[F.sum(F.col(c).cast("bigint")).alias(c) for c in flags])
+
+
+@query
+def guarded_write(spark, sf_dir):
+    """Tables written into folders that don't exist yet; one without rows writes nothing."""
+    root = scratch_path(spark)
+    obs, found = ad.obs(spark, sf_dir), []
+    for name, rows in (("all", obs), ("none", obs.where("n_valid < 0"))):
+        tables.write_parquet(rows, f"{root}/deep/{name}", unless_empty=rows)
+        back = tables.optional(spark.read.parquet, f"{root}/deep/{name}")
+        written = obs.limit(0) if back is None else back
+        found.append(written.agg(F.lit(name).alias("name"), F.lit(back is not None).cast("int").alias("written"), F.count("*").alias("rows")))
+    return found[0].unionByName(found[1])
 
 
 @query
