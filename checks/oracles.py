@@ -245,6 +245,76 @@ def _inside_outline(points: str, edge: str, px: str, py: str, part: str = "", in
         GROUP BY lake_id, y, x HAVING bool_or(hits%2=1) AND NOT bool_or(touch) AND sqrt(min(d2)) >= {inset:e}"""
 
 
+def _scanned(edge: str, key: str, step: float, inset: float) -> str:
+    """(key, area): free length of the scan lines of a lake's inset, turned by half a radian, times their distance."""
+    c, s = math.cos(0.5), math.sin(0.5)
+    turned = ", ".join(f"x{i}*{c!r}e0-y{i}*{s!r}e0 AS x{i}, x{i}*{s!r}e0+y{i}*{c!r}e0 AS y{i}" for i in (1, 2))
+    y, n = f"((k+0.5e0)*{step:e})", "sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1))"
+    nx, ny = f"(-(y2-y1)/{n}*{inset:e})", f"((x2-x1)/{n}*{inset:e})"
+    at = [f"CASE WHEN abs({y}-y{i}) < {inset:e} THEN x{i} {sign} sqrt({inset * inset:e}-({y}-y{i})*({y}-y{i})) END" for i in (1, 2) for sign in "+-"]
+    ring = [(f"(x1{a}{nx})", f"(y1{a}{ny})") if i == 1 else (f"(x2{a}{nx})", f"(y2{a}{ny})") for i, a in ((1, "+"), (2, "+"), (2, "-"), (1, "-"))]
+    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+        at.append(f"CASE WHEN ({ay} > {y}) <> ({by} > {y}) THEN {ax}+({bx}-{ax})*({y}-{ay})/({by}-{ay}) END")
+    w = f"PARTITION BY {key}, k ORDER BY x"
+    return f"""SELECT {key}, sum(nxt-x)*{step:e} AS area FROM (SELECT {key}, x, lead(x) OVER ({w}) AS nxt,
+          sum(turn) OVER ({w} ROWS UNBOUNDED PRECEDING) AS turns, sum(deep) OVER ({w} ROWS UNBOUNDED PRECEDING) AS deeps FROM
+        (SELECT {key}, k, unnest([x0, lo, hi]) AS x, unnest([1, 0, 0]) AS turn, unnest([0, 1, -1]) AS deep FROM
+          (SELECT {key}, k, CASE WHEN (y1 > {y}) <> (y2 > {y}) THEN x1+({y}-y1)/(y2-y1)*(x2-x1) END AS x0, least({', '.join(at)}) AS lo, greatest({', '.join(at)}) AS hi
+           FROM (SELECT *, unnest(generate_series(CAST(ceil((least(y1,y2)-{inset:e})/{step:e}-0.5e0) AS BIGINT),
+              CAST(floor((greatest(y1,y2)+{inset:e})/{step:e}-0.5e0) AS BIGINT))) AS k FROM (SELECT {key}, {turned} FROM {edge})))) WHERE x IS NOT NULL)
+        WHERE turns % 2 = 1 AND deeps = 0 AND nxt > x GROUP BY {key}"""
+
+
+def _degrees(x: str, y: str) -> tuple[str, str]:
+    """Longitude and latitude of a point in equal-area metres."""
+    a, f = 6378137.0, 1 / 298.257222101
+    e2 = 2 * f - f * f
+    e = math.sqrt(e2)
+
+    def q(deg):
+        s = math.sin(math.radians(deg))
+        return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+
+    def m2(deg):
+        s = math.sin(math.radians(deg))
+        return math.cos(math.radians(deg)) ** 2 / (1 - e2 * s * s)
+
+    n = (m2(29.5) - m2(45.5)) / (q(45.5) - q(29.5))
+    c = m2(29.5) + n * q(29.5)
+    rho0 = a * math.sqrt(c - n * q(23)) / n
+    down = f"({rho0!r}e0-{y})"
+    beta = f"asin(({c!r}e0-({x}*{x}+{down}*{down})*{n * n / (a * a):.17e})/{n * q(90)!r}e0)"
+    series = [(2, e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040), (4, 23 * e2**2 / 360 + 251 * e2**3 / 3780), (6, 761 * e2**3 / 45360)]
+    lat = beta + "".join(f"+{w:.17e}*sin({k}*{beta})" for k, w in series)
+    return f"(degrees(atan2({x}, {down}))/{n!r}e0-96e0)", f"degrees({lat})"
+
+
+def _inset_boxes(edge: str, r: float) -> str:
+    """Boxes around all points at distance ``r`` from two of a lake's edges or corners and no nearer to any: all pairs are tried."""
+    n = "sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1))"
+    nx, ny = f"(-(y2-y1)/{n}*{r:e})", f"((x2-x1)/{n}*{r:e})"
+    dx, dy = "(a.x2-a.x1)", "(a.y2-a.y1)"
+    u = f"((b.x1-a.x1)*(b.y2-b.y1)-(b.y1-a.y1)*(b.x2-b.x1))/nullif({dx}*(b.y2-b.y1)-{dy}*(b.x2-b.x1), 0)"
+    t = f"(((b.x1-a.x1)*{dx}+(b.y1-a.y1)*{dy})/({dx}*{dx}+{dy}*{dy}))"
+    off = f"((a.x1+{t}*{dx}-b.x1)*(a.x1+{t}*{dx}-b.x1)+(a.y1+{t}*{dy}-b.y1)*(a.y1+{t}*{dy}-b.y1))"
+    half = f"sqrt(greatest({r * r:e}-{off}, 0e0)/({dx}*{dx}+{dy}*{dy}))"
+    gap = "((b.x1-a.x1)*(b.x1-a.x1)+(b.y1-a.y1)*(b.y1-a.y1))"
+    out = f"sqrt(greatest({r * r:e}/{gap}-0.25e0, 0e0))"
+    pairs = "tr a JOIN tr b ON a.lake_id=b.lake_id"
+    pts = [f"SELECT a.lake_id, a.x1+{u}*{dx} AS px, a.y1+{u}*{dy} AS py FROM {pairs} WHERE a.kind='l' AND b.kind='l'"]
+    for s in "+-":
+        pts.append(f"SELECT a.lake_id, a.x1+({t}{s}{half})*{dx}, a.y1+({t}{s}{half})*{dy} FROM {pairs} WHERE a.kind='l' AND b.kind='c' AND {off} <= {r * r:e}")
+    pts.append(f"SELECT a.lake_id, (a.x1+b.x1)/2+{out}*(b.y1-a.y1), (a.y1+b.y1)/2-{out}*(b.x1-a.x1) FROM {pairs} "
+               f"WHERE a.kind='c' AND b.kind='c' AND {gap} > 0 AND {gap} <= {4 * r * r:e}")
+    lon, lat = _degrees("x", "y")
+    return f"""WITH tr AS (SELECT lake_id, 'l' AS kind, x1+{nx} AS x1, y1+{ny} AS y1, x2+{nx} AS x2, y2+{ny} AS y2 FROM {edge}
+          UNION ALL SELECT lake_id, 'l', x1-{nx}, y1-{ny}, x2-{nx}, y2-{ny} FROM {edge} UNION ALL SELECT lake_id, 'c', x1, y1, x1, y1 FROM {edge}),
+        pts AS (SELECT lake_id, 1 AS y, row_number() OVER () AS x, px, py FROM ({" UNION ALL ".join(pts)}) WHERE px IS NOT NULL),
+        good AS ({_inside_outline('pts', edge, 'px', 'py', inset=r - 1e-3)})
+        SELECT lake_id, round(min({lon}), 6) AS minx, round(min({lat}), 6) AS miny, round(max({lon}), 6) AS maxx, round(max({lat}), 6) AS maxy
+        FROM (SELECT g.lake_id, p.px AS x, p.py AS y FROM good g JOIN pts p ON p.x = g.x) GROUP BY 1"""
+
+
 def _union(edge: str, key: str) -> str:
     """Edges (key, x1, y1, x2, y2) around the union of a key's parts: all pairs are cut, all pieces probed on both sides.
 
@@ -505,15 +575,12 @@ ORACLES: dict[str, str] = {
         e AS (SELECT lake_id, {mx('x1', 'y1')} AS x1, {my('x1', 'y1')} AS y1, {mx('x2', 'y2')} AS x2, {my('x2', 'y2')} AS y2 FROM ({_union('pe', 'lake_id')})),
         b AS (SELECT p.lake_id, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM bnd JOIN pick p ON bnd.lake_id='L-' || part GROUP BY 1),
         g AS (SELECT lake_id, y, x, {mx('lon', 'lat')} AS px, {my('lon', 'lat')} AS py FROM grid JOIN b ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy),
-        cell AS (SELECT lake_id, r AS y, c AS x, (c+0.5e0)*5e3 AS px, (r+0.5e0)*5e3 AS py FROM (SELECT lake_id, c0, c1, unnest(generate_series(r0, r1)) AS r FROM
-          (SELECT lake_id, CAST(floor(min(least(y1,y2))/5e3) AS BIGINT) AS r0, CAST(floor(max(greatest(y1,y2))/5e3) AS BIGINT) AS r1,
-            CAST(floor(min(least(x1,x2))/5e3) AS BIGINT) AS c0, CAST(floor(max(greatest(x1,x2))/5e3) AS BIGINT) AS c1 FROM e GROUP BY 1)),
-          unnest(generate_series(c0, c1)) u(c)),
-        a AS (SELECT lake_id, count(*) AS expected_pixels_geom FROM ({_inside_outline('cell', 'e', 'px', 'py', inset=3000)}) GROUP BY 1),
+        a AS (SELECT lake_id, CAST(round_even(area/25e6, 0) AS BIGINT) AS expected_pixels_geom FROM ({_scanned('e', 'lake_id', 500, 3000)})),
         n AS (SELECT lake_id, count(*) AS members FROM ({_inside_outline('g', 'e', 'px', 'py', inset=3000)}) GROUP BY 1)
         SELECT 'GL-' || row_number() OVER (ORDER BY a.lake_id) AS lake_id, a.lake_id AS lake_name, expected_pixels_geom, members
         FROM a LEFT JOIN n USING (lake_id)""").replace(") WITH pick AS", "), pick AS", 1),
-    "inset_area": sql("medge", f"SELECT lake_id, count(*)*4e6/1e6 AS area_km2 FROM ({_lattice('medge', 'lake_id', 2000, 2000)}) GROUP BY lake_id"),
+    "inset_area": sql("medge", f"SELECT lake_id, round(area/1e6, 3) AS area_km2 FROM ({_scanned('medge', 'lake_id', 200, 2000)})"),
+    "inset_boxes": sql("medge", _inset_boxes("medge", 2000)).replace(") WITH tr AS", "), tr AS", 1),
     "box_intersects": sql("edge", _box_hits("edge", "lake_id", -92, 41, -84, 46)),
     "lake_candidates": sql("edge", f"SELECT part AS \"Hylak_id\", lake_name AS \"Lake_name\", country AS \"Country\" FROM ({_LAKE_PICK}) WHERE pick"),
     "lake_union_first": sql("edge", f"""SELECT part AS "Hylak_id", CASE WHEN country LIKE 'United States%' THEN 'country' ELSE 'box' END AS why

@@ -487,8 +487,8 @@ def united_area(spark, sf_dir):
 def inset_chain(spark, sf_dir):
     """Study lakes, then expected pixels and member pixels inside the inset that their table states."""
     cand = catalogue.candidate_lakes(ad.parts(spark, sf_dir))
-    lakes = materialise(catalogue.study_lakes(cand, strict=False, cell_m=5000.0, inset_m=3000.0))
-    expected = spatial.expected_pixel_table(lakes, pix_res_m=5000.0)
+    lakes = materialise(catalogue.study_lakes(cand, strict=False, step_m=500.0, inset_m=3000.0))
+    expected = spatial.expected_pixel_table(lakes, pix_res_m=5000.0, step_m=500.0)
     members = spatial.lake_pixels(ad.grid(spark, sf_dir), lakes).groupBy("lake_id").agg(F.count("*").alias("members"))
     return expected.join(members, "lake_id", "left").select("lake_id", "lake_name", "expected_pixels_geom", "members")
 
@@ -513,9 +513,16 @@ def expected_pixels(spark, sf_dir):
 
 @query
 def inset_area(spark, sf_dir):
-    """Area left inside a 2 km inset, by 2 km lattice cells."""
-    out = spatial.lake_area(ad.polygons(spark, sf_dir), inset_m=2000.0, cell_m=2000.0)
-    return out.select("lake_id", (F.col("area_m2") / 1e6).alias("area_km2"))
+    """Area left inside a 2 km inset, by scan lines 200 m apart."""
+    out = spatial.lake_area(ad.polygons(spark, sf_dir), inset_m=2000.0, step_m=200.0)
+    return out.select("lake_id", F.round(F.col("area_m2") / 1e6, 3).alias("area_km2"))
+
+
+@query
+def inset_boxes(spark, sf_dir):
+    """Bounds in degrees of what a 2 km inset leaves of each lake."""
+    out = spatial.lake_boxes(ad.polygons(spark, sf_dir), inset_m=2000.0, step_m=500.0)
+    return rounded(out, 6, "minx", "miny", "maxx", "maxy")
 
 
 @query
@@ -542,7 +549,7 @@ def lake_union_first(spark, sf_dir):
 def study_lakes(spark, sf_dir):
     """The chosen lakes: ids in listed order, parts and outlines after dissolving."""
     cand = catalogue.candidate_lakes(ad.parts(spark, sf_dir))
-    lakes = catalogue.study_lakes(cand, strict=False, cell_m=5000.0, inset_m=300.0)
+    lakes = catalogue.study_lakes(cand, strict=False, step_m=500.0, inset_m=300.0)
     n = lakes.groupBy("lake_id", "lake_name").agg(
         F.count("*").alias("parts"), F.min("part").alias("first_part"), F.max("inset_m").alias("inset_m")
     )

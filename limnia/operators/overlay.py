@@ -40,10 +40,10 @@ def _lengths(edges: DataFrame, key: str) -> DataFrame:
     return edges.groupBy(key).agg(size.alias("size"))
 
 
-def _cells(edges: DataFrame) -> DataFrame:
-    """One row for each cell (cx, cy) of the lake's grid that an edge passes; ``size`` is a column."""
+def passed_cells(edges: DataFrame, pad: Column | None = None) -> DataFrame:
+    """One row for each cell (cx, cy) of the lake's grid within ``pad`` of an edge; ``size`` is a column."""
     x1, y1, x2, y2 = map(F.col, _XY)
-    pad = _tolerance(x1, y1, x2, y2) * 4
+    pad = _tolerance(x1, y1, x2, y2) * 4 if pad is None else pad
 
     def number(v):
         return F.floor(v / F.col("size")).cast("bigint")
@@ -70,7 +70,7 @@ def _snapped(edges: DataFrame, key: str) -> DataFrame:
 
 def _meetings(edges: DataFrame, key: str) -> DataFrame:
     """Edge and point: where an edge is met by an edge of another part of its lake."""
-    cells = materialise(_cells(edges.join(_lengths(edges, key), key)))
+    cells = materialise(passed_cells(edges.join(_lengths(edges, key), key)))
     a = cells.select(key, "cx", "cy", F.col("part").alias("pa"), *(F.col(c).alias(f"a{c}") for c in _XY))
     b = cells.select(key, "cx", "cy", F.col("part").alias("pb"), *(F.col(c).alias(f"b{c}") for c in _XY))
     ax1, ay1, ax2, ay2, bx1, by1, bx2, by2 = (F.col(s + c) for s in "ab" for c in _XY)

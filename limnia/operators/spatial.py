@@ -17,12 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnia.functions.geometry import (
-    albers, albers_inverse, edge_meets_box, on_segment, ray_hits, segment_distance_sq,
-)
+from limnia.functions.geometry import albers, edge_meets_box, on_segment, ray_hits, segment_distance_sq
 from limnia.functions.flags import PIX_RES_M, expected_pixels
+from limnia.operators.inset import STEP_M, inset_area, inset_boxes
 from limnia.operators.overlay import outlines, several_parts, union_outline
 from limnia.operators.zonal import pixels_in_boxes
+from limnia.session import materialise
 
 _XY = ("x1", "y1", "x2", "y2")
 
@@ -82,9 +82,9 @@ def points_inside(
 
     ``inset`` keeps only points at least that far from every shore of the lake; an edge table
     with a column ``inset_m`` states it lake by lake. An edge table with a column ``part`` is
-    united first; one without is taken as the lakes' outlines. ``band`` is the height of the bands joining points to edges; an edge is
-    listed in every band it reaches, widened by the inset, so both the ray test and the distance
-    test see every edge that can change their answer. Pairs that neither cross the ray nor block
+    united first; one without is taken as the lakes' outlines. ``band`` is the height of the
+    bands joining points to edges; an edge is listed in every band it reaches, widened by the
+    inset, so both the ray test and the distance test see every edge that can change their answer. Pairs that neither cross the ray nor block
     the point are dropped inside the join; the rest is combined before the shuffle.
     """
     own = "inset_m" in edge_table.columns
@@ -146,31 +146,8 @@ def lake_pixels(
     return points_inside(near, shores.drop("inset_m"), ["y", "x"], band or 0.05)
 
 
-def interior_cells(
-    polygons: DataFrame, inset_m: float | None = None, cell_m: float = PIX_RES_M, band: float | None = None
-) -> DataFrame:
-    """Centres of the lattice cells inside each lake's inset: ``lake_id, row, col``."""
-    polygons, _ = _with_inset(polygons, inset_m)
-    deg = edges(polygons, ["lake_id", "part", "inset_m"])
-    shores = edges_in_metres(outlines(deg, several_parts(polygons)))
-    # boxes of parts may overlap: a cell of two of them is tested once
-    b = bounds(edges_in_metres(deg), "lake_id", "part")
-
-    def numbers(lo, hi):
-        return F.sequence(F.floor(F.col(lo) / cell_m).cast("bigint"), F.floor(F.col(hi) / cell_m).cast("bigint"))
-
-    rows = b.select("lake_id", "part", "minx", "maxx", F.explode(numbers("miny", "maxy")).alias("row"))
-    # spread the lattice rows before they grow; a fixed count, because adaptive execution would
-    # judge the still-small rows and merge them into one task
-    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(tasks, "lake_id", "row")
-    cells = rows.select("lake_id", "part", "row", F.explode(numbers("minx", "maxx")).alias("col"))
-    cells = cells.withColumns({"px": (F.col("col") + 0.5) * cell_m, "py": (F.col("row") + 0.5) * cell_m})
-    return points_inside(cells, shores, ["row", "col"], band or max(cell_m, abs(inset_m or 0.0), 300.0))
-
-
-def lake_area(polygons: DataFrame, inset_m: float | None = None, cell_m: float = PIX_RES_M) -> DataFrame:
-    """``lake_id, area_m2`` in equal-area metres: exact without inset, by lattice cells with one."""
+def lake_area(polygons: DataFrame, inset_m: float | None = None, step_m: float = STEP_M) -> DataFrame:
+    """``lake_id, area_m2`` in equal-area metres: exact without inset, by scan lines ``step_m`` apart with one."""
     polygons, any_inset = _with_inset(polygons, inset_m)
     whole = polygons.where("inset_m = 0")
     many = several_parts(whole)
@@ -182,39 +159,41 @@ def lake_area(polygons: DataFrame, inset_m: float | None = None, cell_m: float =
         exact = area(edges_in_metres(deg.join(many, "lake_id", "left_anti"))).unionByName(outline_area(edges_in_metres(united)))
     if not any_inset:
         return exact
-    n = interior_cells(polygons.where("inset_m > 0"), None, cell_m).groupBy("lake_id").agg(F.count("*").alias("n"))
-    return exact.unionByName(n.select("lake_id", (F.col("n") * (cell_m * cell_m)).alias("area_m2")))
+    return exact.unionByName(inset_area(inset_shores(polygons), step_m))
 
 
-def lake_boxes(polygons: DataFrame, inset_m: float | None = None, cell_m: float = 100.0) -> DataFrame:
+def inset_shores(polygons: DataFrame) -> DataFrame:
+    """Outlines in metres, with ``inset_m``, of the polygons that state one above zero."""
+    inset = polygons.where("inset_m > 0")
+    return edges_in_metres(outlines(edges(inset, ["lake_id", "part", "inset_m"]), several_parts(inset)))
+
+
+def lake_boxes(polygons: DataFrame, inset_m: float | None = None, step_m: float = STEP_M) -> DataFrame:
     """``lake_id, minx, miny, maxx, maxy`` in degrees of each lake, or of what its inset leaves.
 
-    With an inset, the box holds the lattice cells of ``cell_m`` whose centres lie inside it.
+    With an inset the box reaches to the outermost corners of what is left; the scan lines'
+    spacing only decides how many corners have to be looked at (and whether a remainder
+    narrower than it is seen at all).
     """
     polygons = polygons.where("lake_id IS NOT NULL AND rings IS NOT NULL")
     polygons, any_inset = _with_inset(polygons, inset_m)
     whole = bounds(edges(polygons.where("inset_m = 0")))
     if not any_inset:
         return whole
-    cells = interior_cells(polygons.where("inset_m > 0"), None, cell_m)
-    half = cell_m / 2
-    corners = F.array(*[
-        F.struct(*(c.alias(n) for c, n in zip(albers_inverse(
-            (F.col("col") + 0.5) * cell_m + dx, (F.col("row") + 0.5) * cell_m + dy), ("lon", "lat"))))
-        for dx, dy in ((-half, 0.0), (half, 0.0), (0.0, -half), (0.0, half))
-    ])
-    at = cells.select("lake_id", F.explode(corners).alias("p")).groupBy("lake_id").agg(
-        F.min("p.lon").alias("minx"), F.min("p.lat").alias("miny"), F.max("p.lon").alias("maxx"), F.max("p.lat").alias("maxy")
-    )
-    return whole.unionByName(at)
+
+    def inside(points, shores):
+        named = points.withColumns({"qx": F.col("px"), "qy": F.col("py")})
+        return points_inside(named, shores, ["qx", "qy"], 2000.0).withColumnsRenamed({"qx": "px", "qy": "py"})
+
+    return whole.unionByName(inset_boxes(materialise(inset_shores(polygons)), inside, step_m))
 
 
 def expected_pixel_table(
-    polygons: DataFrame, inset_m: float | None = None, pix_res_m: float = PIX_RES_M
+    polygons: DataFrame, inset_m: float | None = None, pix_res_m: float = PIX_RES_M, step_m: float = STEP_M
 ) -> DataFrame:
     """``lake_id, area_m2, expected_pixels_geom, lake_name`` for coverage ratios."""
     names = polygons.groupBy("lake_id").agg(F.min_by("lake_name", "part").alias("lake_name"))
-    sized = lake_area(polygons, inset_m, pix_res_m).withColumn(
+    sized = lake_area(polygons, inset_m, step_m).withColumn(
         "expected_pixels_geom", expected_pixels("area_m2", pix_res_m)
     )
     return names.join(sized, "lake_id", "left").select(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from limnia.functions.text import contains_text, is_any, mentions_any
 from limnia.operators.schema import check_srid, in_listed_order
-from limnia.operators.spatial import dissolve, interior_cells, intersects_box
+from limnia.operators.inset import STEP_M, free_stretches
+from limnia.operators.spatial import dissolve, inset_shores, intersects_box
 
 # The study area and its lakes.
 COUNTRY = "United States"
@@ -37,7 +38,7 @@ def candidate_lakes(
 
 def study_lakes(
     candidates: DataFrame, names: Sequence[str] = NAMES, order: Sequence[str] = ID_ORDER,
-    inset_m: float = SHORE_M, strict: bool = True, cell_m: float = 300.0,
+    inset_m: float = SHORE_M, strict: bool = True, step_m: float = STEP_M,
 ) -> DataFrame:
     """The listed lakes, dissolved by exact name, numbered GL-1, GL-2, ... in listed order.
 
@@ -49,8 +50,8 @@ def study_lakes(
     listed = in_listed_order(merged, "Lake_name", order, strict)
     listed = listed.withColumnRenamed("Lake_name", "lake_name")
     if inset_m:
-        shape = listed.select(F.col("lake_name").alias("lake_id"), "part", "rings")
-        left = interior_cells(shape, inset_m, cell_m).select(F.col("lake_id").alias("lake_name")).distinct()
+        shape = listed.select(F.col("lake_name").alias("lake_id"), "part", "rings", F.lit(float(inset_m)).alias("inset_m"))
+        left = free_stretches(inset_shores(shape), step_m).select(F.col("lake_id").alias("lake_name")).distinct()
         listed = listed.join(left, "lake_name", "left_semi")
     # at most len(order) names: a bounded ranking
     ids = listed.groupBy("ord").agg(F.count("*").alias("parts")).withColumn(

@@ -44,7 +44,7 @@ def stored(spark, tmp_path_factory):
 
 def test_pipeline(spark, stored):
     d = stored
-    jobs.select_lakes(spark, f"{d}/raw", f"{d}/cand", f"{d}/lakes", order=("Erie", "Huron"), cell_m=2000.0)
+    jobs.select_lakes(spark, f"{d}/raw", f"{d}/cand", f"{d}/lakes", order=("Erie", "Huron"), step_m=200.0)
     lakes = spark.read.parquet(f"{d}/lakes")
     assert sorted((r["lake_id"], r["lake_name"]) for r in lakes.collect()) == [("GL-1", "Erie"), ("GL-2", "Huron")]
 
@@ -114,7 +114,7 @@ def test_inset_reaches_every_job(spark, tmp_path):
                 ).write.parquet(f"{d}/cube")
     seen = {}
     for inset in (0.0, 8000.0):
-        jobs.select_lakes(spark, f"{d}/raw", f"{d}/cand", f"{d}/lakes", order=("Erie",), inset_m=inset, cell_m=2000.0)
+        jobs.select_lakes(spark, f"{d}/raw", f"{d}/cand", f"{d}/lakes", order=("Erie",), inset_m=inset, step_m=200.0)
         jobs.extract_daily(spark, f"{d}/pixels", f"{d}/lakes", f"{d}/daily")
         jobs.check_lakes(spark, f"{d}/daily", f"{d}/lakes", f"{d}/qc", "e", pix_res_m=500.0)
         jobs.lake_climate(spark, f"{d}/cube", f"{d}/grid", f"{d}/lakes", f"{d}/clim", variables=("tmin",))

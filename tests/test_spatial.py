@@ -86,7 +86,7 @@ def test_box_of_the_inset(spark):
     whole = spatial.lake_boxes(polys).first()
     assert tuple(whole)[1:] == (-90.0, 45.0, -89.0, 46.0)
     # stated lake by lake in the table
-    inner = spatial.lake_boxes(polys.withColumn("inset_m", F.lit(5000.0)), cell_m=250.0).first()
+    inner = spatial.lake_boxes(polys.withColumn("inset_m", F.lit(5000.0)), step_m=250.0).first()
     lat, lon = 5000 / 111200, 5000 / (111300 * math.cos(math.radians(45.0)))
     assert inner["miny"] == pytest.approx(45 + lat, abs=0.006) and inner["maxy"] == pytest.approx(46 - lat, abs=0.006)
     assert inner["minx"] == pytest.approx(-90 + lon, abs=0.006) and inner["maxx"] == pytest.approx(-89 - lon, abs=0.006)
@@ -126,7 +126,7 @@ def test_degree_square_area_and_expected_pixels(spark):
     want = 111.2 * 111.2 * math.cos(math.radians(45.5)) * 1e6
     assert row["area_m2"] == pytest.approx(want, rel=0.01)
     assert row["expected_pixels_geom"] == round(row["area_m2"] / 90000)
-    shrunk = spatial.lake_area(polygons(spark, ("a", 0, [ring])), inset_m=5000.0, cell_m=1000.0).first()["area_m2"]
+    shrunk = spatial.lake_area(polygons(spark, ("a", 0, [ring])), inset_m=5000.0, step_m=1000.0).first()["area_m2"]
     width, height = row["area_m2"] ** 0.5 * 0.84, row["area_m2"] ** 0.5 / 0.84
     assert shrunk == pytest.approx((width - 1e4) * (height - 1e4), rel=0.03)
 
@@ -199,7 +199,7 @@ def catalogue_rows(spark):
 def test_catalogue(spark):
     cand = catalogue.candidate_lakes(catalogue_rows(spark))
     assert sorted(r["Hylak_id"] for r in cand.collect()) == [1, 2, 4, 5, 6, 8]
-    lakes = catalogue.study_lakes(cand, strict=False, cell_m=100.0)
+    lakes = catalogue.study_lakes(cand, strict=False, step_m=100.0)
     got = sorted((r["lake_id"], r["lake_name"], r["part"]) for r in lakes.where("part < 9").collect())
     assert got == [("GL-1", "Erie", 1), ("GL-1", "Erie", 2), ("GL-2", "Superior", 6)]
     with pytest.raises(SchemaError):
