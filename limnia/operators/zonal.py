@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnia.functions.geometry import in_box
@@ -122,6 +122,35 @@ def regional_stats(
     return _index_stats(pixels, list(file_cols), value)
 
 
+# Runs are looked up through tiles of so many pixels of a row.
+TILE = 1024
+
+
+def row_runs(members: DataFrame) -> DataFrame:
+    """Member pixels (y, x and the lake's columns) as runs of neighbours in a row: ``y, x_from, x_to``.
+
+    A lake's shore cuts a row of the grid a few times, so a lake of n pixels has about as many
+    runs as rows, and not n. Numbering looks at one row of one lake at a time.
+    """
+    lake = [c for c in members.columns if c not in ("y", "x")]
+    place = F.row_number().over(Window.partitionBy(*lake, "y").orderBy("x"))
+    return members.withColumn("run", F.col("x") - place).groupBy(*lake, "y", "run").agg(
+        F.min("x").alias("x_from"), F.max("x").alias("x_to")
+    ).drop("run")
+
+
+def in_runs(pixels: DataFrame, runs: DataFrame) -> DataFrame:
+    """Inner join of pixels (y, x) to every run that holds them; the lake's columns come along.
+
+    An equi-join on row and tile with a range test: a run is listed in each tile it reaches. The
+    planner broadcasts the runs if their size allows it.
+    """
+    number = lambda c: F.floor(F.col(c) / TILE).cast("int")
+    tiled = runs.withColumn("tile", F.explode(F.sequence(number("x_from"), number("x_to"))))
+    met = pixels.withColumn("tile", number("x")).join(tiled, ["y", "tile"])
+    return met.where(F.col("x").between(F.col("x_from"), F.col("x_to"))).drop("tile", "x_from", "x_to")
+
+
 def member_means(
     cube: DataFrame, members: DataFrame, keys: Sequence[str], variables: Sequence[str],
     lake_cols: Sequence[str] = ("lake_id", "lake_name"), name: str = "var", value: str = "value",
@@ -130,9 +159,9 @@ def member_means(
 
     ``cube`` holds long pixel rows (y, x, var, value). All variables are averaged in one
     pass over the cube with one shuffle of partial sums; a step without any valid pixel
-    stays, as NULL. ``members`` is (lake, y, x).
+    stays, as NULL. ``members`` is (lake, y, x_from, x_to), as :func:`row_runs` makes it.
     """
-    inside = cube.join(members, ["y", "x"])
+    inside = in_runs(cube, members)
     return inside.groupBy(*lake_cols, *keys).agg(*[
         F.avg(F.when(F.col(name) == v, F.col(value).cast("double"))).alias(v) for v in variables
     ])

@@ -11,7 +11,7 @@ from limnia.functions.cleaning import finite_columns
 from limnia.operators.resample import monthly, trailing_mean, weekly_from_first_day, weekly_to_monday
 from limnia.operators.schema import ensure_date, with_lake_name
 from limnia.operators.spatial import lake_pixels
-from limnia.operators.zonal import member_means
+from limnia.operators.zonal import member_means, row_runs
 from limnia.session import materialise
 
 # Climate variables, in column order.
@@ -25,13 +25,13 @@ def lake_climate(
     """``lake_id, lake_name, date`` plus one spatial mean per variable.
 
     ``cube`` is long (time or date, y, x, var, value). Membership comes from the grid, once,
-    and is stored; the planner broadcasts it if its size allows it, so that the cube is not
-    shuffled. All variables share one scan and one aggregation, which yields the same rows as
+    and is stored as runs of pixels in a row; the planner broadcasts them if their size allows it,
+    so that the cube is not shuffled. All variables share one scan and one aggregation, which yields the same rows as
     outer merging one table per variable.
     """
     named = with_lake_name(polygons)
     names = named.groupBy("lake_id").agg(F.min_by("lake_name", "part").alias("lake_name"))
-    members = materialise(lake_pixels(grid, named, inset_m).join(names, "lake_id"))
+    members = materialise(row_runs(lake_pixels(grid, named, inset_m)).join(names, "lake_id"))
     days = ensure_date(finite_columns(cube))
     return member_means(days, members, ["date"], variables)
 

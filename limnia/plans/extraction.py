@@ -10,7 +10,7 @@ from limnia.functions.timelabel import time_label
 from limnia.operators.schema import OBSERVATION_COLUMNS, check_raster, complete_columns, require
 from limnia.operators.spatial import lake_pixels
 from limnia.operators.quantiles import group_stats
-from limnia.operators.zonal import file_lake_rows, regional_stats, zonal_stats
+from limnia.operators.zonal import file_lake_rows, in_runs, regional_stats, row_runs, zonal_stats
 from limnia.session import materialise
 
 # Usable columns of a file table: time0, start, end; or attrs, a map of raw attributes.
@@ -64,6 +64,12 @@ def _prepare(pixels, files, product, valid_min, valid_max):
     return pixels, labels.drop(*_BOUNDS), valid_min, valid_max
 
 
+def _labelled(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """Statistics with their file's label; a file that the file table doesn't list fails the job."""
+    out = stats.join(labels.withColumn("listed", F.lit(True)), "src", "left")
+    return require(out, F.col("listed"), "pixels of a file that the file table does not list").drop("listed")
+
+
 def extract_lakes(
     pixels: DataFrame, boxes: DataFrame, files: DataFrame, product: str, value: str = "CI_cyano",
     valid_min=None, valid_max=None, keep_empty: bool = True,
@@ -76,7 +82,7 @@ def extract_lakes(
     pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
     clean = clean_pixels(pixels, value, valid_min, valid_max)
     stats = zonal_stats(clean, boxes, value, ["src"], labels.select("src"), keep_empty)
-    return stats.join(labels, "src").select(
+    return _labelled(stats, labels).select(
         "lake_id", "time", F.lit(product).alias("product"), "CI_mean", "CI_p90", "n_valid", "src", "engine"
     )
 
@@ -102,14 +108,14 @@ def extract_lakes_by_polygon(
     are joined to it.
     """
     pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
-    members = materialise(lake_pixels(grid, polygons, inset_m))
+    members = materialise(row_runs(lake_pixels(grid, polygons, inset_m)))
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
-    hits = clean.join(members, ["y", "x"]).select("src", "lake_id", value)
+    hits = in_runs(clean, members).select("src", "lake_id", value)
     if keep_empty:
         blank = file_lake_rows(labels.select("src"), polygons.select("lake_id").distinct())
         hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
     stats = group_stats(hits, ["src", "lake_id"], [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value})
-    return stats.join(labels, "src").select(
+    return _labelled(stats, labels).select(
         "lake_id", "time", F.lit(product).alias("product"), "CI_mean", "CI_p90", "n_valid", "src", "engine"
     )
 
@@ -122,12 +128,14 @@ def regional_series(
 
     A NULL ``engine`` in the file table marks a file that no reader could open; it has no row.
     """
-    if "engine" in files.columns:
-        files = files.where("engine IS NOT NULL")
+    unread = files.where("engine IS NULL").select("src") if "engine" in files.columns else None
+    files = files if unread is None else files.where("engine IS NOT NULL")
     pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
     stats = regional_stats(clean, value, ["src"])
-    out = stats.join(labels, "src")
+    if unread is not None:
+        stats = stats.join(unread, "src", "left_anti")
+    out = _labelled(stats, labels)
     if product == "monthly":
         return out.select("time", "CI_mean", "CI_p90", "n_valid")
     return out.select(F.col("time").alias("date"), "CI_mean", "CI_p90", "n_valid", "src", "engine")

@@ -224,3 +224,38 @@ def test_membership_joins_time_cube(spark):
     out = lake_climate(cube.withColumn("value", value), grid, polygons(spark, ("L", 0, [ring])), ("tmin", "tmax"))
     got = {str(r["date"])[:10]: (r["lake_name"], r["tmin"], r["tmax"]) for r in out.collect()}
     assert got == {"2024-01-01": ("L", 1.0, 1.0), "2024-01-02": ("L", 1.0, None)}
+
+
+def test_membership_as_runs(spark):
+    from limnia.operators.zonal import in_runs, row_runs
+
+    grid = spark.range(120 * 200).selectExpr(
+        "cast(id div 200 AS int) AS y", "cast(id % 200 + 900 AS int) AS x", "(id % 200) * 0.02D AS lon", "(id div 200) * 0.02D AS lat")
+    polys = polygons(spark, ("ring", 0, [[(0.11, 0.11), (3.9, 0.11), (3.9, 2.2), (0.11, 2.2)], [(1.0, 1.0), (3.0, 1.0), (3.0, 2.0), (1.0, 2.0)]]),
+                     ("arrow", 1, [[(0.5 * x, 0.5 * y) for x, y in ARROW]]))
+    members = spatial.lake_pixels(grid, polys).cache()
+    runs = row_runs(members)
+    assert runs.count() < members.count() / 10
+    # runs cross the tiles' bounds, and overlapping lakes both get a pixel
+    got = in_runs(grid, runs)
+    want = grid.join(members, ["y", "x"]).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    gappy = members.where("x % 7 <> 3")
+    back = in_runs(grid, row_runs(gappy)).select("lake_id", "y", "x")
+    assert back.count() == gappy.count() and back.exceptAll(gappy.select("lake_id", "y", "x")).count() == 0
+
+
+def test_pixels_of_an_unlisted_file_fail_the_job(spark):
+    from limnia.plans import extraction
+
+    px = spark.createDataFrame([("a.20240105.L3m.DAY.x.nc", 1.5, 1.5, 0.002), ("b.20240106.L3m.DAY.x.nc", 1.6, 1.5, 0.004)],
+                               "src string, lon double, lat double, CI_cyano double")
+    boxes = spark.createDataFrame([("a", 1.0, 1.0, 2.0, 2.0)], "lake_id string, minx double, miny double, maxx double, maxy double")
+    files = px.select("src")
+    assert extraction.extract_lakes(px, boxes, files, "daily").count() == 2
+    with pytest.raises(Exception, match="does not list"):
+        extraction.extract_lakes(px, boxes, files.limit(1), "daily").collect()
+    read = files.withColumn("engine", F.when(F.col("src").startswith("a"), "primary"))
+    assert [r["engine"] for r in extraction.regional_series(px, read, "daily").collect()] == ["primary"]
+    with pytest.raises(Exception, match="does not list"):
+        extraction.regional_series(px, read.where("engine IS NOT NULL"), "daily").collect()
