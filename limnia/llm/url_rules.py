@@ -24,6 +24,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from limnia.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -116,15 +118,16 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], url_column: str = "url") ->
 
     # each rule is filed under its rarest token; as many rows as there are rules
     wanted = table.select("id", F.explode("tokens").alias("token"))
-    in_rules = F.array(*(F.lit(t) for t in sorted({t for r in rows for t in r[5]})))
-    seen = named.select(F.explode(F.array_intersect(url_tokens(F.col("whole")), in_rules)).alias("token")).groupBy("token").count()
+    seen = named.select(F.explode(url_tokens(F.col("whole"))).alias("token")).join(wanted.select("token").distinct(), "token")
+    seen = seen.groupBy("token").count()
     rarest = F.min_by("token", F.struct(F.coalesce("count", F.lit(0)), F.col("token"))).alias("token")
-    index = wanted.join(seen, "token", "left").groupBy("id").agg(rarest).join(table.drop("tokens"), "id")
+    # written, so that the planner knows its size when it chooses how to join it
+    index = stored(wanted.join(seen, "token", "left").groupBy("id").agg(rarest).join(table.drop("tokens"), "id"))
 
     asked = named.select("*", F.explode(F.array_append(url_tokens(F.col("whole")), F.lit(""))).alias("token"))
-    candidates = asked.join(F.broadcast(index), "token")
+    candidates = asked.join(index, "token")
     subject = F.when(F.col("decides"), F.col("page")).otherwise(F.translate("whole", UPPER, LOWER))
-    fits = candidates.filter(F.regexp_like(subject, F.col("regex")))
+    fits = candidates.filter(F.regexp_like(subject, F.concat(F.lit("(?s)"), "regex")))  # a line feed is a character as any other
     best = F.max_by(F.struct("decides", "rule", "verdict"), F.struct("decides", F.char_length("rule"), F.col("rule")))
     hits = fits.groupBy("_url").agg(best.alias("_hit"))
 

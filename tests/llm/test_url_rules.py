@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ URLS = [
     "http://x.com/fr/", "http://x.com/de/1#f", "http://x.com/de", "https://www.Casino.net/", "https://casinos-x.net/a", "http://mycasino.net/",
     "http://x.net/?a=1&SessionID=3", "http://x.net/a/b.EXE?x", "http://x.net/a.exes", "http://x.net/login", "http://x.net/a://y.org/", "http://x.net/\nline",
     "http://user@x.org:80/a", "http://é.org/é", "http://x.net/" + "a/" * 20000 + "casino", "http://x.net/wp-admin/",
+    "http://x.net/?a=\nsessionid=3", "http://x.net/?a=\n&sessionid=3", "http://x.net/a\nb.exe",
 ]
 
 
@@ -51,3 +53,14 @@ def test_empty(spark):
     assert ur.judge(none, ur.DECIDING).collect() == []
     one = spark.createDataFrame([(1, "http://x.org/")], "page_id long, url string")
     assert ur.judge(one, (ur.Rule("^nothing^", "block"),)).select(F.col("_verdict")).first()[0] == "allow"
+
+
+def test_many_rules_cost_about_as_much_as_few(spark):
+    urls = spark.range(20_000).selectExpr("id AS page_id", "concat('http://site', id % 500, '.net/path/', id, '/page?x=', id % 7) AS url")
+    took = []
+    for n in (10, 10, 5_000):
+        rules = tuple(ur.Rule(f"/blocked{i}word/", "block") for i in range(n - 1)) + (ur.Rule("||site7.net/path/", "block"),)
+        t = time.perf_counter()
+        assert ur.judge(urls, rules).filter("_verdict = 'block'").count() == 40
+        took.append(time.perf_counter() - t)
+    assert took[2] < 3 * took[1] + 5
