@@ -456,6 +456,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT DISTINCT src, date FROM pix) f CROSS JOIN boxes b LEFT JOIN
         (SELECT src, lake_id, avg(v) AS m, quantile_cont(v, 0.9) AS p, count(v) AS n FROM ok JOIN boxes
           ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy GROUP BY 1, 2) s ON s.src=f.src AND s.lake_id=b.lake_id"""),
+    "zonal_tiled": sql("ok boxes", f"""SELECT 'all' AS product, lake_id, {_stats()} FROM boxes LEFT JOIN ok
+        ON lon BETWEEN minx AND maxx AND lat BETWEEN miny AND maxy WHERE lake_id <> 'GL-3' GROUP BY lake_id"""),
     "zonal_many_lakes": sql("ok ctr", f"""SELECT 'all' AS product, 'L-' || part AS lake_id, {_stats()} FROM ctr LEFT JOIN ok
         ON lon BETWEEN cx-r AND cx+r AND lat BETWEEN cy-r AND cy+r GROUP BY part"""),
     "zonal_monthly": sql("pix boxes", f"""SELECT b.lake_id, strftime(CASE WHEN month(a)%3=0 THEN a + to_microseconds(CAST(date_diff('microsecond', a, z + INTERVAL 12 HOUR)//2 AS BIGINT))

@@ -58,6 +58,7 @@ def extract_daily(
         px = src_files.readable_only(px, listed).drop("engine")
         listed = listed.where("engine IS NOT NULL")
     boxes = materialise(spatial.lake_boxes(tables.read_polygons(spark, polygons)))
+    px = tables.near_boxes(px, boxes)
     obs = extraction.daily_observations(px, boxes, listed, value, **bounds)
     if not tables.write_parquet(ordered(obs, "lake_id", "date"), out, unless_empty=listed):
         return False
@@ -80,6 +81,7 @@ def extract_monthly(
     if "engine" in listed.columns:
         px = src_files.readable_only(px, listed, strict=True).drop("engine")
     boxes = materialise(spatial.lake_boxes(tables.read_polygons(spark, polygons)))
+    px = tables.near_boxes(px, boxes)
     return tables.write_parquet(
         extraction.monthly_observations(px, boxes, listed, value, **bounds), out, unless_empty=listed
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,55 @@ def read_pixels(
     return check_raster(df, value)
 
 
+# Folders of a tiled pixel table: squares of so many degrees, 4,050 on the globe; and the side of the
+# cells whose space-filling order the rows of a folder have.
+TILE_DEG = 4.0
+ORDER_DEG = 0.0625
+
+
+def _tile(lon: Column, lat: Column) -> Column:
+    return (F.floor((lat + 90) / TILE_DEG) * 1000 + F.floor((lon + 180) / TILE_DEG)).cast("int")
+
+
+def _curve(lon: Column, lat: Column) -> Column:
+    """Number of a pixel's small cell along a space-filling curve: the bits of column and row in turns."""
+    def apart(n):
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            n = n.bitwiseOR(F.shiftleft(n, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return n
+
+    x, y = (F.pmod(F.floor(v / ORDER_DEG).cast("bigint"), F.lit(1 << 16)) for v in (lon, lat))
+    return apart(x).bitwiseOR(F.shiftleft(apart(y), 1))
+
+
+def write_pixels(pixels: DataFrame, path: str, lon: str = "lon", lat: str = "lat") -> bool:
+    """Overwrite a pixel table laid out by place: a folder per tile, rows along a space-filling curve.
+
+    A reader that knows the lakes opens their tiles only (:func:`near_boxes`), and row groups
+    within a tile have narrow bounds of longitude and latitude. Tasks get ranges of the
+    curve, so a crowded tile is many files.
+    """
+    at = pixels.withColumns({"tile": _tile(F.col(lon), F.col(lat)), "curve": _curve(F.col(lon), F.col(lat))})
+    dealt = at.repartitionByRange("tile", "curve").sortWithinPartitions("tile", "curve").drop("curve")
+    dealt.write.mode("overwrite").partitionBy("tile").parquet(path)
+    return True
+
+
+def near_boxes(pixels: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Pixels of the tiles that some box touches; a table without tiles comes back as it is.
+
+    The tiles are asked for first, at most as many as the globe has, so that their numbers select
+    folders before any file is opened.
+    """
+    if "tile" not in pixels.columns:
+        return pixels
+    number = lambda c, add: F.floor((F.col(c) + add) / TILE_DEG)
+    rows = boxes.select(F.explode(F.sequence(number("miny", 90), number("maxy", 90))).alias("r"), "minx", "maxx")
+    cells = rows.select("r", F.explode(F.sequence(number("minx", 180), number("maxx", 180))).alias("c"))
+    wanted = [r["t"] for r in cells.select((F.col("r") * 1000 + F.col("c")).alias("t")).distinct().collect()]
+    return pixels.where(F.col("tile").isin(wanted)).drop("tile")
+
+
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
     """Polygon part table; every part must name its coordinate reference system."""
     return check_srid(spark.read.parquet(path))

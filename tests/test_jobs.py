@@ -1,11 +1,13 @@
 """The whole pipeline, path to path, on a small invented region."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from limnia.plans import jobs
+from limnia.sources import tables
 from limnia.sources.tables import RINGS
 
 RAW = f"Hylak_id long, Lake_name string, Country string, part long, srid int, rings {RINGS.simpleString()}"
@@ -125,3 +127,42 @@ def test_inset_reaches_every_job(spark, tmp_path):
     assert seen[8000.0][0] == pytest.approx((80 - 19.4) * (80 - 14.4), rel=0.04)
     assert seen[8000.0][1] / seen[0.0][1] == pytest.approx(0.62, abs=0.03)
     assert seen[0.0][2] > 0.1 and seen[8000.0][2] == 0.0
+
+
+def test_only_the_lakes_tiles_are_opened(spark, tmp_path):
+    px = spark.range(40 * 40).selectExpr(
+        "cast(id div 40 AS int) AS y", "cast(id % 40 AS int) AS x", "-100D + (id % 40) AS lon", "30D + (id div 40) * 0.5D AS lat",
+        "cast(0.001 AS float) AS CI_cyano").withColumn("src", F.concat(
+            F.lit("S3M_OLCI_EFRNT.2024010"), (F.col("x") % 3 + 1).cast("string"), F.lit(".L3m.DAY.ILW_CONUS.V5.all.CONUS.300m.nc")))
+    px.drop("tile").write.parquet(f"{tmp_path}/plain")
+    tables.write_pixels(px, f"{tmp_path}/tiled")
+    px.select("src").distinct().write.parquet(f"{tmp_path}/files")
+    spark.createDataFrame([("L", "L", 0, 4326, ring(-82.0, 43.0, 2.4)), ("M", "M", 0, 4326, ring(-70.0, 35.0, 1.0))],
+                          RAW.replace("Hylak_id long", "lake_id string").replace("Lake_name", "lake_name").replace("Country string, ", "")
+                          ).write.parquet(f"{tmp_path}/lakes")
+    boxes = spark.createDataFrame([("L", -84.4, 40.6, -79.6, 45.4), ("M", -71.0, 34.0, -69.0, 36.0)],
+                                  "lake_id string, minx double, miny double, maxx double, maxy double")
+    tiled = tables.read_pixels(spark, f"{tmp_path}/tiled", "CI_cyano")
+    near = tables.near_boxes(tiled, boxes)
+    assert "tile" not in near.columns and len(tiled.inputFiles()) > 40
+    # nothing of a box is lost
+    inside = "(lon BETWEEN -84.4 AND -79.6 AND lat BETWEEN 40.6 AND 45.4) OR (lon BETWEEN -71 AND -69 AND lat BETWEEN 34 AND 36)"
+    assert near.where(inside).count() == px.where(inside).count() > 0
+    # files of other tiles are not opened: they may be junk
+    tables.write_pixels(px, f"{tmp_path}/spoilt")
+    schema = spark.read.parquet(f"{tmp_path}/spoilt").schema
+    opened = {Path(r[0]).parent.name for r in near.select(F.col("_metadata.file_path")).distinct().collect()}
+    for folder in Path(f"{tmp_path}/spoilt").glob("tile=*"):
+        if folder.name not in opened:
+            for f in folder.glob("*.parquet"):
+                f.write_bytes(b"junk")
+                (folder / f".{f.name}.crc").unlink(missing_ok=True)
+    spoilt = spark.read.schema(schema).parquet(f"{tmp_path}/spoilt")
+    assert tables.near_boxes(spoilt, boxes).where(inside).count() == px.where(inside).count() and len(opened) < 15
+    with pytest.raises(Exception, match="(?i)parquet"):
+        spoilt.agg(F.sum("lon")).collect()
+    results = []
+    for kind in ("plain", "tiled"):
+        assert jobs.extract_daily(spark, f"{tmp_path}/{kind}", f"{tmp_path}/lakes", f"{tmp_path}/out_{kind}", files=f"{tmp_path}/files")
+        results.append(sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out_{kind}").select("lake_id", "date", "CI_mean", "n_valid").collect()))
+    assert results[0] == results[1] and len(results[0]) == 6
