@@ -9,10 +9,13 @@ and their summed surprise, put through a monotone calibration on labelled docume
 weights haven't seen, is the document's score.
 
 The labelled documents are at most MAX_LABELLED, chosen by a hash of the id; the table of
-weights has BUCKETS numbers. Everything else runs over whole texts of all rows.
+weights has BUCKETS numbers. Everything else runs over whole texts of all rows: the tokens' usual
+frequencies come from every document, by documents for the prior (as labelled ones are counted),
+by occurrences for the extreme-value law.
 
 Cases: null and empty texts have no token and get the calibration's lowest score; a document
-with several labels counts as toxic if one of them says so, rows with null labels don't train;
+with several labels counts as toxic if one of them says so, rows with null labels don't train, and
+of rows with equal id one trains, that of the smallest text hash;
 without labels of both kinds every score is 0; rows with null or repeated doc_id are scored one
 by one; an empty table gives no rows; other columns come through unchanged.
 """
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import ALNUM, split
-from limnia.llm.common import broadcast, ready, slices
+from limnia.llm.common import broadcast, ready, slices, stored
 
 BUCKETS = 1 << 18
 MAX_LABELLED = 50_000
@@ -143,39 +146,60 @@ def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> D
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CALIBRATION_FOLDS)).alias("fold")
     texts = docs.select("doc_id", "text")
-    # the labelled ids are no more than ``limit`` rows of two numbers
-    return texts.join(F.broadcast(some), "doc_id").select("text", (F.col("toxic") == 1).cast("int").alias("toxic"), fold)
+    # the labelled ids are no more than ``limit`` rows of two numbers; many rows of one id are combined before the shuffle
+    found = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id")
+    one = found.agg(F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("row"))
+    return one.select("row.text", (F.col("row.toxic") == 1).cast("int").alias("toxic"), fold)
+
+
+def usual_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Over all documents, in how many each bucket's tokens occur, and how often."""
+
+    def count(batches):
+        n = np.zeros((2, BUCKETS), np.int64)
+        for batch in slices(batches):
+            words = split(batch.column("text"), ALNUM)
+            b = buckets(words.hashes())
+            n[0] += np.bincount(np.unique(words.owner() * BUCKETS + b) % BUCKETS, minlength=BUCKETS)
+            n[1] += np.bincount(b, minlength=BUCKETS)
+        at = np.flatnonzero(n[1])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[0][at]), pa.array(n[1][at])], names=["bucket", "docs", "times"])
+
+    counted = docs.select("text").mapInArrow(count, "bucket int, docs long, times long")
+    table = counted.groupBy("bucket").agg(F.sum("docs").alias("docs"), F.sum("times").alias("times")).toArrow()  # BUCKETS rows at most
+    out = np.zeros((2, BUCKETS))
+    for into, name in zip(out, ("docs", "times"), strict=True):
+        into[table["bucket"].to_numpy()] = table[name].to_numpy()
+    return out[0], out[1]
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     ready(docs.sparkSession)
-    rows = labelled(docs, labels, limit)
+    rows = stored(labelled(docs, labels, limit))
 
     def count(batches):
         n = np.zeros((2, BUCKETS), np.int64)
-        usual = np.zeros(BUCKETS, np.int64)
         for batch in slices(batches):
             words = split(batch.column("text"), ALNUM)
             b, owner = buckets(words.hashes()), words.owner()
-            usual += np.bincount(b, minlength=BUCKETS)
             held = np.unique(owner * BUCKETS + b)  # a document counts once for each token
             toxic = np.asarray(batch.column("toxic"))[held // BUCKETS]
             for k in (0, 1):
                 n[k] += np.bincount(held[toxic == k] % BUCKETS, minlength=BUCKETS)
-        at = np.flatnonzero(usual)
+        at = np.flatnonzero(n.any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(n[1][at]), pa.array(n[0][at]), pa.array(usual[at])],
-            names=["bucket", "toxic", "other", "usual"],
+            [pa.array(at.astype(np.int32)), pa.array(n[1][at]), pa.array(n[0][at])], names=["bucket", "toxic", "other"]
         )
 
-    counted = rows.filter("fold <> 0").select("text", "toxic").mapInArrow(count, "bucket int, toxic long, other long, usual long")
-    table = counted.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("toxic", "other", "usual"))).toArrow()  # BUCKETS rows at most
-    toxic, other, usual = (np.zeros(BUCKETS) for _ in range(3))
-    for name, into in (("toxic", toxic), ("other", other), ("usual", usual)):
+    counted = rows.filter("fold <> 0").select("text", "toxic").mapInArrow(count, "bucket int, toxic long, other long")
+    table = counted.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("toxic", "other"))).toArrow()  # BUCKETS rows at most
+    toxic, other = (np.zeros(BUCKETS) for _ in range(2))
+    for name, into in (("toxic", toxic), ("other", other)):
         into[table["bucket"].to_numpy()] = table[name].to_numpy()
     if not toxic.any() or not other.any():
         return Model(np.zeros(BUCKETS, np.float32), 1.0, 0.0, np.zeros(0), np.zeros(0))
-    weights = (log_odds(toxic, other, usual) - DRIFT).astype(np.float32)
+    in_docs, usual = usual_counts(docs)
+    weights = (log_odds(toxic, other, in_docs) - DRIFT).astype(np.float32)
     lam, log_k = tail(weights, usual)
     model = Model(weights, lam, log_k, np.zeros(0), np.zeros(0))
     seen = evidence(rows.filter("fold = 0").select("text", "toxic"), model).select("_evidence", "toxic").toArrow()  # of ``limit`` rows

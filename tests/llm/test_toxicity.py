@@ -104,3 +104,23 @@ def test_nothing_to_learn(data):
     docs, labels = data
     assert {r["_score"] for r in tox.evidence(docs, tox.train(docs, labels.limit(0))).collect()} == {0.0}
     assert tox.evidence(docs.limit(0), tox.train(docs, labels)).collect() == []
+
+
+def test_usual_frequencies_come_from_all_documents(data, spark):
+    docs, labels = data
+    counts = {}
+    for r in docs.collect():
+        for w in (r["text"] or "").split():
+            counts[w] = counts.get(w, 0) + 1
+    in_docs, usual = tox.usual_counts(docs)
+    assert in_docs.max() <= docs.count() and (in_docs <= usual).all()
+    assert usual.sum() == sum(counts.values()) and usual.max() == max(counts.values())
+    # unlabelled text moves the law of chance passages, labels being the same
+    more = docs.select("doc_id", "text").union(spark.range(200).selectExpr("id + 50000", "repeat('vile ', 300)"))
+    assert tox.train(docs, labels).lam > 2 * tox.train(more, labels).lam
+
+
+def test_one_id_on_many_rows_trains_once(data, spark):
+    docs, labels = data
+    many = docs.select("doc_id", "text").union(spark.range(3000).selectExpr("CAST(1 AS long)", "concat('copy ', id % 3)"))
+    assert tox.labelled(many, labels).count() == tox.labelled(docs, labels).count()
