@@ -7,12 +7,15 @@ likelihood with a penalty for each further language, starting from all and leavi
 weakest as long as that pays.
 
 The model is a table of languages x BUCKETS numbers, whatever the corpus' size. Letters are
-lower-cased (A-Z); n-grams run over letters beyond ASCII byte by byte.
+lower-cased (A-Z); n-grams run over letters beyond ASCII byte by byte. A document enters inference as
+its distinct buckets with their counts, BUCKETS at most however long it is; texts beyond WINDOW
+bytes are counted window by window.
 
 Cases: text that is null or has no letter is ``und`` with score 0; text too short for an n-gram
 gets the language with most training text; documents without a language
 don't train; with no training document at all everything is ``und``; ties go to the first
-language in text order; an empty table gives no rows; other columns come through unchanged.
+language in text order; of more than MAX_LANGUAGES labels the MAX_LANGUAGES with most n-grams (then first in
+text order) are learnt; an empty table gives no rows; other columns come through unchanged.
 """
 
 from __future__ import annotations
@@ -26,11 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnia.llm.bytewords import LOWER, raw
-from limnia.llm.common import broadcast, ready, slices
+from limnia.llm.common import broadcast, ready, slices, stored
 
 ORDERS = (3,)
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 200
+WINDOW = 1 << 20
+HOLD_ENTRIES = 1_000_000
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -39,8 +44,8 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(x[0].isalpha() for x in _LETTER.finditer(text))
 
 
-def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams, and the text that each lies in.
+def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that n-grams are made of, and the text that each lies in.
 
     Signs and digits count as blanks, and of several blanks only the one before a word stays.
     """
@@ -52,7 +57,11 @@ def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     keep[:-1] |= ~letter[:-1] & letter[1:] & ~begins[1:-1]
     at = np.flatnonzero(keep)
     x = np.where(letter[at], low[at], 32).astype(np.uint32)
-    text = np.searchsorted(offsets, at, "right") - 1
+    return x, np.searchsorted(offsets, at, "right") - 1
+
+
+def grams(x: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams that lie in one text, and the texts, in their order."""
     codes, owners = [], []
     code = np.zeros(len(x), np.uint32)
     for k in range(1, max(ORDERS) + 1):
@@ -72,26 +81,67 @@ def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return codes[order], owners[order]
 
 
+def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return grams(*symbols(data, offsets))
+
+
+def gram_counts(texts: pa.Array, window: int = WINDOW) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each text's distinct buckets and how often they occur in it."""
+    data, offsets = raw(texts)
+    if len(offsets) == 2 and len(data) > window:
+        counts, last = np.zeros(BUCKETS, np.int64), np.zeros(0, np.uint32)
+        for a in range(0, len(data), window):
+            piece = data[a : a + window + 1]  # whether a blank stays depends on the byte after it
+            x, _ = symbols(piece, np.array([0, len(piece)]))
+            if len(piece) > window and symbols(piece[-1:], np.array([0, 1]))[0].size:
+                x = x[:-1]  # that byte itself belongs to the next window
+            x = np.concatenate([last, x])
+            counts += np.bincount(grams(x, np.zeros(len(x), np.int64))[0], minlength=BUCKETS)
+            if len(last):  # n-grams within what was carried over were counted before
+                counts -= np.bincount(grams(last, np.zeros(len(last), np.int64))[0], minlength=BUCKETS)
+            last = x[-(max(ORDERS) - 1) :]
+        at = np.flatnonzero(counts)
+        return [(at, counts[at])]
+    codes, owners = gram_buckets(data, offsets)
+    keys, n = np.unique(owners << 16 | codes, return_counts=True)
+    first = np.searchsorted(keys >> 16, np.arange(len(offsets)))
+    return [(keys[p:q] & (BUCKETS - 1), n[p:q]) for p, q in zip(first[:-1], first[1:], strict=True)]
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
     """lang, bucket, n: n-grams of each language, counted over all rows with a language."""
 
     def count(batches):
-        totals: dict[str, np.ndarray] = {}
+        names: dict[str, int] = {}
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged():
+            keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            n = np.bincount(inverse, weights=np.concatenate([n for _, n in parts]), minlength=len(keys))
+            return keys, n.astype(np.int64)
+
+        def rows(keys, n):
+            labels = pa.array(names, pa.string())
+            for a in range(0, len(keys), 100_000):
+                k = keys[a : a + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [labels.take(pa.array(k >> 16)), pa.array((k & (BUCKETS - 1)).astype(np.int32)), pa.array(n[a : a + 100_000])],
+                    names=["lang", "bucket", "n"],
+                )
+
         for batch in slices(batches):
-            codes, owners = gram_buckets(*raw(batch.column("text")))
-            langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-            names, which = np.unique(langs.astype(str), return_inverse=True)
-            for k, name in enumerate(names.tolist()):
-                n = np.bincount(codes[which[owners] == k], minlength=BUCKETS)
-                totals[name] = totals[name] + n if name in totals else n
-            if len(totals) > MAX_LANGUAGES:  # labels that are no languages would fill the memory
-                raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        for name, n in totals.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))],
-                names=["lang", "bucket", "n"],
-            )
+            for lang, (at, n) in zip(batch.column("lang").to_pylist(), gram_counts(batch.column("text")), strict=True):
+                parts.append((names.setdefault(lang, len(names)) << 16 | at.astype(np.int64), n))
+                size += len(at)
+            if size > 2 * HOLD_ENTRIES:
+                parts = [merged()]
+                size = len(parts[0][0])
+                if size > HOLD_ENTRIES:  # many labels: hand out what there is
+                    yield from rows(*parts[0])
+                    names, parts, size = {}, [], 0
+        if parts:
+            yield from rows(*merged())
 
     ready(docs.sparkSession)
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
@@ -113,34 +163,34 @@ class Model:
         self.prob = (smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
         self.penalty, self.rounds, self.least = penalty, rounds, least
 
-    def fit(self, prob: np.ndarray) -> tuple[np.ndarray, float]:
-        """Proportions of the languages whose n-gram probabilities are the columns, and the log-likelihood."""
+    def fit(self, prob: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
+        """Proportions of the languages whose probabilities of buckets met ``n`` times are the columns, and the log-likelihood."""
         share = np.full(prob.shape[1], 1 / prob.shape[1])
         if prob.shape[1] == 1:
-            return share, float(np.log(prob[:, 0]).sum())
+            return share, float(n @ np.log(prob[:, 0]))
         for _ in range(self.rounds):
             total = prob @ share.astype(np.float32)
-            new = share * ((1 / total) @ prob) / len(prob)
+            new = share * ((n / total) @ prob) / n.sum()
             moved = np.abs(new - share).max()
             share = new / new.sum()
             if moved < 1e-3:
                 break
-        return share, float(np.log(prob @ share.astype(np.float32)).sum())
+        return share, float(n @ np.log(prob @ share.astype(np.float32)))
 
-    def mixture(self, codes: np.ndarray) -> np.ndarray:
-        """The proportion of every language in a document of these n-grams."""
-        prob = self.prob[codes]
+    def mixture(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The proportion of every language in a document of these buckets, each met ``n`` times."""
+        prob = self.prob[at]
         prob /= prob.max(axis=1, keepdims=True)
         chosen = np.arange(len(self.languages))
-        share, fit = self.fit(prob)
+        share, fit = self.fit(prob, n)
         some = share > self.least  # those that explain next to nothing go at once
         if not some.all():
             chosen, prob = chosen[some], prob[:, some]
-            share, fit = self.fit(prob)
-        cost = self.penalty * len(codes) + 0.5 * np.log(len(codes) + 1)
+            share, fit = self.fit(prob, n)
+        cost = self.penalty * n.sum() + 0.5 * np.log(n.sum() + 1)
         while len(chosen) > 1:
             keep = np.arange(len(chosen)) != share.argmin()
-            fewer, less = self.fit(prob[:, keep])
+            fewer, less = self.fit(prob[:, keep], n)
             if less + cost < fit:
                 break
             chosen, prob, share, fit = chosen[keep], prob[:, keep], fewer, less
@@ -150,7 +200,9 @@ class Model:
 
 
 def train(docs: DataFrame) -> Model:
-    rows = count_grams(docs).toArrow()  # languages x BUCKETS numbers at most
+    counted = stored(count_grams(docs))
+    most = counted.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(MAX_LANGUAGES)
+    rows = counted.join(F.broadcast(most), "lang").select("lang", "bucket", "n").toArrow()  # MAX_LANGUAGES x BUCKETS numbers at most
     names, which = np.unique(np.array(rows.column("lang").to_pylist(), dtype=str), return_inverse=True)
     counts = {}
     for k, name in enumerate(names.tolist()):
@@ -169,15 +221,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         m = held()
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            codes, owners = gram_buckets(*raw(batch.column("text")))
-            at = np.searchsorted(owners, np.arange(len(texts) + 1))
             langs, scores = [], []
-            for i, t in enumerate(texts):
+            for t, (at, n) in zip(texts, gram_counts(batch.column("text")), strict=True):
                 if not m.languages or not _has_letter(t):
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                share = m.mixture(codes[at[i] : at[i + 1]]) if at[i] < at[i + 1] else m.usual
+                share = m.mixture(at, n) if len(at) else m.usual
                 langs.append(m.languages[int(share.argmax())])
                 scores.append(float(min(1.0, share.max())))
             yield pa.RecordBatch.from_arrays(
