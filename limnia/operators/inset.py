@@ -27,15 +27,21 @@ from limnia.session import materialise
 
 STEP_M = 30.0
 TURN = 0.5  # radians
+# Neighbouring scan lines that are swept in one task, and how many lines of edges a task gets.
+LINES = 64
+LINES_A_TASK = 1_000_000
+# Rows of edges in cells that a task gets where corners are looked for.
+CELLS_A_TASK = 20_000
 _XY = ("x1", "y1", "x2", "y2")
 _BOX = ("minx", "miny", "maxx", "maxy")
 
 
 def _blocked(y: Column) -> tuple[Column, Column]:
-    """Ends of the interval in which the line at height ``y`` is nearer to the edge than the inset; null if it isn't."""
-    x1, y1, x2, y2, r = (F.col(c) for c in (*_XY, "inset_m"))
-    length = F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
-    nx, ny = -(y2 - y1) / length * r, (x2 - x1) / length * r
+    """Ends of the interval in which the line at height ``y`` is nearer to the edge than the inset; null if it isn't.
+
+    ``nx, ny`` are columns: the step of the inset's length that stands on the edge.
+    """
+    x1, y1, x2, y2, r, nx, ny = (F.col(c) for c in (*_XY, "inset_m", "nx", "ny"))
     points = []
     for cx, cy in ((x1, y1), (x2, y2)):  # the discs around the ends
         half = F.when(F.abs(y - cy) < r, F.sqrt(r * r - (y - cy) * (y - cy)))
@@ -47,24 +53,38 @@ def _blocked(y: Column) -> tuple[Column, Column]:
 
 
 def free_stretches(shores: DataFrame, step_m: float = STEP_M, key: str = "lake_id") -> DataFrame:
-    """``key, y, x_from, x_to``: what the inset leaves of the scan lines y = (k + 1/2) * step_m."""
-    y1, y2, r = F.col("y1"), F.col("y2"), F.col("inset_m")
+    """``key, y, x_from, x_to``: what the inset leaves of the scan lines y = (k + 1/2) * step_m.
+
+    Neighbouring lines go to one task, and edges to each task whose lines they reach: lines are made
+    and swept there, so that edges are shuffled and not what lines make of them.
+    """
+    x1, y1, x2, y2, r = (F.col(c) for c in (*_XY, "inset_m"))
     first = F.ceil((F.least(y1, y2) - r) / step_m - 0.5).cast("bigint")
     last = F.floor((F.greatest(y1, y2) + r) / step_m - 0.5).cast("bigint")
-    # spread the edges before they grow, by a count that adaptive execution keeps
-    tasks = int(shores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = shores.select(key, *_XY, "inset_m").repartition(tasks, key, "x1", "y1")
-    lines = dealt.where(first <= last).withColumn("k", F.explode(F.sequence(first, last)))
+    length = F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
+    reach = shores.select(
+        key, *_XY, "inset_m", (-(y2 - y1) / length * r).alias("nx"), ((x2 - x1) / length * r).alias("ny"),
+        first.alias("first"), last.alias("last"),
+    ).where("first <= last")
+    reach = materialise(reach)
+    n = reach.agg(F.coalesce(F.sum(F.expr("last - first + 1")), F.lit(0))).first()[0]
+    # by a count that adaptive execution keeps and that grows with the lines
+    tasks = max(int(shores.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // LINES_A_TASK)
+    blocks = F.sequence(F.floor(F.col("first") / LINES).cast("bigint"), F.floor(F.col("last") / LINES).cast("bigint"))
+    dealt = reach.withColumn("block", F.explode(blocks)).repartition(tasks, key, "block")
+    own = F.sequence(F.greatest(F.col("first"), F.col("block") * LINES), F.least(F.col("last"), F.col("block") * LINES + LINES - 1))
+    lines = dealt.withColumn("k", F.explode(own))
     y = (F.col("k") + 0.5) * step_m
     low, high = _blocked(y)
-    crossing = F.when((y1 > y) != (y2 > y), F.col("x1") + (y - y1) / (y2 - y1) * (F.col("x2") - F.col("x1")))
-    events = F.filter(F.array(
-        F.struct(crossing.alias("x"), F.lit(1).alias("turn"), F.lit(0).alias("depth")),
-        F.struct(low.alias("x"), F.lit(0).alias("turn"), F.lit(1).alias("depth")),
-        F.struct(high.alias("x"), F.lit(0).alias("turn"), F.lit(-1).alias("depth")),
-    ), lambda e: e["x"].isNotNull())
-    at = lines.select(key, "k", F.inline(events))
-    along = Window.partitionBy(key, "k").orderBy("x")
+    crossing = F.when((y1 > y) != (y2 > y), x1 + (y - y1) / (y2 - y1) * (x2 - x1))
+    met = lines.select(key, "block", "k", crossing.alias("crossing"), low.alias("low"), high.alias("high"))
+    events = F.array(
+        F.struct(F.col("crossing").alias("x"), F.lit(1).alias("turn"), F.lit(0).alias("depth")),
+        F.struct(F.col("low").alias("x"), F.lit(0).alias("turn"), F.lit(1).alias("depth")),
+        F.struct(F.col("high").alias("x"), F.lit(0).alias("turn"), F.lit(-1).alias("depth")),
+    )
+    at = met.select(key, "block", "k", F.inline(events)).where("x IS NOT NULL")
+    along = Window.partitionBy(key, "block", "k").orderBy("x")
     so_far = along.rowsBetween(Window.unboundedPreceding, 0)
     swept = at.withColumns({
         "turns": F.sum("turn").over(so_far), "deep": F.sum("depth").over(so_far), "next": F.lead("x").over(along),
@@ -163,7 +183,10 @@ def inset_boxes(shores: DataFrame, inside, step_m: float = STEP_M, key: str = "l
         | (F.least("a.lat", "b.lat") - F.col("margin") < F.col("miny")) | (F.greatest("a.lat", "b.lat") + F.col("margin") > F.col("maxy"))
     ).select(key, *_XY, "inset_m", "minx", "miny", "maxx", "maxy")
     cells = materialise(passed_cells(near.withColumn("size", F.col("inset_m") * 4), F.col("inset_m") * 1.01))
-    traced = cells.select(key, "cx", "cy", "size", "inset_m", *_BOX, F.inline(_traces(F.col("inset_m")))).distinct()
+    # edges are shuffled, by a count that grows with them; traces are made, freed of copies and met where they are
+    tasks = max(int(shores.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells.count() // CELLS_A_TASK)
+    dealt = cells.select(key, "cx", "cy", "size", "inset_m", *_BOX, *_XY).repartition(tasks, key, "cx", "cy")
+    traced = dealt.select(key, "cx", "cy", "size", "inset_m", *_BOX, F.inline(_traces(F.col("inset_m")))).distinct()
     one, two = (
         traced.select(key, "cx", "cy", *more, *(F.col(c).alias(f"{s}{c}") for c in ("kind", *_XY)))
         for s, more in (("a", ["size", "inset_m", *_BOX]), ("b", []))
