@@ -25,6 +25,9 @@ from limnia.operators.zonal import pixels_in_boxes
 from limnia.session import materialise
 
 _XY = ("x1", "y1", "x2", "y2")
+# Beyond so many rows the edges in bands are not left to the planner, which sees the size of the
+# polygons and not what bands make of them; a task of the join then gets about half as many.
+BANDED_ROWS = 200_000
 
 
 def edges(polygons: DataFrame, keep: Sequence[str] = ("lake_id", "part")) -> DataFrame:
@@ -91,21 +94,26 @@ def points_inside(
     far = F.coalesce("inset_m", F.lit(0.0)) if own else F.lit(float(inset))
     shores = outlines(edge_table, several_parts(edge_table, key), key) if "part" in edge_table.columns else edge_table
     shores = shores.withColumn("far", far)
-    lo = F.least("y1", "y2") - F.col("far")
-    hi = F.greatest("y1", "y2") + F.col("far")
-    banded = shores.select(
-        key, "far", *_XY,
-        F.explode(F.sequence(F.floor(lo / band).cast("bigint"), F.floor(hi / band).cast("bigint"))).alias("band"),
-    )
+    lo = F.floor((F.least("y1", "y2") - F.col("far")) / band).cast("bigint")
+    hi = F.floor((F.greatest("y1", "y2") + F.col("far")) / band).cast("bigint")
+    held = materialise(shores.select(key, "far", *_XY, lo.alias("lo"), hi.alias("hi")))
+    n = held.agg(F.coalesce(F.sum(F.expr("hi - lo + 1")), F.lit(0))).first()[0]
+    banded = held.withColumn("band", F.explode(F.sequence("lo", "hi"))).drop("lo", "hi")
     pts = candidates.select(*point, key, px, py)
     pts = pts.distinct() if "part" in candidates.columns else pts
     pts = pts.withColumn("band", F.floor(F.col(py) / band).cast("bigint"))
+    if n > BANDED_ROWS:
+        # spread by a count that adaptive execution keeps; the sides must not be broadcast
+        tasks = max(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * n // BANDED_ROWS)
+        pts = pts.repartition(tasks, key, "band")
+        banded = banded.repartition(tasks, key, "band").hint("shuffle_hash")
     args = [F.col(c) for c in (px, py, *_XY)]
     blocked = on_segment(*args)
     if inset or own:
         blocked = blocked | (F.sqrt(segment_distance_sq(*args)) < F.col("far"))
     pairs = pts.join(banded, [key, "band"]).withColumns({"hit": ray_hits(*args), "blocked": blocked})
-    tested = pairs.where("hit OR blocked").groupBy(*point, key).agg(
+    # a point is in one band: grouped with it, the rows of a point are where the join left them
+    tested = pairs.where("hit OR blocked").groupBy(key, "band", *point).agg(
         F.count_if("hit").alias("hits"), F.bool_or("blocked").alias("blocked")
     )
     return tested.where("hits % 2 = 1 AND NOT blocked").select(*point, key)
@@ -136,13 +144,14 @@ def lake_pixels(
     """
     polygons, any_inset = _with_inset(polygons, inset_m)
     deg = edges(polygons, ["lake_id", "part", "inset_m"])
-    near = pixels_in_boxes(grid, bounds(deg), cell)
     shores = outlines(deg, several_parts(polygons))
-    near = near.withColumns({"px": F.col("lon"), "py": F.col("lat")})
+    grid = grid.withColumns({"px": F.col("lon"), "py": F.col("lat")})
     if any_inset:
-        # both tables in metres; straight degree edges become straight metre edges, as in
-        # a reprojected polygon table
-        return points_inside(to_metres(near, [("px", "py")]), edges_in_metres(shores), ["y", "x"], band or 2000.0)
+        # both tables in metres, the grid before its pixels meet lakes; straight degree edges
+        # become straight metre edges, as in a reprojected polygon table
+        near = pixels_in_boxes(to_metres(grid, [("px", "py")]), bounds(deg), cell)
+        return points_inside(near, edges_in_metres(shores), ["y", "x"], band or 2000.0)
+    near = pixels_in_boxes(grid, bounds(deg), cell)
     return points_inside(near, shores.drop("inset_m"), ["y", "x"], band or 0.05)
 
 

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from limnia.functions.geometry import in_box
 from limnia.operators.quantiles import group_stats
+from limnia.session import materialise
 
 # Lakes are looked up through grid cells of their own size: the side of a lake's cells is the
 # largest power of two, in degrees, that half its box's longer side holds. These are the powers used.
 LEVELS = (-10, 9)
+# Beyond so many lake cells pixels are shuffled to them; a task then gets about a tenth as many.
+BROADCAST_CELLS = 200_000
 
 
 def _cell_no(c, size):
@@ -54,17 +57,22 @@ def pixels_in_boxes(
     The range join is an equi-join on level and grid cell plus the exact box test, so it never
     becomes a nested loop. A pixel is looked up once for each level that some lake has (twenty at
     most) and there meets only lakes about as large as the cell, so a thousand ponds in one
-    degree don't meet all its pixels. The planner broadcasts the lake cells if their size allows
-    it; beyond that both sides are shuffled, with adaptive skew splitting for crowded cells.
+    degree don't meet all its pixels. The lake cells are written and counted: the planner
+    broadcasts few of them; many are never broadcast, and both sides are shuffled.
     """
-    cells = lake_cells(boxes, cell).drop("level", "side")
+    known = materialise(lake_cells(boxes, cell))
+    n, cells = known.count(), known.drop("level", "side")
     if cell is None:
-        levels = lake_cells(boxes).agg(F.collect_set(F.struct("level", "side")).alias("levels")).scalar()
+        levels = known.agg(F.collect_set(F.struct("level", "side")).alias("levels")).scalar()
         p = pixels.select("*", F.inline(levels).alias("level", "side"))
     else:
         p = pixels.withColumns({"level": F.lit(0), "side": F.lit(float(cell))})
     side = F.col("side")
     p = p.withColumn("cell", _cell_key(F.col("level"), _cell_no(lon, side), _cell_no(lat, side))).drop("level", "side")
+    if n > BROADCAST_CELLS:
+        # the result is far larger than either side, so the count of tasks is one that adaptive execution keeps
+        tasks = max(int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions")), 10 * n // BROADCAST_CELLS)
+        p, cells = p.repartition(tasks, "cell"), cells.repartition(tasks, "cell").hint("shuffle_hash")
     joined = p.join(cells, "cell")
     return joined.where(in_box(F.col(lon), F.col(lat), *map(F.col, ("minx", "miny", "maxx", "maxy")))).drop(
         "cell", "minx", "miny", "maxx", "maxy"
