@@ -8,6 +8,8 @@ between two parts go.
 Both steps are joins: cuts through the grid cells an edge passes, sides through horizontal
 bands. Cells and bands are as large as a lake's edges are in the mean, so an edge meets the few
 next to it, whatever the size of lake or edges, and the number of cells is linear in edges.
+Parts that lie on each other by the thousand would meet each other all the same; lakes of many
+parts are united in lots of neighbours, and what lots leave again, until one lot is left.
 Lakes of one part have nothing to cut and skip all of it.
 """
 
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limnia.functions.geometry import ray_hits, segment_distance_sq
+from limnia.operators.numbering import row_numbers
 from limnia.session import materialise
 
 _XY = ("x1", "y1", "x2", "y2")
@@ -24,6 +27,8 @@ _XY = ("x1", "y1", "x2", "y2")
 NEAR = 1e-10
 # Ends are compared on a grid of so many decimals; what comes out has the given ends again.
 PLACES = 9
+# So many parts of a lake are united at once.
+LOT = 16
 
 
 def _tolerance(*xy: Column) -> Column:
@@ -129,6 +134,39 @@ def pieces(edges: DataFrame, key: str = "lake_id") -> DataFrame:
     return once.where("n % 2 = 1").groupBy(key, *_XY).agg(F.collect_set("part").alias("parts"))
 
 
+def _place(parts: DataFrame, key: str) -> DataFrame:
+    """key, part and ``place``: parts of a lake numbered along a Z-shaped curve through the middles of their boxes."""
+    mx, my = (F.min(F.least(f"{c}1", f"{c}2")) + F.max(F.greatest(f"{c}1", f"{c}2")) for c in "xy")
+    spots = materialise(parts.where("part IS NOT NULL").groupBy(key, "part").agg(mx.alias("mx"), my.alias("my")))
+    frame = spots.groupBy(key).agg(*(f(c).alias(f"{n}_{c}") for c in ("mx", "my") for n, f in (("low", F.min), ("high", F.max))))
+
+    def spread(c):  # 16 bits of the place in the lake's frame, a gap after each
+        share = F.coalesce(F.try_divide(F.col(c) - F.col(f"low_{c}"), F.col(f"high_{c}") - F.col(f"low_{c}")), F.lit(0.0))
+        at = F.floor(share * 65_535).cast("bigint")
+        return sum((F.shiftleft(F.shiftright(at, i).bitwiseAND(F.lit(1)), 2 * i) for i in range(1, 16)), at.bitwiseAND(F.lit(1)))
+
+    coded = spots.join(frame, key).select(key, "part", (spread("mx") + spread("my") * 2).alias("z"))
+    return row_numbers(coded, ["z"], [key]).select(key, "part", "place")
+
+
+def gathered(edges: DataFrame, key: str = "lake_id") -> DataFrame:
+    """Edges of at most ``LOT`` parts for each lake, with the union that all its parts have.
+
+    Lakes of no more parts stay as they are. A round leaves one part of each ``LOT`` neighbours, and
+    only edges around it: what lies inside others is gone before it can meet more of them.
+    """
+    while True:
+        n = edges.groupBy(key).agg(F.count_distinct("part").alias("n")).where(F.col("n") > LOT)
+        if n.isEmpty():
+            return edges
+        many = materialise(n.select(key))
+        placed = edges.select(key, "part", *_XY).join(_place(edges, key), [key, "part"]).drop("part")
+        few = placed.join(many, key, "left_anti").select(key, F.col("place").alias("part"), *_XY)
+        lots = placed.join(many, key, "left_semi").withColumn("lot", F.struct(F.col(key).alias("k"), F.floor(F.col("place") / LOT).alias("no")))
+        united = _united(lots.select("lot", F.col("place").alias("part"), *_XY), "lot")
+        edges = materialise(few.unionByName(united.select(F.col("lot.k").alias(key), F.col("lot.no").alias("part"), *_XY)))
+
+
 def union_outline(edges: DataFrame, key: str = "lake_id") -> DataFrame:
     """Edges key, x1, y1, x2, y2 around the union of each lake's parts, the lake on their left.
 
@@ -136,6 +174,11 @@ def union_outline(edges: DataFrame, key: str = "lake_id") -> DataFrame:
     an odd number of times. Points where parts meet stay as ends of edges. Rows of a part that
     is listed twice under one number cancel out; under two numbers they are united.
     """
+    return _united(gathered(edges, key), key)
+
+
+def _united(edges: DataFrame, key: str) -> DataFrame:
+    """The outline of parts that all meet at once."""
     cut = materialise(pieces(edges, key))
     # written with its size, so that both sides of the join below compute the same bands
     sized = materialise(cut.join(_lengths(cut, key), key))

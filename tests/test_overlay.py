@@ -115,3 +115,24 @@ def test_edges_with_holes_null_lakes_and_one_part(spark):
     # 16 - 4 of the holed part, 9 of the other; they share 7 - (3 - 2)**2 of it
     assert {r[0]: r[1] for r in area.collect()} == {"h": pytest.approx(12 + 9 - 3), "e": pytest.approx(16)}
     assert overlay.several_parts(polys.where("lake_id = 'o'")) is None
+
+
+def test_many_parts_are_united_in_lots_of_neighbours(spark):
+    """A chain of overlapping squares is one outline; no lot has more than ``LOT`` parts, whose squares are then gone."""
+    n = 300
+    rows = []
+    for i in range(n):
+        x, y = (i * 37 % n) * 0.25, 0.125 * (i % 2)
+        ring = [(x, y), (x + 1.0, y), (x + 1.0, y + 1.0), (x, y + 1.0)]
+        rows += [("a", i, *p, *q) for p, q in zip(ring, ring[1:] + ring[:1])]
+    edges = spark.createDataFrame(rows, "lake_id string, part long, x1 double, y1 double, x2 double, y2 double")
+    last = overlay.gathered(edges)
+    assert last.select("part").distinct().count() <= overlay.LOT
+    assert last.count() < edges.count()
+    few = edges.where(f"part < {overlay.LOT}")
+    assert overlay.gathered(few) is few
+
+    def area(e):
+        return e.selectExpr("sum(x1 * y2 - x2 * y1) / 2 AS a").first().a
+
+    assert area(overlay.union_outline(edges)) == pytest.approx(area(overlay._united(edges, "lake_id")), abs=1e-6)
