@@ -8,12 +8,15 @@ contexts (by powers of two of their counts) by the training pairs' likelihood wh
 doesn't count itself.
 
 How often something occurs only decides where it is kept. Tokens of relative frequency COMMON or
-more, and pairs of PAIR_COMMON or more between tokens of VOCABULARY or more, are broadcast: no
-more than 1/COMMON tokens and 1/PAIR_COMMON pairs can be that frequent, so a broadcast has a
-bound at any size of corpus. These pairs are in a Bloom filter as one entry for each level from
-the filter's lowest up to the count's; a probe asks level after level until one is missing.
-All other tokens and pairs are looked up by a join: those of each text meet the table of counts
-and of what each pair adds to a text's score.
+more, and pairs of PAIR_COMMON or more, are broadcast: no more than 1/COMMON tokens and
+1/PAIR_COMMON pairs can be that frequent, so a broadcast has a bound at any size of corpus. These
+pairs are in a Bloom filter as one entry for each level from the filter's lowest up to the
+count's; a probe asks level after level until one is missing. Between tokens of VOCABULARY or
+more its answer is the pair's count. All other tokens and pairs are looked up by a join: those of
+each text meet the table of counts and of what each pair adds to a text's score. Most pairs of a
+text occur nowhere else and are not looked up at all: while the filter's lowest level is FLOOR it
+has every pair with evidence; in larger corpora a second filter, the screen, has those that are
+left to the join. It takes SCREEN_BLOCKS at most and asks fewer bits of a pair where they get scarce.
 
 Cases: null text is empty and has the end token alone; without training documents N and V are
 0 and every probability is 1; rows with equal or null doc_id are scored one by one; an empty
@@ -34,14 +37,17 @@ from limnia.llm.bytewords import NOT_SPACE, mix, split
 from limnia.llm.common import broadcast, ready, slices, stored
 
 COMMON = 2.0**-21
-VOCABULARY = 2.0**-17
-PAIR_COMMON = 2.0**-24
+VOCABULARY = COMMON
+PAIR_COMMON = 2.0**-26
 FLOOR = 2.0
 STEP = 1.5
 PROBES = 8
+WORD_PROBES = 4  # so many of them lie in one word
 BLOCK_BITS = 1 << 19
+BLOCK_WORDS = BLOCK_BITS // 64
 END = np.uint64(0x656E64)  # stands for the end token's hash
 RARE = np.uint64(1 << 63)  # set in the numbers of rare tokens and of their pairs
+SCREEN_BLOCKS = 2048
 HOLD_ENTRIES = 1_000_000
 GRID = np.arange(0.0, 0.96, 0.05)
 
@@ -123,9 +129,9 @@ def tallied(docs: DataFrame, keys_of, names: tuple[str, ...]) -> DataFrame:
 class LogFrequencyFilter:
     """Quantised counts of 64-bit keys in a Bloom filter made of blocks."""
 
-    def __init__(self, blocks: np.ndarray, unit: float) -> None:
+    def __init__(self, blocks: np.ndarray, unit: float, probes: int | None = None) -> None:
         """``blocks``: a row of bytes each; ``unit``: the count that level 1 stands for."""
-        self.blocks, self.unit = blocks, unit
+        self.blocks, self.unit, self.probes = blocks, unit, probes or PROBES
 
     @staticmethod
     def block_of(keys: np.ndarray, n_blocks: int) -> np.ndarray:
@@ -142,40 +148,59 @@ class LogFrequencyFilter:
         return np.where(level > 0, unit * STEP ** (level - 1.0), 0.0)
 
     @staticmethod
-    def bits(keys: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First bit and step of each entry's probes within its block."""
-        h = mix(keys.view(np.uint64) ^ (level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-        return h & np.uint64(BLOCK_BITS - 1), (h >> np.uint64(32)) | np.uint64(1)
+    def entry(keys: np.ndarray, level: int) -> np.ndarray:
+        return keys.view(np.uint64) ^ np.uint64(level * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+
+    @staticmethod
+    def probe(entry: np.ndarray, i: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+        """The entries' probes from ``i`` on, as many as a word takes: a word of 64 bits in the block, and the bits asked for there."""
+        h = mix(entry + np.uint64(i * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+        word, bits = (h & np.uint64(BLOCK_WORDS - 1)).astype(np.int64), np.zeros_like(h)
+        for j in range(min(WORD_PROBES, probes - i)):
+            bits |= np.uint64(1) << (h >> np.uint64(16 + 6 * j) & np.uint64(63))
+        return word, bits
 
     @classmethod
-    def fill(cls, keys: np.ndarray, counts: np.ndarray, unit: float) -> np.ndarray:
+    def fill(cls, keys: np.ndarray, counts: np.ndarray, unit: float, probes: int | None = None) -> np.ndarray:
         """One block's bytes with all levels of the keys' counts."""
-        out = np.zeros(BLOCK_BITS, np.uint8)
+        probes = probes or PROBES
+        out = np.zeros(BLOCK_WORDS, "<u8")
         level = cls.level(counts, unit)
         for j in range(1, int(level.max(initial=0)) + 1):
-            at, step = cls.bits(keys[level >= j], np.full((level >= j).sum(), j))
-            for i in range(PROBES):
-                out[((at + np.uint64(i) * step) & np.uint64(BLOCK_BITS - 1)).astype(np.int64)] = 1
-        return np.packbits(out)
+            entry = cls.entry(keys[level >= j], j)
+            for i in range(0, probes, WORD_PROBES):
+                np.bitwise_or.at(out, *cls.probe(entry, i, probes))
+        return out.view(np.uint8)
 
     def count(self, keys: np.ndarray) -> np.ndarray:
         """The quantised count of each key, found by probing level after level."""
         level = np.zeros(len(keys), np.int64)
         if not len(self.blocks):
             return level.astype(float)
-        flat = self.blocks.reshape(-1)
-        base = self.block_of(keys, len(self.blocks)) * (BLOCK_BITS // 8)
-        live = np.arange(len(keys))
+        words = self.blocks.reshape(-1).view("<u8")
+        live, base = np.arange(len(keys)), self.block_of(keys, len(self.blocks)) * BLOCK_WORDS
         while len(live):
-            at, step = self.bits(keys[live], level[live] + 1)
-            inside = np.arange(len(live))
-            for i in range(PROBES):
-                bit = ((at[inside] + np.uint64(i) * step[inside]) & np.uint64(BLOCK_BITS - 1)).astype(np.int64)
-                inside = inside[(flat[base[live[inside]] + (bit >> 3)] >> (7 - (bit & 7)) & 1) == 1]
-            live = live[inside]
+            has = self.has(words, base, self.entry(keys, int(level[live[0]]) + 1))
+            live, base, keys = live[has], base[has], keys[has]
             level[live] += 1
         return self.value(level, self.unit)
 
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key is there at all, if it isn't a false hit."""
+        out = np.zeros(len(keys), bool)
+        if len(self.blocks):
+            base = self.block_of(keys, len(self.blocks)) * BLOCK_WORDS
+            out[self.has(self.blocks.reshape(-1).view("<u8"), base, self.entry(keys, 1))] = True
+        return out
+
+    def has(self, words: np.ndarray, base: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """The numbers of the entries whose bits are all set; a missing word ends an entry's probes."""
+        inside = np.arange(len(entry))
+        for i in range(0, self.probes, WORD_PROBES):
+            word, bits = self.probe(entry[inside], i, self.probes)
+            inside = inside[words[base[inside] + word] & bits == bits]
+        return inside
+
 
 def classes_of(counts: np.ndarray) -> np.ndarray:
     """The class of contexts that occur so often."""
@@ -191,17 +216,27 @@ class Model(NamedTuple):
     counts: np.ndarray
     n: int  # training tokens
     v: int  # distinct ones
-    in_pairs: np.ndarray  # whether a common token's pairs can be in the filter
+    in_pairs: np.ndarray  # whether the filter's counts serve for a common token's pairs
     weight: np.ndarray  # of the pair's share, for each common token as context
     blocks: np.ndarray
     unit: float  # the filter's lowest count
+    starts: np.ndarray  # where the common tokens with these leading bits begin
+    probes: int
+    screen: np.ndarray  # blocks with the pairs to look up, if the filter lacks some
+    screen_probes: int
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.1) / (self.n + 0.1 * (self.v + 1))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of the hashes among the common tokens, -1 for others."""
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        last = len(self.keys) - 1
+        at = np.minimum(self.starts[hashes >> np.uint64(65 - len(self.starts).bit_length())], last)
+        behind = np.flatnonzero(self.keys[at] < hashes)
+        while len(behind):
+            behind = behind[at[behind] < last]
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < hashes[behind]]
         return np.where(self.keys[at] == hashes, at, -1)
 
     def numbers(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -209,18 +244,24 @@ class Model(NamedTuple):
         return np.where(at >= 0, at.astype(np.uint64), hashes | RARE)
 
     def in_filter(self, context: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Whether pairs of these places are in the filter if they are frequent."""
+        """Whether the filter's counts serve for pairs of these places."""
         return (context >= 0) & (at >= 0) & self.in_pairs[context] & self.in_pairs[at]
 
     def code(self, context: np.ndarray, at: np.ndarray) -> np.ndarray:
         return pair_keys(context.astype(np.uint64), at.astype(np.uint64))
 
 
+def starts_of(keys: np.ndarray) -> np.ndarray:
+    """For each value of some leading bits the place of the first of the sorted keys that has them or more."""
+    bits = len(keys).bit_length() + 1
+    return np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+
+
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     """The broadcast model, and the table k, n, gain of all that is looked up.
 
     For a token: its exact count, and what it adds to the log10 score as context. For a pair
-    that is not in the filter: n is 0, and gain what it adds to the score of its second token.
+    whose count the filter doesn't give: n is 0, and gain what it adds to the score of its second token.
     """
     spark = docs.sparkSession
     counts = stored(tallied(docs, lambda texts: (token_hashes(texts)[0],) * 2, ("k",)))
@@ -230,16 +271,22 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     keys = common["k"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, seen = keys[order], common["n"].to_numpy().astype(np.int64)[order]
-    empty = Model(keys, seen, n, v, np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros((0, BLOCK_BITS // 8), np.uint8), FLOOR)
+    none, blocks = np.zeros(len(keys)), np.zeros((0, BLOCK_BITS // 8), np.uint8)
+    empty = Model(keys, seen, n, v, none.astype(bool), none, blocks, FLOOR, starts_of(keys), PROBES, blocks, PROBES)
     if not n:
-        none = empty._replace(keys=np.array([END]), counts=np.zeros(1, np.int64), in_pairs=np.zeros(1, bool), weight=np.zeros(1))
+        end, zero = np.array([END]), np.zeros(1)
+        none = empty._replace(keys=end, counts=zero.astype(np.int64), in_pairs=zero.astype(bool), weight=zero, starts=starts_of(end))
         return none, counts.withColumn("gain", F.lit(0.0))
     # the lowest level of the one grid of counts that bounds the number of pairs
     unit = FLOOR * STEP ** max(0, int(np.ceil(np.log(PAIR_COMMON * n / FLOOR) / np.log(STEP) - 1e-9)))
     model = empty._replace(in_pairs=(seen >= VOCABULARY * n) | (keys == END), unit=unit)
     frequent, pairs = counted_pairs(docs, counts, model)
     weights = context_weights(pairs, counts, model)
-    model = model._replace(blocks=fill_blocks(frequent, unit), weight=weights[classes_of(seen)])
+    blocks, probes = fill_blocks(frequent, unit)
+    model = model._replace(blocks=blocks, probes=probes, weight=weights[classes_of(seen)])
+    if unit > FLOOR:
+        screen, probes = fill_blocks(pairs.filter("NOT filtered").select("k", F.lit(int(FLOOR)).cast("long").alias("n")), FLOOR, SCREEN_BLOCKS)
+        model = model._replace(screen=screen, screen_probes=probes)
     table = looked_up(pairs, counts, model, weights)
     # all tables are stored: Spark's cleaner drops the shuffles behind them once the driver has collected its garbage
     spark.sparkContext._jvm.System.gc()
@@ -249,7 +296,7 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
 def counted_pairs(docs: DataFrame, counts: DataFrame, model: Model) -> tuple[DataFrame, DataFrame]:
     """The pairs of the filter, and all pairs of FLOOR occurrences or more: k, n, before, own, filtered.
 
-    ``before`` and ``own`` are the counts of the pair's two tokens.
+    ``before`` and ``own`` are the counts of the pair's two tokens; ``filtered`` pairs are not looked up.
     """
     held = broadcast(docs.sparkSession, tuple(model))
 
@@ -282,7 +329,7 @@ def counted_pairs(docs: DataFrame, counts: DataFrame, model: Model) -> tuple[Dat
         rest = rest.join(one, F.when(F.col(column) == 0, F.col(token)).otherwise(F.col("k")) == F.col("_k"), "left")
         rest = rest.withColumn(column, F.when(F.col(column) == 0, F.col("_n")).otherwise(F.col(column))).drop("_k", "_n")
     columns = ["k", "n", "before", "own", "filtered"]
-    return pairs.filter("filtered"), pairs.filter(whole).select(*columns).union(stored(rest.select(*columns)))
+    return pairs.filter(F.col("n") >= model.unit), pairs.filter(whole).select(*columns).union(stored(rest.select(*columns)))
 
 
 def looked_up(pairs: DataFrame, counts: DataFrame, model: Model, weights: np.ndarray) -> DataFrame:
@@ -310,13 +357,18 @@ def looked_up(pairs: DataFrame, counts: DataFrame, model: Model, weights: np.nda
     return stored(counts.mapInArrow(of_tokens, schema).union(rare))
 
 
-def fill_blocks(pairs: DataFrame, unit: float) -> np.ndarray:
-    """The filter's blocks, each built in a task of its own; their number follows from the entries."""
+def fill_blocks(pairs: DataFrame, unit: float, most: int | None = None) -> tuple[np.ndarray, int]:
+    """The filter's blocks, each built in a task of its own, and its probes; both follow from the entries.
+
+    Where the blocks would be more than ``most`` the probes are fewer.
+    """
     level = 1 + F.floor(F.log(F.col("n") / unit) / F.log(F.lit(STEP)) + 1e-9)
     entries = pairs.agg(F.sum(level)).first()[0] or 0
-    n_blocks = -(-int(entries * PROBES / np.log(2)) // BLOCK_BITS)
+    n_blocks, probes = -(-int(entries * PROBES / np.log(2)) // BLOCK_BITS), PROBES
     if not n_blocks:
-        return np.zeros((0, BLOCK_BITS // 8), np.uint8)
+        return np.zeros((0, BLOCK_BITS // 8), np.uint8), PROBES
+    if most and n_blocks > most:
+        n_blocks, probes = most, max(1, int(most * BLOCK_BITS / entries * np.log(2)))
 
     def place(batches):
         for b in batches:
@@ -324,7 +376,7 @@ def fill_blocks(pairs: DataFrame, unit: float) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(block), b.column("k"), b.column("n")], names=["block", "k", "n"])
 
     def build(key, t):
-        data = LogFrequencyFilter.fill(t.column("k").to_numpy().copy(), t.column("n").to_numpy(), unit)
+        data = LogFrequencyFilter.fill(t.column("k").to_numpy().copy(), t.column("n").to_numpy(), unit, probes)
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([data.tobytes()], pa.binary())})
 
     placed = pairs.mapInArrow(place, "block long, k long, n long")
@@ -332,7 +384,7 @@ def fill_blocks(pairs: DataFrame, unit: float) -> np.ndarray:
     out = np.zeros((n_blocks, BLOCK_BITS // 8), np.uint8)
     for r in rows:
         out[r["block"]] = np.frombuffer(r["data"], np.uint8)
-    return out
+    return out, probes
 
 
 def context_weights(pairs: DataFrame, counts: DataFrame, model: Model) -> np.ndarray:
@@ -385,7 +437,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str] | No
     def run(batches):
         m = Model(*held())
         base_log = np.log10(m.base(m.counts))
-        found = LogFrequencyFilter(m.blocks, m.unit)
+        found, complete = LogFrequencyFilter(m.blocks, m.unit, m.probes), m.unit <= FLOOR
+        screen = LogFrequencyFilter(m.screen, FLOOR, m.screen_probes)
         for batch in slices(batches):
             hashes, first = token_hashes(batch.column("text"))
             at = m.find(hashes)
@@ -396,19 +449,27 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str] | No
             context[first[:-1]] = np.searchsorted(m.keys, END)
             weight = np.where(context >= 0, m.weight[context], 0.0)
             score = base + np.log10(1 - weight)
-            both = np.flatnonzero(m.in_filter(context, at))
-            code, back = np.unique(m.code(context[both], at[both]), return_inverse=True)
-            value = found.count(code)[back]
-            both, value = both[value > 0], value[value > 0]
+            missed = (context < 0) | (weight > 0)
+            direct = m.in_filter(context, at)
+            numbers = m.numbers(before, context), m.numbers(hashes, at)
+            asked = np.flatnonzero(missed & (direct | complete))
+            code, back = np.unique(pair_keys(numbers[0][asked], numbers[1][asked]), return_inverse=True)
+            answer = found.count(code)[back]
+            own = (answer > 0) & direct[asked]
+            both, value = asked[own], answer[own]
+            missed[both] = False
+            if complete:
+                missed[asked[answer == 0]] = False
+            else:
+                left = np.flatnonzero(missed)
+                missed[left] = screen.holds(pair_keys(numbers[0][left], numbers[1][left]))
             share = np.minimum(1.0, value / np.maximum(1, m.counts[context[both]]))
             w = weight[both]
             score[both] = np.log10(w * share + (1 - w) * m.base(m.counts[at[both]]))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(first))
-            # to look up: rare tokens, rare contexts and pairs that the filter doesn't have
-            missed = (context < 0) | (weight > 0)
-            missed[both] = False
+            # to look up: rare tokens, rare contexts and pairs that the filter may lack or gives no count for
             places = [np.flatnonzero(~common), np.flatnonzero(context < 0), np.flatnonzero(missed)]
-            pairs = pair_keys(m.numbers(before, context)[places[2]], m.numbers(hashes, at)[places[2]])
+            pairs = pair_keys(numbers[0][places[2]], numbers[1][places[2]])
             sought = np.concatenate([hashes[places[0]], before[places[1]], pairs])
             as_token = np.repeat([1, 0, 0], [len(p) for p in places]).astype(np.int32)
             rare_owner = owner[np.concatenate(places)]

@@ -102,3 +102,25 @@ def test_rare_pairs_and_tokens_count_the_same_by_every_way(spark, rows, monkeypa
         scores.append({r["doc_id"]: r["_score"] for r in lm.score(docs, model, counts).collect()})
     for other in scores[1:]:
         assert all(math.isclose(x, other[i], rel_tol=1e-9) for i, x in scores[0].items())
+
+
+@pytest.mark.parametrize("pair_common", [2.0**-26, 2.0**-8])
+def test_pairs_without_evidence_are_not_looked_up(spark, monkeypatch, pair_common):
+    """Pairs that occur once meet no join, whether the filter has all the others or the screen some."""
+    monkeypatch.setattr(lm, "PAIR_COMMON", pair_common)
+    kept = []
+    monkeypatch.setattr(lm, "stored", lambda df, store=lm.stored: kept.append(store(df)) or kept[-1])
+    rnd = random.Random(5)
+
+    def word():
+        i = rnd.randrange(60)
+        return f"x{i} y{i} z{rnd.randrange(300)}"  # x and y go together, most other pairs are found once
+
+    texts = [" ".join(word() for _ in range(8)) for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, counts = lm.train(docs)
+    assert model.weight.max() >= 0.3 and len(lm.score(docs, model, counts).collect()) == len(texts)
+    assert (model.unit > lm.FLOOR) == (pair_common > 0.001)
+    repeated = 0 if model.unit <= lm.FLOOR else sum(n for n in Counter(p for t in texts for p in zip([None, *tokens(t)], tokens(t))).values() if n > 1)
+    assert sum(len(r[0]) for r in kept[-1].select("_rare").collect()) < repeated + 50  # false hits
+    assert repeated < 650
