@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from limnia.functions.geometry import in_box
@@ -132,6 +133,9 @@ def regional_stats(
 
 # Runs are looked up through tiles of so many pixels of a row.
 TILE = 1024
+# Sums that lakes share are made for stretches of up to 2**STRETCH pixels of a row, if pixels lie in more than SHARED lakes.
+STRETCH = 8
+SHARED = 8
 
 
 def row_runs(members: DataFrame) -> DataFrame:
@@ -159,6 +163,50 @@ def in_runs(pixels: DataFrame, runs: DataFrame) -> DataFrame:
     return met.where(F.col("x").between(F.col("x_from"), F.col("x_to"))).drop("tile", "x_from", "x_to")
 
 
+def stretches(runs: DataFrame) -> DataFrame:
+    """Runs as aligned stretches of 1, 2, 4, ... pixels of a row, up to ``2**STRETCH``: ``tile, level, stretch``.
+
+    A run has two stretches of a level at most, as few as cover it; each pixel of it lies in just one.
+    """
+    wide, x_from, x_to = 1 << STRETCH, F.col("x_from").cast("bigint"), F.col("x_to").cast("bigint")
+    tiled = runs.withColumn("tile", F.explode(F.sequence(F.floor(x_from / wide), F.floor(x_to / wide))))
+    start, end = F.greatest(x_from, F.col("tile") * wide), F.least(x_to + 1, (F.col("tile") + 1) * wide)
+    pieces = []
+    for level in range(STRETCH + 1):
+        first, stop = F.ceil(start / (1 << level)), F.floor(end / (1 << level))
+        at_start = (first < stop) & ((first % 2 != 0) | F.lit(level == STRETCH))
+        at_end = (first < stop) & (stop % 2 != 0) & F.lit(level < STRETCH)
+        pieces += [
+            F.when(here, F.struct(F.lit(level).alias("level"), at.alias("stretch")))
+            for here, at in ((at_start, first), (at_end, stop - 1))
+        ]
+    found = F.filter(F.array(*pieces), lambda p: p.isNotNull())
+    return tiled.select("*", F.inline(found)).drop("x_from", "x_to")
+
+
+@contextlib.contextmanager
+def _joined_in_place(spark: SparkSession):
+    """Joins planned within don't shuffle tables again that already lie by some of the join's keys."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _overlap(runs: DataFrame) -> float:
+    """In how many lakes a pixel lies that lies in any, in the mean."""
+    before = Window.partitionBy("y").orderBy("x_from", "x_to").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max("x_to").over(before), F.col("x_from") - 1)
+    fresh = F.greatest(F.lit(0), F.col("x_to") - F.greatest(reached, F.col("x_from") - 1))
+    rows = runs.groupBy("y", "x_from", "x_to").agg(F.count("*").alias("lakes")).withColumn("fresh", fresh)
+    size = (F.col("x_to") - F.col("x_from") + 1).cast("bigint")
+    sums = rows.agg(F.sum(size * F.col("lakes")).alias("all"), F.sum("fresh").alias("covered")).first()
+    return sums["all"] / sums["covered"] if sums["covered"] else 0.0
+
+
 def member_means(
     cube: DataFrame, members: DataFrame, keys: Sequence[str], variables: Sequence[str],
     lake_cols: Sequence[str] = ("lake_id", "lake_name"), name: str = "var", value: str = "value",
@@ -168,8 +216,31 @@ def member_means(
     ``cube`` holds long pixel rows (y, x, var, value). All variables are averaged in one
     pass over the cube with one shuffle of partial sums; a step without any valid pixel
     stays, as NULL. ``members`` is (lake, y, x_from, x_to), as :func:`row_runs` makes it.
+
+    Where a pixel lies in more than SHARED lakes in the mean, the cube is shuffled by place and
+    summed by stretches of a row first, which lakes share: a lake then meets a few stretches for
+    each of its rows, and not each reading of each pixel.
     """
-    inside = in_runs(cube, members)
-    return inside.groupBy(*lake_cols, *keys).agg(*[
-        F.avg(F.when(F.col(name) == v, F.col(value).cast("double"))).alias(v) for v in variables
+    sums, counts = [f"_s{i}" for i in range(len(variables))], [f"_n{i}" for i in range(len(variables))]
+    own = [F.when(F.col(name) == v, F.col(value).cast("double")) for v in variables]
+    if _overlap(members) <= SHARED:
+        return in_runs(cube, members).groupBy(*lake_cols, *keys).agg(*[F.avg(x).alias(v) for x, v in zip(own, variables, strict=True)])
+
+    add = [F.sum(c).alias(c) for c in (*sums, *counts)]
+    # both sides lie by row and tile: the sums and the join need no further shuffle, and a lake's stretches of a row meet
+    tasks = int(cube.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = cube.withColumn("tile", F.floor(F.col("x") / (1 << STRETCH))).repartition(tasks, "y", "tile")
+    cells = cells.groupBy("y", "tile", F.col("x").cast("bigint").alias("x"), *keys).agg(
+        *[F.sum(x).alias(c) for x, c in zip(own, sums, strict=True)], *[F.count(x).alias(c) for x, c in zip(own, counts, strict=True)]
+    )
+    levels = F.array(*[
+        F.struct(F.lit(k).alias("level"), F.shiftright("x", k).alias("stretch")) for k in range(STRETCH + 1)
+    ])
+    shared = cells.select("*", F.inline(levels)).groupBy("y", "tile", "level", "stretch", *keys).agg(*add)
+    pieces = stretches(members).repartition(tasks, "y", "tile")
+    met = shared.join(pieces.hint("shuffle_hash"), ["y", "tile", "level", "stretch"]).groupBy(*lake_cols, *keys).agg(*add)
+    with _joined_in_place(cube.sparkSession):
+        met = materialise(met)
+    return met.select(*lake_cols, *keys, *[
+        F.try_divide(s, n).alias(v) for s, n, v in zip(sums, counts, variables, strict=True)
     ])
