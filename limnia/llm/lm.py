@@ -12,7 +12,7 @@ more, and pairs of PAIR_COMMON or more, are broadcast: no more than 1/COMMON tok
 1/PAIR_COMMON pairs can be that frequent, so a broadcast has a bound at any size of corpus. These
 pairs are in a Bloom filter as one entry for each level from the filter's lowest up to the
 count's; a probe asks level after level until one is missing. Between tokens of VOCABULARY or
-more its answer is the pair's count. All other tokens and pairs are looked up by a join: those of
+more, and SERVED occurrences or more, its answer is the pair's count. All other tokens and pairs are looked up by a join: those of
 each text meet the table of counts and of what each pair adds to a text's score. Most pairs of a
 text occur nowhere else and are not looked up at all: while the filter's lowest level is FLOOR it
 has every pair with evidence; in larger corpora a second filter, the screen, has those that are
@@ -38,6 +38,7 @@ from limnia.llm.common import broadcast, ready, slices, stored
 
 COMMON = 2.0**-21
 VOCABULARY = COMMON
+SERVED = 32  # occurrences of a token below which a false hit would weigh too much
 PAIR_COMMON = 2.0**-26
 FLOOR = 2.0
 STEP = 1.5
@@ -279,7 +280,7 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
         return none, counts.withColumn("gain", F.lit(0.0))
     # the lowest level of the one grid of counts that bounds the number of pairs
     unit = FLOOR * STEP ** max(0, int(np.ceil(np.log(PAIR_COMMON * n / FLOOR) / np.log(STEP) - 1e-9)))
-    model = empty._replace(in_pairs=(seen >= VOCABULARY * n) | (keys == END), unit=unit)
+    model = empty._replace(in_pairs=(seen >= max(VOCABULARY * n, SERVED)) | (keys == END), unit=unit)
     frequent, pairs = counted_pairs(docs, counts, model)
     weights = context_weights(pairs, counts, model)
     blocks, probes = fill_blocks(frequent, unit)
