@@ -6,11 +6,13 @@ import contextlib
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from limnia.functions.cleaning import finite
 from limnia.functions.geometry import in_box
-from limnia.operators.quantiles import group_stats
+from limnia.operators.numbering import row_numbers
+from limnia.operators.quantiles import _equal, attach, group_stats
 from limnia.session import materialise
 
 # Lakes are looked up through grid cells of their own size: the side of a lake's cells is the
@@ -18,6 +20,12 @@ from limnia.session import materialise
 LEVELS = (-10, 9)
 # Beyond so many lake cells pixels are shuffled to them; a task then gets about a tenth as many.
 BROADCAST_CELLS = 200_000
+# Lakes share counts by place if pixels meet more than SHARED times as many lakes as there are pixels and tiles of
+# lakes. A lake has a few hundred tiles, down to FINER levels below its own; counts are of WAYS ranges of values at once.
+SHARED = 8
+TILES_A_LAKE = 300
+FINER = 3
+WAYS = 32
 
 
 def _cell_no(c, size):
@@ -30,6 +38,14 @@ def _cell_key(level, cx, cy):
     return F.shiftleft(level.cast("bigint"), 56) + F.shiftleft(wrapped[0], 28) + wrapped[1]
 
 
+def _own_level() -> Column:
+    """The level of a box's cells, from its bounds."""
+    longer = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    # a point has no logarithm and gets the smallest cells
+    level = F.coalesce(F.floor(F.log2(F.when(longer > 0, longer / 2))).cast("int"), F.lit(LEVELS[0]))
+    return F.greatest(F.lit(LEVELS[0]), F.least(F.lit(LEVELS[1]), level))
+
+
 def lake_cells(boxes: DataFrame, cell: float | None = None) -> DataFrame:
     """One row per (lake, grid cell its box touches): ``level``, ``side`` and ``cell``, at most 25 of a lake.
 
@@ -37,10 +53,7 @@ def lake_cells(boxes: DataFrame, cell: float | None = None) -> DataFrame:
     side of the cells of all lakes.
     """
     if cell is None:
-        longer = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-        # a point has no logarithm and gets the smallest cells
-        level = F.coalesce(F.floor(F.log2(F.when(longer > 0, longer / 2))).cast("int"), F.lit(LEVELS[0]))
-        boxes = boxes.withColumn("level", F.greatest(F.lit(LEVELS[0]), F.least(F.lit(LEVELS[1]), level)))
+        boxes = boxes.withColumn("level", _own_level())
         boxes = boxes.withColumn("side", F.pow(F.lit(2.0), F.col("level")))
     else:
         boxes = boxes.withColumns({"level": F.lit(0), "side": F.lit(float(cell))})
@@ -103,23 +116,206 @@ def _index_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return group_stats(df, keys, [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value})
 
 
+def lake_tiles(boxes: DataFrame) -> DataFrame:
+    """Boxes as few tiles that boxes share: ``level``, ``shore``, ``cx``, ``cy`` and the side of a tile.
+
+    Tiles are as large as fit into the box, from its own level down to FINER levels below; what
+    is left is covered by ``shore`` tiles of the last level, which lie only partly inside.
+    """
+    inside, rects = {"x": (F.lit(1), F.lit(0)), "y": (F.lit(1), F.lit(0))}, []
+    for k in range(FINER + 1):
+        level = F.col("own") - k
+        side = F.pow(F.lit(2.0), level)
+        touched = {d: (_cell_no(f"min{d}", side), _cell_no(f"max{d}", side)) for d in "xy"}
+        # what the level above has covered already, in tiles of this level
+        hole = {d: (first * 2, last * 2 + 1) if k else (first, last) for d, (first, last) in inside.items()}
+        inside = {d: (F.ceil(F.col(f"min{d}") / side).cast("bigint"), touched[d][1] - 1) for d in "xy"}
+        for shore, whole, left_out in ((False, inside, hole), (True, touched, inside)):
+            if shore and k < FINER:
+                continue
+            bounds = [
+                at.cast("bigint").alias(f"{name}{d}{i}")
+                for name, r in (("r", whole), ("h", left_out)) for d in "xy" for i, at in enumerate(r[d])
+            ]
+            rects.append(F.struct(level.alias("level"), side.alias("side"), F.lit(shore).alias("shore"), *bounds))
+    wide = boxes.withColumn("own", _own_level()).select("*", F.inline(F.array(*rects))).drop("own")
+    wide = wide.where((F.col("rx0") <= F.col("rx1")) & (F.col("ry0") <= F.col("ry1")))
+    wide = wide.withColumn("cy", F.explode(F.sequence("ry0", "ry1")))
+    covered = F.col("cy").between(F.col("hy0"), F.col("hy1"))
+    free = F.filter(F.sequence("rx0", "rx1"), lambda c: ~(covered & c.between(F.col("hx0"), F.col("hx1"))))
+    return wide.withColumn("cx", F.explode(free)).drop(*[f"{n}{d}{i}" for n in "rh" for d in "xy" for i in (0, 1)])
+
+
+def _units(boxes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lakes with their ``unit``, and the units' boxes: lakes of one and the same box are one unit."""
+    bounds = ["minx", "miny", "maxx", "maxy"]
+    held = boxes.select("lake_id", *bounds).dropna(subset=bounds)
+    lakes = held.groupBy("lake_id").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in bounds])
+    number = F.monotonically_increasing_id()
+    one = materialise(lakes.where("n = 1").select(*bounds).distinct().withColumn("unit", number))
+    more = materialise(lakes.where("n > 1").select("lake_id", (-1 - number).alias("unit")))
+    named = lakes.where("n = 1").join(one, bounds).select("lake_id", "unit").unionByName(more)
+    h, m = held.alias("h"), more.alias("m")
+    several = h.join(m, _equal(["lake_id"], "h", "m")).select("unit", *[f"h.{c}" for c in bounds])
+    return named, one.select("unit", *bounds).unionByName(several)
+
+
+def _ranges(widths: Sequence[int]) -> Column:
+    """First number of the range that a reading's number lies in, after ranges were split into such widths in turn."""
+    rest = F.col("at")
+    for w in widths:
+        rest = rest % w
+    return F.col("at") - rest if widths else F.lit(0).cast("bigint")
+
+
+def _looked_up(places: DataFrame, levels: Column) -> DataFrame:
+    """Each place once for each level of tiles; only shore tiles keep where in the tile it lies."""
+    out = places.select("*", F.inline(levels).alias("level", "side", "shore"))
+    out = out.withColumns({"cx": _cell_no("lon", F.col("side")), "cy": _cell_no("lat", F.col("side"))})
+    return out.withColumns({c: F.when(F.col("shore"), F.col(c)) for c in ("lon", "lat")}).drop("side")
+
+
+def _met(rows: DataFrame, tiles: DataFrame, also: list[str]) -> DataFrame:
+    """Rows of tiles with the units they lie in; ``also``: what must be equal besides the tile."""
+    r, t = rows.alias("r"), tiles.alias("t")
+    same = _equal(["level", "shore", "cx", "cy"], "r", "t")
+    if also:
+        same &= _equal(also, "r", "t")
+    near = r.join(t, same).where(~F.col("r.shore") | in_box(F.col("lon"), F.col("lat"), *map(F.col, ("minx", "miny", "maxx", "maxy"))))
+    return near.select("unit", "r.*").drop("level", "shore", "cx", "cy", "lon", "lat")
+
+
+def _shared_stats(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str], value: str, p: float = 0.9) -> DataFrame:
+    """Mean, exact quantile and valid count per (file, lake) where lakes lie on each other.
+
+    Readings are numbered in the order of their values. Counts of WAYS ranges of numbers are made
+    for each place, then for tiles of places, and a lake adds up the counts of its few hundred
+    tiles: they tell in which range its wanted ranks lie. These ranges are split in the
+    same way, until the lakes' readings in them are no more than there are readings in all; those
+    are looked up one by one. No lake meets all its readings.
+    """
+    named = {f"g{i}": key for i, key in enumerate(keys)}
+    group = list(named)
+    # read several times, so that cleaning is done once
+    rows = materialise(pixels.select(
+        *[F.col(f"`{key}`").alias(g) for g, key in named.items()],
+        *[finite(F.col(c).cast("double")).alias(c) for c in ("lon", "lat")], finite(F.col(value)).alias("v"),
+    ).dropna(subset=["lon", "lat"])).withColumn("v", F.col("v").cast("double"))
+    lakes, unit_boxes = _units(boxes)
+    lakes, tiles = materialise(lakes), materialise(lake_tiles(unit_boxes))
+    levels = tiles.agg(F.collect_set(F.struct("level", "side", "shore"))).scalar()
+    tiles = tiles.drop("side")
+    readings = row_numbers(rows.where("v IS NOT NULL"), ["v"], name="at")
+    n = readings.count()
+    counts = [f"c{i}" for i in range(WAYS)]
+
+    def counted(near: DataFrame, widths: list[int]) -> DataFrame:
+        """Places with the counts of the ranges into which the last width splits the ranges of those before."""
+        low, own = _ranges(widths[:-1]), F.floor((_ranges(widths) - _ranges(widths[:-1])) / widths[-1])
+        return near.withColumns({"low": low, "own": own}).groupBy(*group, "low", "lon", "lat").agg(
+            *[F.count_if(F.col("own") == i).alias(c) for i, c in enumerate(counts)], F.sum("v").alias("s"))
+
+    def added(places: DataFrame, near: DataFrame, also: list[str]) -> DataFrame:
+        """Units with the counts of their ranges."""
+        sums = [F.sum(c).alias(c) for c in (*counts, "s")]
+        shared = _looked_up(places, levels).groupBy(*group, "low", "level", "shore", "cx", "cy", "lon", "lat").agg(*sums)
+        return _met(shared, near, also).groupBy("unit", *group, "low").agg(*sums)
+
+    def opened(goals: DataFrame, width: int) -> DataFrame:
+        """Goals (``t``; rank ``k`` in the range) with the part of their range that holds them, and its readings ``n``."""
+        def step(a, c):
+            upto = a["upto"] + c
+            return F.struct((a["i"] + F.when(upto <= F.col("k"), 1).otherwise(0)).alias("i"),
+                            F.when(upto <= F.col("k"), upto).otherwise(a["before"]).alias("before"), upto.alias("upto"))
+
+        zero = F.lit(0).cast("bigint")
+        start = F.struct(zero.alias("i"), zero.alias("before"), zero.alias("upto"))
+        at = goals.withColumn("c", F.array(*counts)).withColumn("f", F.aggregate("c", start, step))
+        return materialise(at.select(
+            "unit", *group, "t", (F.col("low") + F.col("f.i") * width).alias("low"), (F.col("k") - F.col("f.before")).alias("k"),
+            F.element_at("c", (F.col("f.i") + 1).cast("int")).alias("n"),
+        ))
+
+    widths, at = [max(1, -(-n // WAYS))], ["unit", *group, "low"]
+    # places without any valid reading give their lakes a row, too
+    bare = rows.where("v IS NULL").select(*group, "lon", "lat").distinct().withColumns(
+        {"low": F.lit(0).cast("bigint"), "s": F.lit(None).cast("double"), **{c: F.lit(0).cast("bigint") for c in counts}})
+    first = materialise(added(counted(readings, widths).unionByName(bare), tiles, []))
+    total = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
+    first = first.withColumn("total", total)
+    pos = F.lit(float(p)) * (F.col("total") - 1)
+    ranks = F.array(*[F.struct(F.lit(t).alias("t"), k.cast("bigint").alias("k")) for t, k in enumerate((F.floor(pos), F.ceil(pos)))])
+    goals = opened(first.where("total > 0").select("*", F.inline(ranks)), widths[-1])
+
+    def near_goals() -> tuple[DataFrame, DataFrame]:
+        """Readings in ranges that are open for some unit, and the units' tiles with their open ranges."""
+        parts = goals.select(*at).distinct()
+        some = readings.withColumn("low", _ranges(widths)).join(goals.select("low").distinct(), "low", "left_semi")
+        return some, tiles.join(parts, "unit")
+
+    while widths[-1] > 1 and goals.groupBy(*at).agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0] > n:
+        some, near = near_goals()
+        widths.append(-(-widths[-1] // WAYS))
+        split = added(counted(some.drop("low"), widths), near, [*group, "low"])
+        g, c = goals.drop("n").alias("g"), split.alias("c")
+        goals = opened(g.join(c, _equal(at, "g", "c")).select("g.*", *counts), widths[-1])
+
+    some, near = near_goals()
+    found = _met(_looked_up(some, levels), near, [*group, "low"])
+    found = found.withColumn("k", F.row_number().over(Window.partitionBy(*at).orderBy("at")).cast("bigint") - 1)
+    f, g = found.alias("f"), goals.alias("g")
+    found = f.join(g, _equal([*at, "k"], "f", "g")).groupBy(*[F.col(f"g.{c}").alias(c) for c in ("unit", *group)]).agg(
+        *[F.max(F.when(F.col("t") == t, F.col("v"))).alias(f"v{t}") for t in (0, 1)])
+    frac = pos - F.floor(pos)
+    stats = attach(first.select("unit", *group, "s", "total"), found, ["unit", *group])
+    return stats.join(lakes, "unit").select(
+        *[F.col(g).alias(key) for g, key in named.items()], "lake_id", F.try_divide("s", "total").alias("CI_mean"),
+        F.col("total").alias("n_valid"), (F.col("v0") * (1 - frac) + F.col("v1") * frac).alias("CI_p90"),
+    )
+
+
+def _crowded(pixels: DataFrame, boxes: DataFrame, file_cols: Sequence[str]) -> bool:
+    """Do readings and lakes meet far more often than there are readings, and tiles of lakes in all files?"""
+    if boxes.limit(SHARED + 1).count() <= SHARED:
+        return False
+    cells = materialise(lake_cells(boxes))
+    levels = cells.agg(F.collect_set(F.struct("level", "side"))).scalar()
+    looked = pixels.select("lon", "lat", F.inline(levels).alias("level", "side"))
+    looked = looked.select(_cell_key(F.col("level"), _cell_no("lon", F.col("side")), _cell_no("lat", F.col("side"))).alias("cell"))
+    per_cell = looked.groupBy("cell").agg(F.count("*").alias("n")).join(cells.groupBy("cell").agg(F.count("*").alias("lakes")), "cell")
+    pairs = per_cell.agg(F.sum(F.col("n") * F.col("lakes"))).first()[0] or 0
+    n, files = pixels.agg(F.count("*"), F.approx_count_distinct(F.struct(*file_cols))).first()
+    return pairs > SHARED * (n + TILES_A_LAKE * boxes.count() * files)
+
+
 def zonal_stats(
     pixels: DataFrame, boxes: DataFrame, value: str, file_cols: Sequence[str] = ("src", "date"),
     files: DataFrame | None = None, keep_empty: bool = True, cell: float | None = None,
 ) -> DataFrame:
     """Mean, exact 90th percentile and valid count per (file, lake).
 
+    Where readings lie in many lakes, lakes share counts by place (:func:`_shared_stats`) and don't
+    meet each of their readings; the result is the same.
+
     With ``keep_empty`` every file lists every lake, those without a valid pixel as
     NULL, NULL, 0. The empty rows enter the same aggregation as the pixels, as rows without
     a value, so they cost no join of their own. That is files x lakes rows: leave it out where
     lakes are many.
     """
     keys = [*file_cols, "lake_id"]
-    hits = pixels_in_boxes(pixels, boxes, cell).select(*keys, value)
     if keep_empty:
         if files is None:
             files = pixels.select(*file_cols).distinct()
         blank = file_lake_rows(files.select(*file_cols), boxes.select("lake_id"))
+    if cell is None and _crowded(pixels, boxes, file_cols):
+        stats = _shared_stats(pixels, boxes, file_cols, value)
+        if keep_empty:
+            stats = stats.unionByName(blank, allowMissingColumns=True)
+        return stats.groupBy(*keys).agg(
+            F.max("CI_mean").alias("CI_mean"), F.coalesce(F.max("n_valid"), F.lit(0)).alias("n_valid"), F.max("CI_p90").alias("CI_p90")
+        )
+    hits = pixels_in_boxes(pixels, boxes, cell).select(*keys, value)
+    if keep_empty:
         hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
     return _index_stats(hits, keys, value)
 
@@ -135,7 +331,6 @@ def regional_stats(
 TILE = 1024
 # Sums that lakes share are made for stretches of up to 2**STRETCH pixels of a row, if pixels lie in more than SHARED lakes.
 STRETCH = 8
-SHARED = 8
 
 
 def row_runs(members: DataFrame) -> DataFrame:
