@@ -37,6 +37,7 @@ def row_numbers(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), nam
     before = Window.partitionBy(*by).orderBy("num_range").rowsBetween(Window.unboundedPreceding, -1)
     runs = held.groupBy(*by, "num_range").agg(F.count("*").alias("num_n"), F.min("num_at").alias("num_first"))
     shift = F.coalesce(F.sum("num_n").over(before), F.lit(0)) - F.col("num_first")
-    runs = runs.select(*by, "num_range", shift.alias("num_shift"))
+    # written, so that the planner sees how small they are and need not shuffle the rows to them
+    runs = materialise(runs.select(*by, "num_range", shift.alias("num_shift")))
     out = attach(held, runs, [*by, "num_range"])
     return out.withColumn(name, F.col("num_at") + F.col("num_shift")).drop("num_at", "num_range", "num_shift")
