@@ -9,9 +9,10 @@ from limnia.llm.common import stored
 
 
 def _mark(edges: DataFrame) -> tuple:
-    """Differs between two edge tables unless they hold the same edges."""
+    """Differs between two edge tables unless they hold the same edges; halves of hashes are summed, which can't overflow."""
     h = F.xxhash64("u", "v")
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 8)), F.bit_xor(h)).first()
+    low = F.shiftright(F.shiftleft(h, 32), 32)
+    row = edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 32)), F.sum(low), F.bit_xor(h)).first()
     return tuple(row)
 
 

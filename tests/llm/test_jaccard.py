@@ -128,6 +128,22 @@ def test_components(spark):
     assert got == {k: v for k, v in root.items() if k in linked}
 
 
+def test_components_of_edges_whose_hashes_sum_up_beyond_64_bits(spark):
+    edges = spark.range(6000).selectExpr("2 * id + 1 AS u", "2 * id AS v").filter("xxhash64(u, v) > (1L << 62)")
+    n = edges.count()
+    assert n > 1100  # eighth bits and up, summed: more than 1100 << 54
+    got = {r["node"]: r["root"] for r in graph.components(edges).collect()}
+    assert len(got) == 2 * n and all(root == node - node % 2 for node, root in got.items())
+
+
+def test_marks_of_edges(spark):
+    edges = [(i, i * 7 % 50) for i in range(200)]
+    mark = lambda e: graph._mark(spark.createDataFrame(e, "u long, v long"))
+    assert mark(edges) == mark(edges[::-1])
+    others = (edges[1:], [*edges, edges[0]], [(1000, 7), *edges[1:]], [edges[0][::-1], (edges[1][0], edges[1][1] + 1), *edges[2:]])
+    assert all(mark(e) != mark(edges) for e in others)
+
+
 def test_keep_one(spark):
     rows = copies(9, 120)
     docs = spark.createDataFrame([(d, t, i, "x") for i, (d, t) in enumerate(rows)], "doc_id long, text string, rid int, id string")
