@@ -168,43 +168,132 @@ def _ranges(widths: Sequence[int]) -> Column:
     return F.col("at") - rest if widths else F.lit(0).cast("bigint")
 
 
-def _looked_up(places: DataFrame, levels: Column) -> DataFrame:
-    """Each place once for each level of tiles; only shore tiles keep where in the tile it lies."""
-    out = places.select("*", F.inline(levels).alias("level", "side", "shore"))
-    out = out.withColumns({"cx": _cell_no("lon", F.col("side")), "cy": _cell_no("lat", F.col("side"))})
-    return out.withColumns({c: F.when(F.col("shore"), F.col(c)) for c in ("lon", "lat")}).drop("side")
+class _InTiles:
+    """Places by longitude and latitude, lakes as boxes, by way of their tiles."""
 
+    place, cells = ["lon", "lat"], ["level", "shore", "cx", "cy", "lon", "lat"]
 
-def _met(rows: DataFrame, tiles: DataFrame, also: list[str]) -> DataFrame:
-    """Rows of tiles with the units they lie in; ``also``: what must be equal besides the tile."""
-    r, t = rows.alias("r"), tiles.alias("t")
-    same = _equal(["level", "shore", "cx", "cy"], "r", "t")
-    if also:
-        same &= _equal(also, "r", "t")
-    near = r.join(t, same).where(~F.col("r.shore") | in_box(F.col("lon"), F.col("lat"), *map(F.col, ("minx", "miny", "maxx", "maxy"))))
-    return near.select("unit", "r.*").drop("level", "shore", "cx", "cy", "lon", "lat")
+    def __init__(self, boxes: DataFrame) -> None:
+        lakes, unit_boxes = _units(boxes)
+        self.lakes, tiles = materialise(lakes), materialise(lake_tiles(unit_boxes))
+        self.levels = tiles.agg(F.collect_set(F.struct("level", "side", "shore"))).scalar()
+        self.tiles = tiles.drop("side")
 
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        return rows
 
-def _shared_stats(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str], value: str, p: float = 0.9) -> DataFrame:
-    """Mean, exact quantile and valid count per (file, lake) where lakes lie on each other.
+    def looked_up(self, places: DataFrame) -> DataFrame:
+        """Each place once for each level of tiles; only shore tiles keep where in the tile it lies."""
+        out = places.select("*", F.inline(self.levels).alias("level", "side", "shore"))
+        out = out.withColumns({"cx": _cell_no("lon", F.col("side")), "cy": _cell_no("lat", F.col("side"))})
+        return out.withColumns({c: F.when(F.col("shore"), F.col(c)) for c in ("lon", "lat")}).drop("side")
 
-    Readings are numbered in the order of their values. Counts of WAYS ranges of numbers are made
-    for each place, then for tiles of places, and a lake adds up the counts of its few hundred
-    tiles: they tell in which range its wanted ranks lie. These ranges are split in the
-    same way, until the lakes' readings in them are no more than there are readings in all; those
-    are looked up one by one. No lake meets all its readings.
+    def opened(self, readings: DataFrame, parts: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+        """Readings, and the units' tiles with their open ranges (``parts``)."""
+        return readings, self.tiles.join(parts, "unit")
+
+    def met(self, rows: DataFrame, tiles: DataFrame, also: list[str]) -> DataFrame:
+        """Rows of tiles with the units they lie in; ``also``: what must be equal besides the tile."""
+        r, t = rows.alias("r"), tiles.alias("t")
+        same = _equal(["level", "shore", "cx", "cy"], "r", "t")
+        if also:
+            same &= _equal(also, "r", "t")
+        near = r.join(t, same).where(~F.col("r.shore") | in_box(F.col("lon"), F.col("lat"), *map(F.col, ("minx", "miny", "maxx", "maxy"))))
+        return near.select("unit", "r.*").drop(*self.cells)
+
+
+class _InRuns:
+    """Places by row and pixel, lakes as runs of pixels, by way of their stretches.
+
+    Readings, their counts and the lakes' stretches lie by bands of rows and tiles of a row: what is summed
+    up and joined there needs no further shuffle, and a lake's stretches of a band meet before they are shuffled.
     """
+
+    place, cells = ["band", "tile", "y", "x"], ["band", "tile", "y", "level", "stretch"]
+
+    def __init__(self, runs: DataFrame) -> None:
+        self.tasks = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.lakes = materialise(runs.select("lake_id").distinct().withColumn("unit", F.monotonically_increasing_id()))
+        pieces = stretches(runs.join(self.lakes, "lake_id").select("unit", "y", "x_from", "x_to")).withColumn("band", self.band())
+        held = F.collect_list(F.struct("y", "level", "stretch")).alias("pieces")
+        self.packed = materialise(pieces.groupBy("unit", "band", "tile").agg(held))
+        self.tiles = self._unpacked(self.packed)
+
+    @staticmethod
+    def band() -> Column:
+        return F.floor(F.col("y") / BAND)
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        placed = rows.withColumns({"band": self.band(), "tile": F.floor(F.col("x") / (1 << STRETCH))})
+        return placed.repartition(self.tasks, "band", "tile")
+
+    def _unpacked(self, packed: DataFrame) -> DataFrame:
+        return packed.repartition(self.tasks, "band", "tile").select("*", F.inline("pieces")).drop("pieces")
+
+    def looked_up(self, places: DataFrame) -> DataFrame:
+        """Each place once for each length of stretches."""
+        levels = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("x", k).alias("stretch")) for k in range(STRETCH + 1)])
+        return places.select("*", F.inline(levels)).drop("x")
+
+    def opened(self, readings: DataFrame, parts: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+        """Readings in ranges that are open for a lake of their band and tile, and the units' stretches with their open ranges (``parts``)."""
+        at = [*group, "low"]
+        parts = parts.groupBy("unit").agg(F.collect_list(F.struct(*at)).alias("parts"))
+        packed = materialise(self.packed.join(parts, "unit"))
+        here = packed.repartition(self.tasks, "band", "tile").select("band", "tile", F.inline("parts")).distinct()
+        r, o = readings.alias("r"), here.hint("shuffle_hash").alias("o")
+        return r.join(o, self._same(at, "o"), "left_semi"), self._unpacked(packed).select("*", F.inline("parts")).drop("parts")
+
+    @staticmethod
+    def _same(also: list[str], other: str) -> Column:
+        same = (F.col("r.band") == F.col(f"{other}.band")) & (F.col("r.tile") == F.col(f"{other}.tile"))
+        return same & _equal(also, "r", other) if also else same
+
+    def met(self, rows: DataFrame, tiles: DataFrame, also: list[str]) -> DataFrame:
+        """Rows of stretches with the units that have these; ``also``: what must be equal besides the stretch."""
+        r, t = rows.alias("r"), tiles.alias("t")
+        return r.join(t, self._same(["y", "level", "stretch", *also], "t")).select("unit", "r.*").drop(*self.cells)
+
+
+def _shared_stats(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str], value: str, p: float = 0.9) -> DataFrame:
+    """Mean, exact quantile and valid count per (file, lake) where lakes are boxes that lie on each other."""
     named = {f"g{i}": key for i, key in enumerate(keys)}
-    group = list(named)
     # read several times, so that cleaning is done once
     rows = materialise(pixels.select(
         *[F.col(f"`{key}`").alias(g) for g, key in named.items()],
         *[finite(F.col(c).cast("double")).alias(c) for c in ("lon", "lat")], finite(F.col(value)).alias("v"),
     ).dropna(subset=["lon", "lat"])).withColumn("v", F.col("v").cast("double"))
-    lakes, unit_boxes = _units(boxes)
-    lakes, tiles = materialise(lakes), materialise(lake_tiles(unit_boxes))
-    levels = tiles.agg(F.collect_set(F.struct("level", "side", "shore"))).scalar()
-    tiles = tiles.drop("side")
+    return _counted_stats(rows, named, _InTiles(boxes), p)
+
+
+def run_stats(pixels: DataFrame, runs: DataFrame, keys: Sequence[str], value: str, p: float = 0.9) -> DataFrame:
+    """Mean, exact quantile and valid count per (file, lake) of pixels (y, x) in the lakes' runs (``lake_id, y, x_from, x_to``).
+
+    Lakes on each other share counts by place: a lake meets a few stretches for each of its rows,
+    and not each reading of each pixel.
+    """
+    named = {f"g{i}": key for i, key in enumerate(keys)}
+    # what is shuffled for a table is deleted once that is written
+    with _joined_in_place(pixels.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        rows = materialise(pixels.select(
+            *[F.col(f"`{key}`").alias(g) for g, key in named.items()],
+            F.col("y").cast("bigint").alias("y"), F.col("x").cast("bigint").alias("x"), finite(F.col(value)).alias("v"),
+        ).dropna(subset=["y", "x"])).withColumn("v", F.col("v").cast("double"))
+        return materialise(_counted_stats(rows, named, _InRuns(runs), p))
+
+
+def _counted_stats(rows: DataFrame, named: dict[str, str], lakes_at: _InTiles | _InRuns, p: float) -> DataFrame:
+    """Mean, exact quantile and valid count per (file, lake) where lakes lie on each other.
+
+    ``rows``: the files' columns under their working names, a place and the reading ``v``.
+
+    Readings are numbered in the order of their values. Counts of WAYS ranges of numbers are made
+    for each place, then for tiles (or stretches) of places, and a lake adds up the counts of its few hundred
+    tiles: they tell in which range its wanted ranks lie. These ranges are split in the
+    same way, until the lakes' readings in them are no more than there are readings in all; those
+    are looked up one by one. No lake meets all its readings.
+    """
+    group, place, spots = list(named), lakes_at.place, [c for c in rows.columns if c not in named and c != "v"]
     readings = row_numbers(rows.where("v IS NOT NULL"), ["v"], name="at")
     n = readings.count()
     counts = [f"c{i}" for i in range(WAYS)]
@@ -212,14 +301,14 @@ def _shared_stats(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str], valu
     def counted(near: DataFrame, widths: list[int]) -> DataFrame:
         """Places with the counts of the ranges into which the last width splits the ranges of those before."""
         low, own = _ranges(widths[:-1]), F.floor((_ranges(widths) - _ranges(widths[:-1])) / widths[-1])
-        return near.withColumns({"low": low, "own": own}).groupBy(*group, "low", "lon", "lat").agg(
+        return near.withColumns({"low": low, "own": own}).groupBy(*group, "low", *place).agg(
             *[F.count_if(F.col("own") == i).alias(c) for i, c in enumerate(counts)], F.sum("v").alias("s"))
 
     def added(places: DataFrame, near: DataFrame, also: list[str]) -> DataFrame:
         """Units with the counts of their ranges."""
         sums = [F.sum(c).alias(c) for c in (*counts, "s")]
-        shared = _looked_up(places, levels).groupBy(*group, "low", "level", "shore", "cx", "cy", "lon", "lat").agg(*sums)
-        return _met(shared, near, also).groupBy("unit", *group, "low").agg(*sums)
+        shared = lakes_at.looked_up(places).groupBy(*group, "low", *lakes_at.cells).agg(*sums)
+        return lakes_at.met(shared, near, also).groupBy("unit", *group, "low").agg(*sums)
 
     def opened(goals: DataFrame, width: int) -> DataFrame:
         """Goals (``t``; rank ``k`` in the range) with the part of their range that holds them, and its readings ``n``."""
@@ -238,9 +327,9 @@ def _shared_stats(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str], valu
 
     widths, at = [max(1, -(-n // WAYS))], ["unit", *group, "low"]
     # places without any valid reading give their lakes a row, too
-    bare = rows.where("v IS NULL").select(*group, "lon", "lat").distinct().withColumns(
-        {"low": F.lit(0).cast("bigint"), "s": F.lit(None).cast("double"), **{c: F.lit(0).cast("bigint") for c in counts}})
-    first = materialise(added(counted(readings, widths).unionByName(bare), tiles, []))
+    bare = rows.where("v IS NULL").select(*group, *spots).distinct().withColumns(
+        {"at": F.lit(None).cast("bigint"), "v": F.lit(None).cast("double")})
+    first = materialise(added(counted(lakes_at.dealt(readings.unionByName(bare)), widths), lakes_at.tiles, []))
     total = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
     first = first.withColumn("total", total)
     pos = F.lit(float(p)) * (F.col("total") - 1)
@@ -249,9 +338,10 @@ def _shared_stats(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str], valu
 
     def near_goals() -> tuple[DataFrame, DataFrame]:
         """Readings in ranges that are open for some unit, and the units' tiles with their open ranges."""
-        parts = goals.select(*at).distinct()
-        some = readings.withColumn("low", _ranges(widths)).join(goals.select("low").distinct(), "low", "left_semi")
-        return some, tiles.join(parts, "unit")
+        # written, so that the planner sees how few ranges they are
+        lows = materialise(goals.select("low").distinct())
+        some = readings.withColumn("low", _ranges(widths)).join(lows, "low", "left_semi")
+        return lakes_at.opened(lakes_at.dealt(some), goals.select(*at).distinct(), group)
 
     while widths[-1] > 1 and goals.groupBy(*at).agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0] > n:
         some, near = near_goals()
@@ -261,19 +351,28 @@ def _shared_stats(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str], valu
         goals = opened(g.join(c, _equal(at, "g", "c")).select("g.*", *counts), widths[-1])
 
     some, near = near_goals()
-    found = _met(_looked_up(some, levels), near, [*group, "low"])
+    found = lakes_at.met(lakes_at.looked_up(some), near, [*group, "low"])
     found = found.withColumn("k", F.row_number().over(Window.partitionBy(*at).orderBy("at")).cast("bigint") - 1)
     f, g = found.alias("f"), goals.alias("g")
     found = f.join(g, _equal([*at, "k"], "f", "g")).groupBy(*[F.col(f"g.{c}").alias(c) for c in ("unit", *group)]).agg(
         *[F.max(F.when(F.col("t") == t, F.col("v"))).alias(f"v{t}") for t in (0, 1)])
     frac = pos - F.floor(pos)
     stats = attach(first.select("unit", *group, "s", "total"), found, ["unit", *group])
-    return stats.join(lakes, "unit").select(
+    return stats.join(lakes_at.lakes, "unit").select(
         *[F.col(g).alias(key) for g, key in named.items()], "lake_id", F.try_divide("s", "total").alias("CI_mean"),
         F.col("total").alias("n_valid"), (F.col("v0") * (1 - frac) + F.col("v1") * frac).alias("CI_p90"),
     )
 
 
+def with_blank(stats: DataFrame, blank: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Shared statistics, and a row without a valid pixel for each of the ``blank`` keys that has none yet."""
+    if blank is not None:
+        stats = stats.unionByName(blank, allowMissingColumns=True)
+    return stats.groupBy(*keys).agg(
+        F.max("CI_mean").alias("CI_mean"), F.coalesce(F.max("n_valid"), F.lit(0)).alias("n_valid"), F.max("CI_p90").alias("CI_p90")
+    )
+
+
 def _crowded(pixels: DataFrame, boxes: DataFrame, file_cols: Sequence[str]) -> bool:
     """Do readings and lakes meet far more often than there are readings, and tiles of lakes in all files?"""
     if boxes.limit(SHARED + 1).count() <= SHARED:
@@ -309,11 +408,7 @@ def zonal_stats(
         blank = file_lake_rows(files.select(*file_cols), boxes.select("lake_id"))
     if cell is None and _crowded(pixels, boxes, file_cols):
         stats = _shared_stats(pixels, boxes, file_cols, value)
-        if keep_empty:
-            stats = stats.unionByName(blank, allowMissingColumns=True)
-        return stats.groupBy(*keys).agg(
-            F.max("CI_mean").alias("CI_mean"), F.coalesce(F.max("n_valid"), F.lit(0)).alias("n_valid"), F.max("CI_p90").alias("CI_p90")
-        )
+        return with_blank(stats, blank if keep_empty else None, keys)
     hits = pixels_in_boxes(pixels, boxes, cell).select(*keys, value)
     if keep_empty:
         hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
@@ -331,6 +426,8 @@ def regional_stats(
 TILE = 1024
 # Sums that lakes share are made for stretches of up to 2**STRETCH pixels of a row, if pixels lie in more than SHARED lakes.
 STRETCH = 8
+# Counts that lakes share lie by bands of so many rows.
+BAND = 8
 
 
 def row_runs(members: DataFrame) -> DataFrame:
@@ -380,18 +477,20 @@ def stretches(runs: DataFrame) -> DataFrame:
 
 
 @contextlib.contextmanager
-def _joined_in_place(spark: SparkSession):
-    """Joins planned within don't shuffle tables again that already lie by some of the join's keys."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+def _joined_in_place(spark: SparkSession, **more: str):
+    """Joins planned within don't shuffle tables again that already lie by some of the join's keys; ``more`` settings by name, __ for dots."""
+    settings = {"spark.sql.requireAllClusterKeysForCoPartition": "false", **{k.replace("__", "."): v for k, v in more.items()}}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, to in settings.items():
+        spark.conf.set(name, to)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, was in before.items():
+            spark.conf.unset(name) if was is None else spark.conf.set(name, was)
 
 
-def _overlap(runs: DataFrame) -> float:
+def overlap(runs: DataFrame) -> float:
     """In how many lakes a pixel lies that lies in any, in the mean."""
     before = Window.partitionBy("y").orderBy("x_from", "x_to").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("x_to").over(before), F.col("x_from") - 1)
@@ -418,7 +517,7 @@ def member_means(
     """
     sums, counts = [f"_s{i}" for i in range(len(variables))], [f"_n{i}" for i in range(len(variables))]
     own = [F.when(F.col(name) == v, F.col(value).cast("double")) for v in variables]
-    if _overlap(members) <= SHARED:
+    if overlap(members) <= SHARED:
         return in_runs(cube, members).groupBy(*lake_cols, *keys).agg(*[F.avg(x).alias(v) for x, v in zip(own, variables, strict=True)])
 
     add = [F.sum(c).alias(c) for c in (*sums, *counts)]

@@ -10,7 +10,9 @@ from limnia.functions.timelabel import time_label
 from limnia.operators.schema import OBSERVATION_COLUMNS, check_raster, complete_columns, require
 from limnia.operators.spatial import lake_pixels
 from limnia.operators.quantiles import group_stats
-from limnia.operators.zonal import file_lake_rows, in_runs, regional_stats, row_runs, zonal_stats
+from limnia.operators.zonal import (
+    SHARED, file_lake_rows, in_runs, overlap, regional_stats, row_runs, run_stats, with_blank, zonal_stats,
+)
 from limnia.session import materialise
 
 # Usable columns of a file table: time0, start, end; or attrs, a map of raw attributes.
@@ -105,16 +107,23 @@ def extract_lakes_by_polygon(
     """Like :func:`extract_lakes`, with true lake shapes (inside their inset, if they state one).
 
     Membership is decided once for the grid; the stored table's real size decides how pixels
-    are joined to it.
+    are joined to it. Where a pixel lies in more than SHARED lakes in the mean, lakes share counts
+    by place (:func:`run_stats`) and don't meet each of their readings; the result is the same.
     """
     pixels, labels, valid_min, valid_max = _prepare(pixels, files, product, valid_min, valid_max)
     members = materialise(row_runs(lake_pixels(grid, polygons, inset_m)))
     clean = pixels.withColumn(value, clean_index(value, valid_min, valid_max))
-    hits = in_runs(clean, members).select("src", "lake_id", value)
     if keep_empty:
         blank = file_lake_rows(labels.select("src"), polygons.select("lake_id").distinct())
-        hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
-    stats = group_stats(hits, ["src", "lake_id"], [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value})
+    if overlap(members) > SHARED:
+        stats = run_stats(clean, members, ["src"], value)
+        if keep_empty:
+            stats = with_blank(stats, blank, ["src", "lake_id"])
+    else:
+        hits = in_runs(clean, members).select("src", "lake_id", value)
+        if keep_empty:
+            hits = hits.unionByName(blank.withColumn(value, F.lit(None).cast(dict(pixels.dtypes)[value])))
+        stats = group_stats(hits, ["src", "lake_id"], [value], {"CI_p90": (value, 0.9)}, {"n_valid": value}, {"CI_mean": value})
     return _labelled(stats, labels).select(
         "lake_id", "time", F.lit(product).alias("product"), "CI_mean", "CI_p90", "n_valid", "src", "engine"
     )
